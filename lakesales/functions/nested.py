@@ -87,9 +87,16 @@ def pairs_to_prefs(pairs: C) -> Column:
 
 
 def json_is_valid(c: C) -> Column:
-    """False for text that is no JSON; NULL and blank pass."""
+    """False for text that is not exactly one JSON value; NULL and blank pass.
+
+    The parser stops after the first value, so the text is parsed as the first of two array
+    elements: only a single complete value leaves the second one in place.
+    """
     c = as_col(c)
-    return F.when(F.trim(c) != "", F.try_parse_json(c).isNotNull())
+    last = "-lakesales-end-"
+    pair = F.try_parse_json(F.concat(F.lit("["), c, F.lit(f',"{last}"]')))
+    whole = F.coalesce(F.try_variant_get(pair, "$[1]", "string") == last, F.lit(False))
+    return F.when(F.trim(c) != "", whole)
 
 
 def agg_sales_rows(df: DataFrame) -> DataFrame:
