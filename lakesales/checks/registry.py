@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from lakesales.checks import erp, orders
+from lakesales.checks import erp, orders, unified
 
-_MODULES = (erp, orders)
+_MODULES = (erp, orders, unified)
 QUERIES = {name: fn for m in _MODULES for name, fn in m.QUERIES.items()}
 SQL = {name: text for m in _MODULES for name, text in m.SQL.items()}

@@ -377,12 +377,12 @@ SQL = {
         SELECT DISTINCT CASE o_orderpriority WHEN '1-URGENT' THEN 'WEB' WHEN '2-HIGH' THEN 'APP'
         WHEN '3-MEDIUM' THEN 'TIENDA' WHEN '4-NOT SPECIFIED' THEN 'PARTNER' ELSE 'WEB' END AS c FROM orders)""",
     "sales": """SELECT CAST(strftime(o_orderdate, '%Y%m%d') AS INTEGER) AS TiempoID, cli.ClienteID,
-        pro.ProductoID, ch.CanalID, CAST(o_orderkey AS VARCHAR) AS OrdenID_Natural, Fuente AS FuenteOrigen,
-        CASE Fuente WHEN 'SQL Server' THEN 'USD' WHEN 'MongoDB' THEN 'CRC'
+        pro.ProductoID, ch.CanalID, CAST(o_orderkey AS VARCHAR) AS OrdenID_Natural, src.Fuente AS FuenteOrigen,
+        CASE src.Fuente WHEN 'SQL Server' THEN 'USD' WHEN 'MongoDB' THEN 'CRC'
              ELSE CASE l_linestatus WHEN 'O' THEN 'CRC' ELSE 'USD' END END AS MonedaOrigen,
         CAST(l_quantity AS INTEGER) AS Cantidad,
-        CASE WHEN Fuente IN ('SQL Server','MongoDB') THEN CAST(round(l_discount * 100) AS INTEGER) END AS DescuentoPct,
-        CASE Fuente WHEN 'MongoDB' THEN CAST(floor(l_extendedprice) AS HUGEINT) * 100
+        CASE WHEN src.Fuente IN ('SQL Server','MongoDB') THEN CAST(round(l_discount * 100) AS INTEGER) END AS DescuentoPct,
+        CASE src.Fuente WHEN 'MongoDB' THEN CAST(floor(l_extendedprice) AS HUGEINT) * 100
              ELSE CAST(round(l_extendedprice * 100) AS HUGEINT) END AS cents,
         CAST(fx.rate * 1000000 AS HUGEINT) AS rate_u
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN src ON o_custkey = c_custkey
