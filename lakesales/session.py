@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
 # Settings a job over very large tables wants; all can be overridden by spark-submit.
 DEFAULTS = {
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -34,13 +36,14 @@ def build_session(app: str = "lakesales", master: str | None = None, **extra: st
     return spark
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="lakesales-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it; a local one only when unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="lakesales-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
