@@ -116,13 +116,13 @@ def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
     other = fallback_key(customers, "CardCode", FALLBACK_CARD_CODE, "CustomerKey")
     head = head.select("DocEntry", date_key("DocDate").alias("DateKey"),
                        F.coalesce("CustomerKey", other).alias("CustomerKey"), "CurrencyKey",
-                       "DocTotal", "DocTotalFC", code.alias("_cur"))
+                       "DocTotal", "DocTotalFC", norm_key(code).alias("_cur"))
     rows = star_lookup(join_lines(lines, head), products, F.col("ItemCode"), "ItemCode",
                        ["ProductKey"])
     crc, usd = F.col("DocTotal"), F.col("DocTotalFC")
     if grain == "line":
         share = (F.col("Quantity") * F.col("Price")).cast(AMOUNT)
-        crc = F.when(F.col("_cur") != USD, share)
+        crc = F.when(F.col("_cur") == LOCAL_CURRENCY, share)
         usd = F.when(F.col("_cur") == USD, share)
     elif grain != "header":
         raise ValueError(f"unknown grain: {grain}")
@@ -134,7 +134,11 @@ def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
 
 
 def fact_invoices(oinv, inv1, customers, products, currencies, grain: str = "header") -> DataFrame:
-    """Invoice lines. The header total stands on every line; ``grain="line"`` gives qty x price."""
+    """Invoice lines. The header total stands on every line.
+
+    ``grain="line"`` puts qty x price in the column of the document's currency instead, so that
+    totals may be added up.
+    """
     return _document_branch(oinv, inv1, customers, products, currencies, 1, grain)
 
 
