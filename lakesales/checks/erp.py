@@ -23,18 +23,18 @@ KEYS = ["DateKey", "CustomerKey", "ProductKey", "CurrencyKey"]
 
 
 class Erp:
-    """The warehouse over the given tables; every frame is built once per query."""
+    """The warehouse over the given tables; dimensions are stored before facts use them."""
 
     def __init__(self, t: Tables):
         self.t = t
 
     @cached_property
     def customers(self) -> DataFrame:
-        return P.dim_customer(S.ocrd(self.t), S.zonas(self.t))
+        return self.t.store(P.dim_customer(S.ocrd(self.t), S.zonas(self.t)), "DimCustomer")
 
     @cached_property
     def products(self) -> DataFrame:
-        return P.dim_product(S.oitm(self.t), S.oitw(self.t))
+        return self.t.store(P.dim_product(S.oitm(self.t), S.oitw(self.t)), "DimProduct")
 
     @cached_property
     def currencies(self) -> DataFrame:
@@ -101,11 +101,13 @@ def null_keys(spark, d):
 
 
 def customers(spark, d):
-    return Erp(Tables(spark, d)).customers
+    t = Tables(spark, d)
+    return P.dim_customer(S.ocrd(t), S.zonas(t))
 
 
 def products(spark, d):
-    return Erp(Tables(spark, d)).products.select(
+    t = Tables(spark, d)
+    return P.dim_product(S.oitm(t), S.oitw(t)).select(
         "ProductKey", "ItemCode", "ItemName", "Brand", *S.double("OnHand", "AvgPrice"))
 
 

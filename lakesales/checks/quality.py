@@ -134,11 +134,13 @@ def loader_dry_run(spark, d):
 
 
 def import_summary(spark, d):
-    """Rows each policy would import, and rows refused."""
-    checked = _checked(spark, d)
-    per_chunk = L.summary(checked).agg(F.sum("inserted").alias("insertadas"), F.sum("rejected").alias("rechazadas"))
+    """An import of all lines that skips bad rows, and one that takes all or nothing."""
+    t = Tables(spark, d)
+    checked = t.store(L.check_rows(_uploaded(spark, t), "mssql", *loader_lookups(t), mapping=MAPPING), "checked")
+    done = L.run_import(checked, "mssql", "skip_bad", scratch_path(spark, "import"))
     strict = L.accepted_rows(checked, "all_or_nothing").agg(F.count("*").alias("n")).scalar()
-    return per_chunk.select("insertadas", "rechazadas", strict.alias("todo_o_nada"))
+    return done["log"].agg(F.sum("inserted").alias("insertadas"), F.sum("rejected").alias("rechazadas")).select(
+        "insertadas", "rechazadas", strict.alias("todo_o_nada"))
 
 
 def loader_accepted(spark, d):
@@ -162,9 +164,9 @@ def loader_mysql(spark, d):
         F.when(F.col("l_linenumber") == 6, "1.5").otherwise(F.col("l_quantity").cast("int").cast("string")).alias("cantidad"),
         F.lit("").alias("metadata")), path)
     checked = L.check_rows(readers.read_loader_csv(spark, path), "mysql", *loader_lookups(t), locale="es")
-    good = checked.where(F.size("errors") == 0).agg(F.count("*").alias("errores"))
-    return L.dry_run(checked).groupBy("field", "rule").agg(F.count("*").alias("errores")).unionByName(
-        good.select(F.lit("").alias("field"), F.lit("accepted").alias("rule"), "errores"))
+    mark = F.array(F.struct(F.lit("").alias("field"), F.lit("accepted").alias("rule"), F.lit("").alias("message")))
+    marked = checked.withColumn("errors", F.when(F.size("errors") == 0, mark).otherwise(F.col("errors")))
+    return L.dry_run(marked).groupBy("field", "rule").agg(F.count("*").alias("errores"))
 
 
 def row_numbers(spark, d):

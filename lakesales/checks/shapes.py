@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from lakesales.operators.keys import nest_items
 from lakesales.schemas import VENTAS
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import write_table
 
 AMOUNT = "decimal(18,4)"
 MONEY = "decimal(18,2)"
@@ -19,11 +21,19 @@ MAX_SALES_PER_RECORD = 500
 
 
 class Tables:
+    """The given tables by name; each is opened once."""
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.dir = spark, sf_dir
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
+
+    def store(self, df: DataFrame, name: str) -> DataFrame:
+        """Written to the shared folder and read back, as a dimension is before facts use it."""
+        return write_table(df, scratch_path(self.spark, name))
 
 
 def code(prefix: str, col: str) -> Column:
@@ -258,17 +268,17 @@ def raw_channel() -> Column:
 def landed_lines(t: Tables) -> DataFrame:
     """Every line as its customer's source would deliver it."""
     who = t.customer.select("c_custkey", source_of().alias("FuenteOrigen"))
+    s = F.col("FuenteOrigen")
+    stamp = F.col("o_orderdate").cast("string")
+    date = (F.when(s.isin("Supabase", "MongoDB"), F.concat(F.replace(stamp, F.lit(" "), F.lit("T")), F.lit("Z")))
+            .when(s == "Neo4j", F.to_date("o_orderdate").cast("string")).otherwise(stamp))
     head = t.orders.join(who, F.col("o_custkey") == F.col("c_custkey")).select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "FuenteOrigen")
+        "o_orderkey", "o_custkey", date.alias("fecha"), raw_channel().alias("canal"), "FuenteOrigen")
     rows = t.lineitem.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
-    s, price = F.col("FuenteOrigen"), F.col("l_extendedprice").cast(MONEY)
+    price = F.col("l_extendedprice").cast(MONEY)
     product = (F.when(s.isin("SQL Server", "MySQL"), code("", "l_partkey"))
                .when(s == "Supabase", code("U-", "l_partkey"))
                .when(s == "MongoDB", code("M-", "l_partkey")).otherwise(code("P-", "l_partkey")))
-    date = (F.when(s.isin("Supabase", "MongoDB"),
-                   F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
-            .when(s == "Neo4j", F.date_format("o_orderdate", "yyyy-MM-dd"))
-            .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")))
     currency = (F.when(s == "SQL Server", "USD").when(s == "MongoDB", "CRC")
                 .when(F.col("l_linestatus") == "O", "CRC").otherwise("USD"))
     text = (F.when(s == "MySQL", F.format_number(price, 2))
@@ -277,8 +287,7 @@ def landed_lines(t: Tables) -> DataFrame:
     return rows.select(
         "FuenteOrigen", F.col("o_orderkey").cast("string").alias("OrdenID_Natural"),
         F.col("o_custkey").cast("string").alias("ClienteID_Natural"), product.alias("producto_id"),
-        date.alias("fecha"), raw_channel().alias("canal"), currency.alias("moneda"),
-        F.col("l_quantity").cast("int").cast("string").alias("cantidad"), text.alias("precio_unit"),
+        "fecha", "canal", currency.alias("moneda"), F.col("l_quantity").cast("int").cast("string").alias("cantidad"), text.alias("precio_unit"),
         F.when(s.isin("SQL Server", "MongoDB"), pct).alias("descuento_pct"))
 
 

@@ -21,7 +21,7 @@ class Unified:
 
     @cached_property
     def customers(self) -> DataFrame:
-        return W.dim_cliente(S.landed_customers(self.t))
+        return self.t.store(W.dim_cliente(S.landed_customers(self.t)), "DimCliente")
 
     @cached_property
     def landed_products(self) -> DataFrame:
@@ -29,15 +29,19 @@ class Unified:
 
     @cached_property
     def products(self) -> DataFrame:
-        return W.dim_producto(self.landed_products)
+        return self.t.store(W.dim_producto(self.landed_products), "DimProducto")
 
     @cached_property
     def resolved(self) -> DataFrame:
-        return W.resolve_products(self.landed_products, self.products)
+        return self.t.store(W.resolve_products(self.landed_products, self.products), "Resueltos")
+
+    @cached_property
+    def lookup(self) -> DataFrame:
+        return self.t.store(W.product_lookup(self.resolved, self.products), "ProductoLookup")
 
     @cached_property
     def channels(self) -> DataFrame:
-        return W.dim_canal(self.t.orders.select(S.raw_channel().alias("canal")))
+        return self.t.store(W.dim_canal(self.t.orders.select(S.raw_channel().alias("canal"))), "DimCanal")
 
     @cached_property
     def calendar(self) -> DataFrame:
@@ -45,8 +49,8 @@ class Unified:
 
     @cached_property
     def checked(self) -> DataFrame:
-        return W.check_sales(S.landed_lines(self.t), self.customers, self.resolved, self.products,
-                             self.channels, self.calendar)
+        return W.check_sales(S.landed_lines(self.t), self.customers, self.lookup, self.channels,
+                             self.calendar)
 
 
 def customers(spark, d):

@@ -8,7 +8,18 @@ from pyspark.sql import functions as F
 from lakesales._cols import C, as_col
 from lakesales.schemas import CRC, USD
 
-_SYMBOLS = r"(?i)[₡$€\s]|USD|CRC"
+_SYMBOLS = "₡$€ \t\r\n\u00a0"
+_PLAIN = r"^-?\d+(\.\d+)?$"
+_GROUPED = r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"
+_MONEY_STEPS = [
+    # a comma behind dots is the decimal mark, noted as #
+    (r"^(-?\d*\.[\d.]*),(\d*)$", "$1#$2"),
+    # marks before the decimal mark go
+    (r"\.(?=.*#)|,(?=.*\.)", ""),
+    # commas between groups of three go, as do two or more such dots
+    (r"(^-?\d{1,3}|(?!^)\G\d{3}),(?=(?:\d{3},)*\d{3}$)", "$1"),
+    (r"(^-?\d{1,3}(?=(?:\.\d{3}){2,}$)|(?!^)\G\d{3})\.(?=(?:\d{3}\.)*\d{3}$)", "$1"),
+]
 
 
 def parse_money(c: C, locale: str | None = None) -> Column:
@@ -18,20 +29,21 @@ def parse_money(c: C, locale: str | None = None) -> Column:
     groups of three is a thousands mark, else a decimal mark. One dot is a decimal mark and
     several set off thousands. ``locale="es"`` swaps the roles of comma and dot.
     """
-    text = F.regexp_replace(as_col(c), _SYMBOLS, "")
+    raw = as_col(c)
     if locale == "es":
-        text = F.translate(text, ",.", ".,")
+        raw = F.translate(raw, ",.", ".,")
     elif locale not in (None, "en"):
         raise ValueError(f"unknown locale: {locale}")
-    both = text.contains(",") & text.contains(".")
-    comma_last = text.rlike(r",[^.]*$")
-    dotted = F.when(both & comma_last, F.translate(text, ",.", "."))
-    dotted = dotted.when(both, F.translate(text, ",", ""))
-    dotted = dotted.when(text.rlike(r"^-?\d{1,3}(,\d{3})+$"), F.translate(text, ",", ""))
-    dotted = dotted.when(text.contains(","), F.translate(text, ",", "."))
-    dotted = dotted.when(text.rlike(r"^-?\d{1,3}(\.\d{3}){2,}$"), F.translate(text, ".", ""))
-    dotted = dotted.otherwise(text)
-    return F.when(dotted.rlike(r"^-?\d+(\.\d+)?$"), dotted.try_cast("decimal(18,2)"))
+    text = F.upper(F.translate(raw, _SYMBOLS, ""))
+    for code in (USD, CRC):
+        text = F.replace(text, F.lit(code), F.lit(""))
+    for pattern, replacement in _MONEY_STEPS:
+        text = F.regexp_replace(text, pattern, replacement)
+    number = F.regexp_extract(F.translate(text, ",#", ".."), _PLAIN, 0)
+    # most amounts are plain or neatly grouped and skip the long way
+    return (F.when(raw.rlike(_PLAIN), raw.try_cast("decimal(18,2)"))
+            .when(raw.rlike(_GROUPED), F.translate(raw, ",", "").try_cast("decimal(18,2)"))
+            .otherwise(number.try_cast("decimal(18,2)")))
 
 
 def format_money(c: C) -> Column:

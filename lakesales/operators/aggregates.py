@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesales._cols import as_list
-
 
 def qa_totals(fact: DataFrame) -> DataFrame:
     return fact.agg(F.sum("DocTotal_CRC").alias("Total_CRC"),
@@ -125,12 +123,8 @@ def basket_rules(df: DataFrame, order: str, item: str, min_support: float = 0.01
     return sets, rules
 
 
-def import_summary(accepted: DataFrame, rejected: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """Rows inserted and refused, per ``by`` when given. ``rejected`` has one row per bad row."""
-    by = as_list(by or [])
-    good = accepted.select(*by, F.lit(1).alias("_in"), F.lit(0).alias("_out"))
-    bad = rejected.select(*by, F.lit(0).alias("_in"), F.lit(1).alias("_out"))
-    both = good.unionByName(bad)
-    grouped = both.groupBy(*by) if by else both
-    return grouped.agg(F.coalesce(F.sum("_in"), F.lit(0)).alias("inserted"),
-                       F.coalesce(F.sum("_out"), F.lit(0)).alias("rejected"))
+def import_summary(flagged: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Rows inserted and refused, per ``by`` when given, in one pass over checked rows."""
+    good = F.size("errors") == 0
+    counts = [F.count_if(good).alias("inserted"), F.count_if(~good).alias("rejected")]
+    return flagged.groupBy(*by).agg(*counts) if by else flagged.agg(*counts)

@@ -89,10 +89,19 @@ def order_document_rules() -> list[Rule]:
 
 
 def with_errors(df: DataFrame, rules: Sequence[Rule], errors: str = "errors") -> DataFrame:
-    """Adds the array of broken rules, all rules evaluated in one pass over the row."""
-    broken = [F.when(~r.ok, F.struct(F.lit(r.field).alias("field"), F.lit(r.rule).alias("rule"),
-                                     F.lit(r.message).alias("message"))) for r in rules]
-    return df.withColumn(errors, F.filter(F.array(*broken), lambda e: e.isNotNull()))
+    """Adds the array of broken rules, all rules evaluated in one pass over the row.
+
+    The array is only put together for rows that break a rule.
+    """
+    entries, bad = [], F.lit(False)
+    for r in rules:
+        entry = F.struct(F.lit(r.field).alias("field"), F.lit(r.rule).alias("rule"),
+                         F.lit(r.message).alias("message"))
+        entries.append(F.when(~r.ok, entry))
+        bad = bad | ~F.coalesce(r.ok, F.lit(True))
+    broken = F.filter(F.array(*entries), lambda e: e.isNotNull())
+    none = F.array().cast("array<struct<field:string,rule:string,message:string>>")
+    return df.withColumn(errors, F.when(bad, broken).otherwise(none))
 
 
 def explode_errors(flagged: DataFrame, row: str, errors: str = "errors") -> DataFrame:

@@ -15,6 +15,7 @@ from lakesales.operators.validation import (Rule, explode_errors, in_range, one_
                                             with_errors)
 from lakesales.plans.erp_warehouse import date_spine
 from lakesales.schemas import MONEDAS, SOURCES
+from lakesales.sources.sinks import write_table
 
 
 def time_dimension(bounds: DataFrame) -> DataFrame:
@@ -115,17 +116,16 @@ def dim_canal(orders: DataFrame, channel: str = "canal", run_ts: Column | None =
 
 
 def clean_lines(landed: DataFrame) -> DataFrame:
-    """Landed texts to typed values; the raw texts stay for the reject messages."""
-    day = F.to_date(parse_date_text("fecha"))
-    return landed.select(
+    """Landed texts to typed values; what cannot be read becomes NULL."""
+    typed = landed.select(
         "FuenteOrigen", "OrdenID_Natural", "ClienteID_Natural", "producto_id",
-        F.col("fecha").alias("fecha_texto"), F.col("precio_unit").alias("precio_texto"),
-        day.alias("Fecha"), date_key(day).alias("TiempoID"),
+        F.to_date(parse_date_text("fecha")).alias("Fecha"),
         canonical_channel("canal").alias("NombreCanal"),
         canonical_currency("moneda").alias("MonedaOrigen"),
         blank_to_null("cantidad").try_cast("int").alias("Cantidad"),
         parse_money("precio_unit").alias("Precio"),
         blank_to_null("descuento_pct").try_cast("decimal(5,2)").alias("DescuentoPct"))
+    return typed.withColumn("TiempoID", date_key("Fecha"))
 
 
 def _sales_rules() -> list[Rule]:
@@ -144,12 +144,19 @@ def _sales_rules() -> list[Rule]:
     ]
 
 
-def check_sales(landed: DataFrame, customers: DataFrame, resolved: DataFrame, products: DataFrame,
-                channels: DataFrame, cal: DataFrame) -> DataFrame:
+def product_lookup(resolved: DataFrame, products: DataFrame) -> DataFrame:
+    """(FuenteOrigen, producto_id) to ProductoID, one row per source product that has an SKU."""
+    return (resolved.select("FuenteOrigen", "producto_id", "SKU_Oficial")
+            .join(products.select("SKU_Oficial", "ProductoID"), "SKU_Oficial")
+            .groupBy("FuenteOrigen", "producto_id").agg(F.min("ProductoID").alias("ProductoID")))
+
+
+def check_sales(landed: DataFrame, customers: DataFrame, lookup: DataFrame, channels: DataFrame,
+                cal: DataFrame) -> DataFrame:
     """Cleaned lines with all keys, the day's rate and the array of broken rules.
 
-    Customers and products are joined on (source, natural key): products go through the resolved
-    source products, so the lines are shuffled once for them however many codes there are. The
+    Customers and products are joined on (source, natural key). ``lookup`` is ``product_lookup``:
+    codes and names were resolved there once per product, so lines meet one table only. The
     calendar has one row per day and is broadcast.
     """
     rows = clean_lines(landed)
@@ -158,10 +165,7 @@ def check_sales(landed: DataFrame, customers: DataFrame, resolved: DataFrame, pr
     rows = rows.join(channels.select("NombreCanal", "CanalID"), "NombreCanal", "left")
     who = customers.select("FuenteOrigen", "ClienteID_Natural", "ClienteID")
     rows = rows.join(who, ["FuenteOrigen", "ClienteID_Natural"], "left")
-    what = (resolved.select("FuenteOrigen", "producto_id", "SKU_Oficial")
-            .join(products.select("SKU_Oficial", "ProductoID"), "SKU_Oficial")
-            .groupBy("FuenteOrigen", "producto_id").agg(F.min("ProductoID").alias("ProductoID")))
-    rows = rows.join(what, ["FuenteOrigen", "producto_id"], "left")
+    rows = rows.join(lookup, ["FuenteOrigen", "producto_id"], "left")
     return with_errors(rows, _sales_rules())
 
 
@@ -176,6 +180,36 @@ def fact_ventas(checked: DataFrame) -> DataFrame:
         "DescuentoPct", "FuenteOrigen")
 
 
+def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame, cal: DataFrame,
+                   out: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
+    """Landed customers, products and lines to the written warehouse; running it again replaces it.
+
+    Dimensions, bridge and lookup are written before the lines are read, and the checked lines
+    once before the fact and the rejects are taken from them.
+    """
+    bounds = cal.agg(F.min("DateValue").alias("start"), F.max("DateValue").alias("end"))
+    times = write_table(time_dimension(bounds), f"{out}/DimTiempo")
+    who = write_table(dim_cliente(customers, run_ts), f"{out}/DimCliente")
+    what = write_table(dim_producto(products, run_ts), f"{out}/DimProducto")
+    channels = write_table(dim_canal(lines, run_ts=run_ts), f"{out}/DimCanal")
+    resolved = write_table(resolve_products(products, what), f"{out}/staging/ProductosResueltos")
+    bridge = write_table(product_bridge(resolved), f"{out}/staging/MapProducto")
+    lookup = write_table(product_lookup(resolved, what), f"{out}/staging/ProductoLookup")
+    checked = write_table(check_sales(lines, who, lookup, channels, cal), f"{out}/staging/LineasRevisadas")
+    now = F.current_timestamp() if run_ts is None else run_ts
+    fact = fact_ventas(checked).withColumns({
+        "Anio": F.floor(F.col("TiempoID") / 10000).cast("int"),
+        "Mes": F.floor(F.col("TiempoID") / 100 % 100).cast("int")}).hint("rebalance", "Anio", "Mes")
+    fact = fact.select((F.monotonically_increasing_id() + 1).alias("VentaID"), *fact.columns,
+                       now.alias("FechaCreacion"))
+    fact.write.mode("overwrite").partitionBy("Anio", "Mes").parquet(f"{out}/FactVentas")
+    rejects = checked.where(F.size("errors") > 0).select(
+        "FuenteOrigen", "OrdenID_Natural", "ClienteID_Natural", "producto_id", "errors")
+    return {"DimTiempo": times, "DimCliente": who, "DimProducto": what, "DimCanal": channels,
+            "MapProducto": bridge, "rechazos": write_table(rejects, f"{out}/staging/Rechazos"),
+            "FactVentas": fact.sparkSession.read.parquet(f"{out}/FactVentas")}
+
+
 def load_targets(raw: DataFrame, customers: DataFrame, products: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Typed monthly targets with known customer and product, and the refused rows."""
     typed = raw.select(F.col("ClienteID").try_cast("bigint").alias("ClienteID"),

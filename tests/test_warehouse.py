@@ -167,7 +167,7 @@ def test_products_of_five_sources(five):
     assert {("MySQL", "A1", "S1"), ("MongoDB", "M2", "S1"), ("Neo4j", "P-2", "S9")} <= set(map(tuple, bridge.collect()))
 
 
-def test_sales_of_five_sources(spark, five):
+def test_sales_of_five_sources(spark, five, tmp_path):
     make = spark.createDataFrame
     lines = landing.unify([
         landing.land_lines("SQL Server", make([(1, 1, T0, "WEB", "USD", D("9"))], "OrdenId int, ClienteId int, Fecha timestamp_ntz, Canal string, Moneda string, Total decimal(18,2)"),
@@ -187,7 +187,7 @@ def test_sales_of_five_sources(spark, five):
     assert sorted(r.NombreCanal for r in channels.collect()) == ["APP", "WEB"]
     rates = make([(dt.date(2024, 1, 9), D("510"))], "Fecha date, TipoCambio_USD_CRC decimal(18,6)")
     cal = P.calendar_fx(P.date_bounds(spark, "2024-01-01", "2024-01-20"), rates)
-    checked = W.check_sales(lines, customers, W.resolve_products(five[1], products), products, channels, cal)
+    checked = W.check_sales(lines, customers, W.product_lookup(W.resolve_products(five[1], products), products), channels, cal)
     fact = W.fact_ventas(checked)
     assert rows(fact.select("FuenteOrigen", "TotalVentaUSD", "PrecioUnitUSD", "Cantidad", "TiempoID")) == sorted([
         ("SQL Server", D("15.00"), D("10.00"), 2, 20240110), ("MySQL", D("5.88"), D("1.96"), 3, 20240110),
@@ -198,6 +198,12 @@ def test_sales_of_five_sources(spark, five):
         ("Neo4j", "Cantidad", "range"), ("Neo4j", "ClienteID_Natural", "reference")], key=repr)
 
 
+    out = W.run_unified_dw(five[0], five[1], lines, cal, str(tmp_path / "udw"))
+    assert rows(out["FactVentas"].select("TotalVentaUSD")) == rows(fact.select("TotalVentaUSD"))
+    assert out["FactVentas"].select("VentaID").distinct().count() == 3 and out["rechazos"].count() == 3
+    assert out["DimTiempo"].count() == 20
+
+
 # --- files ------------------------------------------------------------------------------------
 def test_rates_file_with_mark_and_crlf(spark, tmp_path):
     file = tmp_path / "rates.csv"
