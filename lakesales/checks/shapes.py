@@ -192,7 +192,7 @@ def graph_orders(t: Tables) -> DataFrame:
                  F.lit("WEB").alias("canal"), F.lit("CRC").alias("moneda"),
                  F.col("o_totalprice").cast(MONEY).alias("total")).alias("orden"))
     return nested.join(head, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        "cliente", "orden", "items")
+        "cliente", "orden", "parte", "items")
 
 
 # --- five sources -----------------------------------------------------------------------------
@@ -287,7 +287,8 @@ def landed_lines(t: Tables) -> DataFrame:
     return rows.select(
         "FuenteOrigen", F.col("o_orderkey").cast("string").alias("OrdenID_Natural"),
         F.col("o_custkey").cast("string").alias("ClienteID_Natural"), product.alias("producto_id"),
-        "fecha", "canal", currency.alias("moneda"), F.col("l_quantity").cast("int").cast("string").alias("cantidad"), text.alias("precio_unit"),
+        "fecha", "canal", currency.alias("moneda"),
+        F.col("l_quantity").cast("int").cast("string").alias("cantidad"), text.alias("precio_unit"),
         F.when(s.isin("SQL Server", "MongoDB"), pct).alias("descuento_pct"))
 
 

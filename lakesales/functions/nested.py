@@ -108,28 +108,35 @@ def agg_sales_rows(df: DataFrame) -> DataFrame:
                        total.alias("TotalUSD"))
 
 
+def _first_part(df: DataFrame) -> Column:
+    """True for whole orders and for the first part of an order cut into parts."""
+    return F.col("parte") == 0 if "parte" in df.columns else F.lit(True)
+
+
 def graph_nodes(df: DataFrame) -> DataFrame:
-    """Nested graph orders to distinct (id, label, props) nodes; props as JSON text."""
-    client = df.select(F.col("cliente.id").alias("id"), F.lit("Cliente").alias("label"),
-                       F.to_json("cliente").alias("props"))
-    order = df.select(F.col("orden.id").alias("id"), F.lit("Orden").alias("label"),
-                      F.to_json("orden").alias("props"))
-    product = df.select(F.explode("items.producto").alias("p")).select(
-        F.col("p.id").alias("id"), F.lit("Producto").alias("label"),
-        F.to_json("p").alias("props"))
-    nodes = client.unionByName(order).unionByName(product)
+    """Nested graph orders to distinct (id, label, props) nodes; props as JSON text.
+
+    The orders are read once: each gives its customer, itself and its products.
+    """
+    def node(label: str, c: Column) -> Column:
+        return F.struct(F.lit(label).alias("label"), c["id"].alias("id"), F.to_json(c).alias("props"))
+
+    ends = F.array(node("Cliente", F.col("cliente")), node("Orden", F.col("orden")))
+    products = F.transform("items", lambda i: node("Producto", i["producto"]))
+    nodes = df.select(F.explode(F.concat(ends, products)).alias("n")).select("n.*")
     # the same customer or product comes with every order: one node per label and id
     return nodes.groupBy("label", "id").agg(F.max("props").alias("props"))
 
 
 def graph_edges(df: DataFrame) -> DataFrame:
-    """Nested graph orders to order-to-customer and order-to-product relationships."""
-    to_client = df.select(F.col("orden.id").alias("src"), F.col("cliente.id").alias("dst"),
-                          F.lit("REALIZADA_POR").alias("type"),
-                          F.lit(None).cast("string").alias("props"))
-    item = df.select(F.col("orden.id").alias("src"), F.explode("items").alias("i"))
-    to_product = item.select(
-        "src", F.col("i.producto.id").alias("dst"), F.lit("CONTIENE").alias("type"),
-        F.to_json(F.struct("i.cantidad", "i.precio_unit")).alias("props"))
-    # an order cut into parts repeats its customer edge
-    return to_client.distinct().unionByName(to_product)
+    """Nested graph orders to order-to-customer and order-to-product relationships, in one pass."""
+    def edge(kind: str, dst: Column, props: Column) -> Column:
+        return F.struct(F.col("orden.id").alias("src"), dst.alias("dst"), F.lit(kind).alias("type"),
+                        props.alias("props"))
+
+    to_client = F.array(edge("REALIZADA_POR", F.col("cliente.id"), F.lit(None).cast("string")))
+    to_products = F.transform("items", lambda i: edge(
+        "CONTIENE", i["producto"]["id"],
+        F.to_json(F.struct(i["cantidad"].alias("cantidad"), i["precio_unit"].alias("precio_unit")))))
+    edges = F.when(_first_part(df), F.concat(to_client, to_products)).otherwise(to_products)
+    return df.select(F.explode(edges).alias("e")).select("e.*")

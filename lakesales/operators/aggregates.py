@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import write_table
+
 
 def qa_totals(fact: DataFrame) -> DataFrame:
     return fact.agg(F.sum("DocTotal_CRC").alias("Total_CRC"),
@@ -85,37 +89,33 @@ def target_attainment(fact: DataFrame, targets: DataFrame) -> DataFrame:
                        "MetaUSD", F.round(ratio.cast("decimal(38,12)"), 4).alias("Cumplimiento"))
 
 
-def frequent_items(df: DataFrame, order: str, item: str, min_support: float) -> tuple[DataFrame, int]:
-    """Distinct (order, item) pairs of items that reach the support, and the number of orders."""
-    pairs = df.select(F.col(order).alias("basket"), F.col(item).alias("item")).where(
-        "item is not null").distinct()
-    orders = pairs.select("basket").distinct().count()
-    often = (pairs.groupBy("item").agg(F.count("*").alias("_n"))
-             .where(F.col("_n") >= min_support * orders))
-    return pairs.join(often, "item", "left_semi"), orders
-
-
 def basket_rules(df: DataFrame, order: str, item: str, min_support: float = 0.01,
                  min_confidence: float = 0.3) -> tuple[DataFrame, DataFrame]:
     """Frequent item sets and association rules, both relative to all orders.
 
     Items below the support can be in no frequent set, so they go before baskets are built; a
-    basket is then never larger than the number of frequent items.
+    basket is then never larger than the number of frequent items. The distinct pairs and the
+    baskets are written once, since counting and mining read them several times.
     """
-    from pyspark.ml.fpm import FPGrowth
-
-    kept, orders = frequent_items(df, order, item, min_support)
-    baskets = kept.groupBy("basket").agg(F.collect_set("item").alias("items"))
+    spark = df.sparkSession
+    pairs = df.select(F.col(order).alias("basket"), F.col(item).alias("item")).where(
+        "item is not null").distinct()
+    pairs = write_table(pairs, scratch_path(spark, "pairs"))
+    orders = pairs.select("basket").distinct().count()
+    often = (pairs.groupBy("item").agg(F.count("*").alias("_n"))
+             .where(F.col("_n") >= min_support * orders))
+    baskets = pairs.join(often, "item", "left_semi").groupBy("basket").agg(
+        F.collect_set("item").alias("items"))
+    baskets = write_table(baskets, scratch_path(spark, "baskets"))
     held = baskets.count()
     if not held:
         kind = baskets.schema["items"].dataType.simpleString()
-        spark = df.sparkSession
         return (spark.createDataFrame([], f"items {kind}, freq bigint, support double"),
                 spark.createDataFrame([], f"antecedent {kind}, consequent {kind}, "
                                           "confidence double, lift double, support double"))
     # support counts against all orders, also those left with no frequent item
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, min_support * orders / held),
-                     minConfidence=min_confidence).fit(baskets)
+                     minConfidence=min_confidence).fit(baskets.select("items"))
     sets = model.freqItemsets.withColumn("support", F.col("freq") / F.lit(float(orders)))
     scale = F.lit(held / orders)
     rules = model.associationRules.withColumn("support", F.col("support") * scale)

@@ -199,7 +199,8 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
     now = F.current_timestamp() if run_ts is None else run_ts
     fact = fact_ventas(checked).withColumns({
         "Anio": F.floor(F.col("TiempoID") / 10000).cast("int"),
-        "Mes": F.floor(F.col("TiempoID") / 100 % 100).cast("int")}).hint("rebalance", "Anio", "Mes")
+        "Mes": F.floor(F.col("TiempoID") / 100 % 100).cast("int")}).hint(
+            "rebalance", "Anio", "Mes").sortWithinPartitions("Anio", "Mes", "ClienteID")
     fact = fact.select((F.monotonically_increasing_id() + 1).alias("VentaID"), *fact.columns,
                        now.alias("FechaCreacion"))
     fact.write.mode("overwrite").partitionBy("Anio", "Mes").parquet(f"{out}/FactVentas")

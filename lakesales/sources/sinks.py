@@ -24,7 +24,16 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    reader = df.sparkSession.read
+    if mode == "overwrite" and not partition_by:
+        reader = reader.schema(df.schema)  # known, so no file needs opening to infer it
+    return reader.parquet(path)
+
+
+def save_bucketed(df: DataFrame, table: str, key: str, buckets: int, mode: str = "overwrite") -> DataFrame:
+    """Catalog table hashed and sorted by a join key: tables with equal buckets join unshuffled."""
+    df.write.mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return df.sparkSession.table(table)
 
 
 def stage(df: DataFrame, view: str, materialise: bool = False) -> DataFrame:

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -13,7 +14,8 @@ from lakesales.session import build_session  # noqa: E402
 @pytest.fixture(scope="session")
 def spark():
     session = build_session("tests", "local[8]", **{
-        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+        "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakesales-warehouse-")})
     yield session
     session.stop()
 

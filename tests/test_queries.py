@@ -56,3 +56,20 @@ def test_customer_lookup_runs_on_headers(spark):
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)
     lines = [s for s in schemas if "l_orderkey" in s]
     assert len(lines) == 1 and "l_tax" not in lines[0] and "l_shipdate" not in lines[0]
+
+
+def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
+    from lakesales.operators.joins import join_lines
+    from lakesales.sources.sinks import save_bucketed
+
+    for name in ("heads", "rows"):
+        spark.sql(f"DROP TABLE IF EXISTS {name}_by_doc")
+    heads = save_bucketed(spark.range(1000).withColumnRenamed("id", "DocEntry"), "heads_by_doc", "DocEntry", 4)
+    lines = save_bucketed(spark.range(3000).selectExpr("id % 1000 as DocEntry", "id as n"), "rows_by_doc", "DocEntry", 4)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_lines(lines, heads)
+        assert joined.count() == 3000 and "Exchange" not in physical(joined)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
