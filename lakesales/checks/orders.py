@@ -185,6 +185,15 @@ def project_rename(spark, d):
                        (F.col("p_size") * 2 + 1).cast("bigint").alias("calculado"))
 
 
+def form_fields(spark, d):
+    """Product form rows under two stores' column names."""
+    form = Tables(spark, d).part.select(F.col("p_name").alias("nombre"), F.col("p_type").alias("categoria"),
+                                        S.code("SKU-", "p_partkey").alias("codigo"), "p_size")
+    first = Q.form_to_store(form, "SQL Server", "producto").select("SKU", "Nombre", "Categoria")
+    second = Q.form_to_store(form, "MySQL", "producto").select("codigo_alt", "nombre", "categoria")
+    return first.union(second).groupBy("SKU", "Nombre", "Categoria").agg(F.count("*").alias("veces"))
+
+
 def to_response(spark, d):
     """Stored orders in listing shape, totals computed from the items."""
     docs = S.order_documents(Tables(spark, d))
@@ -333,7 +342,7 @@ QUERIES = {
     "id_validity": id_validity, "lookup_ids": lookup_ids, "prefs_to_pairs": prefs_to_pairs,
     "pairs_to_prefs": pairs_to_prefs, "items_exploded": items_exploded, "orders_nested": orders_nested,
     "graph_nodes": graph_nodes, "graph_edges": graph_edges, "json_props": json_props,
-    "project_rename": project_rename, "to_response": to_response, "product_response": product_response,
+    "project_rename": project_rename, "form_fields": form_fields, "to_response": to_response, "product_response": product_response,
     "apply_changes": apply_changes, "change_report": change_report, "delete_report": delete_report,
     "compare_snapshots": compare_snapshots, "upsert_dim": upsert_dim, "basket_pairs": basket_pairs,
     "basket_rules": basket_rules, "target_attainment": targets,
@@ -426,6 +435,8 @@ SQL = {
         THEN 1 ELSE 0 END AS valido FROM events""",
     "project_rename": """SELECT p_partkey, p_name AS Nombre, p_type AS Categoria,
         CASE WHEN p_size > 25 THEN 'grande' END AS tamano, p_size * 2 + 1 AS calculado FROM part""",
+    "form_fields": """SELECT 'SKU-' || p_partkey AS SKU, p_name AS Nombre, p_type AS Categoria, 2 AS veces
+        FROM part""",
     "to_response": f"""SELECT {_OID} AS id, 'C' || o_custkey AS cliente_id,
         strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS fecha,
         CASE WHEN o_orderstatus <> 'P' THEN 'WEB' END AS canal,

@@ -13,6 +13,7 @@ from lakesales.operators import joins as J
 from lakesales.operators import validation as V
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import loader as L
+from lakesales.plans.constraints import check_table
 from lakesales.schemas import SOURCE_TABLES
 from lakesales.sources import landing, readers, sinks
 from lakesales.session import scratch_path
@@ -81,6 +82,26 @@ def validate_documents(spark, d):
     return rejects.select("row", "field", "rule")
 
 
+def table_constraints(spark, d):
+    """Customers, orders and lines as one relational source, checked against its declared constraints."""
+    t = Tables(spark, d)
+    clients = t.customer.where("c_nationkey < 20").select(
+        F.col("c_custkey").alias("ClienteId"), F.col("c_name").alias("Nombre"),
+        F.concat("c_mktsegment", F.round("c_acctbal").cast("int").cast("string")).alias("Email"),
+        S.raw_gender().alias("Genero"), F.when(F.col("c_acctbal") > 0, "CR").alias("Pais"), S.registered().alias("FechaRegistro"))
+    orders = t.orders.select(F.col("o_orderkey").alias("OrdenId"), F.col("o_custkey").alias("ClienteId"),
+                             F.col("o_orderdate").alias("Fecha"), F.upper(F.trim(S.raw_channel())).alias("Canal"),
+                             F.lit("USD").alias("Moneda"), F.col("o_totalprice").alias("Total"))
+    lines = t.lineitem.select(F.col("l_linenumber").alias("OrdenDetalleId"), F.col("l_orderkey").alias("OrdenId"),
+                              F.col("l_partkey").alias("ProductoId"), (F.col("l_quantity") - 1).alias("Cantidad"),
+                              F.col("l_extendedprice").alias("PrecioUnit"))
+    refs = {"cliente": clients, "orden": orders.where("Canal <> 'PARTNER'")}
+    parts = [check_table(df, "SQL Server", name, refs).select(F.lit(name).alias("tabla"), "field", "rule")
+             for name, df in (("cliente", clients), ("orden", orders), ("detalle", lines))]
+    rejects = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rejects.groupBy("tabla", "field", "rule").agg(F.count("*").alias("casos"))
+
+
 # --- loader -----------------------------------------------------------------------------------
 def upload_rows(t: Tables) -> DataFrame:
     """Every line as an upload row, with each kind of mistake somewhere in the data."""
@@ -317,7 +338,7 @@ QUERIES = {
     "validate_rejects": validate_orders, "validate_accepted": validate_accepted, "validate_lines": validate_lines,
     "error_summary": error_summary, "email_check": email_check, "duplicates": duplicates, "orphans": orphans,
     "total_mismatch": total_mismatch, "validate_documents": validate_documents,
-    "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
+    "table_constraints": table_constraints, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
     "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
     "scan_json_agg": scan_json_agg, "scan_erp": scan_erp, "scan_rates": scan_rates,
     "scan_documents": scan_documents, "scan_graph": scan_graph, "scan_sources": scan_sources,
@@ -373,6 +394,21 @@ SQL = {
         SELECT row, 'items' AS field, 'items' AS rule FROM d WHERE n = 0
         UNION ALL SELECT row, 'items', 'item_discount' FROM d WHERE worst > 100
         UNION ALL SELECT row, 'fecha', 'required' FROM d WHERE o_orderstatus = 'P'""",
+    "table_constraints": """WITH c AS (SELECT *, c_mktsegment || CAST(round_even(c_acctbal, 0) AS INTEGER) AS mail
+          FROM customer WHERE c_nationkey < 20)
+        SELECT * FROM (
+        SELECT 'cliente' AS tabla, 'Genero' AS field, 'one_of' AS rule, count(*) AS casos FROM c
+          WHERE c_nationkey < 8 OR c_nationkey >= 11
+        UNION ALL SELECT 'cliente', 'Pais', 'required', count(*) FROM c WHERE c_acctbal <= 0
+        UNION ALL SELECT 'cliente', 'Email', 'unique', count(*) FROM (SELECT mail FROM c GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'orden', 'Canal', 'one_of', count(*) FROM orders WHERE o_orderpriority = '4-NOT SPECIFIED'
+        UNION ALL SELECT 'orden', 'ClienteId', 'reference', count(*) FROM orders
+          WHERE o_custkey NOT IN (SELECT c_custkey FROM c)
+        UNION ALL SELECT 'detalle', 'Cantidad', 'range', count(*) FROM lineitem WHERE l_quantity <= 1
+        UNION ALL SELECT 'detalle', 'OrdenDetalleId', 'unique', count(*) FROM (
+          SELECT l_linenumber FROM lineitem GROUP BY 1 HAVING count(*) > 1)
+        UNION ALL SELECT 'detalle', 'OrdenId', 'reference', count(*) FROM lineitem WHERE l_orderkey NOT IN (
+          SELECT o_orderkey FROM orders WHERE o_orderpriority <> '4-NOT SPECIFIED')) WHERE casos > 0""",
     "loader_dry_run": f"""WITH {_UP} SELECT field, rule, count(*) AS errores FROM (
         SELECT 'CodigoAlt' AS field, 'reference' AS rule FROM up WHERE NOT known_part
         UNION ALL SELECT 'ClienteEmail', 'reference' FROM up WHERE NOT known_customer

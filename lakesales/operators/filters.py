@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lakesales._cols import C, as_col, as_list
 from lakesales.functions.nested import order_total, prefs_to_pairs
 from lakesales.functions.text import is_object_id
-from lakesales.schemas import MAX_PAGE
+from lakesales.schemas import FORM_FIELDS, MAX_PAGE
 
 
 def filter_eq(df: DataFrame, col: str, value) -> DataFrame:
@@ -105,6 +105,12 @@ def rename_map(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return df.withColumnsRenamed(dict(mapping))
 
 
+def form_to_store(df: DataFrame, source: str, entity: str) -> DataFrame:
+    """Form rows with the column names of the store; other columns are left out."""
+    mapping = FORM_FIELDS[source, entity]
+    return rename_map(df.select(*[c for c in df.columns if c in mapping]), mapping)
+
+
 def _header_key(name: str) -> str:
     return re.sub(r"[^0-9a-z]", "", re.sub(r"\(.*?\)", "", name.lower()))
 

@@ -22,6 +22,15 @@ MSSQL_LOADER = ["ClienteEmail", "ClienteNombre", "SKU", "CodigoAlt", "Fecha", "C
                 "Qty", "PrecioUnit", "DescuentoPct", "MetadataJSON"]
 MYSQL_LOADER = ["cliente_email", "producto_codigo_alt", "fecha", "canal", "moneda", "total",
                 "precio_unit", "cantidad", "metadata"]
+# form field to store column
+FORM_FIELDS = {
+    ("SQL Server", "cliente"): {"nombre": "Nombre", "email": "Email", "genero": "Genero", "pais": "Pais"},
+    ("SQL Server", "producto"): {"nombre": "Nombre", "categoria": "Categoria", "codigo": "SKU"},
+    ("MySQL", "cliente"): {"nombre": "nombre", "email": "correo", "genero": "genero", "pais": "pais"},
+    ("MySQL", "producto"): {"nombre": "nombre", "categoria": "categoria", "codigo": "codigo_alt"},
+    ("MongoDB", "producto"): {"nombre": "nombre", "codigo": "codigo", "categoria": "categoria",
+                              "categoriasAdicionales": "equivalencias"},
+}
 MONTHS_ES = ["enero", "febrero", "marzo", "abril", "mayo", "junio", "julio", "agosto",
              "septiembre", "octubre", "noviembre", "diciembre"]
 WEEKDAYS_ES = ["domingo", "lunes", "martes", "miércoles", "jueves", "viernes", "sábado"]

@@ -335,3 +335,28 @@ def test_compare_snapshots(spark):
     a = spark.createDataFrame([(1, "x", None), (2, "y", 1), (3, "z", 1)], "id int, v string, n int")
     b = spark.createDataFrame([(1, "x", None), (2, "y", 2), (4, "w", 1)], "id int, v string, n int")
     assert rows(U.compare_snapshots(a, b, "id"), "id") == [(1, "unchanged"), (2, "modified"), (3, "deleted"), (4, "inserted")]
+
+
+# --- constraints ------------------------------------------------------------------------------
+def test_table_constraints(spark):
+    from lakesales.plans.constraints import TABLES, check_table
+
+    orders = spark.createDataFrame([("o1", "c1", "2024", "WEB", "USD", 1), ("o2", "c9", "2024", "TIENDA", "USDX", None),
+                                    ("o2", None, "2024", "APP", "CRC", 1)],
+                                   "orden_id string, cliente_id string, fecha string, canal string, moneda string, total int")
+    clients = spark.createDataFrame([("c1",)], "cliente_id string")
+    got = check_table(orders, "Supabase", "orden", {"cliente": clients}).select("row", "field", "rule")
+    assert rows(got) == sorted([
+        ("o2", "canal", "one_of"), ("o2", "moneda", "length"), ("o2", "total", "required"), ("o2", "cliente_id", "required"),
+        ("o2", "orden_id", "unique"), ("o2", "cliente_id", "reference")], key=repr)
+    form = spark.createDataFrame([(1, "", "x", None, "XX"), (2, "Ana", "a@b.co", "F", "CR")],
+                                 "_row int, nombre string, email string, genero string, pais string")
+    assert rows(check_table(form, "form", "cliente").select("row", "field", "rule")) == sorted([
+        ("1", "nombre", "length"), ("1", "email", "email"), ("1", "genero", "required"), ("1", "pais", "one_of")], key=repr)
+    assert all(t.key for t in TABLES.values())
+
+
+def test_form_to_store(spark):
+    df = spark.createDataFrame([("n", "c", "x", 1)], "nombre string, categoria string, codigo string, otro int")
+    assert Q.form_to_store(df, "SQL Server", "producto").columns == ["Nombre", "Categoria", "SKU"]
+    assert Q.form_to_store(df, "MySQL", "producto").columns == ["nombre", "categoria", "codigo_alt"]
