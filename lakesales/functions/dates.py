@@ -9,8 +9,9 @@ from lakesales._cols import C, as_col
 from lakesales.schemas import MONTHS_ES, WEEKDAYS_ES
 
 # fixed values: YYYY-MM-DD, YYYY-MM-DD HH:MM:SS and ISO-8601 with optional zone
-_DATE_TEXT = (r"^\d{4}-\d{2}-\d{2}"
-              r"([ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|[+-]\d{2}:\d{2})?)?$")
+_DATE_TEXT = (r"^(\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)?)"
+              r"((?<=:\d{2}|\.\d{1,6})(?:Z|[+-]\d{2}:\d{2}))?$")
+_STAMP, _OFFSET = 1, 2
 
 
 def date_key(c: C) -> Column:
@@ -55,10 +56,26 @@ def month_start(year: C, month: C) -> Column:
     return stamp.cast("date")
 
 
-def parse_date_text(c: C) -> Column:
-    """Text to timestamp; NULL for anything but the accepted layouts or impossible dates.
+def parse_date_text(c: C, zone: str = "UTC") -> Column:
+    """Text to a timestamp without zone, in business time; NULL for other layouts or no such date.
 
-    Text without a zone is read in the session time zone.
+    Text that names a zone is converted to ``zone``, text without one is taken as it stands. The
+    result does not depend on the session time zone.
     """
     c = F.trim(as_col(c))
-    return F.when(c.rlike(_DATE_TEXT), c.try_cast("timestamp"))
+    offset = F.regexp_extract(c, _DATE_TEXT, _OFFSET)
+    stamp = F.regexp_extract(c, _DATE_TEXT, _STAMP).try_cast("timestamp_ntz")
+    minutes = F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 5, 2).cast("int")
+    shift = F.make_dt_interval(mins=F.when(offset.startswith("-"), minutes).otherwise(-minutes))
+    utc = F.when(offset == "Z", stamp).otherwise(stamp + shift)
+    if zone != "UTC":
+        utc = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+    return F.when(offset == "", stamp).otherwise(utc)
+
+
+def utc_text(c: C) -> Column:
+    """An instant as ISO text in UTC, whatever the session time zone."""
+    seconds = (F.unix_micros(as_col(c)) / 1000000).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    stamp = (epoch + F.make_dt_interval(secs=seconds)).cast("string")
+    return F.concat(F.replace(stamp, F.lit(" "), F.lit("T")), F.lit("Z"))

@@ -7,7 +7,9 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from lakesales.functions.dates import utc_text
 from lakesales.functions.nested import explode_items
 from lakesales.schemas import LANDED_CUSTOMERS, LANDED_LINES, LANDED_PRODUCTS
 
@@ -45,8 +47,11 @@ def _land(df: DataFrame, source: str, shape: list[str], mapping: Mapping[str, st
         name = mapping.get(target)
         if name is None or name.split(".")[0] not in df.columns:
             return F.lit(None).cast("string").alias(target)
+        if name in instants:
+            return utc_text(name).alias(target)
         return F.col(name).cast("string").alias(target)
 
+    instants = {f.name for f in df.schema if isinstance(f.dataType, T.TimestampType)}
     return df.select(F.lit(source).alias("FuenteOrigen"), *[column(c) for c in shape[1:]])
 
 

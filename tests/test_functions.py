@@ -51,6 +51,24 @@ def test_parse_date_text(spark):
     assert got == [None if v is None else v.strftime("%Y-%m-%d %H:%M:%S") for v in cases.values()]
 
 
+def test_dates_do_not_depend_on_the_session_zone(spark):
+    import datetime
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    items = ["2025-04-10T23:30:00Z", "2025-04-10 23:30:00", "2025-04-10T23:30:00.5+02:30", "2025-04-10Z"]
+    try:
+        for zone in ("UTC", "America/Costa_Rica", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            at = datetime.datetime(2025, 4, 10, 23, 30)
+            assert values(spark, items, dates.parse_date_text) == [at, at, at - datetime.timedelta(hours=2.5, seconds=-0.5), None]
+            local = values(spark, items[:2], lambda c: dates.parse_date_text(c, "America/Costa_Rica"))
+            assert local == [at - datetime.timedelta(hours=6), at]
+            instant = spark.sql("select timestamp_micros(1744327800500000) as t")
+            assert instant.select(dates.utc_text("t")).first()[0] == "2025-04-10T23:30:00.5Z"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
 def test_add_years_keeps_time_and_null(spark):
     got = values(spark, [dt.datetime(2020, 2, 29, 13, 5), None],
                  lambda c: dates.add_years(c, 4), "timestamp_ntz")
