@@ -107,7 +107,7 @@ def upload_rows(t: Tables) -> DataFrame:
     """Every line as an upload row, with each kind of mistake somewhere in the data."""
     n, tax, none = F.col("l_linenumber"), F.round("l_tax", 2), F.lit(None).cast("string")
     head = t.orders.select("o_orderkey", "o_custkey")
-    lines = t.lineitem.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = t.lines.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
     email = F.concat(F.lit("C"), F.col("o_custkey").cast("string"), F.lit("@Example.com"))
     return lines.select(
         email.alias("cliente email"), none.alias("ClienteNombre"),
@@ -173,7 +173,7 @@ def loader_accepted(spark, d):
 def loader_mysql(spark, d):
     """The other loader's layout: text amounts, free channel, two currencies."""
     t = Tables(spark, d)
-    raw = t.lineitem.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    raw = t.lines.join(t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
     money = F.translate(F.format_number("l_extendedprice", 2), ",.", ".,")
     path = scratch_path(spark, "upload-mysql")
     sinks.write_rejects(raw.select(

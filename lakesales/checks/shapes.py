@@ -6,6 +6,7 @@ Every shape is derived from whole tables by plain column expressions.
 from __future__ import annotations
 
 from decimal import Decimal
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from lakesales.operators.keys import nest_items
 from lakesales.schemas import VENTAS
 from lakesales.session import scratch_path
+from lakesales.sources.readers import spread
 from lakesales.sources.sinks import write_table
 
 AMOUNT = "decimal(18,4)"
@@ -31,6 +33,11 @@ class Tables:
         setattr(self, name, df)
         return df
 
+    @cached_property
+    def lines(self) -> DataFrame:
+        """The line table for work that is heavy per row."""
+        return spread(self.lineitem)
+
     def store(self, df: DataFrame, name: str) -> DataFrame:
         """Written to the shared folder and read back, as a dimension is before facts use it."""
         return write_table(df, scratch_path(self.spark, name))
@@ -67,7 +74,7 @@ def erp_headers(t: Tables) -> DataFrame:
 
 def erp_lines(t: Tables, returned: bool) -> DataFrame:
     flag = F.col("l_returnflag") == "R"
-    return t.lineitem.where(flag if returned else ~flag).select(
+    return t.lines.where(flag if returned else ~flag).select(
         F.col("l_orderkey").alias("DocEntry"), F.col("l_linenumber").alias("LineNum"),
         code("P", "l_partkey").alias("ItemCode"),
         F.col("l_quantity").cast(AMOUNT).alias("Quantity"),
@@ -125,7 +132,7 @@ def agg_records(t: Tables) -> DataFrame:
     grow with the data.
     """
     month = F.trunc("l_shipdate", "month")
-    sums = t.lineitem.groupBy(month.alias("m"), "l_partkey").agg(
+    sums = t.lines.groupBy(month.alias("m"), "l_partkey").agg(
         F.sum(F.col("l_quantity").cast(AMOUNT)).alias("cantidad"),
         F.max(F.col("l_extendedprice").cast(AMOUNT)).alias("precio"))
     sale = F.struct(code("P", "l_partkey").alias("item"), F.col("cantidad").cast(AMOUNT).alias("cantidad"),
@@ -175,7 +182,7 @@ def order_documents(t: Tables, discount_factor: int = 100) -> DataFrame:
 def graph_orders(t: Tables) -> DataFrame:
     """Orders with lines as nested graph payloads."""
     part = t.part.select("p_partkey", "p_name", "p_type")
-    lines = t.lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    lines = t.lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
     element = F.struct(
         F.struct(code("P-", "l_partkey").alias("id"), F.col("p_name").alias("nombre"),
                  F.col("p_type").alias("categoria")).alias("producto"),
@@ -274,7 +281,7 @@ def landed_lines(t: Tables) -> DataFrame:
             .when(s == "Neo4j", F.to_date("o_orderdate").cast("string")).otherwise(stamp))
     head = t.orders.join(who, F.col("o_custkey") == F.col("c_custkey")).select(
         "o_orderkey", "o_custkey", date.alias("fecha"), raw_channel().alias("canal"), "FuenteOrigen")
-    rows = t.lineitem.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = t.lines.join(head, F.col("l_orderkey") == F.col("o_orderkey"))
     price = F.col("l_extendedprice").cast(MONEY)
     product = (F.when(s.isin("SQL Server", "MySQL"), code("", "l_partkey"))
                .when(s == "Supabase", code("U-", "l_partkey"))

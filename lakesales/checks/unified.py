@@ -112,7 +112,7 @@ def clean_money(spark, d):
             .when(F.col("l_returnflag") == "R", spanish)
             .when(F.col("l_linestatus") == "O", F.translate(price.cast("string"), ".", ","))
             .otherwise(price.cast("string")))
-    return Tables(spark, d).lineitem.select(
+    return Tables(spark, d).lines.select(
         "l_orderkey", "l_partkey", "l_linenumber",
         money.parse_money(text).cast("double").alias("monto"),
         money.parse_money(spanish, "es").cast("double").alias("monto_es"))
@@ -126,7 +126,7 @@ def clean_dates(spark, d):
             .when(F.col("l_returnflag") == "A", F.date_format(ship, "yyyy-MM-dd"))
             .when(F.col("l_returnflag") == "R", F.date_format(ship, "yyyy-MM-dd HH:mm:ss"))
             .otherwise(F.date_format(ship, " yyyy-MM-dd'T'HH:mm:ss'Z' ")))
-    return Tables(spark, d).lineitem.select(
+    return Tables(spark, d).lines.select(
         "l_orderkey", "l_partkey", "l_linenumber",
         F.date_format(dates.parse_date_text(text), "yyyy-MM-dd HH:mm:ss").alias("fecha"))
 
@@ -163,7 +163,7 @@ def resolve(spark, d):
                                            S.code("MN-", "p_partkey").alias("CodigoFuente"), sku))
     override = t.part.where("p_brand = 'Brand#7'").select(
         S.code("sku-", "p_partkey").alias("codigo"), F.lit("SKU-0").alias("SKU_Oficial"))
-    lines = t.lineitem.select(
+    lines = t.lines.select(
         "l_orderkey", "l_partkey", "l_linenumber",
         F.when(F.col("l_linestatus") == "O", F.concat(F.lit("sku-"), "l_partkey", F.lit(" "))).otherwise("").alias("sku"),
         F.when(F.col("l_returnflag") != "N", S.code("ALT-", "l_partkey")).alias("codigo_alt"),

@@ -9,9 +9,10 @@ from lakesales._cols import C, as_col
 from lakesales.schemas import MONTHS_ES, WEEKDAYS_ES
 
 # fixed values: YYYY-MM-DD, YYYY-MM-DD HH:MM:SS and ISO-8601 with optional zone
-_DATE_TEXT = (r"^(\d{4}-\d{2}-\d{2}(?:[ T]\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)?)"
-              r"((?<=:\d{2}|\.\d{1,6})(?:Z|[+-]\d{2}:\d{2}))?$")
-_STAMP, _OFFSET = 1, 2
+_DAY, _CLOCK = r"^\d{4}-\d{2}-\d{2}", r"[ T]\d{2}:\d{2}:\d{2}(\.\d{1,6})?"
+_DATE_OR_TIME = f"{_DAY}({_CLOCK})?$"
+_TIME_UTC = f"{_DAY}{_CLOCK}Z$"
+_TIME_OFFSET = _DAY + _CLOCK + r"[+-]\d{2}:\d{2}$"
 
 
 def date_key(c: C) -> Column:
@@ -63,14 +64,19 @@ def parse_date_text(c: C, zone: str = "UTC") -> Column:
     result does not depend on the session time zone.
     """
     c = F.trim(as_col(c))
-    offset = F.regexp_extract(c, _DATE_TEXT, _OFFSET)
-    stamp = F.regexp_extract(c, _DATE_TEXT, _STAMP).try_cast("timestamp_ntz")
-    minutes = F.substring(offset, 2, 2).cast("int") * 60 + F.substring(offset, 5, 2).cast("int")
-    shift = F.make_dt_interval(mins=F.when(offset.startswith("-"), minutes).otherwise(-minutes))
-    utc = F.when(offset == "Z", stamp).otherwise(stamp + shift)
-    if zone != "UTC":
-        utc = F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
-    return F.when(offset == "", stamp).otherwise(utc)
+    kind = "timestamp_ntz"
+    clock = F.substring(c, -5, 5)
+    minutes = F.substring(clock, 1, 2).cast("int") * 60 + F.substring(clock, 4, 2).cast("int")
+    sign = F.when(F.substring(c, -6, 1) == "-", 1).otherwise(-1)
+
+    def local(utc: Column) -> Column:
+        return utc if zone == "UTC" else F.convert_timezone(F.lit("UTC"), F.lit(zone), utc)
+
+    return (F.when(c.rlike(_DATE_OR_TIME), c.try_cast(kind))
+            .when(c.rlike(_TIME_UTC), local(F.rtrim(c, F.lit("Z")).try_cast(kind)))
+            .when(c.rlike(_TIME_OFFSET), local(
+                F.substring(c, F.lit(1), F.length(c) - 6).try_cast(kind)
+                + F.make_dt_interval(mins=sign * minutes))))
 
 
 def utc_text(c: C) -> Column:

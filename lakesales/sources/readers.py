@@ -78,6 +78,15 @@ def read_any(spark: SparkSession, path: str, schema: str | None = None) -> DataF
     raise ValueError(f"Unsupported file format: {extension}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals a scan with fewer splits than cores over all of them; wider scans stay as they are.
+
+    For work that is heavy per row on files that do not split: one row group, compressed text.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def number_rows(df: DataFrame, row: str = "_row") -> DataFrame:
     """Row number inside each file, counted over its splits in file order.
 
