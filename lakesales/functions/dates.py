@@ -66,7 +66,7 @@ def parse_date_text(c: C, zone: str = "UTC") -> Column:
     c = F.trim(as_col(c))
     kind = "timestamp_ntz"
     clock = F.substring(c, -5, 5)
-    minutes = F.substring(clock, 1, 2).cast("int") * 60 + F.substring(clock, 4, 2).cast("int")
+    minutes = F.substring(clock, 1, 2).try_cast("int") * 60 + F.substring(clock, 4, 2).try_cast("int")
     sign = F.when(F.substring(c, -6, 1) == "-", 1).otherwise(-1)
 
     def local(utc: Column) -> Column:
