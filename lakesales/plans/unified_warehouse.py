@@ -50,8 +50,11 @@ def clean_customers(landed: DataFrame, default_country: str = "No Especificado",
         F.when(given, day).otherwise(F.lit(default_date).cast("date")).alias("FechaRegistro"))
     attributes = ["Nombre", "Email", "Genero", "Pais", "FechaRegistro"]
     # a key delivered twice counts once; the greater row wins, so reruns agree
-    rows = rows.groupBy("FuenteOrigen", "ClienteID_Natural").agg(
-        F.max(F.struct(*attributes)).alias("_r")).select("FuenteOrigen", "ClienteID_Natural", "_r.*")
+    keyed = rows.where("ClienteID_Natural is not null").groupBy(
+        "FuenteOrigen", "ClienteID_Natural").agg(F.max(F.struct(*attributes)).alias("_r"))
+    keyed = keyed.select("FuenteOrigen", "ClienteID_Natural", "_r.*")
+    # rows without a key are no copies of each other: every one is reported
+    rows = keyed.unionByName(rows.where("ClienteID_Natural is null"))
     flagged = with_errors(rows, [required("ClienteID_Natural"), required("Nombre"),
                                  required("FechaRegistro"), one_of("FuenteOrigen", SOURCES)])
     return flagged.where(F.size("errors") == 0).drop("errors"), explode_errors(

@@ -150,6 +150,14 @@ def test_customers_of_five_sources(five):
     assert rows(rejects.select("row", "field")) == [("2", "FechaRegistro")]
 
 
+def test_customers_without_key_are_all_reported(spark):
+    raw = spark.createDataFrame([(None, "Ana", None), (None, "Ana", None), ("C-1", "Eva", None), ("C-1", "Eva", "e@x.co")],
+                                "id string, nombre string, email string")
+    good, rejects = W.clean_customers(landing.land_customers("Neo4j", raw))
+    assert [(r.ClienteID_Natural, r.Email) for r in good.collect()] == [("C-1", "e@x.co")]
+    assert rejects.where("field = 'ClienteID_Natural'").count() == 2
+
+
 def test_products_of_five_sources(five):
     dim = W.dim_producto(five[1])
     assert rows(dim.select("SKU_Oficial", "FuenteOrigen")) == [
