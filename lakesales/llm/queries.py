@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakesales.llm import exact_dedup, sharding, url_filters
-from lakesales.llm.common import read_table
+from lakesales.llm import (
+    exact_dedup,
+    language_id,
+    packing,
+    sharding,
+    token_counts,
+    token_files,
+    url_filters,
+)
+from lakesales.llm.common import cut, read_table
+from lakesales.llm.tokens import tokenizer_path
+from lakesales.session import scratch_path
 
 QUERIES = {}
 SQL = {}
@@ -80,3 +90,48 @@ FROM n JOIN g USING (norm)""")
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+# --- 3, 9, 10 Tokens -------------------------------------------------------------------------------
+
+CAPACITY = 4096
+
+
+@query("op3_token_files")
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(read_table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
+    return token_files.token_index(spark, path)
+
+
+@query("op9_token_counts")
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals after all documents went in, were revised to count an end id each, the revision was delivered
+    twice, and documents labelled toxic were taken down."""
+    docs = read_table(spark, sf_dir, "documents")
+    first = cut(token_counts.count_tokens(docs, tokenizer_path(), "word_bpe_49k"), "counts")
+    ended = first.withColumn("n_tokens", F.col("n_tokens") + 1)
+    toxic = read_table(spark, sf_dir, "labels").filter("toxic = 1").select("doc_id")
+    rollup = token_counts.Rollup(spark, scratch_path(spark, "rollup"))
+    rollup.commit("1-arrived", token_counts.inserts(first))
+    for _ in range(2):
+        rollup.commit("2-ended", token_counts.revisions(first, ended))
+    rollup.commit("3-taken-down", token_counts.deletes(ended.join(toxic, "doc_id", "left_semi")))
+    return rollup.totals()
+
+
+@query("op10_best_fit_packing")
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), 1, CAPACITY)
+
+
+# --- 7 Language ID ---------------------------------------------------------------------------------
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    profiles = language_id.learn_profiles(docs.filter(~held_out))
+    found = language_id.identify(docs, profiles)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
