@@ -46,10 +46,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # fixed random odd numbers: every task must hash alike
 _RANDOM = np.random.default_rng(8191)
-_BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BASE = int(_RANDOM.integers(1 << 61, 1 << 62)) * 2 + 1
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = {}
+_LENGTH = np.uint64(int(_RANDOM.integers(1 << 61, 1 << 62)) * 2 + 1)
+_POWERS: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
@@ -110,10 +108,24 @@ def _word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.nda
     before = cuts[cuts > 0] - 1
     right[before] |= inside[before]
     start, end = np.flatnonzero(left), np.flatnonzero(right) + 1
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[data] * powers(_BASE, len(data))[:-1], out=total[1:])
-    code = (total[end] - total[start]) * powers(_BASE_INVERSE, len(data))[start]
-    return start, end, mix(code + (end - start).astype(np.uint64))
+    return start, end, _hash_spans(data, start, end - start)
+
+
+def _hash_spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """64-bit hashes of data[start:start + size], eight bytes at a time; different for all spans of one length
+    up to 8."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data),), np.uint64, padded, 0, (1,))
+    code = size.astype(np.uint64) * _LENGTH
+    at, left, live = start, size, slice(None)
+    while len(at):
+        bits = (np.minimum(left, 8) * 8).astype(np.uint64)
+        part = lanes[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - bits))
+        code[live] = mix(code[live] ^ part)
+        more = np.flatnonzero(left > 8)
+        live = more if isinstance(live, slice) else live[more]
+        at, left = at[more] + 8, left[more] - 8
+    return code
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
@@ -169,5 +181,28 @@ def gram_hashes(code: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+_ROLL = [int(x) * 2 + 1 for x in _RANDOM.integers(1 << 61, 1 << 62, 2)]
+
+
+def window_hashes(code: np.ndarray, n: int, which: int = 0) -> np.ndarray:
+    """64-bit hash of every n consecutive word hashes, for a large n; `which` picks one of two independent ones."""
+    if len(code) < n:
+        return np.zeros(0, np.uint64)
+    base = _ROLL[which]
+    total = np.zeros(len(code) + 1, np.uint64)
+    np.cumsum(code * powers(base, len(code))[:-1], out=total[1:])
+    return mix((total[n:] - total[:-n]) * powers(pow(base, -1, 1 << 64), len(code))[:len(code) - n + 1])
+
+
+def window_minimum(x: np.ndarray, n: int) -> np.ndarray:
+    """The smallest of every n consecutive values."""
+    have = 1
+    while have < n:
+        step = min(have, n - have)
+        x = np.minimum(x[:-step], x[step:]) if len(x) > step else x[:0]
+        have += step
+    return x
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)

@@ -10,6 +10,7 @@ from lakesales.llm import (
     language_id,
     packing,
     sharding,
+    substring_dedup,
     token_counts,
     token_files,
     url_filters,
@@ -135,3 +136,23 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     profiles = language_id.learn_profiles(docs.filter(~held_out))
     found = language_id.identify(docs, profiles)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+# --- 5 Substring dedup -----------------------------------------------------------------------------
+
+
+@query("op5_substring_dedup", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')
+             AS w FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
+h AS (SELECT doc_id, i, md5(array_to_string(w[i:i + 34], ' ')) AS k FROM p),
+r AS (SELECT k FROM h GROUP BY k HAVING count(*) > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS gone FROM h JOIN r USING (k)),
+g AS (SELECT doc_id, list(gone) AS gone FROM c GROUP BY doc_id),
+k AS (SELECT doc_id, w, CASE WHEN gone IS NULL THEN w ELSE
+        list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_removed,
+  sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
