@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakesales.llm import (
     exact_dedup,
     language_id,
+    ngram_join,
     packing,
     sharding,
     substring_dedup,
@@ -156,3 +157,27 @@ SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - len(kept))::BIGINT AS n_remo
 def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+# --- 4 N-gram Jaccard join -------------------------------------------------------------------------
+
+
+@query("op4_ngram_jaccard", r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN array_to_string(w, ' ')
+    ELSE array_to_string(w[i:i + 4], ' ') END AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY 1, 2),
+l AS MATERIALIZED (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r(doc_id, seen) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.doc_id, l.b FROM r JOIN l ON r.seen = l.a),
+k AS (SELECT doc_id, min(seen) AS component_id FROM r GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
+  (SELECT count(*) FROM l WHERE a = d.doc_id)::BIGINT AS n_links
+FROM d JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)""")
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
