@@ -1,19 +1,58 @@
-"""A corpus pipeline over `documents`: each stage works on what the one before it kept."""
+"""A corpus pipeline over `documents`: each stage works on what the one before it kept.
+
+ORACLE_SQL is None: no SQL expresses the language profiles or the tokenizer. tests/llm holds run() against a
+brute-force version.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakesales.llm import exact_dedup
+from lakesales.llm import decontamination, exact_dedup, language_id, ngram_join, packing
+from lakesales.llm.common import cut
+from lakesales.llm.tokens import tokenizer_path
 from lakesales.session import scratch_path
 
+#: A text that is as far from every language as this is in none of them.
+LEAST_SCORE = 0.1
+CAPACITY, END_ID = 4096, 1
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language stay: those without letters, and those near no profile, go. Profiles are
+    learned from all documents with a language; a document's own language, source and id decide nothing."""
+    found = language_id.identify(docs, language_id.learn_profiles(docs)).filter(
+        (F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))
+    gone = cut(found.select("doc_id").distinct(), "other-language")
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts (white space aside) the document with the smallest id stays."""
     return exact_dedup.drop_copies(docs)
 
 
-STAGES = [("exact dedup", exact_dedup_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked documents the one with the smallest id stays. Rows without an id stay: nothing
+    names them."""
+    gone = ngram_join.jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(cut(gone, "near-copies"), "doc_id", "left_anti")
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item, edited or not, go."""
+    return decontamination.drop_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents left, and where they lie in sequences."""
+    return packing.pack(docs, tokenizer_path(), END_ID, CAPACITY)
+
+
+STAGES = [("language ID", language_stage), ("exact dedup", exact_dedup_stage),
+          ("n-gram Jaccard join", near_dedup_stage), ("benchmark decontamination", decontamination_stage),
+          ("best-fit packing", packing_stage)]
 ORACLE_SQL = None
 
 

@@ -42,6 +42,9 @@ def parts_for(total: float, each: float, least: int = 12) -> int:
 
 _BREAK = np.zeros(256, bool)
 _BREAK[[9, 10, 11, 12, 13, 32]] = True
+#: White space and all ASCII marks: what parts words where only letters and digits matter.
+MARKS = _BREAK.copy()
+MARKS[:48] = MARKS[58:65] = MARKS[91:97] = MARKS[123:128] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 # fixed random odd numbers: every task must hash alike
@@ -77,18 +80,18 @@ class Words(NamedTuple):
     first: np.ndarray
 
 
-def _pieces(data: np.ndarray, lo: int, hi: int):
+def _pieces(data: np.ndarray, lo: int, hi: int, breaks: np.ndarray):
     """Cuts lo..hi at white space into pieces of about CHUNK_BYTES; a longer word stays whole."""
     while lo < hi:
         at = min(lo + CHUNK_BYTES, hi)
         if at < hi:
-            gaps = np.flatnonzero(_BREAK[data[lo:at]])
+            gaps = np.flatnonzero(breaks[data[lo:at]])
             if len(gaps):
                 at = lo + int(gaps[-1]) + 1
             else:
                 step = at
                 while step < hi:
-                    gaps = np.flatnonzero(_BREAK[data[step:step + CHUNK_BYTES]])
+                    gaps = np.flatnonzero(breaks[data[step:step + CHUNK_BYTES]])
                     if len(gaps):
                         break
                     step += CHUNK_BYTES
@@ -97,9 +100,9 @@ def _pieces(data: np.ndarray, lo: int, hi: int):
         lo = at
 
 
-def _word_hashes(data: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _word_hashes(data: np.ndarray, cuts: np.ndarray, breaks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts, ends and 64-bit hashes of the words of one piece; cuts: where a new text begins."""
-    inside = ~_BREAK[data]
+    inside = ~breaks[data]
     left = inside.copy()
     left[1:] &= ~inside[:-1]
     left[cuts] |= inside[cuts]
@@ -128,13 +131,13 @@ def _hash_spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.nda
     return code
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray) -> Words:
-    """Words `[^\\x20\\x09-\\x0D]+` of texts that lie at data[offsets[t]:offsets[t+1]]."""
+def words_of(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = _BREAK) -> Words:
+    """Words (`[^\\x20\\x09-\\x0D]+` by default) of texts that lie at data[offsets[t]:offsets[t+1]]."""
     starts, ends, hashes = [], [], []
     lo, hi = int(offsets[0]), int(offsets[-1])
-    for a, b in _pieces(data, lo, hi):
+    for a, b in _pieces(data, lo, hi, breaks):
         cuts = offsets[np.searchsorted(offsets, a):np.searchsorted(offsets, b)]
-        s, e, h = _word_hashes(data[a:b], np.unique(cuts) - a)
+        s, e, h = _word_hashes(data[a:b], np.unique(cuts) - a, breaks)
         starts.append(s + a), ends.append(e + a), hashes.append(h)
     start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
     end = np.concatenate(ends) if ends else np.zeros(0, np.int64)
@@ -163,9 +166,10 @@ def chunks(batch: pa.RecordBatch, text: str = "text", limit: int = CHUNK_BYTES):
         lo = hi
 
 
-def words_of_column(column: pa.Array, lower: bool = False) -> Words:
+def words_of_column(column: pa.Array, lower: bool = False, breaks: np.ndarray = _BREAK) -> Words:
+    """`lower`: A-Z count as a-z."""
     data, offsets = text_buffers(column)
-    return words_of(_LOWER[data] if lower else data, offsets)
+    return words_of(_LOWER[data] if lower else data, offsets, breaks)
 
 
 _GRAM = _RANDOM.integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

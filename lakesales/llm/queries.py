@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesales.llm import (
+    decontamination,
     exact_dedup,
     language_id,
     ngram_join,
@@ -181,3 +182,11 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id,
 FROM d JOIN k USING (doc_id) LEFT JOIN n USING (doc_id)""")
 def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
+# --- 2 Benchmark decontamination -------------------------------------------------------------------
+
+
+@query("op2_decontamination")
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
