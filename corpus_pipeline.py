@@ -7,7 +7,6 @@ brute-force version.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lakesales.llm import decontamination, exact_dedup, language_id, ngram_join, packing
 from lakesales.llm.common import cut
@@ -22,10 +21,7 @@ CAPACITY, END_ID = 4096, 1
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language stay: those without letters, and those near no profile, go. Profiles are
     learned from all documents with a language; a document's own language, source and id decide nothing."""
-    found = language_id.identify(docs, language_id.learn_profiles(docs)).filter(
-        (F.col("lang_pred") == "und") | (F.col("score") < LEAST_SCORE))
-    gone = cut(found.select("doc_id").distinct(), "other-language")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["doc_id"]), "left_anti")
+    return language_id.keep_known(docs, language_id.learn_profiles(docs), LEAST_SCORE)
 
 
 def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

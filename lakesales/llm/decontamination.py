@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesales.llm.common import MARKS, Words, chunks, cut, gram_hashes, words_of_column
+from lakesales.llm.common import MARKS, Words, chunks, gram_hashes, words_of_column
 
 #: Words of a seed, and neighbouring n-grams of which the rarest becomes one.
 SEED, STRETCH = 3, 4
@@ -191,32 +191,49 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     once; repeated documents are reported as often as they stand there; extra columns are ignored; an empty table
     on either side gives no rows.
     """
-    spark = docs.sparkSession
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
+    out = docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id bigint, {_FOUND}")
+    for items in item_blocks(docs, benchmark, text):
+        out = out.unionByName(rows.mapInArrow(_find(items), f"doc_id {kind}, item_id bigint, {_FOUND}"))
+    return out
+
+
+def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str):
+    """Yields the seeds of one block of items after the other, as broadcasts. A block fits a task, however many
+    blocks there are; each costs a pass over the corpus to count its n-grams."""
+    spark = docs.sparkSession
+    rows = docs.select(F.col(text).alias("text"))
     tests = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(
         "text is not null").distinct()
     words = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
     blocks = -(-words // BLOCK_WORDS)
-    out = None
-    for block in range(blocks):  # a block's items fit a task, however many blocks there are
+    for block in range(blocks):
         some = tests.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         items = Items([r["item_id"] for r in some], [r["text"] for r in some])
+        if not items.ids:
+            continue
         every = spark.sparkContext.broadcast(items)
         count = np.zeros(len(items.different), np.int64)
-        for r in rows.select("text").mapInArrow(_count(every), "gram bigint, n bigint").groupBy("gram").agg(
+        for r in rows.mapInArrow(_count(every), "gram bigint, n bigint").groupBy("gram").agg(
                 F.sum("n").alias("n")).collect():  # one row an n-gram of the block
             count[r["gram"]] = r["n"]
         items.keep_rarest(count)
-        found = rows.mapInArrow(_find(spark.sparkContext.broadcast(items)),
-                                f"doc_id {kind}, item_id bigint, {_FOUND}")
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        out = spark.createDataFrame([], f"doc_id {kind}, item_id bigint, {_FOUND}")
+        yield spark.sparkContext.broadcast(items)
+
+
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows whose text holds no test item, as they are; decided row by row, without a shuffle."""
+    def keep(items):
+        def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for part in chunks(batch, text):
+                    clean = np.ones(part.num_rows, bool)
+                    clean[[found[0] for found in leaks(items.value, plain_words(part.column(text)))]] = False
+                    yield part.filter(pa.array(clean))
+        return kept
+
+    out = docs
+    for items in item_blocks(docs, benchmark, text):
+        out = out.mapInArrow(keep(items), docs.schema)
     return out
-
-
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents that hold no test item, with all their columns."""
-    found = cut(find_leaks(docs, benchmark, key, text).select(F.col("doc_id").alias(key)).distinct(), "leaks")
-    return docs.join(found, docs[key].eqNullSafe(found[key]), "left_anti")

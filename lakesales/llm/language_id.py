@@ -94,7 +94,7 @@ def learn_profiles(docs: DataFrame, ranks: int = RANKS, text: str = "text", lang
                     held[name] = [merged(name)]
         for name in held:
             grams, counts = merged(name)
-            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(grams)),
+            yield pa.RecordBatch.from_pydict({"lang": pa.array([name] * len(grams), pa.string()),
                                               "gram": pa.array(grams.view(np.int64)), "n": pa.array(counts)})
 
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
@@ -152,3 +152,18 @@ def identify(docs: DataFrame, profiles: DataFrame, ranks: int = RANKS, key: str
 
     return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(
         predict, f"doc_id {dict(docs.dtypes)[key]}, lang_pred string, score double")
+
+
+def keep_known(docs: DataFrame, profiles: DataFrame, least_score: float, ranks: int = RANKS,
+               text: str = "text") -> DataFrame:
+    """The rows whose text is in one of the languages, as they are: not `und`, and a score of at least
+    `least_score`. Decided row by row, in one pass without a shuffle."""
+    table = Profiles(profiles.collect(), ranks)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch, text):
+                found = [table.judge(x) for x in part.column(text).to_pylist()]
+                yield part.filter(pa.array([name != "und" and score >= least_score for name, score in found]))
+
+    return docs.mapInArrow(keep, docs.schema)

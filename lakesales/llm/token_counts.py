@@ -37,7 +37,7 @@ def count_tokens(docs: DataFrame, tokenizer: str, version: str, end_ids: int = 0
                 n = part.num_rows
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": part.column("doc_id"), "source": part.column("source"), "lang": part.column("lang"),
-                    "tokenizer": pa.array([version] * n), "n_docs": pa.array(np.ones(n, np.int64)),
+                    "tokenizer": pa.array([version] * n, pa.string()), "n_docs": pa.array(np.ones(n, np.int64)),
                     "n_bytes": pc.fill_null(pc.binary_length(part.column("text")), 0).cast(pa.int64()),
                     "n_tokens": pa.array(np.diff(offsets) + end_ids, pa.int64())})
 

@@ -1,0 +1,466 @@
+"""Operators against brute force, with their sizes set so small that every branch runs."""
+
+from __future__ import annotations
+
+import collections
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from lakesales.llm import (
+    components,
+    decontamination,
+    exact_dedup,
+    language_id,
+    ngram_join,
+    packing,
+    sharding,
+    substring_dedup,
+    url_filters,
+)
+from lakesales.llm import queries as llm
+from lakesales.llm.tokens import tokenizer_path
+from tests.llm.conftest import DOCS, edge_rows, prose
+
+SF = "/root/testdata/sf0.001"
+BLANKS = re.compile(rb"[\x20\x09-\x0d]+")
+
+
+def key(row):
+    return tuple((x is None, x if x is not None else 0) for x in row)
+
+
+# --- 1 URL filters -----------------------------------------------------------------------------------
+
+
+def judged(url, rules, default="allow"):
+    host, path = "", ""
+    if url and "://" in url:
+        rest = re.split(r"[?#]", url.split("://", 1)[1])[0]
+        host, _, tail = rest.partition("/")
+        host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+        path = rest[len(host):]
+    fits = [(len(h + p), len(h), h + p, v) for h, p, v in rules
+            if (h == "" or host == h or host.endswith("." + h)) and path.startswith(p)]
+    best = max(fits, default=(0, 0, None, default))
+    return host, path, best[2], best[3]
+
+
+def test_url_filters_by_brute_force(spark):
+    rng = random.Random(5)
+    labels, steps = ["a", "b", "ab", "net", "org", "x-y", "é"], ["/", "/a", "/a/", "/ab", "/b/c", ""]
+    rules = {(".".join(rng.choices(labels, k=rng.randrange(4))), rng.choice(steps)): rng.choice(["allow", "block"])
+             for _ in range(40)}
+    rules = [(h, p, v) for (h, p), v in rules.items()]
+    urls = [None, "", "no scheme", "://", "http://", "http://NET/", "https://A.net?x://b", "http://net#a", "http://net",
+            "http://u:p@a.net:80/a", "http://.net/", "http://net./", "x://a\nb/c", "a://b://c/d"]
+    urls += ["http://" + ".".join(rng.choices(labels, k=rng.randrange(1, 6))) + rng.choice(steps) + rng.choice(["", "?q", "c"])
+             for _ in range(400)]
+    urls += ["http://www.net/a/b"] * 50
+    table = spark.createDataFrame([(i % 300, u, "own", "own") for i, u in enumerate(urls)],
+                                  "page_id bigint, url string, verdict string, active string")
+    ruled = spark.createDataFrame([(*r, "x") for r in rules], "host string, path string, verdict string, nest string")
+    for slices in (1, 7):
+        got = url_filters.judge_urls(table, ruled, slices=slices, default="block").collect()
+        assert collections.Counter((r["page_id"], r["url"], r["host"], r["path"], r["rule"], r["verdict"]) for r in got) == \
+            collections.Counter((i % 300, u, *judged(u, rules, "block")) for i, u in enumerate(urls))
+    none = url_filters.judge_urls(table, ruled.limit(0)).select("rule", "verdict").distinct().collect()
+    assert [tuple(r) for r in none] == [(None, "allow")]
+
+
+# --- 2 decontamination -------------------------------------------------------------------------------
+
+
+def smith_waterman(a, b):
+    best, above = 0, [0] * (len(b) + 1)
+    for x in a:
+        row = [0]
+        for j, y in enumerate(b, 1):
+            row.append(max(0, above[j - 1] + (2 if x == y else -1), above[j] - 1, row[-1] - 1))
+        above = row
+        best = max(best, *row)
+    return best
+
+
+def test_alignment_by_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(100):
+        item = rng.integers(0, 6, rng.integers(1, 15)).astype(np.uint64)
+        table = rng.integers(0, 6, (5, rng.integers(1, 25))).astype(np.uint64)
+        score, _ = decontamination.align(item, table)
+        assert score.tolist() == [smith_waterman(item.tolist(), row.tolist()) for row in table]
+
+
+def edited(text, seed, part):
+    rng, out = random.Random(seed), []
+    for w in text.split():
+        turn = rng.random()
+        out += [] if turn < part / 3 else [f"new{rng.random()}"] if turn < 2 * part / 3 else [w, "more"] if turn < part else [w]
+    return " ".join(out)
+
+
+def test_edited_and_copied_items_are_found_and_clean_documents_left_alone(spark):
+    items = [(i, prose(100 + i, 40, 3000)) for i in range(30)] + [(99, "of the and")]
+    docs = [(i, prose(500 + i, 300, 3000)) for i in range(200)]
+    planted = {}
+    for i, (item, text) in enumerate(items[:30]):
+        body = docs[i][1].split()
+        text = text if i % 3 == 0 else edited(text, i, 0.2) if i % 3 == 1 else text.upper().replace(" ", ", ")
+        docs[i] = (i, " ".join(body[:150] + [text] + body[150:]))
+        planted[i] = item
+    table = spark.createDataFrame(docs + [(777, items[0][1]), (778, None), (779, "")], "doc_id bigint, text string")
+    for block in (2_000_000, 300):
+        decontamination.BLOCK_WORDS, before = block, decontamination.BLOCK_WORDS
+        try:
+            got = decontamination.find_leaks(table, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+        finally:
+            decontamination.BLOCK_WORDS = before
+        assert {(r["doc_id"], r["item_id"]) for r in got} == {*planted.items(), (777, 0)}
+    exact = next(r for r in got if r["doc_id"] == 0)
+    assert (exact["score"], exact["passage"], exact["first_word"], exact["end_word"]) == (1.0, items[0][1], 150, 190)
+
+
+# --- 4 n-gram Jaccard join -----------------------------------------------------------------------------
+
+
+def shingles(text):
+    words = bytes(b + 32 if 65 <= b <= 90 else b for b in (text or "").encode()).split()
+    return frozenset(tuple(words[i:i + 5]) for i in range(max(1, len(words) - 4))) if words else frozenset()
+
+
+def jaccard(rows):
+    sets = [shingles(t) for _, t in rows]
+    links = [[j for j in range(len(rows)) if j != i and sets[i] and
+              100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])] for i in range(len(rows))]
+    out = []
+    for i, (doc_id, _) in enumerate(rows):
+        seen, stack = {i}, [i]
+        while stack:
+            for j in links[stack.pop()]:
+                if j not in seen:
+                    seen.add(j)
+                    stack.append(j)
+        ids = [rows[j][0] for j in seen if rows[j][0] is not None]
+        out.append((doc_id, len(sets[i]), min(ids, default=None), len(links[i])))
+    return sorted(out, key=key)
+
+
+def families(seed, n):
+    """Families of near copies, from pairs to many, some at the edge of similarity, and a passage that many share."""
+    rng, rows = random.Random(seed), []
+    passage = prose(seed, 30)
+    for f in range(n):
+        base = prose(1000 * seed + f, rng.choice([3, 5, 6, 9, 40, 120]), 40 if f % 2 else 4000).split()
+        for _ in range(rng.choice([1, 2, 3, 12])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                copy[rng.randrange(len(copy))] = f"e{rng.randrange(5)}"
+            rows.append((len(rows), " ".join(copy) + (" " + passage if rng.random() < 0.3 else "")))
+    return rows
+
+
+@pytest.mark.parametrize("long_list,cell", [(16, 1 << 21), (2, 1 << 21), (3, 300)])
+def test_jaccard_components_by_brute_force(spark, monkeypatch, long_list, cell):
+    monkeypatch.setattr(ngram_join, "LONG", long_list)
+    monkeypatch.setattr(ngram_join, "CELL_ELEMENTS", cell)
+    rows = families(long_list + cell, 40)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted((tuple(r) for r in got.collect()), key=key) == jaccard(rows)
+
+
+def test_jaccard_components_of_edge_documents(spark, edge_docs):
+    got = ngram_join.jaccard_components(edge_docs).collect()
+    assert sorted((tuple(r) for r in got), key=key) == jaccard([r[:2] for r in edge_rows()])
+
+
+def test_search_with_lists_set_aside():
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 1 << 60, 300).astype(np.uint64)
+    sets = []
+    for _ in range(500):
+        s = base.copy()
+        s[rng.integers(0, 300, rng.integers(0, 60))] = rng.integers(0, 1 << 60, 1)
+        sets.append(np.unique(s))
+    found = {(q, p) for q, partners in ngram_join.link_sets(sets) for p in partners.tolist()}
+    plain = [set(s.tolist()) for s in sets]
+    assert found == {(i, j) for i in range(500) for j in range(500) if i != j
+                     and 100 * len(plain[i] & plain[j]) >= 75 * len(plain[i] | plain[j])}
+
+
+def test_components_of_chains_and_stars(spark):
+    links = [(i, i + 1) for i in range(50)] + [(100, i) for i in range(101, 160)] + [(7, 7), (300, 299), (299, 300)]
+    got = {r["node"]: r["comp"] for r in components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 160)}, 299: 299, 300: 299}
+
+
+# --- 5 substring dedup -----------------------------------------------------------------------------------
+
+
+def without_repeats(rows, n=35):
+    texts = [(t or "").encode().split() for _, t in rows]
+    count = collections.Counter(tuple(w[i:i + n]) for w in texts for i in range(len(w) - n + 1))
+    out = []
+    for (doc_id, _), w in zip(rows, texts, strict=True):
+        gone = set()
+        for i in range(len(w) - n + 1):
+            if count[tuple(w[i:i + n])] > 1:
+                gone.update(range(i, i + n))
+        kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((doc_id, len(w), len(gone), hashlib.sha256(kept).hexdigest()))
+    return sorted(out, key=key)
+
+
+@pytest.mark.parametrize("remembered,run", [(400_000, 32), (3, 2)])
+def test_repeated_passages_go(spark, monkeypatch, remembered, run):
+    monkeypatch.setattr(substring_dedup, "REMEMBERED", remembered)
+    monkeypatch.setattr(substring_dedup, "SENT_BYTES", 5000)
+    rng = random.Random(remembered)
+    passages = [prose(i, rng.choice([34, 35, 36, 80]), 50) for i in range(6)]
+    rows = []
+    for i in range(120):
+        parts = [prose(1000 + i, rng.randrange(60), 2000)]
+        for _ in range(rng.randrange(3)):
+            parts += [rng.choice(passages), prose(5000 + i, rng.randrange(5), 2000)]
+        rows.append((i, rng.choice([" ", "\n", " \t"]).join(parts)))
+    rows += [(900, "again " * 100), (901, None), (902, ""), (903, rows[5][1]), (904, rows[5][1])]
+    got = substring_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    got = got.select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in got), key=key) == without_repeats(rows)
+
+
+def test_repeated_passages_of_edge_documents(spark, edge_docs):
+    got = substring_dedup.remove_repeats(edge_docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
+    assert sorted((tuple(r) for r in got), key=key) == without_repeats([r[:2] for r in edge_rows()])
+
+
+# --- 6 sharding --------------------------------------------------------------------------------------------
+
+
+def test_shards_by_brute_force(spark, edge_dir, monkeypatch):
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", 3)
+    monkeypatch.setattr(sharding, "COPIES_A_ROW", 2)
+    for at, docs in ((SF, None), (edge_dir, None)):
+        docs = spark.read.parquet(f"{at}/documents.parquet").collect()
+        got = llm.QUERIES["op6_sharding"](spark, at).collect()
+
+        def shard(doc_id, n):
+            def score(i):
+                digits = hashlib.md5(f"{i}:{'' if doc_id is None else doc_id}".encode()).hexdigest()[:13]
+                return -1 / np.log((int(digits, 16) + 0.5) / 2**52)
+            return max(range(n), key=score)
+
+        want = collections.Counter(
+            (d["doc_id"], len((d["text"] or "").encode()) + 1, zlib.crc32((d["text"] or "").encode()), "key",
+             shard(d["doc_id"], 8), shard(d["doc_id"], 9)) for d in docs)
+        assert collections.Counter((r["doc_id"], r["size"], r["text_crc32"], r["law"], r["shard"], r["grown_shard"])
+                                   for r in got) == want
+        assert all(r["grown_shard"] in (r["shard"], 8) for r in got)
+        for s in range(8):
+            mine = sorted((r for r in got if r["shard"] == s), key=lambda r: r["slot"])
+            assert [r["slot"] for r in mine] == list(range(len(mine)))
+            order = [hashlib.md5(str("" if r["doc_id"] is None else r["doc_id"]).encode()).hexdigest() for r in mine]
+            assert order == sorted(order)
+
+
+def test_weights_decide_the_parts(spark, tmp_path):
+    df = spark.range(20_000).withColumnRenamed("id", "k")
+    n = {r["shard"]: r["count"] for r in sharding.assign_shards(df, "k", [1.0, 2.0, 1.0]).groupBy("shard").count().collect()}
+    assert abs(n[1] - 10_000) < 400 and abs(n[0] - 5000) < 300
+    with pytest.raises(ValueError):
+        sharding.rendezvous_shard(F.lit(1), [1.0, 0.0])
+    sharding.write_shards(df, "k", [1.0, 2.0, 1.0], str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).filter("shard = 1").count() == n[1]
+
+
+# --- 7 language ID -------------------------------------------------------------------------------------------
+
+
+def ranked_grams(text, ranks=300):
+    words = "".join(c if c.isalpha() else " " for c in text.lower()).split()
+    count = collections.Counter()
+    for w in words:
+        count.update(w)
+        w = f" {w} "
+        count.update(w[i:i + 2] for i in range(len(w) - 1))
+        count.update(w[i:i + 3] for i in range(len(w) - 2))
+
+    def number(g):
+        n = 0
+        for c in g:
+            n = n << 21 | ord(c)
+        return n
+
+    return count, number, sorted(count, key=lambda g: (-count[g], number(g)))[:ranks]
+
+
+def test_language_by_brute_force(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    learned = collections.defaultdict(collections.Counter)
+    for d in docs:
+        if d["lang"] is not None and d["text"] is not None and zlib.crc32(str(d["doc_id"]).encode()) % 4 != 2:
+            count, number, _ = ranked_grams(d["text"])
+            for g, n in count.items():
+                learned[d["lang"]][g] += n
+    profiles = {lang: {g: i for i, g in enumerate(sorted(c, key=lambda g: (-c[g], number(g)))[:300])}
+                for lang, c in learned.items()}
+    got = {r["doc_id"]: r for r in llm.QUERIES["op7_language_id"](spark, SF).collect()}
+    right = 0
+    for d in docs:
+        own = ranked_grams(d["text"] or "")[2]
+        apart = {lang: sum(abs(p[g] - i) if g in p else 300 for i, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(apart), key=apart.__getitem__)
+        r = got[d["doc_id"]]
+        assert (r["lang_pred"], round(r["score"], 9)) == (best, round(1 - apart[best] / (300 * len(own)), 9))
+        assert r["held_out"] == (zlib.crc32(str(d["doc_id"]).encode()) % 4 == 2)
+        right += r["held_out"] and best == d["lang"]
+    assert right >= 0.95 * sum(r["held_out"] for r in got.values())
+
+
+def test_language_of_edge_documents(spark, edge_docs, monkeypatch):
+    monkeypatch.setattr(language_id, "_CHARS", 1000)
+    got = language_id.identify(edge_docs, language_id.learn_profiles(edge_docs)).collect()
+    texts = collections.defaultdict(set)
+    for i, t, *_ in edge_rows():
+        texts[i].add(any(c.isalpha() for c in t or ""))
+    assert len(got) == len(edge_rows())
+    assert all((r["lang_pred"] == "und") == (r["score"] == 0.0) and 0 <= r["score"] <= 1 for r in got)
+    assert all(r["lang_pred"] == "und" for r in got if texts[r["doc_id"]] == {False})
+    assert {r["doc_id"]: r["lang_pred"] for r in got if r["doc_id"] in (20, 21)} == {20: "fr", 21: "de"}
+    none = language_id.identify(edge_docs, language_id.learn_profiles(edge_docs.limit(0))).collect()
+    assert {(r["lang_pred"], r["score"]) for r in none} == {("und", 0.0)}
+
+
+# --- 8 exact dedup ---------------------------------------------------------------------------------------------
+
+
+def equal_groups(rows):
+    groups = collections.defaultdict(list)
+    for i, t in rows:
+        groups[BLANKS.sub(b" ", (t or "").encode())].append(i)
+    return sorted(((i, min((x for x in g if x is not None), default=None), len(g), hashlib.sha256(n).hexdigest())
+                   for n, g in groups.items() for i in g), key=key)
+
+
+@pytest.mark.parametrize("weak", [False, True])
+def test_exact_groups_of_edge_documents(spark, edge_docs, weak):
+    """The weak digest has one byte: texts that differ share it."""
+    short = (lambda c: F.substring(exact_dedup.sha256_of(c), 1, 1)) if weak else exact_dedup.sha256_of
+    rows = [r[:2] for r in edge_rows()] + [(1000 + i, prose(i, 5)) for i in range(400 if weak else 0)]
+    docs = edge_docs
+    if weak:
+        more = spark.createDataFrame([(*r, None, None, None) for r in rows[len(edge_rows()):]], DOCS)
+        docs = edge_docs.select("doc_id", "text", "lang", "source", "n_chars").union(more)
+    got = exact_dedup.exact_groups(docs, digest=short).collect()
+    assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got), key=key) == equal_groups(rows)
+    kept = [r for r in got if r["kept"]]
+    assert len(kept) == len({r["text_sha256"] for r in got}) == len({r["text_sha256"] for r in kept})
+    assert all(r["doc_id"] == r["keep_id"] for r in kept)
+
+
+def test_state_goes_on_where_it_stopped(spark, tmp_path):
+    state = exact_dedup.DedupState(spark, str(tmp_path / "state"))
+    landed = "digest binary, doc_id bigint, file string, row bigint"
+    state.land("one", spark.createDataFrame([(b"a", 5, "f", 1), (b"b", 2, "f", 2)], landed))
+    state.advance()
+    state.land("two", spark.createDataFrame([(b"a", 3, "g", 1), (b"a", 9, "g", 2)], landed))
+    with pytest.raises(Exception, match="already exists"):
+        state.land("two", spark.createDataFrame([(b"a", 3, "g", 1)], landed))
+    for _ in range(2):  # nothing new: nothing counts twice
+        state.advance()
+        got = {bytes(r["digest"]): (r["keeper"]["doc_id"], r["size"]) for r in state.groups().collect()}
+        assert got == {b"a": (3, 3), b"b": (2, 1)}
+
+
+# --- 10 packing --------------------------------------------------------------------------------------------------
+
+
+def check_packing(plain, rows, got, capacity, end=1):
+    seqs = collections.defaultdict(list)
+    for r in got:
+        seqs[r["sequence_id"]].append(r)
+    for mine in seqs.values():
+        at = 0
+        for r in sorted(mine, key=lambda r: r["offset"]):
+            assert r["offset"] == at
+            at += r["length"]
+        assert at <= capacity
+    want = collections.Counter()
+    for doc_id, text in rows:
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [end]
+        for n, at in enumerate(range(0, len(ids), capacity)):
+            some = ids[at:at + capacity]
+            want[doc_id, n, at, len(some), zlib.crc32(np.array(some, "<u4").tobytes())] += 1
+    assert collections.Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
+    return len(seqs)
+
+
+@pytest.mark.parametrize("which", ["sf", "edge"])
+def test_packing_by_brute_force(spark, edge_docs, monkeypatch, which):
+    monkeypatch.setattr(packing, "BLOCK", 20)
+    plain = Tokenizer.from_file(tokenizer_path())
+    docs = edge_docs if which == "edge" else spark.read.parquet(f"{SF}/documents.parquet")
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    got = packing.pack(docs, tokenizer_path(), 1, 512).collect()
+    used = check_packing(plain, rows, got, 512)
+    assert used <= 1.02 * -(-sum(r["length"] for r in got) // 512) + 1
+
+
+def test_evolution_beats_best_fit_and_keeps_every_piece():
+    rng = random.Random(9)
+    won = 0
+    for seed in range(12):
+        sizes = [rng.randrange(250, 700) for _ in range(90)]
+        first = packing.best_fit(sizes, sorted(range(90), key=lambda i: -sizes[i]), 1000, [])
+        after = packing.evolve(sizes, [], 1000, seed, 30)
+        for bins in after:
+            assert sorted(i for b in bins for i in b) == list(range(90))
+            assert all(sum(sizes[i] for i in b) <= 1000 for b in bins)
+        assert len(after[0]) <= len(first)
+        won += len(after[0]) < len(first)
+        assert packing.as_bins(packing.as_numbers(after[0], 90)) is not None
+    assert won
+
+
+# --- pipeline ------------------------------------------------------------------------------------------------------
+
+
+def test_pipeline_by_brute_force(spark, tmp_path):
+    """Every stage on what the one before it kept, each against its own brute force."""
+    at = SF
+    docs = spark.read.parquet(f"{at}/documents.parquet")
+    items = [r["text"] for r in spark.read.parquet(f"{at}/benchmark.parquet").collect()]
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for n, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        path = str(tmp_path / str(n))
+        stage(spark, docs, at).write.parquet(path)
+        after = spark.read.parquet(path)
+        if name == "best-fit packing":
+            check_packing(Tokenizer.from_file(tokenizer_path()), list(left.items()), after.collect(), 4096)
+            break
+        assert after.columns == docs.columns
+        kept = {r["doc_id"]: r["text"] for r in after.collect()}
+        if name == "language ID":
+            assert kept == left  # each of these texts is in a language
+        elif name == "exact dedup":
+            assert set(kept) == {g[1] for g in equal_groups(list(left.items()))}
+        elif name == "n-gram Jaccard join":
+            assert set(kept) == {r[2] for r in jaccard(list(left.items()))}
+        else:
+            whole = [" ".join(i.lower().split()) for i in items]
+            holds = {d for d, t in left.items() if any(w in " ".join(t.lower().split()) for w in whole)}
+            assert set(kept) == set(left) - holds
+        docs, left = after, kept
+
+
+def test_pipeline_of_edge_documents(spark, edge_dir):
+    docs = corpus_pipeline.language_stage(spark, spark.read.parquet(f"{edge_dir}/documents.parquet"), edge_dir)
+    ids = collections.Counter(r["doc_id"] for r in docs.collect())
+    assert not {2, 3, 4, 10} & set(ids) and ids[1] == 1 and ids[7] == 3
+    assert ids[None] == 2  # the third row without an id has no text
