@@ -111,15 +111,15 @@ def _word_hashes(data: np.ndarray, cuts: np.ndarray, breaks: np.ndarray) -> tupl
     before = cuts[cuts > 0] - 1
     right[before] |= inside[before]
     start, end = np.flatnonzero(left), np.flatnonzero(right) + 1
-    return start, end, _hash_spans(data, start, end - start)
+    return start, end, hash_spans(data, start, end - start)
 
 
-def _hash_spans(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+def hash_spans(data: np.ndarray, start: np.ndarray, size: np.ndarray, salt: int = 0) -> np.ndarray:
     """64-bit hashes of data[start:start + size], eight bytes at a time; different for all spans of one length
-    up to 8."""
+    up to 8. Another salt gives an independent hash."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     lanes = np.ndarray((len(data),), np.uint64, padded, 0, (1,))
-    code = size.astype(np.uint64) * _LENGTH
+    code = size.astype(np.uint64) * _LENGTH + np.uint64(salt)
     at, left, live = start, size, slice(None)
     while len(at):
         bits = (np.minimum(left, 8) * 8).astype(np.uint64)

@@ -21,62 +21,71 @@ BITS = np.array([64, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 45, 60], np.int
 _HEAD = struct.Struct("<8sIQI")
 
 
-def _selectors(ids: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """For each position the selector that takes most ids from there on, not looking past the frame's end."""
-    n = len(ids)
-    width = np.frexp(ids.astype(np.float64))[1]
-    width = np.where(ids >> np.uint64(52) != 0, 64, width)  # beyond exact floats: escape
-    place = np.arange(n)
-    best = np.zeros(n, np.int8)
-    taken = np.zeros(n, np.int64)
-    for s in range(1, 16):
-        wide = np.where(width > BITS[s], place, n)
-        clear = np.minimum.accumulate(wide[::-1])[::-1] - place
-        # ids past the end of the frame count as zeros
-        fits = np.minimum(clear, COUNTS[s])
-        fits = np.where(place + clear >= ends, np.minimum(ends - place, COUNTS[s]), np.where(clear >= COUNTS[s], fits, 0))
-        better = fits > taken
-        best[better], taken[better] = s, fits[better]
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """Bits of each id."""
+    out = _WIDTH[(ids & np.uint64(0xFFFF)).astype(np.int64)]
+    for shift in (16, 32, 48):
+        high = (ids >> np.uint64(shift)) & np.uint64(0xFFFF)
+        if high.any():
+            out = np.where(high != 0, _WIDTH[high.astype(np.int64)] + np.uint8(shift), out)
+    return out
+
+
+_WIDTH = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
+def _selectors(ids: np.ndarray) -> np.ndarray:
+    """For each id of padded frames the selector that takes most ids from there on; the padding counts as zeros."""
+    width = _widths(ids)
+    best = np.zeros(ids.shape, np.uint8)
+    highest, have = width, 1
+    for s in range(15, 0, -1):  # more and more ids a word
+        while have < COUNTS[s]:
+            step = min(have, COUNTS[s] - have)
+            highest = np.maximum(highest[:, :-step], highest[:, step:])
+            have += step
+        best[:, :highest.shape[1]][highest <= BITS[s]] = s
     return best
 
 
 def encode(ids: np.ndarray, frame: int = FRAME) -> tuple[np.ndarray, np.ndarray]:
     """Words and the offsets of the frames' first words."""
-    ids = ids.astype(np.uint64)
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.uint64)
-    starts = np.arange(0, n, frame)
-    stops = np.minimum(starts + frame, n)
-    best = _selectors(ids, np.repeat(stops, stops - starts))
+    frames = -(-n // frame)
+    broad = frame + int(COUNTS.max())
+    table = np.zeros((frames, broad), np.uint64)
+    whole = np.zeros(frames * frame, np.uint64)
+    whole[:n] = ids
+    table[:, :frame] = whole.reshape(frames, frame)
+    best = _selectors(table).ravel()
+    table = table.ravel()
     step = np.where(best == 0, 1, COUNTS[best])
-    taken, owner, at = [], [], starts.copy()
-    live = np.arange(len(starts))
-    while len(live):  # one word of every frame at a time
-        taken.append(at[live])
-        owner.append(live)
-        at[live] += step[at[live]]
-        live = live[at[live] < stops[live]]
-    position, owner = np.concatenate(taken), np.concatenate(owner)
-    order = np.argsort(position, kind="stable")
-    position, owner = position[order], owner[order]
-    selector = best[position].astype(np.int64)
+    at = np.arange(frames) * broad
+    stop = at + np.minimum(frame, n - np.arange(frames) * frame)
+    taken = []
+    while len(at):  # one word of every frame at a time
+        taken.append(at)
+        at = at + step[at]
+        live = at < stop
+        at, stop = at[live], stop[live]
+    position = np.sort(np.concatenate(taken))
+    selector = best[position]
     room = 1 + (selector == 0)
     slot = np.cumsum(room) - room
     words = np.zeros(int(room.sum()), np.uint64)
-    for s in np.unique(selector):
+    for s in np.unique(selector).tolist():
         of = np.flatnonzero(selector == s)
         if s == 0:
-            words[slot[of] + 1] = ids[position[of]]
+            words[slot[of] + 1] = table[position[of]]
             continue
-        value = np.full(len(of), int(s) << 60, np.uint64)
-        stop = stops[owner[of]]
+        value = np.full(len(of), s << 60, np.uint64)
         for k in range(COUNTS[s]):
-            at = position[of] + k
-            value |= np.where(at < stop, ids[np.minimum(at, n - 1)], np.uint64(0)) << np.uint64(k * BITS[s])
+            value |= table[position[of] + k] << np.uint64(k * BITS[s])
         words[slot[of]] = value
-    offsets = np.zeros(len(starts) + 1, np.uint64)
-    offsets[1:] = np.cumsum(np.bincount(owner, weights=room, minlength=len(starts)).astype(np.uint64))
+    offsets = np.zeros(frames + 1, np.uint64)
+    offsets[1:] = np.cumsum(np.bincount(position // broad, weights=room, minlength=frames)).astype(np.uint64)
     return words, offsets
 
 

@@ -20,7 +20,7 @@ from lakesales.llm.common import chunks, parts_for, text_bytes
 from lakesales.llm.tokens import encoder
 
 #: Ids that a block holds at least, and bytes of text for each shard (a task and a file).
-BLOCK_IDS, SHARD_BYTES = 1 << 16, 24 << 20
+BLOCK_IDS, SHARD_BYTES = 1 << 20, 24 << 20
 _BLOCK = "shard int, block int, ids_before bigint, n_docs int, n_ids bigint, data binary"
 _DOC = "shard int, doc_id bigint, begin bigint, n_tokens bigint, ids_crc32 bigint"
 

@@ -6,14 +6,16 @@ blanks, line ends and common marks, each different piece is encoded once, and th
 
 from __future__ import annotations
 
+from itertools import repeat
+
 import numpy as np
 import pyarrow as pa
 
-from lakesales.llm.common import text_buffers
+from lakesales.llm.common import hash_spans, text_buffers
 
 WORD_BPE = "word_bpe_49k.json"
 #: Pieces whose ids a worker remembers; it forgets all of them when there are more.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 #: Pieces that are encoded in one text, and what stands between them.
 JOINED, PART = 1000, "\x01"
 
@@ -32,13 +34,14 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self.tokenizer.encode(PART, add_special_tokens=False).ids[0]
-        self.known: dict[str, int] = {}
+        self.known: dict[int, int] = {}
         self.forget()
 
     def forget(self) -> None:
         self.known.clear()
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.proof = np.zeros(0, np.uint64)
 
     def _encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after another, and how many each has. Plain pieces go through in one text,
@@ -58,17 +61,29 @@ class Encoder:
                 out.append(np.array([i for x in found for i in x.ids], np.uint32))
         return np.concatenate(out), np.concatenate(counts)
 
-    def learn(self, new: list[str]) -> None:
-        if not new:
-            return
-        ids, counts = self._encode_pieces(new)
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.ids[self.used:self.used + len(ids)] = ids
-        self.known.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-        self.begin = np.concatenate([self.begin, self.used + np.cumsum(counts) - counts])
-        self.count = np.concatenate([self.count, counts])
-        self.used += len(ids)
+    def places(self, names: pa.Array) -> np.ndarray:
+        """Where the ids of each of these different pieces are in the store. Pieces are told apart by two
+        independent 64-bit hashes."""
+        data, offsets = text_buffers(names)
+        one, two = (hash_spans(data, offsets[:-1], np.diff(offsets), salt) for salt in (0, 0x5BF03635))
+        keys = one.tolist()
+        place = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
+        new = np.flatnonzero((place < 0) | (self.proof[place] != two)) if len(self.known) else np.arange(len(keys))
+        if len(new) and len(self.known) + len(new) > REMEMBERED and self.known:
+            self.forget()
+            new = np.arange(len(keys))
+        if len(new):
+            ids, counts = self._encode_pieces(names.take(pa.array(new)).to_pylist())
+            while self.used + len(ids) > len(self.ids):
+                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+            self.ids[self.used:self.used + len(ids)] = ids
+            place[new] = np.arange(len(self.count), len(self.count) + len(new))
+            self.known.update(zip(one[new].tolist(), place[new].tolist(), strict=True))
+            self.begin = np.concatenate([self.begin, self.used + np.cumsum(counts) - counts])
+            self.count = np.concatenate([self.count, counts])
+            self.proof = np.concatenate([self.proof, two[new]])
+            self.used += len(ids)
+        return place
 
     def encode(self, column: pa.Array, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another and the n+1 offsets of the texts; null counts as empty."""
@@ -78,16 +93,7 @@ class Encoder:
         pieces = pa.LargeStringArray.from_buffers(
             len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data)) if len(cuts) > 1 else pa.array([], pa.large_string())
         coded = pieces.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        place = list(map(self.known.get, names))
-        missing = [x for x, at in zip(names, place, strict=True) if at is None]
-        if missing:
-            if len(self.known) + len(missing) > REMEMBERED:
-                self.forget()
-                missing = names
-            self.learn(missing)
-            place = list(map(self.known.get, names))
-        place = np.array(place, np.int64)
+        place = self.places(coded.dictionary)
         index = coded.indices.to_numpy(zero_copy_only=False)
         count = self.count[place][index]
         before = np.zeros(len(count) + 1, np.int64)
