@@ -17,8 +17,12 @@ from pyspark.sql import functions as F
 from lakesales.llm.common import cut
 from lakesales.session import scratch_path
 
-_STORE = "spark.sql.streaming.stateStore.providerClass"
-_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # many small stores: megabytes set aside in advance for each would be most of the disk
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 _LANDED = "digest binary, doc_id bigint, file string, row bigint"
 
 
@@ -63,8 +67,9 @@ class DedupState:
 
     def advance(self) -> None:
         """Runs the stream until all that landed is in the state."""
-        before = self.spark.conf.get(_STORE)
-        self.spark.conf.set(_STORE, _ON_DISK)
+        before = {k: self.spark.conf.get(k, None) for k in _STATE_CONF}
+        for k, v in _STATE_CONF.items():
+            self.spark.conf.set(k, v)
         try:
             stream = self.spark.readStream.schema(_LANDED).option("recursiveFileLookup", "true") \
                 .parquet(f"{self.path}/landed")
@@ -81,7 +86,8 @@ class DedupState:
                 .option("checkpointLocation", f"{self.path}/state").foreachBatch(commit).start()
             query.awaitTermination()
         finally:
-            self.spark.conf.set(_STORE, before)
+            for k, v in before.items():
+                self.spark.conf.unset(k) if v is None else self.spark.conf.set(k, v)
 
     def groups(self) -> DataFrame:
         """digest, keeper, size of every digest, as of its last change."""
