@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from lakesales.checks import shapes as S
@@ -13,6 +15,7 @@ from lakesales.functions.text import is_object_id
 from lakesales.operators import aggregates as A
 from lakesales.operators import changes as U
 from lakesales.operators import filters as Q
+from lakesales.operators import validation as V
 
 
 def order_totals(spark, d):
@@ -24,11 +27,32 @@ def order_totals(spark, d):
 
 
 def order_amounts(spark, d):
-    """Subtotal, discount and net of nested orders."""
-    docs = S.nested_items(Tables(spark, d))
-    return docs.select("l_orderkey", "parte", N.order_amounts("items").alias("a")).select(
-        "l_orderkey", F.col("parte").cast("bigint").alias("parte"),
-        *[F.col(f"a.{c}").cast("double").alias(c) for c in ("subtotal", "descuento", "neto")])
+    """Subtotal, discount and net of every order, from its lines."""
+    pct = (F.col("l_discount").cast("decimal(5,2)") * 100).cast("decimal(5,2)")
+    out = A.line_totals(Tables(spark, d).lineitem, ["l_orderkey"], F.col("l_extendedprice"), F.col("l_quantity"), pct)
+    return out.select("l_orderkey", *S.double("subtotal", "descuento", "neto"))
+
+
+def exact_amounts(spark, d):
+    """Prices in thousandths, discounts in hundredths of a percent: nothing is rounded before the order's sum."""
+    price = (F.col("l_extendedprice").cast("decimal(18,2)") / 7).cast("decimal(18,3)")
+    pct = (F.col("l_partkey") % 997).cast("decimal(9,2)") / F.lit(Decimal("13"))
+    lines = Tables(spark, d).lineitem.select("l_orderkey", price.alias("p"), F.col("l_quantity").alias("q"),
+                                             pct.cast("decimal(9,4)").alias("pct"))
+    out = A.line_totals(lines, ["l_orderkey"], F.col("p"), F.col("q"), F.col("pct"))
+    return out.select("l_orderkey", *S.double("subtotal", "descuento", "neto"))
+
+
+def fractional_quantities(spark, d):
+    """Orders with items that are no whole number are refused, whatever the other items."""
+    t = Tables(spark, d)
+    half = F.when(F.col("l_linenumber") == 5, F.col("l_quantity") + 0.5).otherwise(F.col("l_quantity"))
+    lines = t.lineitem.select(S.object_id("l_orderkey").alias("_id"), S.code("P", "l_partkey").alias("producto_id"),
+                              half.cast("decimal(14,4)").alias("cantidad"),
+                              F.col("l_extendedprice").cast("decimal(20,6)").alias("precio_unit"),
+                              F.lit(0).alias("descuento_pct"))
+    _, rejects = V.validate_orders(S.order_heads(t), lines, "_id")
+    return rejects.where("rule = 'item_quantity'").select("row", "rule")
 
 
 def line_amounts(spark, d):
@@ -149,17 +173,17 @@ def pairs_to_prefs(spark, d):
 
 
 def items_exploded(spark, d):
-    docs = S.order_documents(Tables(spark, d)).where("parte = 0").drop("parte")
+    docs = S.order_documents(Tables(spark, d))
     return N.explode_items(docs).select(
         "_id", F.col("linea").cast("bigint").alias("linea"), "producto_id",
         F.col("cantidad").cast("bigint").alias("cantidad"), *S.double("precio_unit", "descuento_pct"))
 
 
 def orders_nested(spark, d):
-    docs = S.nested_items(Tables(spark, d))
-    text = F.array_join(F.transform("items", lambda i: F.concat_ws(
-        ":", i["producto_id"], i["cantidad"], i["precio_unit"])), "|")
-    return docs.select("l_orderkey", F.col("parte").cast("bigint").alias("parte"), text.alias("items"))
+    """Lines nested into documents and taken out again, with their number in the whole order."""
+    rows = N.explode_items(S.nested_items(Tables(spark, d)))
+    return rows.select("l_orderkey", F.col("linea").cast("bigint").alias("linea"),
+                       F.concat_ws(":", "producto_id", "cantidad", "precio_unit").alias("item"))
 
 
 def graph_nodes(spark, d):
@@ -196,14 +220,17 @@ def form_fields(spark, d):
 
 def to_response(spark, d):
     """Stored orders in listing shape, totals computed from the items."""
-    docs = S.order_documents(Tables(spark, d))
-    stored = docs.where("parte = 0").withColumns({
+    t = Tables(spark, d)
+    lines = S.order_items(t)
+    totals = A.line_totals(lines, ["_id"], F.col("precio_unit"), F.col("cantidad"), F.col("descuento_pct"))
+    docs = S.order_heads(t).drop("total").join(totals.select("_id", F.col("neto").alias("total"), "lineas"), "_id", "left")
+    stored = docs.withColumns({
         "descripcion": F.lit(None).cast("string"), "metadatos": F.col("canal"),
         "creado": F.lit(None).cast("timestamp_ntz"), "actualizado": F.lit(None).cast("timestamp_ntz")})
     out = Q.to_response(stored, "ordenes", F.lit("2025-01-01").cast("timestamp_ntz"))
     return out.select("id", "cliente_id", "fecha", "canal", "moneda", "descripcion",
                       *S.double("total"), F.date_format("creado", "yyyy-MM-dd").alias("creado"),
-                      N.item_count("items").cast("bigint").alias("lineas"))
+                      F.coalesce("lineas", F.lit(0)).alias("lineas"))
 
 
 def product_response(spark, d):
@@ -334,7 +361,8 @@ def targets(spark, d):
 
 
 QUERIES = {
-    "order_totals": order_totals, "order_amounts": order_amounts, "line_amounts": line_amounts,
+    "order_totals": order_totals, "order_amounts": order_amounts, "exact_amounts": exact_amounts,
+    "fractional_quantities": fractional_quantities, "line_amounts": line_amounts,
     "order_item_counts": item_counts, "order_stats": order_stats, "order_stats_empty": order_stats_empty,
     "page_orders": page_orders, "page_after": page_after, "list_view": list_view, "preview": preview,
     "filter_category": filter_category, "filter_customer": filter_customer, "filter_in": filter_in,
@@ -373,7 +401,16 @@ _BASKET = """b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM lineitem J
 
 SQL = {
     "order_totals": f"SELECT l_orderkey, {_money(_NET)} AS total FROM lineitem GROUP BY 1",
-    "order_amounts": f"""SELECT l_orderkey, 0 AS parte, {_money(_GROSS)} AS subtotal,
+    "exact_amounts": """WITH l AS (SELECT l_orderkey, CAST(l_quantity AS HUGEINT) AS q,
+          (2 * CAST(round(l_extendedprice * 100) AS HUGEINT) * 10 + 7) // 14 AS p,
+          (2 * CAST(l_partkey % 997 AS HUGEINT) * 10000 + 13) // 26 AS d FROM lineitem),
+        s AS (SELECT l_orderkey, sum(p * q * 1000000)::HUGEINT AS g, sum(p * q * (1000000 - d))::HUGEINT AS n FROM l GROUP BY 1)
+        SELECT l_orderkey, ((2 * g + 10000000) // 20000000)::DOUBLE / 100 AS subtotal,
+          CASE WHEN g >= n THEN ((2 * (g - n) + 10000000) // 20000000)::DOUBLE / 100 END AS descuento,
+          CASE WHEN n >= 0 THEN ((2 * n + 10000000) // 20000000)::DOUBLE / 100 END AS neto FROM s""",
+    "fractional_quantities": f"""SELECT DISTINCT substr(md5(CAST(l_orderkey AS VARCHAR)), 1, 24) AS "row",
+        'item_quantity' AS rule FROM lineitem WHERE l_linenumber = 5""",
+    "order_amounts": f"""SELECT l_orderkey, {_money(_GROSS)} AS subtotal,
         {_money(f'({_GROSS} - {_NET})')} AS descuento, {_money(_NET)} AS neto FROM lineitem GROUP BY 1""",
     "line_amounts": f"""SELECT l_orderkey, 'P' || l_partkey AS producto_id,
         {_money(f'{_LINE} * CAST(100 AS DECIMAL(5,2))', 4)} AS subtotal,
@@ -412,10 +449,9 @@ SQL = {
         PARTITION BY l_orderkey ORDER BY 'P' || l_partkey, l_quantity, l_extendedprice, l_discount) AS linea,
         'P' || l_partkey AS producto_id, CAST(l_quantity AS BIGINT) AS cantidad,
         l_extendedprice AS precio_unit, CAST({_PCT} AS DOUBLE) AS descuento_pct FROM lineitem""",
-    "orders_nested": """SELECT l_orderkey, 0 AS parte, string_agg('P' || l_partkey || ':' ||
-        CAST(l_quantity AS INTEGER) || ':' || CAST(l_extendedprice AS DECIMAL(10,2)), '|'
-        ORDER BY 'P' || l_partkey, l_quantity, l_extendedprice, l_discount) AS items
-        FROM lineitem GROUP BY 1""",
+    "orders_nested": """SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey
+          ORDER BY 'P' || l_partkey, l_quantity, l_extendedprice, l_discount) AS linea, 'P' || l_partkey || ':' ||
+        CAST(l_quantity AS INTEGER) || ':' || CAST(l_extendedprice AS DECIMAL(10,2)) AS item FROM lineitem""",
     "graph_nodes": """WITH o AS (SELECT * FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
         SELECT 'Cliente' AS label, 'C-' || c_custkey AS id,
           '{"id":"C-' || c_custkey || '","nombre":"' || c_name || '"}' AS props

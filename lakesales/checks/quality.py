@@ -77,8 +77,9 @@ def total_mismatch(spark, d):
 
 def validate_documents(spark, d):
     """Order documents: empty ones, missing fields and discounts out of range."""
-    docs = S.order_documents(Tables(spark, d), 2000).withColumn("fecha", F.when(F.col("canal").isNotNull(), F.col("fecha")))
-    _, rejects = V.validate(docs, V.order_document_rules(), "_id")
+    t = Tables(spark, d)
+    docs = S.order_heads(t).withColumn("fecha", F.when(F.col("canal").isNotNull(), F.col("fecha")))
+    _, rejects = V.validate_orders(docs, S.order_items(t, 2000), "_id")
     return rejects.select("row", "field", "rule")
 
 
@@ -245,7 +246,7 @@ def scan_rates(spark, d):
 
 def scan_documents(spark, d):
     path = scratch_path(spark, "ordenes")
-    S.order_documents(Tables(spark, d)).drop("parte").write.json(path)
+    S.order_documents(Tables(spark, d)).drop("parte", "primera").write.json(path)
     docs = readers.read_documents(spark, path, "ordenes")
     rows = explode_items(docs.select("_id", "moneda", "items"))
     return rows.select("_id", "moneda", "producto_id", F.col("cantidad").cast("bigint").alias("cantidad"),

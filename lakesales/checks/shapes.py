@@ -163,19 +163,28 @@ def nested_items(t: Tables, discount_factor: int = 100) -> DataFrame:
     return nest_items(t.lineitem, ["l_orderkey"], item(discount_factor))
 
 
-def order_documents(t: Tables, discount_factor: int = 100) -> DataFrame:
-    """All orders as documents, those without lines with an empty array."""
-    head = t.orders.select(
+def order_items(t: Tables, discount_factor: int = 100) -> DataFrame:
+    """The items of all orders as rows."""
+    return t.lineitem.select(object_id("l_orderkey").alias("_id"), item(discount_factor).alias("i")).select("_id", "i.*")
+
+
+def order_heads(t: Tables) -> DataFrame:
+    return t.orders.select(
         "o_orderkey", object_id("o_orderkey").alias("_id"), code("C", "o_custkey").alias("cliente_id"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("fecha"),
         F.when(F.col("o_orderstatus") != "P", "WEB").alias("canal"),
         pick("o_orderpriority", {"1-URGENT": "USD", "2-HIGH": "USD"}, "CRC").alias("moneda"),
         F.col("o_totalprice").cast(MONEY).alias("total"))
+
+
+def order_documents(t: Tables, discount_factor: int = 100) -> DataFrame:
+    """All orders as stored documents, those without lines with an empty array."""
+    head = order_heads(t)
     nested = nested_items(t, discount_factor)
     empty = F.array().cast(nested.schema["items"].dataType)
     joined = head.join(nested, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     return joined.select("_id", "cliente_id", "fecha", "canal", "moneda", "total",
-                         F.coalesce("parte", F.lit(0)).alias("parte"),
+                         F.coalesce("parte", F.lit(0)).alias("parte"), "primera",
                          F.coalesce("items", empty).alias("items"))
 
 

@@ -146,7 +146,7 @@ def to_usd(spark, d):
     currency = F.when(F.col("o_orderstatus") == "F", "USD").when(F.col("o_orderstatus") == "O", "col")
     code = conform.canonical_currency(F.coalesce(currency, F.lit("EUR")))
     rows = t.orders.withColumn("d", F.to_date("o_orderdate")).join(
-        F.broadcast(cal.select(F.col("DateValue").alias("d"), "TipoCambio_USD_CRC")), "d", "left")
+        cal.select(F.col("DateValue").alias("d"), "TipoCambio_USD_CRC"), "d", "left")
     return rows.select("o_orderkey", money.to_usd(F.col("o_totalprice").cast("decimal(18,2)"), code,
                                                   "TipoCambio_USD_CRC").cast("double").alias("usd"))
 

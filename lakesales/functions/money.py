@@ -9,8 +9,9 @@ from lakesales._cols import C, as_col
 from lakesales.schemas import CRC, USD
 
 _SYMBOLS = "₡$€ \t\r\n\u00a0"
-_PLAIN = r"^-?\d+(\.\d+)?$"
-_GROUPED = r"^-?\d{1,3}(,\d{3})+(\.\d+)?$"
+# decimals beyond the wanted ones may only be zeros
+_PLAIN = r"^-?\d+(\.\d{1,%d}0*)?$"
+_GROUPED = r"^-?\d{1,3}(,\d{3})+(\.\d{1,%d}0*)?$"
 _MONEY_STEPS = [
     # a comma behind dots is the decimal mark, noted as #
     (r"^(-?\d*\.[\d.]*),(\d*)$", "$1#$2"),
@@ -22,8 +23,8 @@ _MONEY_STEPS = [
 ]
 
 
-def parse_money(c: C, locale: str | None = None) -> Column:
-    """Text to decimal(18,2), NULL when it is no amount.
+def parse_money(c: C, locale: str | None = None, scale: int = 2) -> Column:
+    """Text to decimal(16+scale,scale), NULL when it is no amount or has more decimals: nothing is rounded.
 
     With both marks present the right-most is the decimal mark. A lone comma that sets off
     groups of three is a thousands mark, else a decimal mark. One dot is a decimal mark and
@@ -39,11 +40,12 @@ def parse_money(c: C, locale: str | None = None) -> Column:
         text = F.replace(text, F.lit(code), F.lit(""))
     for pattern, replacement in _MONEY_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
-    number = F.regexp_extract(F.translate(text, ",#", ".."), _PLAIN, 0)
+    kind, plain = f"decimal({16 + scale},{scale})", _PLAIN % scale
+    number = F.regexp_extract(F.translate(text, ",#", ".."), plain, 0)
     # most amounts are plain or neatly grouped and skip the long way
-    return (F.when(raw.rlike(_PLAIN), raw.try_cast("decimal(18,2)"))
-            .when(raw.rlike(_GROUPED), F.translate(raw, ",", "").try_cast("decimal(18,2)"))
-            .otherwise(number.try_cast("decimal(18,2)")))
+    return (F.when(raw.rlike(plain), raw.try_cast(kind))
+            .when(raw.rlike(_GROUPED % scale), F.translate(raw, ",", "").try_cast(kind))
+            .otherwise(number.try_cast(kind)))
 
 
 def format_money(c: C) -> Column:
@@ -51,22 +53,37 @@ def format_money(c: C) -> Column:
     return F.format_number(as_col(c), 2)
 
 
+def whole(c: C) -> Column:
+    """The value where it is a whole number of at most ten digits, else NULL."""
+    exact = as_col(c).try_cast("decimal(20,6)")
+    return F.when(exact == F.floor(exact), exact).try_cast("decimal(10,0)")
+
+
 def net_cents(price: C, qty: C, discount_pct: C | None = None) -> Column:
     """price x qty x (100 - discount), exact; NULL or zero discount takes nothing off.
 
-    The value is one hundred times the amount so that no division is needed.
+    The value is one hundred times the amount so that no division is needed. Prices keep six decimals and
+    discounts four; a quantity that is no whole number is refused, the value is then NULL.
     """
-    price = as_col(price).cast("decimal(18,2)")
-    qty = as_col(qty).cast("decimal(10,0)")
+    price = as_col(price).try_cast("decimal(17,6)")
     pct = F.lit(0) if discount_pct is None else F.coalesce(as_col(discount_pct), F.lit(0))
-    factor = (F.lit(100) - pct.cast("decimal(5,2)")).cast("decimal(6,2)")
-    return (price * factor * qty).cast("decimal(34,4)")
+    factor = (F.lit(100) - pct.try_cast("decimal(7,4)")).try_cast("decimal(7,4)")
+    return (price * factor * whole(qty)).cast("decimal(36,10)")
 
 
 def from_cents(c: C, scale: int = 2) -> Column:
-    """Undo the factor of one hundred and round half up."""
-    hundredth = F.lit("0.01").cast("decimal(2,2)")
-    return F.round(as_col(c) * hundredth, scale).cast(f"decimal(18,{scale})")
+    """Undo the factor of one hundred and round half up, in one step."""
+    rounded = F.round(as_col(c), scale - 2).cast(f"decimal({24 + scale},{scale - 2})")
+    return (rounded * F.lit("0.01").cast("decimal(2,2)")).cast(f"decimal(18,{scale})")
+
+
+def cents_to_usd(cents: C, currency: C, crc_per_usd: C) -> Column:
+    """Unrounded ``net_cents`` to USD; the only rounding is the one to whole cents."""
+    cents = as_col(cents)
+    rate = as_col(crc_per_usd).cast("decimal(18,6)")
+    converted = cents.cast("decimal(28,10)") / F.when(rate > 0, rate)
+    return (F.when(as_col(currency) == USD, from_cents(cents))
+            .when(as_col(currency) == CRC, from_cents(converted)))
 
 
 def to_usd(amount: C, currency: C, crc_per_usd: C, scale: int = 2) -> Column:

@@ -8,12 +8,12 @@ from pyspark.sql import functions as F
 from lakesales._cols import C, as_col
 from lakesales.functions.money import from_cents, net_cents
 
-ZERO = "decimal(38,4)"
+SUM = "decimal(38,10)"
 
 
 def _sum(items: Column, value) -> Column:
-    return F.aggregate(items, F.lit(0).cast(ZERO),
-                       lambda acc, i: (acc + value(i)).cast(ZERO))
+    return F.aggregate(items, F.lit(0).cast(SUM),
+                       lambda acc, i: (acc + value(i)).cast(SUM))
 
 
 def _net(i: Column) -> Column:
@@ -25,8 +25,9 @@ def _gross(i: Column) -> Column:
 
 
 def order_total(items: C) -> Column:
-    """Net total of an item array, rounded once at the end; no items make 0."""
-    return from_cents(F.coalesce(_sum(as_col(items), _net), F.lit(0).cast(ZERO)))
+    """Net total of an item array, rounded once at the end; no items make 0, an item without an amount makes NULL."""
+    return from_cents(F.when(F.coalesce(F.size(as_col(items)), F.lit(0)) <= 0, F.lit(0).cast(SUM))
+                      .otherwise(_sum(as_col(items), _net)))
 
 
 def order_amounts(items: C) -> Column:
@@ -56,12 +57,14 @@ def explode_items(df: DataFrame, items: str = "items", line: str = "linea",
                   keep_empty: bool = False) -> DataFrame:
     """One row per array element with its position and the element's fields beside the parent's.
 
-    Parents with an empty array vanish unless ``keep_empty``.
+    Parents with an empty array vanish unless ``keep_empty``. A column ``primera`` (the line number of the array's
+    first element, see ``keys.nest_items``) makes positions go on over the parts of one parent.
     """
-    parents = [c for c in df.columns if c != items]
+    parents = [c for c in df.columns if c not in (items, "parte", "primera")]
     generator = F.posexplode_outer if keep_empty else F.posexplode
-    rows = df.select(*parents, generator(items).alias("_pos", "_item"))
-    return rows.select(*parents, (F.col("_pos") + 1).alias(line), "_item.*")
+    first = F.coalesce("primera", F.lit(1)) if "primera" in df.columns else F.lit(1)
+    rows = df.select(*parents, first.alias("_first"), generator(items).alias("_pos", "_item"))
+    return rows.select(*parents, (F.col("_pos") + F.col("_first")).alias(line), "_item.*")
 
 
 def prefs_to_pairs(prefs: C) -> Column:
@@ -108,11 +111,6 @@ def agg_sales_rows(df: DataFrame) -> DataFrame:
                        total.alias("TotalUSD"))
 
 
-def _first_part(df: DataFrame) -> Column:
-    """True for whole orders and for the first part of an order cut into parts."""
-    return F.col("parte") == 0 if "parte" in df.columns else F.lit(True)
-
-
 def graph_nodes(df: DataFrame) -> DataFrame:
     """Nested graph orders to distinct (id, label, props) nodes; props as JSON text.
 
@@ -129,14 +127,15 @@ def graph_nodes(df: DataFrame) -> DataFrame:
 
 
 def graph_edges(df: DataFrame) -> DataFrame:
-    """Nested graph orders to order-to-customer and order-to-product relationships, in one pass."""
-    def edge(kind: str, dst: Column, props: Column) -> Column:
-        return F.struct(F.col("orden.id").alias("src"), dst.alias("dst"), F.lit(kind).alias("type"),
-                        props.alias("props"))
-
-    to_client = F.array(edge("REALIZADA_POR", F.col("cliente.id"), F.lit(None).cast("string")))
-    to_products = F.transform("items", lambda i: edge(
-        "CONTIENE", i["producto"]["id"],
-        F.to_json(F.struct(i["cantidad"].alias("cantidad"), i["precio_unit"].alias("precio_unit")))))
-    edges = F.when(_first_part(df), F.concat(to_client, to_products)).otherwise(to_products)
-    return df.select(F.explode(edges).alias("e")).select("e.*")
+    """Nested graph orders to order-to-customer and order-to-product relationships.
+
+    An order may come in several parts: its customer edge is there once all the same.
+    """
+    def edge(kind: str, dst: Column, props: Column) -> list[Column]:
+        return [F.col("orden.id").alias("src"), dst.alias("dst"), F.lit(kind).alias("type"), props.alias("props")]
+
+    to_client = df.select(*edge("REALIZADA_POR", F.col("cliente.id"), F.lit(None).cast("string"))).distinct()
+    lines = df.select("orden", F.explode("items").alias("i"))
+    to_products = lines.select(*edge("CONTIENE", F.col("i.producto.id"), F.to_json(
+        F.struct(F.col("i.cantidad").alias("cantidad"), F.col("i.precio_unit").alias("precio_unit")))))
+    return to_client.unionByName(to_products)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesales.functions.money import from_cents, net_cents
 from lakesales.session import scratch_path
 from lakesales.sources.sinks import write_table
 
@@ -48,6 +49,18 @@ def count_by_year(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(F.year(col).alias("Ano")).agg(F.count("*").alias("Cant")).orderBy("Ano")
 
 
+def line_totals(lines: DataFrame, keys: list[str], price: Column, qty: Column,
+                discount_pct: Column | None = None) -> DataFrame:
+    """Subtotal, discount, net and line count per key, added up from line rows and rounded once.
+
+    However many lines a key has, they are combined before the shuffle and none is gathered.
+    """
+    gross, net = F.sum(net_cents(price, qty)), F.sum(net_cents(price, qty, discount_pct))
+    return lines.groupBy(*keys).agg(
+        from_cents(gross).alias("subtotal"), from_cents(gross - net).alias("descuento"),
+        from_cents(net).alias("neto"), F.count("*").alias("lineas"))
+
+
 def order_stats(df: DataFrame, total: str = "total") -> DataFrame:
     """Count, revenue, average (2 decimals), smallest and largest; zeros when there are no rows.
 

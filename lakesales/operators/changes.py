@@ -31,7 +31,21 @@ def latest_per_key(df: DataFrame, key: str, order: str) -> DataFrame:
     return newest.select(key, *[F.col(f"_r.{c}").alias(c) for c in rest])
 
 
-def _patched(df: DataFrame, patches: DataFrame, key: str, supplied: str) -> DataFrame:
+def one_per_key(df: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row per key: the last by ``order``, or an error where a key has two rows and nothing orders them."""
+    rest = [c for c in df.columns if c not in keys]
+    row = F.struct(*rest)
+    best = F.max_by(row, F.col(order)) if order else F.any_value(row)
+    kept = df.groupBy(*keys).agg(best.alias("_r"), F.count("*").alias("_n"))
+    if not order:
+        many = F.raise_error(F.concat(F.lit("several rows for one key: "), F.concat_ws(
+            "|", *[F.col(k).cast("string") for k in keys])))
+        kept = kept.withColumn("_r", F.when(F.col("_n") == 1, F.col("_r")).otherwise(many))
+    return kept.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def _patched(df: DataFrame, patches: DataFrame, key: str, supplied: str, order: str | None) -> DataFrame:
+    patches = one_per_key(patches, [key], order)
     fields = [c for c in patches.columns if c in df.columns and c != key and c not in PROTECTED]
     incoming = patches.select(F.col(key), F.lit(True).alias("_hit"),
                               *([F.col(supplied).alias("_set")] if supplied in patches.columns else []),
@@ -56,14 +70,14 @@ def _patched(df: DataFrame, patches: DataFrame, key: str, supplied: str) -> Data
 
 
 def apply_patches(df: DataFrame, patches: DataFrame, key: str, run_ts: Column,
-                  supplied: str = "supplied") -> DataFrame:
+                  supplied: str = "supplied", order: str | None = None) -> DataFrame:
     """Overwrites supplied fields only, keeps ``creado``, sets ``actualizado`` on patched rows.
 
     ``supplied`` is an array column naming the fields a patch sets, which lets it set NULL;
-    without it the non-NULL fields count as supplied. New items recompute the total. Patches are
-    one per key; reduce them with ``latest_per_key`` first if they may repeat.
+    without it the non-NULL fields count as supplied. New items recompute the total. Of several patches of a key
+    the last by the column ``order`` counts; without such a column they are an error.
     """
-    out = _patched(df, patches, key, supplied)
+    out = _patched(df, patches, key, supplied, order)
     if "actualizado" in df.columns:
         out = out.withColumn("actualizado", F.when(F.col("_hit"), run_ts).otherwise(F.col("actualizado")))
     return out.select(*df.columns)
@@ -79,9 +93,9 @@ def apply_deletes(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, D
 
 
 def change_report(df: DataFrame, patches: DataFrame, key: str,
-                  supplied: str = "supplied") -> DataFrame:
+                  supplied: str = "supplied", order: str | None = None) -> DataFrame:
     """Every patch key with its outcome: modified, unchanged or not found."""
-    hit = _patched(df, patches, key, supplied).where("_hit").select(key, "_changed")
+    hit = _patched(df, patches, key, supplied, order).where("_hit").select(key, "_changed")
     state = (F.when(F.col("_changed").isNull(), "not found")
              .when(F.col("_changed"), "modified").otherwise("unchanged"))
     return patches.select(key).distinct().join(hit, key, "left").select(key, state.alias("estado"))
@@ -102,11 +116,12 @@ def shift_years(df: DataFrame, cols: Sequence[str], years: int) -> DataFrame:
 
 
 def upsert_dim(existing: DataFrame, incoming: DataFrame, natural: list[str], surrogate: str,
-               run_ts: Column) -> DataFrame:
+               run_ts: Column, order: str | None = None) -> DataFrame:
     """Type-1 upsert: known members keep their key and creation time, new ones get the next keys.
 
-    ``incoming`` has one row per natural key.
+    Of several incoming rows of a member the last by ``order`` counts; without it they are an error.
     """
+    incoming = one_per_key(incoming, natural, order)
     attributes = [c for c in existing.columns
                   if c not in (*natural, surrogate, "FechaCreacion", "FechaActualizacion")]
     new = incoming.select(*natural, *[F.col(c).alias(f"_new_{c}") for c in attributes],

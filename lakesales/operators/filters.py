@@ -73,11 +73,21 @@ def paginate(df: DataFrame, page: int, limit: int, order_by) -> DataFrame:
                        summary.select("pages").scalar().alias("pages"))
 
 
-def page_after(df: DataFrame, order_by: str, last, limit: int) -> DataFrame:
-    """Next page behind a key already seen: costs the same however deep the page is."""
+def page_after(df: DataFrame, order_by: str, last, limit: int, tie: str | None = None, last_tie=None) -> DataFrame:
+    """Next page behind the row already seen: costs the same however deep the page is. The way to read on.
+
+    ``tie`` is a unique key that parts rows of one ``order_by``; rows without a value in ``order_by`` come last.
+    The first page has neither ``last`` nor ``last_tie``; a page that ended among rows without a value is
+    continued with ``last=None`` and its ``last_tie``.
+    """
     _check_page(1, limit)
-    rows = df if last is None else df.where(F.col(order_by) > F.lit(last))
-    return rows.orderBy(order_by).limit(limit)
+    value, key = F.col(order_by), F.col(tie or order_by)
+    if last is not None:
+        behind = value.isNull() | (value > F.lit(last))
+        df = df.where(behind | ((value == F.lit(last)) & (key > F.lit(last_tie))) if tie else behind)
+    elif last_tie is not None:
+        df = df.where(value.isNull() & (key > F.lit(last_tie)))
+    return df.orderBy(value.asc_nulls_last(), key.asc()).limit(limit)
 
 
 def sort_columns(sort: str, tie: str) -> list[Column]:
@@ -139,7 +149,12 @@ def map_headers(df: DataFrame, fields: Sequence[str],
 
 
 def to_response(df: DataFrame, entity: str, run_ts: Column | None = None) -> DataFrame:
-    """Stored documents to the listing shape: text id, defaults, recomputed totals."""
+    """Stored documents to the listing shape: text id, defaults, recomputed totals.
+
+    Orders come with their items, from which the total is added up, or without: then ``total`` is what
+    ``aggregates.line_totals`` found in the line rows (NULL there: no lines, 0). An order stored in several parts
+    has to come the second way.
+    """
     now = F.current_timestamp() if run_ts is None else run_ts
     ident = F.col("_id").cast("string").alias("id")
 
@@ -148,9 +163,13 @@ def to_response(df: DataFrame, entity: str, run_ts: Column | None = None) -> Dat
 
     if entity == "ordenes":
         note = F.coalesce("descripcion", "metadatos") if "metadatos" in df.columns else F.col("descripcion")
-        return df.select(ident, "cliente_id", "fecha", "canal", "moneda", "items",
-                         note.alias("descripcion"), order_total("items").alias("total"),
-                         stamp("creado"), stamp("actualizado"))
+        if "parte" in df.columns:
+            raise ValueError("orders in parts: add up their lines and give one row an order")
+        whole = "items" in df.columns
+        total = order_total("items") if whole else F.coalesce("total", F.lit(0)).cast("decimal(18,2)")
+        return df.select(ident, "cliente_id", "fecha", "canal", "moneda", *(["items"] if whole else []),
+                         note.alias("descripcion"), total.alias("total"), stamp("creado"), stamp("actualizado"),
+                         *(["lineas"] if "lineas" in df.columns else []))
     if entity == "productos":
         code = F.coalesce("codigo", "codigo_mongo", F.lit(""))
         same = F.struct(F.col("equivalencias.sku").alias("sku"),

@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 
 from lakesales._cols import as_list
 from lakesales.functions.text import blank_to_null, norm_key
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import write_table
 
 
 def join_lines(lines: DataFrame, headers: DataFrame, key: str = "DocEntry") -> DataFrame:
@@ -23,10 +25,12 @@ def star_lookup(fact: DataFrame, dim: DataFrame, fact_code: Column, dim_code: st
                 columns: list[str]) -> DataFrame:
     """Left join on a text code, case and end blanks ignored; adds ``columns`` of the dimension.
 
-    No broadcast hint: customer and product dimensions grow with the data, and Spark broadcasts
-    by itself what its size estimate allows.
+    Every fact row comes back once: of members whose codes differ in case or end blanks only, the one with the
+    smallest ``columns`` counts, and ``validation.code_conflicts`` reports them. No broadcast hint: customer and
+    product dimensions grow with the data, and Spark broadcasts by itself what its size estimate allows.
     """
-    keyed = dim.select(norm_key(dim_code).alias("_dim_code"), *columns)
+    keyed = (dim.groupBy(norm_key(dim_code).alias("_dim_code")).agg(F.min(F.struct(*columns)).alias("_m"))
+             .select("_dim_code", *[F.col(f"_m.{c}").alias(c) for c in columns]))
     coded = fact.withColumn("_fact_code", norm_key(fact_code))
     joined = coded.join(keyed, F.col("_fact_code") == F.col("_dim_code"), "left")
     return joined.select(*fact.columns, *columns)
@@ -68,7 +72,8 @@ def asof_backward(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
     Both sides are first reduced to distinct (key, time) points, so copies cost nothing, and time
     is cut into slices holding equal numbers of points. A slice is filled by a window over
     (key, slice), and the value carried into it comes from a table of one row per (key, slice).
-    A key that owns a third of all rows is thus spread over a third of the slices.
+    A key that owns a third of all rows is thus spread over a third of the slices. With more than one slice the
+    points are written to the shared folder when this is called.
     """
     by = by or []
     keys = [f"_k{i}" for i in range(len(by))]
@@ -92,11 +97,13 @@ def asof_backward(left: DataFrame, right: DataFrame, left_ts: str, right_ts: str
               .withColumn("_is_left", F.col("_side") == F.lit(1 - right_first)))
 
     if slices is None:
-        slices = min(20_000, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        slices = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = events.schema["_ts"].dataType.simpleString()
-    bounds = _slice_bounds(
-        left.select(F.col(left_ts).cast(kind).alias("_ts"))
-        .unionAll(right.select(F.col(right_ts).cast(kind).alias("_ts"))), slices)
+    bounds = []
+    if slices > 1:
+        # read three times from here on; cut points come from distinct points, so one busy instant moves none
+        events = write_table(events, scratch_path(left.sparkSession, "points"))
+        bounds = _slice_bounds(events, slices)
     events = events.withColumn("_slice", _time_slice("_ts", kind, bounds))
 
     inside = (W.partitionBy(*keys, "_slice").orderBy("_ts", "_side")
@@ -157,9 +164,16 @@ def resolve_sku(df: DataFrame, bridge: DataFrame, dim: DataFrame,
                          F.col("_mongo").alias("_m"),
                          F.coalesce(*[F.col(c) for _, c in hits]).alias("SKU_Oficial"),
                          resolved_by.alias("resolved_by"))
-    same = (blank_to_null(sku).eqNullSafe(F.col("_s")) & blank_to_null(alt).eqNullSafe(F.col("_a"))
-            & blank_to_null(mongo).eqNullSafe(F.col("_m")))
-    return df.join(codes, same, "left").drop("_s", "_a", "_m")
+    given = [blank_to_null(c) for c in (sku, alt, mongo)]
+    same = F.lit(True)
+    for code, found in zip(given, ("_s", "_a", "_m")):
+        same = same & code.eqNullSafe(F.col(found))
+    # rows without any code may be many and all share one key: a key of their own spreads them over the tasks
+    codeless = F.coalesce(*given).isNull()
+    salt = F.when(codeless, F.xxhash64(*df.columns)).otherwise(0)
+    salted = df.withColumn("_salt", salt)
+    found = salted.join(codes.withColumn("_none", F.lit(0).cast("bigint")), same & (F.col("_salt") == F.col("_none")), "left")
+    return found.drop("_s", "_a", "_m", "_salt", "_none")
 
 
 def name_key(name: str, category: str) -> list[Column]:
@@ -181,11 +195,6 @@ def match_by_name(df: DataFrame, dim: DataFrame, name: str = "nombre",
     return joined.select(*df.columns, sku.alias("SKU_Oficial"), why.alias("motivo"))
 
 
-def referenced(df: DataFrame, ref: DataFrame, key: str, ref_key: str) -> DataFrame:
-    keys = ref.select(F.col(ref_key).alias("_ref"))
-    return df.join(keys, F.col(key) == F.col("_ref"), "left_semi")
-
-
 def orphans(df: DataFrame, ref: DataFrame, key: str | list[str],
             ref_key: str | list[str]) -> DataFrame:
     """Rows whose key is set but unknown to ``ref``."""

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from lakesales.session import scratch_path
 from lakesales.sources.sinks import write_table
 
 BUCKET_CHARS = 3  # 4096 buckets
-MAX_HOT_KEYS = 10_000
+#: Items of one stored document.
+MAX_ITEMS = 10_000
 
 
 def key_bucket(cols: list[str], chars: int = BUCKET_CHARS) -> Column:
@@ -39,46 +39,46 @@ def assign_keys(df: DataFrame, by: list[str], key: str, start: Column | int = 1,
     return numbered.join(F.broadcast(offsets), "_b").select(value.alias(key), *df.columns)
 
 
-def hot_keys(df: DataFrame, keys: list[str], max_rows: int) -> DataFrame:
-    """Keys holding more than ``max_rows`` rows with the number of parts they need."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > max_rows)
-    return counts.select(*keys, F.ceil(F.col("_n") / max_rows).cast("int").alias("_parts"))
+def number_within(df: DataFrame, keys: list[str], order: list[Column], number: str = "linea") -> DataFrame:
+    """Numbers 1, 2, ... of the rows of each key in the given order; equal rows may swap.
 
-
-def split_groups(df: DataFrame, keys: list[str], max_rows: int, part: str = "parte") -> DataFrame:
-    """Adds a part number so that no (keys, part) group has many more than ``max_rows`` rows.
-
-    Ordinary groups are one part, number 0. The keys are counted first (combined before the
-    shuffle). Rows of oversized keys, if there are any, are dealt out by their position, which
-    spreads copies of one row too; that deal is written to the shared folder so that a lost
-    executor cannot change it. Up to 10000 oversized keys are broadcast, more use a shuffle.
+    Rows are sorted into ranges of (key, order), so a key with a third of all rows lies in many ranges. Each range
+    is numbered by itself and goes on from the ranges before it. Only keys that reach over the edge of a range need
+    that start, so there is at most one for each range. The ranges are written down, so a task that runs again
+    sees the same ones.
     """
-    hot = hot_keys(df, keys, max_rows)
-    found = hot.take(MAX_HOT_KEYS + 1)
-    if not found:
-        return df.withColumn(part, F.lit(0))
-    if len(found) <= MAX_HOT_KEYS:
-        fields = [T.StructField(f.name, f.dataType) for f in hot.schema]
-        hot = F.broadcast(df.sparkSession.createDataFrame(found, T.StructType(fields)))
-    renamed = hot.select(*[F.col(k).alias(f"_h{i}") for i, k in enumerate(keys)], "_parts")
-    same = F.lit(True)
+    spark = df.sparkSession
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tagged = df.select("*", *[o.alias(f"_o{i}") for i, o in enumerate(order)])
+    sort = [F.col(k) for k in keys] + [F.col(f"_o{i}") for i in range(len(order))]
+    placed = write_table(tagged.repartitionByRange(ranges, *sort).withColumn("_range", F.spark_partition_id()),
+                         scratch_path(spark, "ranges"))
+    counts = placed.groupBy(*keys, "_range").agg(F.count("*").alias("_n"))
+    earlier = W.partitionBy(*keys).orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    starts = counts.withColumn("_start", F.sum("_n").over(earlier)).where("_start is not null").select(
+        *[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_range").alias("_r"), "_start")
+    same = F.col("_range") == F.col("_r")
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"_h{i}"))
-    deal = F.pmod(F.monotonically_increasing_id(), F.col("_parts").cast("bigint")).cast("int")
-    dealt = df.join(renamed, same).select(*df.columns, deal.alias(part))
-    dealt = write_table(dealt, scratch_path(df.sparkSession, "dealt"))
-    whole = df.join(renamed, same, "left_anti").withColumn(part, F.lit(0))
-    return whole.unionByName(dealt)
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    inside = F.row_number().over(W.partitionBy(*keys, "_range").orderBy(*sort[len(keys):]))
+    numbered = placed.withColumn("_in", inside).join(F.broadcast(starts), same, "left")
+    return numbered.select(*df.columns, (F.col("_in") + F.coalesce("_start", F.lit(0))).alias(number))
 
 
 def nest_items(lines: DataFrame, keys: list[str], item: Column, items: str = "items",
-               max_items: int = 10_000) -> DataFrame:
-    """Line table to one nested row per key: (keys, parte, items[]).
+               max_items: int | None = None) -> DataFrame:
+    """Line table to documents: (keys, parte, primera, items[]), for a store whose documents are bounded.
 
-    A key with more than ``max_items`` lines continues in further parts, as a document store
-    with bounded documents has to; every line is in exactly one part. Items are sorted so that
-    the array does not depend on shuffle order.
+    A document holds ``max_items`` items (``MAX_ITEMS`` by default) and a key with more goes on in the next part.
+    ``parte`` counts from 0 without gaps, every part but the last is full, and ``primera`` is the number of the
+    part's first line, so ``explode_items`` gives the same rows whatever the bound. Amounts, counts and checks of
+    whole orders are taken from the lines, not from documents.
     """
-    cut = split_groups(lines, keys, max_items)
-    group = cut.groupBy(*keys, "parte")
-    return group.agg(F.array_sort(F.collect_list(item)).alias(items))
+    size = max_items or MAX_ITEMS
+    numbered = number_within(lines.withColumn("_item", item), keys, [F.col("_item")], "_line")
+    part = F.floor((F.col("_line") - 1) / size).cast("int")
+    rows = numbered.select(*keys, part.alias("parte"), "_line", "_item")
+    grouped = rows.groupBy(*keys, "parte").agg(
+        F.array_sort(F.collect_list(F.struct("_line", "_item"))).alias("_rows"))
+    return grouped.select(*keys, "parte", (F.col("parte") * size + 1).alias("primera"),
+                          F.col("_rows._item").alias(items))

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesales.functions.money import from_cents
+from lakesales.functions.text import norm_key
 from lakesales.functions.nested import order_total
 from lakesales.functions.text import is_email
 
@@ -71,21 +72,47 @@ def parsed(field: str, raw: str, what: str) -> Rule:
     return Rule(raw, "format", f"{raw} is no valid {what}", blank | F.col(field).isNotNull())
 
 
+# what must hold for each item of a stored order: rule, message, check
+ITEM_RULES = [
+    ("item_required", "items need producto_id, cantidad and precio_unit",
+     lambda i: i("producto_id").isNotNull() & i("cantidad").isNotNull() & i("precio_unit").isNotNull()),
+    ("item_quantity", "cantidad must be a whole number >= 1",
+     lambda i: F.coalesce((i("cantidad") >= 1) & (i("cantidad") == F.floor(i("cantidad"))), F.lit(True))),
+    ("item_price", "precio_unit must be >= 0", lambda i: F.coalesce(i("precio_unit") >= 0, F.lit(True))),
+    ("item_discount", "descuento_pct must be in 0..100",
+     lambda i: F.coalesce(i("descuento_pct").between(0, 100), F.lit(True))),
+]
+
+
+def _order_fields() -> list[Rule]:
+    return [required("cliente_id"), required("fecha"), required("moneda"), required("total")]
+
+
 def order_document_rules() -> list[Rule]:
-    """Required fields and item shape of stored orders."""
-    return [
-        required("cliente_id"), required("fecha"), required("moneda"), required("total"),
-        has_items(),
-        every_item("items", "item_required", "items need producto_id, cantidad and precio_unit",
-                   lambda i: i["producto_id"].isNotNull() & i["cantidad"].isNotNull()
-                   & i["precio_unit"].isNotNull()),
-        every_item("items", "item_quantity", "cantidad must be >= 1",
-                   lambda i: F.coalesce(i["cantidad"] >= 1, F.lit(True))),
-        every_item("items", "item_price", "precio_unit must be >= 0",
-                   lambda i: F.coalesce(i["precio_unit"] >= 0, F.lit(True))),
-        every_item("items", "item_discount", "descuento_pct must be in 0..100",
-                   lambda i: F.coalesce(i["descuento_pct"].between(0, 100), F.lit(True))),
-    ]
+    """Required fields and item shape of stored orders that hold all their items."""
+    def on_item(check):
+        return lambda i: check(lambda field: i[field])
+
+    return [*_order_fields(), has_items(), *[
+        every_item("items", rule, message, on_item(check)) for rule, message, check in ITEM_RULES]]
+
+
+def validate_orders(orders: DataFrame, lines: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Orders and their item rows against the rules of stored orders: good orders, reject lines.
+
+    ``lines`` has the key and the item fields. Each rule is judged once an order, over all its items, in an
+    aggregate that combines before the shuffle; an order stored in several parts is one order.
+    """
+    checks = lines.groupBy(key).agg(F.count("*").alias("_items"), *[
+        F.bool_and(check(F.col)).alias(f"_{rule}") for rule, _, check in ITEM_RULES])
+    both = orders.join(checks, key, "left")
+    rules = [*_order_fields(), Rule("items", "items", "items needs at least 1 line",
+                                    F.coalesce("_items", F.lit(0)) >= 1)]
+    rules += [Rule("items", rule, message, F.coalesce(F.col(f"_{rule}"), F.lit(True)))
+              for rule, message, _ in ITEM_RULES]
+    flagged = with_errors(both, rules)
+    good = flagged.where(F.size("errors") == 0).select(*orders.columns)
+    return good, explode_errors(flagged, key)
 
 
 def with_errors(df: DataFrame, rules: Sequence[Rule], errors: str = "errors") -> DataFrame:
@@ -134,6 +161,15 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
     return set_keys.groupBy(*keys).agg(F.count("*").alias("veces")).where("veces > 1")
 
 
+def code_conflicts(df: DataFrame, code: str, by: list[str] | None = None) -> DataFrame:
+    """Codes that stand for more than one different row, case and end blanks aside: code and the number of rows."""
+    rest = [c for c in df.columns if c not in (by or [])]
+    different = df.select(*[F.col(b) for b in by or []], norm_key(code).alias("_code"),
+                          F.struct(*rest).alias("_r")).where("_code is not null").distinct()
+    counted = different.groupBy(*(by or []), F.col("_code").alias("codigo")).agg(F.count("*").alias("miembros"))
+    return counted.where("miembros > 1")
+
+
 def total_mismatch(headers: DataFrame, lines: DataFrame, key: str, total: str, price: str,
                    qty: str, discount: str | None = None, tolerance: str = "0.00") -> DataFrame:
     """Headers whose stored total differs from the total of their lines (0 without lines)."""

@@ -48,12 +48,19 @@ def calendar(bounds: DataFrame) -> DataFrame:
 
 
 def attach_rates(cal: DataFrame, rates: DataFrame) -> DataFrame:
-    """Rate of the very day; one rate per day, the greatest if a day is given twice."""
+    """Rate of the very day; one rate per day, the greatest if a day is given twice, see ``rate_conflicts``."""
     daily = rates.groupBy(F.col("Fecha").alias("DateValue")).agg(
         F.max("TipoCambio_USD_CRC").alias("TipoCambio_USD_CRC"))
     return cal.join(daily, "DateValue", "left")
 
 
+def rate_conflicts(rates: DataFrame) -> DataFrame:
+    """Days that are given two or more different rates."""
+    days = rates.where("Fecha is not null and TipoCambio_USD_CRC is not null").groupBy("Fecha").agg(
+        F.count_distinct("TipoCambio_USD_CRC").alias("tasas"))
+    return days.where("tasas > 1")
+
+
 def calendar_fx(bounds: DataFrame, rates: DataFrame) -> DataFrame:
     """Calendar with the day's rate, gaps filled from the newest earlier rate row.
 
@@ -77,7 +84,8 @@ def dim_customer(ocrd: DataFrame, zonas: DataFrame) -> DataFrame:
         F.lit(1).cast("bigint").alias("CustomerKey"), F.lit(FALLBACK_CARD_CODE).alias("CardCode"),
         F.lit(FALLBACK_CARD_NAME).alias("CardName"), F.lit("C").alias("CardType"),
         F.lit(None).cast("string").alias("Zone"), F.lit(None).cast("string").alias("Country"))
-    return seed.unionByName(assign_keys(members, ["CardCode"], "CustomerKey", start=2))
+    rest = [c for c in members.columns if c != "CardCode"]
+    return seed.unionByName(assign_keys(members, ["CardCode"], "CustomerKey", start=2, tie=rest))
 
 
 def dim_product(oitm: DataFrame, oitw: DataFrame, on_many: str = "error") -> DataFrame:
@@ -94,7 +102,7 @@ def dim_product(oitm: DataFrame, oitw: DataFrame, on_many: str = "error") -> Dat
     rows = (oitm.join(stock, norm_key("ItemCode") == norm_key("_item"), "left")
             .select("ItemCode", "ItemName", F.col("u_mARCA").alias("Brand"), "OnHand", "AvgPrice")
             .distinct())
-    return assign_keys(rows, ["ItemCode"], "ProductKey", tie=["AvgPrice"])
+    return assign_keys(rows, ["ItemCode"], "ProductKey", tie=[c for c in rows.columns if c != "ItemCode"])
 
 
 def dim_currency(spark: SparkSession) -> DataFrame:
@@ -158,13 +166,12 @@ def fact_monthly(agg: DataFrame, customers: DataFrame, products: DataFrame, curr
                  cal: DataFrame) -> DataFrame:
     """Monthly USD sales on the first of the month for the catch-all customer.
 
-    A month without a rate is converted at 1. The calendar has one row per day, its size is
-    checked when it is built, so it is broadcast.
+    A month without a rate is converted at 1.
     """
     rows, _ = split_agg_sales(agg)
     rows = star_lookup(rows, products, F.col("item"), "ItemCode", ["ProductKey"])
     daily = cal.select("DateValue", "TipoCambio_USD_CRC")
-    rows = rows.join(F.broadcast(daily), "DateValue", "left")
+    rows = rows.join(daily, "DateValue", "left")
     rate = F.coalesce("TipoCambio_USD_CRC", F.lit(1).cast("decimal(18,6)"))
     return rows.select(
         date_key("DateValue").alias("DateKey"),
@@ -198,7 +205,7 @@ def write_fact(fact: DataFrame, path: str, run_ts: Column | None = None) -> Data
         "Year", "Month", "CustomerKey")
     keyed = placed.select((F.monotonically_increasing_id() + 1).alias("SalesKey"),
                           *placed.columns, now.alias("InsertedAt"))
-    keyed.write.mode("overwrite").partitionBy("Year", "Month").parquet(path)
+    keyed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("Year", "Month").parquet(path)
     return fact.sparkSession.read.parquet(path)
 
 
@@ -234,6 +241,9 @@ def run_sales_dw(spark: SparkSession, erp: Mapping[str, DataFrame], rates: DataF
     twice = duplicates(products.select(norm_key("ItemCode").alias("ItemCode")), ["ItemCode"])
     if twice.take(1):
         raise ValueError("item codes with several stock prices, see dim_product(on_many='avg')")
+    # codes are unique without regard to case, so two members of one code would count its sales twice
+    if duplicates(customers.select(norm_key("CardCode").alias("CardCode")), ["CardCode"]).take(1):
+        raise ValueError("customer codes with several members, see validation.code_conflicts")
     fact = build_fact_sales(
         fact_invoices(erp["OINV"], erp["INV1"], customers, products, currencies, grain),
         fact_credit_notes(erp["ORIN"], erp["RIN1"], customers, products, currencies, grain),

@@ -7,30 +7,33 @@ from pyspark.sql import functions as F
 
 from lakesales.functions.conform import canonical_channel, canonical_currency, unify_gender
 from lakesales.functions.dates import (date_key, month_name_es, parse_date_text, weekday_name_es)
-from lakesales.functions.money import from_cents, net_cents, parse_money, to_usd
+from lakesales.functions.money import cents_to_usd, net_cents, parse_money, to_usd, whole
 from lakesales.functions.text import blank_to_null, norm_key
-from lakesales.operators.joins import match_by_name, orphans, resolve_sku
+from lakesales.operators.joins import match_by_name, resolve_sku
 from lakesales.operators.keys import assign_keys
-from lakesales.operators.validation import (Rule, explode_errors, in_range, one_of, required,
+from lakesales.operators.validation import (Rule, explode_errors, in_range, max_length, one_of, required,
                                             with_errors)
 from lakesales.plans.erp_warehouse import date_spine
 from lakesales.schemas import MONEDAS, SOURCES
 from lakesales.sources.sinks import write_table
 
 
-def time_dimension(bounds: DataFrame) -> DataFrame:
+def _now(run_ts: Column | None) -> Column:
+    return F.current_timestamp() if run_ts is None else run_ts
+
+
+def time_dimension(bounds: DataFrame, run_ts: Column | None = None) -> DataFrame:
     d = F.col("d")
     return date_spine(bounds).select(
         date_key(d).alias("TiempoID"), d.alias("FechaCompleta"), F.dayofmonth(d).alias("Dia"),
         F.month(d).alias("Mes"), F.quarter(d).alias("Trimestre"), F.year(d).alias("Anio"),
         month_name_es(d).alias("NombreMes"), weekday_name_es(d).alias("NombreDiaSemana"),
         F.dayofweek(d).alias("DiaSemana"), F.dayofweek(d).isin(1, 7).alias("EsFinDeSemana"),
-        F.date_format(d, "yyyy-MM").alias("MesAnio"))
+        F.date_format(d, "yyyy-MM").alias("MesAnio"), _now(run_ts).alias("FechaCreacion"))
 
 
 def _stamped(df: DataFrame, run_ts: Column | None) -> DataFrame:
-    now = F.current_timestamp() if run_ts is None else run_ts
-    return df.withColumns({"FechaCreacion": now, "FechaActualizacion": now})
+    return df.withColumns({"FechaCreacion": _now(run_ts), "FechaActualizacion": _now(run_ts)})
 
 
 def clean_customers(landed: DataFrame, default_country: str = "No Especificado",
@@ -77,8 +80,33 @@ def dim_producto(landed: DataFrame, run_ts: Column | None = None) -> DataFrame:
     return _stamped(assign_keys(rows, ["SKU_Oficial"], "ProductoID"), run_ts)
 
 
+def check_products(landed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Source products that may enter the dimension, and the reject lines of the others."""
+    flagged = with_errors(landed, [
+        required("nombre"), max_length("nombre", 150), required("categoria"), max_length("categoria", 80),
+        max_length("sku", 40), one_of("FuenteOrigen", SOURCES)])
+    return flagged.where(F.size("errors") == 0).drop("errors"), explode_errors(flagged, "producto_id")
+
+
+def _one_sku(pairs: DataFrame) -> DataFrame:
+    """Codes that lead to exactly one SKU."""
+    return (pairs.groupBy("FuenteOrigen", "CodigoFuente")
+            .agg(F.min("SKU_Oficial").alias("SKU_Oficial"), F.max("SKU_Oficial").alias("_other"))
+            .where("SKU_Oficial = _other").drop("_other"))
+
+
+def sku_conflicts(pairs: DataFrame) -> DataFrame:
+    """Codes that lead to different SKUs; they resolve nothing until someone decides."""
+    return (pairs.groupBy("FuenteOrigen", "CodigoFuente").agg(F.count_distinct("SKU_Oficial").alias("skus"))
+            .where("skus > 1"))
+
+
 def stated_codes(landed: DataFrame) -> DataFrame:
-    """Code to SKU pairs the sources state themselves, as bridge rows."""
+    """Code to SKU pairs the sources state themselves, as bridge rows; contradictions are left out."""
+    return _one_sku(stated_pairs(landed))
+
+
+def stated_pairs(landed: DataFrame) -> DataFrame:
     sku = norm_key(F.trim("sku"))
     known = landed.where(blank_to_null("sku").isNotNull())
     own = known.select("FuenteOrigen", F.col("CodigoFuente"), sku.alias("SKU_Oficial"))
@@ -88,8 +116,7 @@ def stated_codes(landed: DataFrame) -> DataFrame:
                          F.col("codigo_mongo").alias("CodigoFuente"), sku.alias("SKU_Oficial"))
     pairs = own.unionByName(alt).unionByName(mongo).select(
         "FuenteOrigen", blank_to_null("CodigoFuente").alias("CodigoFuente"), "SKU_Oficial")
-    return (pairs.where("CodigoFuente is not null").groupBy("FuenteOrigen", "CodigoFuente")
-            .agg(F.min("SKU_Oficial").alias("SKU_Oficial")))
+    return pairs.where("CodigoFuente is not null")
 
 
 def resolve_products(landed: DataFrame, dim: DataFrame,
@@ -104,10 +131,13 @@ def resolve_products(landed: DataFrame, dim: DataFrame,
 
 
 def product_bridge(resolved: DataFrame) -> DataFrame:
-    """(FuenteOrigen, CodigoFuente) to SKU, one row per code."""
-    return (resolved.where("SKU_Oficial is not null and CodigoFuente is not null")
-            .groupBy("FuenteOrigen", "CodigoFuente")
-            .agg(F.min("SKU_Oficial").alias("SKU_Oficial")))
+    """(FuenteOrigen, CodigoFuente) to SKU, one row per code; contradictions are in ``sku_conflicts``."""
+    return _one_sku(resolved.where("SKU_Oficial is not null and CodigoFuente is not null"))
+
+
+def map_producto(bridge: DataFrame, run_ts: Column | None = None) -> DataFrame:
+    """The bridge with its key and creation time, as it is stored."""
+    return assign_keys(bridge, ["FuenteOrigen", "CodigoFuente"], "MapID").withColumn("FechaCreacion", _now(run_ts))
 
 
 def dim_canal(orders: DataFrame, channel: str = "canal", run_ts: Column | None = None) -> DataFrame:
@@ -125,9 +155,9 @@ def clean_lines(landed: DataFrame) -> DataFrame:
         F.to_date(parse_date_text("fecha")).alias("Fecha"),
         canonical_channel("canal").alias("NombreCanal"),
         canonical_currency("moneda").alias("MonedaOrigen"),
-        blank_to_null("cantidad").try_cast("int").alias("Cantidad"),
-        parse_money("precio_unit").alias("Precio"),
-        blank_to_null("descuento_pct").try_cast("decimal(5,2)").alias("DescuentoPct"))
+        whole(blank_to_null("cantidad")).try_cast("int").alias("Cantidad"),
+        parse_money("precio_unit", scale=6).alias("Precio"),
+        blank_to_null("descuento_pct").try_cast("decimal(7,4)").alias("DescuentoPct"))
     return typed.withColumn("TiempoID", date_key("Fecha"))
 
 
@@ -160,11 +190,11 @@ def check_sales(landed: DataFrame, customers: DataFrame, lookup: DataFrame, chan
 
     Customers and products are joined on (source, natural key). ``lookup`` is ``product_lookup``:
     codes and names were resolved there once per product, so lines meet one table only. The
-    calendar has one row per day and is broadcast.
+    calendar has one row per day.
     """
     rows = clean_lines(landed)
     rate = cal.select(F.col("DateValue").alias("Fecha"), "TipoCambio_USD_CRC")
-    rows = rows.join(F.broadcast(rate), "Fecha", "left")
+    rows = rows.join(rate, "Fecha", "left")
     rows = rows.join(channels.select("NombreCanal", "CanalID"), "NombreCanal", "left")
     who = customers.select("FuenteOrigen", "ClienteID_Natural", "ClienteID")
     rows = rows.join(who, ["FuenteOrigen", "ClienteID_Natural"], "left")
@@ -175,10 +205,10 @@ def check_sales(landed: DataFrame, customers: DataFrame, lookup: DataFrame, chan
 def fact_ventas(checked: DataFrame) -> DataFrame:
     """Accepted lines in USD; the total is rounded once, from the unrounded amount."""
     good = checked.where(F.size("errors") == 0)
-    net = from_cents(net_cents("Precio", "Cantidad", "DescuentoPct"), 4)
+    net = net_cents("Precio", "Cantidad", "DescuentoPct")
     return good.select(
         "TiempoID", "ClienteID", "ProductoID", "CanalID", "OrdenID_Natural", "MonedaOrigen",
-        to_usd(net, "MonedaOrigen", "TipoCambio_USD_CRC").alias("TotalVentaUSD"), "Cantidad",
+        cents_to_usd(net, "MonedaOrigen", "TipoCambio_USD_CRC").alias("TotalVentaUSD"), "Cantidad",
         to_usd("Precio", "MonedaOrigen", "TipoCambio_USD_CRC").alias("PrecioUnitUSD"),
         "DescuentoPct", "FuenteOrigen")
 
@@ -191,12 +221,17 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
     once before the fact and the rejects are taken from them.
     """
     bounds = cal.agg(F.min("DateValue").alias("start"), F.max("DateValue").alias("end"))
-    times = write_table(time_dimension(bounds), f"{out}/DimTiempo")
+    times = write_table(time_dimension(bounds, run_ts), f"{out}/DimTiempo")
+    products, bad_products = check_products(products)
+    _, bad_customers = clean_customers(customers)
+    refused = write_table(bad_products.withColumn("tabla", F.lit("DimProducto")).unionByName(
+        bad_customers.withColumn("tabla", F.lit("DimCliente"))), f"{out}/staging/RechazosDimensiones")
     who = write_table(dim_cliente(customers, run_ts), f"{out}/DimCliente")
     what = write_table(dim_producto(products, run_ts), f"{out}/DimProducto")
     channels = write_table(dim_canal(lines, run_ts=run_ts), f"{out}/DimCanal")
     resolved = write_table(resolve_products(products, what), f"{out}/staging/ProductosResueltos")
-    bridge = write_table(product_bridge(resolved), f"{out}/staging/MapProducto")
+    bridge = write_table(map_producto(product_bridge(resolved), run_ts), f"{out}/MapProducto")
+    conflicts = write_table(sku_conflicts(stated_pairs(products)), f"{out}/staging/CodigosContradictorios")
     lookup = write_table(product_lookup(resolved, what), f"{out}/staging/ProductoLookup")
     checked = write_table(check_sales(lines, who, lookup, channels, cal), f"{out}/staging/LineasRevisadas")
     now = F.current_timestamp() if run_ts is None else run_ts
@@ -206,11 +241,11 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
             "rebalance", "Anio", "Mes").sortWithinPartitions("Anio", "Mes", "ClienteID")
     fact = fact.select((F.monotonically_increasing_id() + 1).alias("VentaID"), *fact.columns,
                        now.alias("FechaCreacion"))
-    fact.write.mode("overwrite").partitionBy("Anio", "Mes").parquet(f"{out}/FactVentas")
+    fact.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("Anio", "Mes").parquet(f"{out}/FactVentas")
     rejects = checked.where(F.size("errors") > 0).select(
         "FuenteOrigen", "OrdenID_Natural", "ClienteID_Natural", "producto_id", "errors")
     return {"DimTiempo": times, "DimCliente": who, "DimProducto": what, "DimCanal": channels,
-            "MapProducto": bridge, "rechazos": write_table(rejects, f"{out}/staging/Rechazos"),
+            "MapProducto": bridge, "rechazos_dimensiones": refused, "conflictos": conflicts, "rechazos": write_table(rejects, f"{out}/staging/Rechazos"),
             "FactVentas": fact.sparkSession.read.parquet(f"{out}/FactVentas")}
 
 
@@ -221,19 +256,20 @@ def load_targets(raw: DataFrame, customers: DataFrame, products: DataFrame) -> t
                        F.col("Anio").try_cast("int").alias("Anio"),
                        F.col("Mes").try_cast("int").alias("Mes"),
                        F.col("MetaUSD").try_cast("decimal(18,2)").alias("MetaUSD"))
-    whole = typed.dropna()
-    month = F.col("Mes").between(1, 12)
-    good = (whole.where(month).join(customers.select("ClienteID"), "ClienteID", "left_semi")
-            .join(products.select("ProductoID"), "ProductoID", "left_semi"))
+    customer = customers.select("ClienteID", F.lit(True).alias("_customer")).distinct()
+    product = products.select("ProductoID", F.lit(True).alias("_product")).distinct()
     names = ["ClienteID", "ProductoID", "Anio", "Mes", "MetaUSD"]
     missing = F.lit(False)
     for c in names:
         missing = missing | F.col(c).isNull()
-    known_customer = whole.where(month).join(customers.select("ClienteID"), "ClienteID", "left_semi")
-    refused = (typed.where(missing).withColumn("motivo", F.lit("missing or unreadable field"))
-               .unionByName(whole.where(~month).withColumn("motivo", F.lit("month must be 1..12")))
-               .unionByName(orphans(whole.where(month), customers, "ClienteID", "ClienteID")
-                            .withColumn("motivo", F.lit("customer not found")))
-               .unionByName(orphans(known_customer, products, "ProductoID", "ProductoID")
-                            .withColumn("motivo", F.lit("product not found"))))
-    return good.select(*names), refused
+    # the first reason that holds; every raw row is read once and is in one of the two results
+    judged = typed.join(customer, "ClienteID", "left").join(product, "ProductoID", "left").select(
+        *names, F.when(missing, "missing or unreadable field").when(~F.col("Mes").between(1, 12), "month must be 1..12")
+        .when(F.col("_customer").isNull(), "customer not found")
+        .when(F.col("_product").isNull(), "product not found").alias("motivo"))
+    return judged.where("motivo is null").select(*names), judged.where("motivo is not null")
+
+
+def metas_ventas(good: DataFrame) -> DataFrame:
+    """Accepted targets with their key; a repeated target keeps a key of its own."""
+    return assign_keys(good, ["ClienteID", "ProductoID", "Anio", "Mes"], "MetaID", tie=["MetaUSD"])

@@ -80,8 +80,9 @@ SOURCE_TABLES = {
 }
 
 # --- documents ------------------------------------------------------------------------------
-ITEM = ("struct<producto_id:string,cantidad:int,precio_unit:decimal(18,2),"
-        "descuento_pct:decimal(5,2)>")
+# numbers keep their decimals: a fractional quantity has to be seen to be refused
+ITEM = ("struct<producto_id:string,cantidad:decimal(14,4),precio_unit:decimal(20,6),"
+        "descuento_pct:decimal(9,4)>")
 DOCUMENTS = {
     "clientes": "_id string, nombre string, email string, genero string, pais string, "
                 "preferencias map<string,string>, creado timestamp, actualizado timestamp",

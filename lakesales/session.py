@@ -21,7 +21,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # keep deep pages out of the in-memory top-k heap
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -42,10 +41,31 @@ def _own_dir() -> str:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, as the cluster names it; a local one only when unset."""
-    return (spark.conf.get("spark.checkpoint.dir", None) or _own_dir()).rstrip("/")
+    """Folder all executors can reach, as ``spark.checkpoint.dir`` names it.
+
+    Only where driver and tasks are one process a folder of this machine stands in for it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return _own_dir()
+
+
+@cache
+def _session_dir(shared: str, application: str) -> str:
+    """One folder a session below the shared one; the file system deletes it when the driver ends."""
+    base = f"{shared}/lakesales-{application}-{uuid.uuid4().hex}"
+    spark = SparkSession.getActiveSession()
+    path = spark._jvm.org.apache.hadoop.fs.Path(base)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return base
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; nothing is created until Spark writes to it."""
-    return f"{shared_dir(spark)}/lakesales-{uuid.uuid4().hex}/{name}"
+    """A fresh path for a table of this session."""
+    base = _session_dir(shared_dir(spark), spark.sparkContext.applicationId)
+    return f"{base}/{uuid.uuid4().hex}/{name}"

@@ -8,6 +8,8 @@ from pyspark.sql import Window as W
 
 from lakesales.functions.text import file_extension
 from lakesales.schemas import (AGG_SALES, DOCUMENTS, ERP, GRAPH_ORDER, RATES, SOURCE_TABLES)
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import write_table
 
 
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
@@ -16,18 +18,47 @@ def read_rates(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.to_date("Fecha").alias("Fecha"), "TipoCambio_USD_CRC")
 
 
-def read_agg_sales(spark: SparkSession, path: str, json_lines: bool = False) -> DataFrame:
-    """Monthly sales: a file holding one JSON array, or one record per line.
+CORRUPT = "_corrupt_record"
 
-    An array file is read by a single task; large exports should come as lines, which split.
+
+def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readable rows, and the text of those that could not be read whole, as (texto).
+
+    The rows are written to the shared folder first, so the files are parsed once for both.
+    """
+    if CORRUPT not in df.columns:
+        return df, df.limit(0).select(F.lit(None).cast("string").alias("texto"))
+    df = write_table(df, scratch_path(df.sparkSession, "parsed"))
+    return df.where(F.col(CORRUPT).isNull()).drop(CORRUPT), df.where(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("texto"))
+
+
+def _read_json(spark: SparkSession, path: str, schema: str, corrupt: bool, **options) -> DataFrame:
+    if corrupt:
+        schema, options = f"{schema}, {CORRUPT} string", {**options, "columnNameOfCorruptRecord": CORRUPT}
+    return spark.read.schema(schema).json(path, mode="PERMISSIVE", **options)
+
+
+def read_agg_sales(spark: SparkSession, path: str, json_lines: bool = True, corrupt: bool = False) -> DataFrame:
+    """Monthly sales, one record per line, or a file holding one JSON array (``json_lines=False``).
+
+    An array file does not split and is read by a single task; large exports have to come as lines. ``corrupt``
+    keeps the text of unreadable records, see ``split_corrupt``.
     """
-    return spark.read.schema(AGG_SALES).json(path, multiLine=not json_lines)
+    return _read_json(spark, path, AGG_SALES, corrupt, multiLine=not json_lines)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: str, key: str | None = None,
-              low: int | None = None, high: int | None = None, partitions: int = 1,
+              low: int | None = None, high: int | None = None, partitions: int = 0,
               **options: str) -> DataFrame:
-    """Relational table over JDBC, read in parallel key ranges when a numeric key is given."""
+    """Relational table over JDBC, read in parallel ranges of a numeric key.
+
+    Without a key all rows come through one task, which has to be asked for with ``partitions=1``.
+    """
+    if not key and partitions != 1:
+        raise ValueError("a parallel read needs a numeric key with its bounds")
+    if key and (low is None or high is None or partitions < 2):
+        raise ValueError("a key needs its bounds and at least two partitions")
     reader = spark.read.format("jdbc").options(
         url=url, dbtable=table, customSchema=schema, **options)
     if key:
@@ -43,11 +74,13 @@ def read_erp(spark: SparkSession, base: str, table: str) -> DataFrame:
 
 def read_source(spark: SparkSession, source: str, table: str, path: str,
                 fmt: str = "parquet") -> DataFrame:
-    """One table of a relational source with that source's own types."""
-    reader = spark.read.schema(SOURCE_TABLES[source, table])
+    """One table of a relational source with that source's own types; text files keep the text of bad rows, see
+    ``split_corrupt``."""
+    schema = SOURCE_TABLES[source, table]
     if fmt == "csv":
-        reader = reader.option("header", True)
-    return reader.format(fmt).load(path)
+        return spark.read.schema(f"{schema}, {CORRUPT} string").csv(
+            path, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    return spark.read.schema(schema).format(fmt).load(path)
 
 
 def read_documents(spark: SparkSession, path: str, collection: str) -> DataFrame:
@@ -55,14 +88,12 @@ def read_documents(spark: SparkSession, path: str, collection: str) -> DataFrame
 
     Unreadable documents keep their text in ``_corrupt_record``.
     """
-    schema = f"{DOCUMENTS[collection]}, _corrupt_record string"
-    return spark.read.schema(schema).json(path, mode="PERMISSIVE",
-                                          columnNameOfCorruptRecord="_corrupt_record")
+    return _read_json(spark, path, DOCUMENTS[collection], True)
 
 
-def read_graph_orders(spark: SparkSession, path: str) -> DataFrame:
+def read_graph_orders(spark: SparkSession, path: str, corrupt: bool = False) -> DataFrame:
     """Nested order payloads of the graph source."""
-    return spark.read.schema(GRAPH_ORDER).json(path)
+    return _read_json(spark, path, GRAPH_ORDER, corrupt)
 
 
 def read_any(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:

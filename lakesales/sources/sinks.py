@@ -15,15 +15,17 @@ def write_rejects(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: Sequence[str] = ()) -> DataFrame:
+                partition_by: Sequence[str] = (), replace: str = "all") -> DataFrame:
     """Parquet table, read back.
 
     Partitioned output is rebalanced first: small partitions share a task, and a partition with
-    much data is split over several.
+    much data is split over several. Overwriting replaces ``all`` that was there; an incremental load
+    says ``replace="partitions"`` and keeps the partitions that it does not bring.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
-    df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    overwrite_mode = {"all": "static", "partitions": "dynamic"}[replace]
+    df.write.mode(mode).option("partitionOverwriteMode", overwrite_mode).partitionBy(*partition_by).parquet(path)
     reader = df.sparkSession.read
     if mode == "overwrite" and not partition_by:
         reader = reader.schema(df.schema)  # known, so no file needs opening to infer it
@@ -43,6 +45,3 @@ def stage(df: DataFrame, view: str, materialise: bool = False) -> DataFrame:
     df.createOrReplaceTempView(view)
     return df
 
-
-def unstage(df: DataFrame, view: str) -> None:
-    df.sparkSession.catalog.dropTempView(view)

@@ -20,7 +20,7 @@ def values(spark, items, expr, kind="string"):
 @pytest.mark.parametrize("locale,cases", [
     (None, {"1200.50": "1200.50", "1,200.50": "1200.50", "84,500": "84500.00", "12,000": "12000.00",
             "1.200,50": "1200.50", "1200,5": "1200.50", "1.200.300": "1200300.00", "₡ 12,000": "12000.00",
-            "USD 5": "5.00", "-3.25": "-3.25", "1,234,567.89": "1234567.89", "0.005": "0.01",
+            "USD 5": "5.00", "-3.25": "-3.25", "1,234,567.89": "1234567.89", "0.0100": "0.01", "0.005": None,
             "abc": None, "": None, "1,2,3": None, "1.2.3": None, "12abc": None, "1e3": None, "1.2,3.4": None}),
     ("es", {"1.200,50": "1200.50", "84.500": "84500.00", "1200,50": "1200.50", "1,200.50": "1200.50"}),
 ])

@@ -15,6 +15,8 @@ from lakesales.operators import filters as Q
 from lakesales.operators import joins as J
 from lakesales.operators import keys as K
 from lakesales.operators import validation as V
+from lakesales.functions import nested as N
+from lakesales.schemas import GRAPH_ORDER
 
 
 # --- as-of ------------------------------------------------------------------------------------
@@ -77,23 +79,52 @@ def test_assign_keys_dense_and_repeatable(spark):
     assert a == b and sorted(a.values()) == list(range(10, 5010))
 
 
-def test_split_groups_keeps_every_row(spark):
+def test_numbers_within_a_key_have_no_gaps(spark):
     """One key and one exact copy hold most of the rows; a NULL key is a group too."""
     data = [("hot", 1)] * 400 + [("hot", n) for n in range(200)] + [("cold", n) for n in range(50)] + [(None, 7)] * 150
-    df = spark.createDataFrame(data, "k string, v int")
-    cut = K.split_groups(df, ["k"], 100)
-    assert rows(cut.select("k", "v")) == sorted(data, key=repr)
-    sizes = {(r.k, r.parte): r["count"] for r in cut.groupBy("k", "parte").count().collect()}
-    assert max(sizes.values()) <= 140 and sizes["cold", 0] == 50
-    assert len([1 for k, _ in sizes if k == "hot"]) == 6
-
-
-def test_nest_items_parts_hold_all_lines(spark):
-    df = spark.range(1000).select(F.when(F.col("id") < 700, 1).otherwise(F.col("id") % 30).alias("o"), "id")
-    nested = K.nest_items(df, ["o"], F.struct("id"), max_items=100)
-    assert nested.select(F.explode("items.id")).distinct().count() == 1000
-    assert nested.agg(F.max(F.size("items"))).first()[0] <= 150
-    assert nested.where("parte > 0").select("o").distinct().collect()[0][0] == 1
+    df = spark.createDataFrame(data, "k string, v int").repartition(5)
+    got = K.number_within(df, ["k"], [F.col("v")], "n").collect()
+    for k in ("hot", "cold", None):
+        own = sorted((r.n, r.v) for r in got if r.k == k)
+        assert [n for n, _ in own] == list(range(1, len(own) + 1))
+        assert [v for _, v in own] == sorted(v for x, v in data if x == k)
+
+
+@pytest.mark.parametrize("bound", [3, 100, 10_000])
+def test_documents_of_any_bound_hold_the_same_lines(spark, bound):
+    df = spark.range(1000).select(F.when(F.col("id") % 10 < 7, 1).otherwise(F.col("id") % 30 * 100).alias("o"), "id")
+    nested = K.nest_items(df, ["o"], F.struct("id"), max_items=bound)
+    parts = {}
+    for r in nested.collect():
+        parts.setdefault(r.o, []).append((r.parte, r.primera, len(r["items"])))
+    for own in parts.values():
+        own.sort()
+        assert [p for p, _, _ in own] == list(range(len(own))) and all(n == bound for _, _, n in own[:-1])
+        assert all(first == p * bound + 1 for p, first, _ in own)
+    lines = N.explode_items(nested)
+    want = {}
+    for r in df.orderBy("id").collect():
+        want.setdefault(r.o, []).append(r.id)
+    assert sorted(tuple(r) for r in lines.select("o", "linea", "id").collect()) == sorted(
+        (o, i, v) for o, ids in want.items() for i, v in enumerate(ids, 1))
+
+
+def test_edges_of_an_order_in_parts(spark):
+    df = spark.createDataFrame([(("c", "n", None), ("o", "d", "w", "m", None), [(("p", "x", "y"), 1, None)])] * 2, GRAPH_ORDER)
+    got = sorted(r.type for r in N.graph_edges(df).collect())
+    assert got == ["CONTIENE", "CONTIENE", "REALIZADA_POR"]
+
+
+def test_amounts_are_rounded_once(spark):
+    from lakesales.functions import money
+
+    df = spark.range(1).select(
+        F.lit("1.005").cast("decimal(18,3)").alias("p"), F.lit(2.5).alias("half"), F.lit(3).alias("q"),
+        F.lit("33.333").cast("decimal(9,3)").alias("d"), F.lit("0.01").cast("decimal(18,2)").alias("cent"),
+        F.lit("50.10").cast("decimal(9,2)").alias("more"))
+    got = df.select(money.from_cents(money.net_cents("p", "q", "d")), money.net_cents("p", "half", "d"),
+                    money.cents_to_usd(money.net_cents("cent", F.lit(1), "more"), F.lit("USD"), F.lit(None))).first()
+    assert [None if x is None else str(x) for x in got] == ["2.01", None, "0.00"]
 
 
 # --- joins ------------------------------------------------------------------------------------

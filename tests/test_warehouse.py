@@ -223,7 +223,7 @@ def test_rates_file_with_mark_and_crlf(spark, tmp_path):
 def test_array_file_and_missing_fields(spark, tmp_path):
     file = tmp_path / "agg.json"
     file.write_text('[{"anio": 2024, "mes": 1, "ventas": [{"item": "a", "cantidad": 2}]},\n {"anio": 2024, "mes": 2, "ventas": []}]')
-    got = readers.read_agg_sales(spark, str(file))
+    got = readers.read_agg_sales(spark, str(file), json_lines=False)
     assert rows(got.select("mes", F.size("ventas"))) == [(1, 1), (2, 0)]
     assert got.where("mes = 1").first().ventas[0].precio is None
 
