@@ -408,7 +408,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     cand = cut(cand.join(volume, "comp").select(
         F.col("least").alias("doc_id"), "node", "copies", "comp", "blocks",
         F.when(F.col("blocks") == 1, small).otherwise(large).alias("cells")), "cells")
-    cells = (rows.join(cand, rows["doc_id"].eqNullSafe(cand["doc_id"]))
+    # both sides grow with the data: never a broadcast, however small they look
+    cells = (rows.join(cand.hint("merge"), rows["doc_id"].eqNullSafe(cand["doc_id"]))
              .select(rows["text"], "node", "copies", "comp", "cells")
              .mapInArrow(_sets(size), "node bigint, copies bigint, comp bigint, "
                          "cells array<struct<cell:bigint,i:bigint,j:bigint,block:bigint>>, grams binary")
