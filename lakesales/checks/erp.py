@@ -42,7 +42,7 @@ class Erp:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return P.calendar_fx(S.order_bounds(self.t), S.rates(self.t))
+        return self.t.store(P.calendar_fx(S.order_bounds(self.t), S.rates(self.t)), "DimDate")
 
     def branch(self, returned: bool) -> DataFrame:
         build = P.fact_credit_notes if returned else P.fact_invoices
@@ -266,7 +266,7 @@ SQL = {
         ASOF LEFT JOIN (SELECT ts, max(event_id) AS e FROM events WHERE event_type = 'signup' GROUP BY 1) s
         ON c.ts >= s.ts""",
     "surrogate_keys": """SELECT p_partkey, row_number() OVER (
-        ORDER BY substr(md5(CAST(p_partkey AS VARCHAR)), 1, 3), p_partkey) AS clave FROM part""",
+        ORDER BY md5(CAST(p_partkey AS VARCHAR)), p_partkey) AS clave FROM part""",
     "agg_sales_rows": """SELECT year(m) AS anio, month(m) AS mes, 'P' || l_partkey AS item, q AS cantidad,
         p AS precio, CAST(CAST(q AS DECIMAL(12,0)) * CAST(p AS DECIMAL(9,2)) AS DOUBLE) AS TotalUSD FROM (
         SELECT date_trunc('month', l_shipdate) AS m, l_partkey, sum(l_quantity) AS q,

@@ -505,7 +505,7 @@ SQL = {
         CASE WHEN c_nationkey >= 10 AND c_acctbal < 0 THEN '2025-06-01' ELSE '2020-01-01' END AS FechaActualizacion
         FROM customer WHERE c_nationkey < 15
         UNION ALL SELECT (SELECT max(c_custkey) + 1 FROM customer WHERE c_nationkey < 15) + row_number() OVER (
-          ORDER BY substr(md5(CAST(c_custkey AS VARCHAR)), 1, 3), c_custkey), c_custkey,
+          ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey), c_custkey,
         CASE WHEN c_acctbal < 0 THEN c_name || ' SA' ELSE c_name END, '2025-06-01', '2025-06-01'
         FROM customer WHERE c_nationkey >= 15""",
     "basket_pairs": f"""WITH {_BASKET} SELECT a, b, c AS freq, round(c / (SELECT n FROM n), 6) AS support

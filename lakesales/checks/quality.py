@@ -217,6 +217,50 @@ def ingest(spark, d):
     return loaded.select("insertadas", refused.alias("rechazadas"), logged.alias("registradas"))
 
 
+def ingest_bad_files(spark, d):
+    """Upload files with another order of columns, one without any known column and an empty one."""
+    t, base = Tables(spark, d), scratch_path(spark, "ingest-bad")
+    rows = upload_rows(t)
+    odd = F.col("Fecha (ISO)").like("%-1_")
+    sinks.write_rejects(rows.where(~odd), f"{base}/in/a")
+    turned = rows.where(odd).select(*reversed(rows.columns))
+    sinks.write_rejects(turned, f"{base}/in/b")
+    t.region.select(F.col("r_name").alias("foo"), F.col("r_regionkey").alias("bar")).coalesce(1).write.csv(f"{base}/in/c", header=True)
+    lookups = loader_lookups(t)
+    query = ingest_files(spark, f"{base}/in/*/*.csv", f"{base}/out", f"{base}/checkpoint", rows.columns,
+                         lambda raw: L.check_rows(raw, "mssql", *lookups, mapping=MAPPING))
+    query.awaitTermination()
+    read = spark.read.parquet
+    count = F.count("*").alias("n")
+    return read(f"{base}/out/accepted").agg(F.count("*").alias("insertadas")).select(
+        "insertadas", read(f"{base}/out/rejected").agg(count).scalar().alias("rechazadas"),
+        read(f"{base}/out/refused").agg(count).scalar().alias("archivos"))
+
+
+def import_strict(spark, d):
+    """All or nothing: good rows alone come in whole, one bad row among them keeps all out."""
+    t = Tables(spark, d)
+    checked = t.store(L.check_rows(_uploaded(spark, t), "mssql", *loader_lookups(t), mapping=MAPPING), "checked")
+    good = checked.where(F.size("errors") == 0)
+    one_bad = good.unionByName(checked.where(F.size("errors") > 0).orderBy("_file", "_row").limit(1))
+    count = F.count("*").alias("n")
+    return L.accepted_rows(good, "all_or_nothing").agg(F.count("*").alias("buenas")).select(
+        "buenas", L.accepted_rows(one_bad, "all_or_nothing").agg(count).scalar().alias("con_una_mala"))
+
+
+def loader_mongo_code(spark, d):
+    """Upload rows whose product only the document store's code tells."""
+    t = Tables(spark, d)
+    bridge = t.part.where("p_size > 10").select(F.lit("MongoDB").alias("FuenteOrigen"), S.code("MN-", "p_partkey").alias(
+        "CodigoFuente"), S.code("SKU-", "p_partkey").alias("SKU_Oficial"))
+    customers, _, dim = loader_lookups(t)
+    coded = upload_rows(t).withColumns({
+        "codigo mongo": F.replace("Codigo_Alt", F.lit("ALT-"), F.lit("mn-")), "sku": F.concat(F.lit("no-"), "Codigo_Alt"),
+        "Codigo_Alt": F.concat(F.lit("no-"), "Codigo_Alt")})
+    checked = L.check_rows(coded, "mssql", customers, bridge, dim, mapping=MAPPING)
+    return checked.groupBy("resolved_by").agg(F.count("*").alias("filas"))
+
+
 # --- readers and writers ----------------------------------------------------------------------
 def scan_json_agg(spark, d):
     """Monthly records written as JSON and read with the declared schema."""
@@ -340,6 +384,7 @@ QUERIES = {
     "error_summary": error_summary, "email_check": email_check, "duplicates": duplicates, "orphans": orphans,
     "total_mismatch": total_mismatch, "validate_documents": validate_documents,
     "table_constraints": table_constraints, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
+    "ingest_bad_files": ingest_bad_files, "import_strict": import_strict, "loader_mongo_code": loader_mongo_code,
     "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
     "scan_json_agg": scan_json_agg, "scan_erp": scan_erp, "scan_rates": scan_rates,
     "scan_documents": scan_documents, "scan_graph": scan_graph, "scan_sources": scan_sources,
@@ -436,6 +481,11 @@ SQL = {
         UNION ALL SELECT 'cantidad', 'format' FROM up WHERE l_linenumber = 6
         UNION ALL SELECT '', 'accepted' FROM up WHERE known_part AND known_customer AND l_linenumber < 6) GROUP BY 1, 2""",
     "row_numbers": "SELECT count(*) AS filas, 0 AS archivos_malos FROM lineitem",
+    "ingest_bad_files": f"""WITH {_UP} SELECT count(*) FILTER (NOT {_BAD}) AS insertadas,
+        count(*) FILTER ({_BAD}) AS rechazadas, 1 AS archivos FROM up""",
+    "import_strict": f"""WITH {_UP} SELECT count(*) FILTER (NOT {_BAD}) AS buenas, 0 AS con_una_mala FROM up""",
+    "loader_mongo_code": """SELECT CASE WHEN p_size > 10 THEN 'codigo_mongo' END AS resolved_by, count(*) AS filas
+        FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
     "ingest_files": f"""WITH {_UP} SELECT count(*) FILTER (NOT {_BAD}) AS insertadas,
         count(*) FILTER ({_BAD}) AS rechazadas, count(*) AS registradas FROM up""",
     "scan_json_agg": """SELECT year(m) AS anio, month(m) AS mes, 'P' || l_partkey AS item, q AS cantidad,

@@ -314,7 +314,7 @@ def cte(*names: str) -> str:
 
 
 def hash_order(col: str) -> str:
-    return f"substr(md5({col}), 1, 3), {col}"
+    return f"md5({col}), {col}"
 
 
 SQL = {
@@ -370,7 +370,7 @@ SQL = {
     "src": """SELECT *, CASE c_mktsegment WHEN 'MACHINERY' THEN 'SQL Server' WHEN 'BUILDING' THEN 'MySQL'
         WHEN 'AUTOMOBILE' THEN 'Supabase' WHEN 'FURNITURE' THEN 'MongoDB' ELSE 'Neo4j' END AS Fuente
         FROM customer""",
-    "dimcli": """SELECT row_number() OVER (ORDER BY substr(md5(Fuente || '|' || c_custkey), 1, 3), Fuente,
+    "dimcli": """SELECT row_number() OVER (ORDER BY md5(Fuente || '|' || c_custkey), Fuente,
           CAST(c_custkey AS VARCHAR)) AS ClienteID, Fuente AS FuenteOrigen,
         CAST(c_custkey AS VARCHAR) AS ClienteID_Natural, c_name AS Nombre,
         CASE WHEN c_acctbal >= 0 THEN 'c' || c_custkey || '@example.com' END AS Email,

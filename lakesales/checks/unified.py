@@ -45,7 +45,7 @@ class Unified:
 
     @cached_property
     def calendar(self) -> DataFrame:
-        return P.calendar_fx(S.order_bounds(self.t), S.rates(self.t))
+        return self.t.store(P.calendar_fx(S.order_bounds(self.t), S.rates(self.t)), "Calendario")
 
     @cached_property
     def checked(self) -> DataFrame:

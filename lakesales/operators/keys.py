@@ -9,32 +9,36 @@ from pyspark.sql import Window as W
 from lakesales.session import scratch_path
 from lakesales.sources.sinks import write_table
 
-BUCKET_CHARS = 3  # 4096 buckets
+#: Hex digits of the bucket number: 4096 buckets. More digits make more, smaller buckets and the same keys.
+BUCKET_CHARS = 3
 #: Items of one stored document.
 MAX_ITEMS = 10_000
 
 
-def key_bucket(cols: list[str], chars: int = BUCKET_CHARS) -> Column:
-    """Hex bucket of a natural key; equal keys meet, distinct keys spread evenly."""
+def key_hash(cols: list[str]) -> Column:
+    """Hash of a natural key: its first digits spread distinct keys evenly over buckets."""
     text = F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
-    return F.substring(F.md5(text.cast("binary")), 1, chars)
+    return F.md5(text.cast("binary"))
 
 
 def assign_keys(df: DataFrame, by: list[str], key: str, start: Column | int = 1,
-                tie: list[str] | None = None) -> DataFrame:
-    """Dense integer keys ``start, start+1, ...`` for rows unique on ``by`` (and ``tie``).
+                tie: list[str] | None = None, chars: int = BUCKET_CHARS) -> DataFrame:
+    """Dense integer keys ``start, start+1, ...`` in the order of the key's hash, for rows unique on ``by`` (and
+    ``tie``).
 
-    Rows are numbered inside hash buckets, and each bucket is shifted by the sizes of the buckets
-    before it. The bucket table has at most 4096 rows, so it is safe to broadcast; no task ever
-    sorts the whole relation, and the numbering is the same in every run.
+    Rows are numbered inside buckets of the hash, and each bucket is shifted by the sizes of the buckets before it.
+    The bucket table has 16**chars rows at most, so it is safe to broadcast; no task ever sorts the whole relation,
+    and the numbering is the same in every run and for every number of buckets. The input is written to the shared
+    folder once, since counting and numbering both read it.
     """
     start = F.lit(start) if isinstance(start, int) else start
-    tagged = df.withColumn("_b", key_bucket(by))
+    tagged = write_table(df.withColumn("_h", key_hash(by)), scratch_path(df.sparkSession, "unnumbered"))
+    tagged = tagged.withColumn("_b", F.substring("_h", 1, chars))
     before = W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)
     offsets = tagged.groupBy("_b").agg(F.count("*").alias("_n")).select(
         "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     numbered = tagged.withColumn(
-        "_rn", F.row_number().over(W.partitionBy("_b").orderBy(*by, *(tie or []))))
+        "_rn", F.row_number().over(W.partitionBy("_b").orderBy("_h", *by, *(tie or []))))
     value = (F.col("_offset") + F.col("_rn") - 1 + start).cast("bigint")
     return numbered.join(F.broadcast(offsets), "_b").select(value.alias(key), *df.columns)
 

@@ -125,6 +125,8 @@ def number_rows(df: DataFrame, row: str = "_row") -> DataFrame:
     running id Spark gives in scan order). Splits are numbered by themselves and shifted by the
     rows of the splits before them, so no file passes through one task.
     """
+    # parsed and numbered once, then read from a table: the files are not parsed again for the counts
+    df = write_table(df, scratch_path(df.sparkSession, "rows"))
     splits = df.groupBy("_file", "_block").agg(F.min("_id").alias("_first"),
                                                F.count("*").alias("_n"))
     before = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)

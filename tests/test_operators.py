@@ -79,6 +79,20 @@ def test_assign_keys_dense_and_repeatable(spark):
     assert a == b and sorted(a.values()) == list(range(10, 5010))
 
 
+def test_keys_do_not_depend_on_the_number_of_buckets(spark):
+    df = spark.range(500).select(F.concat(F.lit("c"), "id").alias("code"))
+    got = [{r.code: r.k for r in K.assign_keys(df, ["code"], "k", chars=n).collect()} for n in (1, 3, 5)]
+    assert got[0] == got[1] == got[2]
+
+
+def test_repeated_patches_need_an_order(spark):
+    base = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
+    patches = spark.createDataFrame([(1, "x", 1), (1, "y", 2)], "id int, v string, n int")
+    assert rows(U.apply_patches(base, patches, "id", F.current_timestamp(), order="n")) == [(1, "y"), (2, "b")]
+    with pytest.raises(Exception, match="several rows for one key"):
+        U.apply_patches(base, patches, "id", F.current_timestamp()).collect()
+
+
 def test_numbers_within_a_key_have_no_gaps(spark):
     """One key and one exact copy hold most of the rows; a NULL key is a group too."""
     data = [("hot", 1)] * 400 + [("hot", n) for n in range(200)] + [("cold", n) for n in range(50)] + [(None, 7)] * 150
@@ -128,6 +142,25 @@ def test_amounts_are_rounded_once(spark):
 
 
 # --- joins ------------------------------------------------------------------------------------
+def test_lookup_does_not_double_rows(spark):
+    fact = spark.createDataFrame([("C1",), ("c1 ",)], "code string")
+    dim = spark.createDataFrame([("C1", 7), ("c1 ", 3)], "c string, k int")
+    assert rows(J.star_lookup(fact, dim, F.col("code"), "c", ["k"])) == [("C1", 3), ("c1 ", 3)]
+    assert rows(V.code_conflicts(dim, "c")) == [("C1", 2)]
+
+
+def test_page_after_parts_equal_values_and_ends_with_nulls(spark):
+    df = spark.createDataFrame([(i, i // 4 if i < 10 else None) for i in range(14)], "id int, v int")
+    seen, last, tie = [], None, None
+    while True:
+        page = Q.page_after(df, "v", last, 3, "id", tie).collect()
+        if not page:
+            break
+        seen += [r.id for r in page]
+        last, tie = page[-1].v, page[-1].id
+    assert seen == list(range(14))
+
+
 def test_star_lookup_ignores_case_and_end_blanks(spark):
     fact = spark.createDataFrame([("a1 ",), ("A1",), ("á1",), (None,)], "code string")
     dim = spark.createDataFrame([("a1", 1), ("Á1", 2)], "c string, k int")

@@ -264,3 +264,26 @@ def test_loader_files_with_other_header_are_refused(spark, tmp_path):
     (tmp_path / "b.csv").write_text("v,k\n1,2\n")
     with pytest.raises(Exception, match="(?i)header"):
         readers.read_loader_csv(spark, str(tmp_path)).collect()
+
+
+def test_reload_with_fewer_months_leaves_nothing_old(spark, tmp_path):
+    fact = spark.createDataFrame([(20240115, 1), (20240215, 2)], "DateKey int, CustomerKey int")
+    path = str(tmp_path / "fact")
+    assert P.write_fact(fact, path).count() == 2
+    assert [r.Month for r in P.write_fact(fact.where("CustomerKey = 1"), path).collect()] == [1]
+
+
+def test_a_cluster_needs_a_shared_folder(spark, monkeypatch):
+    from lakesales import session
+
+    class Far:
+        class sparkContext:
+            master = "yarn"
+
+        class conf:
+            @staticmethod
+            def get(name, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(Far)
