@@ -36,9 +36,9 @@ def sha256_of(text: Column) -> Column:
 
 
 def with_place(docs: DataFrame) -> DataFrame:
-    """Adds `_place`, the file and row of each document; rows that come from no file are written to one first."""
+    """Adds `_row_place`, the file and row of each document; rows that come from no file are written to one first."""
     try:
-        return docs.withColumn("_place", F.struct(
+        return docs.withColumn("_row_place", F.struct(
             F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")))
     except Exception as e:
         if "_metadata" not in str(e):
@@ -109,12 +109,12 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_of
     state = DedupState(spark, at or scratch_path(spark, "dedup"))
     placed = with_place(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")))
     read = placed.withColumn("norm", one_blank(F.col("text"))).withColumn("digest", digest(F.col("norm")))
-    state.land("batch", read.select("digest", "doc_id", "_place.file", "_place.row"))
+    state.land("batch", read.select("digest", "doc_id", "_row_place.file", "_row_place.row"))
     state.advance()
 
     groups = cut(state.groups(), "groups")
     hits = cut(read.join(groups.filter("size > 1"), "digest").select(
-        "digest", "norm", F.struct("doc_id", F.col("_place.file").alias("file"), F.col("_place.row").alias("row"))
+        "digest", "norm", F.struct("doc_id", F.col("_row_place.file").alias("file"), F.col("_row_place.row").alias("row"))
         .alias("member"), "keeper"), "hits")
     same_place = (F.col("member.file") == F.col("keeper.file")) & (F.col("member.row") == F.col("keeper.row"))
     stays = hits.filter(same_place).select("digest", F.col("norm").alias("kept_norm"))
@@ -126,7 +126,7 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_of
     moved = other.join(own, ["digest", "norm"]).select(
         "digest", "file", "row", "own_keeper", "own_size", F.sha2(F.col("norm").cast("binary"), 256).alias("own_sha"))
     less = other.groupBy("digest").agg(F.count(F.lit(1)).alias("gone"))
-    shas = read.select("digest", F.struct(F.col("_place.file").alias("file"), F.col("_place.row").alias("row"))
+    shas = read.select("digest", F.struct(F.col("_row_place.file").alias("file"), F.col("_row_place.row").alias("row"))
                        .alias("at"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
     members = state.landed()
     if digest is sha256_of:
@@ -147,5 +147,5 @@ def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """The rows of docs that stay, with all their columns; see exact_groups."""
     placed = with_place(docs)
     groups = exact_groups(placed, key=key, text=text).filter("kept").select(
-        F.struct("file", "row").alias("_place"))
-    return placed.join(groups, "_place", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+        F.struct("file", "row").alias("_row_place"))
+    return placed.join(groups, "_row_place", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

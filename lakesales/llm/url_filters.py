@@ -99,7 +99,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     found = paths.select("host", "path", F.array_max("active").alias("path_key")).filter("path_key is not null").join(
         keyed.select("path_key", "host_size", "rule", "verdict"), "path_key")
     best = found.groupBy("host", "path").agg(F.max(F.struct(
-        F.length("rule").alias("size"), "host_size", "rule", "verdict")).alias("best"))
+        F.length("rule").alias("size"), "host_size", "rule", "verdict")).alias("_best"))
     return out.join(best, ["host", "path"], "left").select(
-        *[c for c in out.columns], F.col("best.rule").alias("rule"),
-        F.coalesce("best.verdict", F.lit(default)).alias("verdict"))
+        *[c for c in out.columns], F.col("_best.rule").alias("rule"),
+        F.coalesce("_best.verdict", F.lit(default)).alias("verdict"))

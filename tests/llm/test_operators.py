@@ -64,8 +64,8 @@ def test_url_filters_by_brute_force(spark):
     urls += ["http://" + ".".join(rng.choices(labels, k=rng.randrange(1, 6))) + rng.choice(steps) + rng.choice(["", "?q", "c"])
              for _ in range(400)]
     urls += ["http://www.net/a/b"] * 50
-    table = spark.createDataFrame([(i % 300, u, "own", "own") for i, u in enumerate(urls)],
-                                  "page_id bigint, url string, verdict string, active string")
+    table = spark.createDataFrame([(i % 300, u, "own", "own", "own") for i, u in enumerate(urls)],
+                                  "page_id bigint, url string, verdict string, active string, best string")
     ruled = spark.createDataFrame([(*r, "x") for r in rules], "host string, path string, verdict string, nest string")
     for slices in (1, 7):
         got = url_filters.judge_urls(table, ruled, slices=slices, default="block").collect()
@@ -364,6 +364,16 @@ def test_exact_groups_of_edge_documents(spark, edge_docs, weak):
     assert all(r["doc_id"] == r["keep_id"] for r in kept)
 
 
+def test_kept_rows_keep_all_their_columns(spark, edge_docs):
+    kept = exact_dedup.drop_copies(edge_docs)
+    assert kept.columns == edge_docs.columns
+    rows = kept.collect()
+    texts = [BLANKS.sub(b" ", (r["text"] or "").encode()) for r in rows]
+    assert len(set(texts)) == len(texts) == len(equal_groups([r[:2] for r in edge_rows()])) - sum(
+        n - 1 for n in collections.Counter(g[3] for g in equal_groups([r[:2] for r in edge_rows()])).values())
+    assert {r["_place"] for r in rows} == {"x"}
+
+
 def test_state_goes_on_where_it_stopped(spark, tmp_path):
     state = exact_dedup.DedupState(spark, str(tmp_path / "state"))
     landed = "digest binary, doc_id bigint, file string, row bigint"
