@@ -6,8 +6,6 @@ blanks, line ends and common marks, each different piece is encoded once, and th
 
 from __future__ import annotations
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 
@@ -34,11 +32,10 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self.tokenizer.encode(PART, add_special_tokens=False).ids[0]
-        self.known: dict[int, int] = {}
         self.forget()
 
     def forget(self) -> None:
-        self.known.clear()
+        self.known, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # hashes in order, and where
         self.ids, self.used = np.zeros(1 << 16, np.uint32), 0
         self.begin, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.proof = np.zeros(0, np.uint64)
@@ -66,19 +63,24 @@ class Encoder:
         independent 64-bit hashes."""
         data, offsets = text_buffers(names)
         one, two = (hash_spans(data, offsets[:-1], np.diff(offsets), salt) for salt in (0, 0x5BF03635))
-        keys = one.tolist()
-        place = np.fromiter(map(self.known.get, keys, repeat(-1)), np.int64, len(keys))
-        new = np.flatnonzero((place < 0) | (self.proof[place] != two)) if len(self.known) else np.arange(len(keys))
-        if len(new) and len(self.known) + len(new) > REMEMBERED and self.known:
-            self.forget()
-            new = np.arange(len(keys))
+        place, new = np.zeros(len(one), np.int64), np.arange(len(one))
+        if len(self.known):
+            at = np.minimum(np.searchsorted(self.known, one), len(self.known) - 1)
+            place = self.place[at]
+            new = np.flatnonzero((self.known[at] != one) | (self.proof[place] != two))
+            if len(new) and len(self.known) + len(new) > REMEMBERED:
+                self.forget()
+                new = np.arange(len(one))
         if len(new):
             ids, counts = self._encode_pieces(names.take(pa.array(new)).to_pylist())
             while self.used + len(ids) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             self.ids[self.used:self.used + len(ids)] = ids
             place[new] = np.arange(len(self.count), len(self.count) + len(new))
-            self.known.update(zip(one[new].tolist(), place[new].tolist(), strict=True))
+            order = np.argsort(one[new])
+            at = np.searchsorted(self.known, one[new][order])
+            self.known = np.insert(self.known, at, one[new][order])
+            self.place = np.insert(self.place, at, place[new][order])
             self.begin = np.concatenate([self.begin, self.used + np.cumsum(counts) - counts])
             self.count = np.concatenate([self.count, counts])
             self.proof = np.concatenate([self.proof, two[new]])
