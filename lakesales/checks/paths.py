@@ -208,6 +208,23 @@ def corrupt_documents(spark, d):
         .groupBy("estado").agg(F.count("*").alias("filas"))
 
 
+def document_types(spark, d):
+    """Stored orders with a total that is text, items that are no list, a short id, or a day that does not exist."""
+    t, path = Tables(spark, d), scratch_path(spark, "types")
+    status, urgency = F.col("o_orderstatus"), F.col("o_orderpriority")
+    ident = S.object_id("o_orderkey")
+    total = F.when(status == "P", '"n/a"').otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string"))
+    items = F.when(urgency == "3-MEDIUM", '{"a":1}').otherwise("[]")
+    day = F.when(urgency == "4-NOT SPECIFIED", "2024-13-45").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    t.orders.select(F.concat(
+        F.lit('{"_id":"'), F.when(urgency == "5-LOW", F.substring(ident, 1, 20)).otherwise(ident),
+        F.lit('","fecha":"'), day, F.lit('","total":'), total, F.lit(',"items":'), items, F.lit("}"))).write.text(path)
+    good, bad = readers.split_corrupt(readers.read_documents(spark, path, "ordenes"))
+    accepted, rejects = V.validate(good, V.order_type_rules(), "_id")
+    return rejects.select("rule").unionByName(bad.select(F.lit("type").alias("rule"))).unionByName(
+        accepted.select(F.lit("accepted").alias("rule"))).groupBy("rule").agg(F.count("*").alias("filas"))
+
+
 def corrupt_sources(spark, d):
     """Lines of a relational source as text, with quantities that are no numbers."""
     t, path = Tables(spark, d), scratch_path(spark, "broken-lines")
@@ -252,7 +269,7 @@ QUERIES = {
     "product_rejects": product_rejects, "code_conflicts": code_conflicts, "lookup_of_twins": lookup_of_twins,
     "sku_conflicts": sku_conflicts, "rate_conflicts": rate_conflicts, "last_patch": last_patch,
     "reload_fact": reload_fact, "orphan_counts": orphan_counts, "targets_table": targets_table,
-    "corrupt_documents": corrupt_documents, "corrupt_sources": corrupt_sources, "basket_sets": basket_sets,
+    "document_types": document_types, "corrupt_documents": corrupt_documents, "corrupt_sources": corrupt_sources, "basket_sets": basket_sets,
     "basket_all_rules": basket_all_rules, "page_after_ties": page_after_ties,
 }
 
@@ -309,6 +326,9 @@ SQL = {
           WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal >= 0)""",
     "corrupt_documents": """SELECT CASE o_orderstatus WHEN 'P' THEN 'rejected' ELSE 'accepted' END AS estado,
         count(*) AS filas FROM orders GROUP BY 1""",
+    "document_types": """SELECT CASE WHEN o_orderstatus = 'P' OR o_orderpriority = '3-MEDIUM' THEN 'type'
+          WHEN o_orderpriority = '5-LOW' THEN 'object_id' WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'date'
+          ELSE 'accepted' END AS rule, count(*) AS filas FROM orders GROUP BY 1""",
     "corrupt_sources": """SELECT count(*) FILTER (l_linenumber <> 6) AS buenas,
         CAST(sum(l_quantity) FILTER (l_linenumber <> 6) AS BIGINT) AS unidades,
         count(*) FILTER (l_linenumber = 6) AS malas FROM lineitem""",

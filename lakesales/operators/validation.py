@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakesales.functions.dates import parse_date_text
 from lakesales.functions.money import from_cents
-from lakesales.functions.text import norm_key
 from lakesales.functions.nested import order_total
-from lakesales.functions.text import is_email
+from lakesales.functions.text import is_email, is_object_id, norm_key
 
 
 @dataclass(frozen=True)
@@ -88,6 +88,13 @@ def _order_fields() -> list[Rule]:
     return [required("cliente_id"), required("fecha"), required("moneda"), required("total")]
 
 
+def order_type_rules() -> list[Rule]:
+    """What a schema cannot say: the id is an object id and the date a date. Numbers and lists of another type fail
+    on reading and are in the second part of ``readers.split_corrupt``."""
+    return [Rule("_id", "object_id", "_id is no object id", is_object_id("_id")),
+            Rule("fecha", "date", "fecha is no date", F.col("fecha").isNull() | parse_date_text("fecha").isNotNull())]
+
+
 def order_document_rules() -> list[Rule]:
     """Required fields and item shape of stored orders that hold all their items."""
     def on_item(check):
