@@ -44,17 +44,18 @@ class Erp:
     def calendar(self) -> DataFrame:
         return self.t.store(P.calendar_fx(S.order_bounds(self.t), S.rates(self.t)), "DimDate")
 
-    def branch(self, returned: bool) -> DataFrame:
+    def branch(self, returned: bool, products: bool = True) -> DataFrame:
         build = P.fact_credit_notes if returned else P.fact_invoices
         return build(S.erp_headers(self.t), S.erp_lines(self.t, returned), self.customers,
-                     self.products, self.currencies)
+                     self.products if products else None, self.currencies)
 
-    def monthly(self) -> DataFrame:
-        return P.fact_monthly(S.agg_sales(self.t), self.customers, self.products, self.currencies,
-                              self.calendar)
+    def monthly(self, products: bool = True) -> DataFrame:
+        return P.fact_monthly(S.agg_sales(self.t), self.customers, self.products if products else None,
+                              self.currencies, self.calendar)
 
-    def fact(self) -> DataFrame:
-        return P.build_fact_sales(self.branch(False), self.branch(True), self.monthly())
+    def fact(self, products: bool = True) -> DataFrame:
+        """`products` False: for reports that name none, so the dimension is neither built nor joined."""
+        return P.build_fact_sales(self.branch(False, products), self.branch(True, products), self.monthly(products))
 
 
 def _fact_out(df: DataFrame) -> DataFrame:
@@ -74,13 +75,13 @@ def monthly(spark, d):
 
 
 def totals(spark, d):
-    out = A.qa_totals(Erp(Tables(spark, d)).fact())
+    out = A.qa_totals(Erp(Tables(spark, d)).fact(products=False))
     return out.select(*S.double("Total_CRC", "Total_USD"), "Filas")
 
 
 def by_customer(spark, d):
     erp = Erp(Tables(spark, d))
-    return A.sales_by_customer(erp.fact(), erp.customers).select("CardName", *S.double("Ventas_CRC"))
+    return A.sales_by_customer(erp.fact(products=False), erp.customers).select("CardName", *S.double("Ventas_CRC"))
 
 
 def by_product(spark, d):
@@ -91,7 +92,7 @@ def by_product(spark, d):
 
 def fallback(spark, d):
     erp = Erp(Tables(spark, d))
-    return A.fallback_audit(erp.fact(), erp.customers).select(
+    return A.fallback_audit(erp.fact(products=False), erp.customers).select(
         "CardCode", "CardName", "Filas", *S.double("Ventas_CRC"))
 
 

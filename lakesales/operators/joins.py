@@ -29,9 +29,15 @@ def star_lookup(fact: DataFrame, dim: DataFrame, fact_code: Column, dim_code: st
     smallest ``columns`` counts, and ``validation.code_conflicts`` reports them. No broadcast hint: customer and
     product dimensions grow with the data, and Spark broadcasts by itself what its size estimate allows.
     """
-    keyed = (dim.groupBy(norm_key(dim_code).alias("_dim_code")).agg(F.min(F.struct(*columns)).alias("_m"))
-             .select("_dim_code", *[F.col(f"_m.{c}").alias(c) for c in columns]))
-    coded = fact.withColumn("_fact_code", norm_key(fact_code))
+    members = dim.groupBy(norm_key(dim_code).alias("_dim_code"))
+    if len(columns) == 1:
+        keyed = members.agg(F.min(columns[0]).alias(columns[0]))
+    else:
+        keyed = members.agg(F.min(F.struct(*columns)).alias("_m")).select(
+            "_dim_code", *[F.col(f"_m.{c}").alias(c) for c in columns])
+    # rows without a code match nothing; a text of their own keeps them from meeting in one task
+    own = F.concat(F.lit("\u0000"), F.xxhash64(*fact.columns).cast("string"))
+    coded = fact.withColumn("_fact_code", F.coalesce(norm_key(fact_code), own))
     joined = coded.join(keyed, F.col("_fact_code") == F.col("_dim_code"), "left")
     return joined.select(*fact.columns, *columns)
 

@@ -110,10 +110,16 @@ def dim_currency(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "CurrencyKey int, CurrencyCode string, Description string")
 
 
+def _with_product(rows: DataFrame, products: DataFrame | None, code: str) -> DataFrame:
+    if products is None:
+        return rows.withColumn("ProductKey", F.lit(None).cast("bigint"))
+    return star_lookup(rows, products, F.col(code), "ItemCode", ["ProductKey"])
+
+
 def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
-                     products: DataFrame, currencies: DataFrame, sign: int,
+                     products: DataFrame | None, currencies: DataFrame, sign: int,
                      grain: str) -> DataFrame:
-    """Lines with their header's keys and totals.
+    """Lines with their header's keys and totals. Reports that name no product pass none: ProductKey is NULL then.
 
     Customer and currency are looked up on headers, of which there are fewer than lines, before
     the two meet.
@@ -125,8 +131,7 @@ def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
     head = head.select("DocEntry", date_key("DocDate").alias("DateKey"),
                        F.coalesce("CustomerKey", other).alias("CustomerKey"), "CurrencyKey",
                        "DocTotal", "DocTotalFC", norm_key(code).alias("_cur"))
-    rows = star_lookup(join_lines(lines, head), products, F.col("ItemCode"), "ItemCode",
-                       ["ProductKey"])
+    rows = _with_product(join_lines(lines, head), products, "ItemCode")
     crc, usd = F.col("DocTotal"), F.col("DocTotalFC")
     if grain == "line":
         share = (F.col("Quantity") * F.col("Price")).cast(AMOUNT)
@@ -162,14 +167,14 @@ def split_agg_sales(agg: DataFrame) -> tuple[DataFrame, DataFrame]:
     return rows.where("DateValue is not null"), rows.where("DateValue is null")
 
 
-def fact_monthly(agg: DataFrame, customers: DataFrame, products: DataFrame, currencies: DataFrame,
+def fact_monthly(agg: DataFrame, customers: DataFrame, products: DataFrame | None, currencies: DataFrame,
                  cal: DataFrame) -> DataFrame:
     """Monthly USD sales on the first of the month for the catch-all customer.
 
     A month without a rate is converted at 1.
     """
     rows, _ = split_agg_sales(agg)
-    rows = star_lookup(rows, products, F.col("item"), "ItemCode", ["ProductKey"])
+    rows = _with_product(rows, products, "item")
     daily = cal.select("DateValue", "TipoCambio_USD_CRC")
     rows = rows.join(daily, "DateValue", "left")
     rate = F.coalesce("TipoCambio_USD_CRC", F.lit(1).cast("decimal(18,6)"))
