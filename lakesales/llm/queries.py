@@ -54,7 +54,9 @@ SELECT page_id, host, path, r AS rule, coalesce(rverdict, 'allow') AS verdict FR
 
 @query("op1_url_filters", _SQL_URLS)
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = spark.range(1).select(F.inline(F.array(*[F.struct(
+        F.lit(host).alias("host"), F.lit(path).alias("path"), F.lit(verdict).alias("verdict"))
+        for host, path, verdict in URL_RULES])))
     return url_filters.judge_urls(read_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select(
         "page_id", "host", "path", "rule", "verdict")
 
