@@ -79,10 +79,22 @@ def nest_items(lines: DataFrame, keys: list[str], item: Column, items: str = "it
     whole orders are taken from the lines, not from documents.
     """
     size = max_items or MAX_ITEMS
-    numbered = number_within(lines.withColumn("_item", item), keys, [F.col("_item")], "_line")
+    rows = lines.select(*keys, item.alias("_item"))
+
+    def whole(df: DataFrame) -> DataFrame:
+        docs = df.groupBy(*keys).agg(F.array_sort(F.collect_list("_item")).alias(items))
+        return docs.select(*keys, F.lit(0).alias("parte"), F.lit(1).cast("bigint").alias("primera"), items)
+
+    counts = lines.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > size)
+    long_keys = counts.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    if not long_keys.head(1):  # no key needs a second part, so no line needs a number
+        return whole(rows)
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    numbered = number_within(rows.join(long_keys, same, "left_semi"), keys, [F.col("_item")], "_line")
     part = F.floor((F.col("_line") - 1) / size).cast("int")
-    rows = numbered.select(*keys, part.alias("parte"), "_line", "_item")
-    grouped = rows.groupBy(*keys, "parte").agg(
+    parts = numbered.select(*keys, part.alias("parte"), "_line", "_item").groupBy(*keys, "parte").agg(
         F.array_sort(F.collect_list(F.struct("_line", "_item"))).alias("_rows"))
-    return grouped.select(*keys, "parte", (F.col("parte") * size + 1).alias("primera"),
-                          F.col("_rows._item").alias(items))
+    return whole(rows.join(long_keys, same, "left_anti")).unionByName(parts.select(
+        *keys, "parte", (F.col("parte") * size + 1).cast("bigint").alias("primera"), F.col("_rows._item").alias(items)))

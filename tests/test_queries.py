@@ -32,6 +32,19 @@ def test_query_matches_sql(spark, con, name):
         assert banned not in plan, f"{banned} in the plan of {name}"
 
 
+@pytest.mark.parametrize("name", ["orders_nested", "graph_edges", "graph_nodes", "items_exploded", "line_amounts",
+                                  "order_item_counts", "scan_documents", "scan_graph", "to_response", "order_amounts",
+                                  "validate_documents"])
+def test_documents_of_three_lines_change_no_query(spark, con, monkeypatch, name):
+    from lakesales.operators import keys
+
+    monkeypatch.setattr(keys, "MAX_ITEMS", 3)
+    df = registry.QUERIES[name](spark, SF)
+    cur = con.execute(registry.SQL[name])
+    want = check._rows([c[0] for c in cur.description], cur.fetchall())
+    assert check._rows(df.columns, [tuple(r) for r in df.collect()]) == want
+
+
 def test_every_query_has_sql():
     assert set(registry.QUERIES) == set(registry.SQL)
 
