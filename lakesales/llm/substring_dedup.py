@@ -33,9 +33,9 @@ WINDOW, GRAM = 35, 5
 #: Windows of one packed string at most; a longer run goes in several.
 RUN = 32
 #: Bytes of packed strings a bucket holds on average, and how much longer than the text they are.
-BUCKET_BYTES, BLOW_UP = 12 << 20, 3.2
+BUCKET_BYTES, BLOW_UP = 8 << 20, 3.2
 #: Bytes that a task gathers before it sends them, and strings of which it remembers how often it met them.
-SENT_BYTES, REMEMBERED = 16 << 20, 400_000
+SENT_BYTES, REMEMBERED = 16 << 20, 250_000
 _KEY = 16
 _HEAD = struct.Struct("<qqq")
 
@@ -197,7 +197,7 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text") -
     rows = docs.select(text_key(F.col(text)).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     buckets = parts_for(text_bytes(rows) * BLOW_UP, BUCKET_BYTES)
     sent = rows.mapInArrow(_send(buckets, window), "bucket int, parcel binary")
-    found = sent.groupBy("bucket").applyInArrow(_count(window), "key binary, lo bigint, hi bigint")
+    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_count(window), "key binary, lo bigint, hi bigint")
     return cut(found, "ranges").distinct()
 
 
