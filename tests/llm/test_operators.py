@@ -180,7 +180,9 @@ def test_jaccard_components_of_edge_documents(spark, edge_docs):
     assert sorted((tuple(r) for r in got), key=key) == jaccard([r[:2] for r in edge_rows()])
 
 
-def test_search_with_lists_set_aside():
+@pytest.mark.parametrize("probed", [2048, 20])
+def test_search_with_lists_set_aside(monkeypatch, probed):
+    monkeypatch.setattr(ngram_join, "PROBED", probed)
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 60, 300).astype(np.uint64)
     sets = []
