@@ -44,7 +44,9 @@ EXTRA, LONG = 4, 16
 #: Counters of the sketch for each word of text, and their smallest and largest number (powers of two).
 SKETCH_SHARE, SKETCH_LEAST, SKETCH_MOST = 1 / 64, 16, 24
 #: Prefix elements a bucket holds on average, elements of a cell, and bytes of prefixes sent at once.
-BUCKET_ENTRIES, CELL_ELEMENTS, SENT_ENTRIES = 400_000, 1 << 21, 1 << 20
+BUCKET_ENTRIES, CELL_ELEMENTS, SENT_ENTRIES = 400_000, 1 << 18, 1 << 20
+#: Length from which a list in a cell may be set aside and probed.
+PROBED = 2048
 _STRIPE = 1 << 14
 
 
@@ -282,8 +284,9 @@ def search(lists: list[np.ndarray], n: int, sizes: np.ndarray, percent: int = PE
     if len(lists) < need:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     lists = sorted(lists, key=len)
-    longest = len(lists[-1])
-    aside = min(need - 1, int(need / (0.02 * math.log2(longest + 1) + 1))) if longest > 200 else 0
+    # a probe costs as much as merging some thousand entries, so shorter lists are merged
+    far = sum(len(one) > PROBED for one in lists)
+    aside = min(need - 1, far, int(need / (0.02 * math.log2(len(lists[-1]) + 1) + 1)))
     short, far = lists[:len(lists) - aside], lists[len(lists) - aside:]
     count = np.bincount(np.concatenate(short), minlength=len(sizes))
     found = np.flatnonzero(count >= need - aside)
@@ -297,16 +300,20 @@ def search(lists: list[np.ndarray], n: int, sizes: np.ndarray, percent: int = PE
     return found, times
 
 
-def link_sets(sets: list[np.ndarray], percent: int = PERCENT, queries: np.ndarray | None = None):
-    """Yields (query, partners): sets with a Jaccard similarity of `percent` or more, itself left out."""
+def link_sets(sets: list[np.ndarray], percent: int = PERCENT, queries: np.ndarray | None = None,
+              index: np.ndarray | None = None):
+    """Yields (query, partners): sets with a Jaccard similarity of `percent` or more, itself left out. Searches all
+    sets with all, or only `queries` in an index of `index`."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    gram = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), sizes)
+    least = 1 if index is None else 0  # a list of one holds the query alone
+    index = np.arange(len(sets)) if index is None else index
+    gram = np.concatenate([sets[k] for k in index.tolist()]) if len(index) else np.zeros(0, np.uint64)
+    owner = np.repeat(index, sizes[index])
     order = np.argsort(gram, kind="stable")
     gram, owner = gram[order], owner[order]
     head = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
     tail = np.append(head[1:], len(gram))
-    several = tail - head > 1
+    several = tail - head > least
     head, tail, gram = head[several], tail[several], gram[head[several]]
     for q in range(len(sets)) if queries is None else queries.tolist():
         if not len(gram):
@@ -345,11 +352,12 @@ def _search_cells(percent: int):
                     x = root[x]
                 return x
 
-            for q, partners in link_sets(sets, percent):
-                if cross:
-                    partners = partners[block[own[partners]] != block[own[q]]]
+            sides = [np.flatnonzero(block[own] == side[own[0]]) for side in (i, j)] if cross else [None, None]
+            for q, partners in link_sets(sets, percent, *sides):
                 linked[q] += int(copies[own[partners]].sum())
                 for p in partners.tolist():
+                    if cross:  # the other side asks nothing itself
+                        linked[p] += int(copies[own[q]])
                     x, y = find(q), find(p)
                     if x != y:
                         root[max(x, y)] = min(x, y)
@@ -385,7 +393,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     shared = spark.sparkContext.broadcast(ranks)
     buckets = parts_for(words * (100 - percent) / 100, BUCKET_ENTRIES)
     found = cut(rows.mapInArrow(_prefixes(shared, bits, buckets, size, percent), "bucket int, parcel binary")
-                .groupBy("bucket").applyInArrow(
+                .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
                     _lists(LONG, percent), "a bigint, b bigint, na bigint, nb bigint, hits bigint, run bigint"),
                 "lists")
     comps = components(candidate_links(found, percent))
@@ -398,7 +406,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     volume = cand.groupBy("comp").agg(F.sum("n").alias("volume")).withColumn(
         "blocks", F.when(F.col("volume") <= CELL_ELEMENTS, 1).otherwise(F.ceil(F.col("volume") * 2 / CELL_ELEMENTS)))
     total = cand.agg(F.sum("n")).first()[0] or 0
-    groups = parts_for(total, CELL_ELEMENTS / 2)
+    groups = parts_for(total, CELL_ELEMENTS)
     block = F.pmod(F.xxhash64("node"), F.col("blocks"))
     small = F.array(F.struct(F.pmod(F.xxhash64("comp"), F.lit(groups)).alias("cell"), F.lit(-1).cast("bigint").alias("i"),
                              F.lit(-1).cast("bigint").alias("j"), F.lit(0).cast("bigint").alias("block")))
@@ -415,6 +423,7 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
                          "cells array<struct<cell:bigint,i:bigint,j:bigint,block:bigint>>, grams binary")
              .select("node", "copies", "comp", F.explode("cells").alias("c"), "grams")
              .select("node", "copies", "comp", "c.*", "grams"))
+    cells = cells.repartition(groups, "cell", "i", "j")
     linked = cut(cells.groupBy("cell", "i", "j").applyInArrow(
         _search_cells(percent), "node bigint, linked bigint, root bigint"), "linked")
     if cand.filter("blocks > 1").head(1):  # roots of one component may differ between its cells
