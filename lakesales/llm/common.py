@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import math
+import time
 from typing import NamedTuple
 
 import numpy as np
@@ -24,6 +26,15 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark) -> None:
+    """Lets Spark delete the shuffle files that nothing refers to any more now, not when the driver happens to
+    collect its garbage: before a further large shuffle they would only fill disks."""
+    for _ in range(2):  # Python lets go of its handles a moment after it collects them
+        gc.collect()
+        time.sleep(1)
+        spark.sparkContext._jvm.System.gc()
+
+
 def read_table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

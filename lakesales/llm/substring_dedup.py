@@ -22,6 +22,7 @@ from lakesales.llm.common import (
     cut,
     gram_hashes,
     parts_for,
+    release,
     text_bytes,
     window_hashes,
     window_minimum,
@@ -194,11 +195,17 @@ def _count(n: int):
 
 def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text") -> DataFrame:
     """(key, lo, hi): words lo..hi-1 of the texts with that key lie in windows that start more than once."""
+    table = cut(_found_ranges(docs, window, text), "ranges").distinct()
+    release(docs.sparkSession)  # the packed strings, about three times the text, are done with
+    return table
+
+
+def _found_ranges(docs: DataFrame, window: int, text: str) -> DataFrame:
     rows = docs.select(text_key(F.col(text)).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
     buckets = parts_for(text_bytes(rows) * BLOW_UP, BUCKET_BYTES)
     sent = rows.mapInArrow(_send(buckets, window), "bucket int, parcel binary")
-    found = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_count(window), "key binary, lo bigint, hi bigint")
-    return cut(found, "ranges").distinct()
+    return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
+        _count(window), "key binary, lo bigint, hi bigint")
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
