@@ -22,6 +22,11 @@ _STATE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # many small stores: megabytes set aside in advance for each would be most of the disk
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    # all stores of an executor share this much memory; the rest of the state is on disk
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
+    # stores of a finished run are closed soon, not after a minute
+    "spark.sql.streaming.stateStore.maintenanceInterval": "5s",
 }
 _LANDED = "digest binary, doc_id bigint, file string, row bigint"
 

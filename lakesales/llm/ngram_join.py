@@ -44,7 +44,7 @@ EXTRA, LONG = 4, 16
 #: Counters of the sketch for each word of text, and their smallest and largest number (powers of two).
 SKETCH_SHARE, SKETCH_LEAST, SKETCH_MOST = 1 / 64, 16, 24
 #: Prefix elements a bucket holds on average, elements of a cell, and bytes of prefixes sent at once.
-BUCKET_ENTRIES, CELL_ELEMENTS, SENT_ENTRIES = 400_000, 1 << 18, 1 << 20
+BUCKET_ENTRIES, CELL_ELEMENTS, SENT_ENTRIES = 400_000, 1 << 18, 1 << 19
 #: Length from which a list in a cell may be set aside and probed.
 PROBED = 2048
 _STRIPE = 1 << 14
