@@ -196,6 +196,11 @@ def gram_hashes(code: np.ndarray, n: int) -> np.ndarray:
     return mix(total)
 
 
+def pair_hashes(code: np.ndarray, apart: int) -> np.ndarray:
+    """64-bit hash of every word hash and the one `apart` places on; the same two give the same at any distance."""
+    return mix(code[:-apart] * _GRAM[0] + code[apart:] * _GRAM[1])
+
+
 _ROLL = [int(x) * 2 + 1 for x in _RANDOM.integers(1 << 61, 1 << 62, 2)]
 
 

@@ -1,9 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds find passages, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: pairs of words find passages, Smith-Waterman alignment scores them.
 
-All n-grams of the test items are counted in the whole corpus. In each stretch of an item its rarest n-gram is a
-seed, so every part of an item has one however often the item was copied. Where a text holds a seed, the passage
-around it is aligned with the item word by word; edits, missing and added words lower the score, they don't hide
-the copy. Items are worked off in blocks, so memory depends on the block and not on the benchmark.
+Between two words of an alignment that follow each other in it lie no edits (worth 2 points), one (1 point) or more
+(none). So a score of G takes G - 2 points of pairs that stand at a distance of one or two words in the item and
+in the text, inside as many words as such an alignment can be long. Every window with that many points is aligned
+with the item word by word; no passage over the goal is without them, whatever was replaced, left out or added.
+Items are worked off in blocks, so memory depends on the block and not on the benchmark.
 """
 
 from __future__ import annotations
@@ -16,16 +17,16 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakesales.llm.common import MARKS, Words, chunks, gram_hashes, words_of_column
+from lakesales.llm.common import MARKS, Words, chunks, pair_hashes, words_of_column
 
-#: Words of a seed, and neighbouring n-grams of which the rarest becomes one.
-SEED, STRETCH = 3, 4
 #: A passage leaks if its score is this part of the item's own score, or that of so many equal words in a row.
 PART, ENOUGH_WORDS = 0.4, 40
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of test items that are worked on at once, and cells of alignments.
 BLOCK_WORDS, CELLS = 2_000_000, 1 << 21
-#: An item with fewer words is no passage: it has no seeds and leaks nowhere.
+#: Items that hold a pair from which it is set aside where the goal allows, and meetings of pairs looked at at once.
+LONG, MEETINGS = 64, 1 << 22
+#: An item with fewer words is no passage: it leaks nowhere.
 LEAST_WORDS = 5
 _FOUND = "score double, first_word bigint, end_word bigint, passage string"
 
@@ -35,39 +36,59 @@ def plain_words(column: pa.Array) -> Words:
     return words_of_column(pc.utf8_lower(column), breaks=MARKS)
 
 
+def goals(size: np.ndarray) -> np.ndarray:
+    """The smallest score, a whole number, with which items of so many words leak."""
+    return np.ceil(np.minimum(PART * MATCH * size, MATCH * ENOUGH_WORDS)).astype(np.int64)
+
+
 class Items:
-    """The test items of one block."""
+    """The test items of one block, and which of them hold a pair of words."""
 
     def __init__(self, ids: list, texts: list):
         words = plain_words(pa.array(texts, pa.string()))
         keep = np.flatnonzero(np.diff(words.first) >= LEAST_WORDS)
         self.ids = [ids[i] for i in keep.tolist()]
         self.words = [words.hash[words.first[i]:words.first[i + 1]] for i in keep.tolist()]
-        grams = [gram_hashes(w, SEED) for w in self.words]
-        self.item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
-        self.place = np.concatenate([np.arange(len(g)) for g in grams]) if grams else np.zeros(0, np.int64)
-        self.gram = np.concatenate(grams) if grams else np.zeros(0, np.uint64)
-        self.index()
-
-    def index(self) -> None:
-        order = np.argsort(self.gram, kind="stable")
-        self.gram, self.item, self.place = self.gram[order], self.item[order], self.place[order]
-        self.different, self.first = np.unique(self.gram, return_index=True)
-        self.first = np.append(self.first, len(self.gram))
+        self.size = np.array([len(w) for w in self.words], np.int64)
+        self.goal = goals(self.size)
+        #: Words of text that an alignment over the goal has at most.
+        self.span = 3 * self.size - self.goal
+        sides = [[pair_hashes(w, apart) for w in self.words] for apart in (1, 2)]
+        gram = np.concatenate([np.zeros(0, np.uint64), *sides[0], *sides[1]])
+        item = np.concatenate([np.repeat(np.arange(len(keep)), [len(g) for g in side]) for side in sides])
+        place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for side in sides for g in side]])
+        near = np.arange(len(gram)) < sum(len(g) for g in sides[0])
+        stays = self.set_aside(gram, item, place)
+        gram, item, near = gram[stays], item[stays], near[stays]
+        order = np.lexsort((~near, item, gram))
+        gram, item, near = gram[order], item[order], near[order]
+        new = np.ones(len(gram), bool)
+        new[1:] = (gram[1:] != gram[:-1]) | (item[1:] != item[:-1])
+        self.item, self.near = item[new], near[new]
+        self.different, self.first = np.unique(gram[new], return_index=True)
+        self.first = np.append(self.first, len(self.item))
         self.sieve = np.zeros(1 << 20, bool)
         self.sieve[(self.different >> np.uint64(44)).astype(np.int64)] = True
 
-    def keep_rarest(self, count: np.ndarray) -> None:
-        """Of every STRETCH neighbouring n-grams of an item the one that the corpus has least often stays."""
-        often = count[np.searchsorted(self.different, self.gram)]
-        order = np.lexsort((self.place, often, self.place // STRETCH, self.item))
-        item, stretch = self.item[order], self.place[order] // STRETCH
-        best = order[np.append(True, (item[1:] != item[:-1]) | (stretch[1:] != stretch[:-1]))] if len(order) else order
-        self.gram, self.item, self.place = self.gram[best], self.item[best], self.place[best]
-        self.index()
+    def set_aside(self, gram: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Which pairs are looked up. Those that many items hold are set aside, the most frequent first, up to a
+        quarter of the points an item needs: `need` is what all passages over the goal have without them."""
+        _, which, held = np.unique(gram, return_inverse=True, return_counts=True)
+        at = np.concatenate([[0], np.cumsum(self.size)])[item] + place
+        often = np.zeros(int(self.size.sum()), np.int64)
+        np.maximum.at(often, at, held[which])
+        owner = np.repeat(np.arange(len(self.size)), self.size)
+        order = np.lexsort((-often, owner))
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        aside = np.zeros(len(order), bool)
+        aside[order] = (often[order] >= LONG) & (rank < ((self.goal - MATCH) // (4 * MATCH))[owner])
+        away = np.bincount(owner[aside], minlength=len(self.size))
+        self.need = self.goal - MATCH - MATCH * away
+        self.room = np.where(away > 0, self.span, 0)  # an alignment may begin and end with pairs set aside
+        return ~aside[at]
 
     def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in `grams` one of the n-grams is, and which."""
+        """Where in `grams` one of the pairs is, and which."""
         if not len(self.different):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
         at = np.flatnonzero(self.sieve[(grams >> np.uint64(44)).astype(np.int64)])
@@ -97,36 +118,69 @@ def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, where
 
 
-def leaks(items: Items, words: Words) -> list[tuple[int, int, float, int, int]]:
-    """(text, item, score, first word, end word) of the best alignment of each text and item that counts."""
-    grams = gram_hashes(words.hash, SEED)
-    at, which = items.hits(grams)
+def _meetings(items: Items, words: Words):
+    """Yields (item, word, points) of the pairs of some whole texts, at most one a word and item, in that order."""
+    at, which, near = [], [], []
+    for apart in (1, 2):
+        place, gram = items.hits(pair_hashes(words.hash, apart))
+        whole = place + apart < words.first[np.searchsorted(words.first, place, "right")]
+        at.append(place[whole]), which.append(gram[whole]), near.append(np.full(int(whole.sum()), apart == 1))
+    at, which, near = (np.concatenate(x) for x in (at, which, near))
+    order = np.argsort(at, kind="stable")
+    at, which, near = at[order], which[order], near[order]
     text = np.searchsorted(words.first, at, "right") - 1
-    whole = at + SEED <= words.first[text + 1]
-    at, which, text = at[whole], which[whole], text[whole]
     many = items.first[which + 1] - items.first[which]
-    entry = np.repeat(items.first[which] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-    at, text = np.repeat(at, many), np.repeat(text, many)
-    item = items.item[entry]
-    size = np.array([len(w) for w in items.words], np.int64)
-    begin = at - items.place[entry]  # where the item's first word would be
-    order = np.lexsort((begin, item, text))
-    begin, item, text = begin[order], item[order], text[order]
+    texts, n = len(words.first) - 1, len(items.ids)
+    ends = np.searchsorted(text, np.arange(texts + 1))
+    total = np.append(0, np.cumsum(many))[ends]
+    t = 0
+    while t < texts:
+        stop = max(t + 1, min(int(np.searchsorted(total, total[t] + MEETINGS, "right")) - 1, t + MEETINGS // n))
+        own = slice(ends[t], ends[stop])
+        more = many[own]
+        entry = np.repeat(items.first[which[own]] - np.cumsum(more) + more, more) + np.arange(int(more.sum()))
+        item, points = items.item[entry], 1 + (np.repeat(near[own], more) & items.near[entry])
+        # texts that have too few points for an item in all their words
+        cell = (np.repeat(text[own], more) - t) * n + item
+        enough = np.flatnonzero((np.bincount(cell, points, (stop - t) * n) >= np.tile(items.need, stop - t))[cell])
+        code = (item[enough] * len(words.hash) + np.repeat(at[own], more)[enough]) * 2 + points[enough] - 1
+        code.sort()
+        code = code[np.append(code[1:] >> 1 != code[:-1] >> 1, True)] if len(code) else code
+        yield (code >> 1) // max(1, len(words.hash)), (code >> 1) % max(1, len(words.hash)), (code & 1) + 1
+        t = stop
+
+
+def passages(items: Items, words: Words) -> tuple[np.ndarray, ...]:
+    """(item, text, first word, end word) of all windows with the points an item needs; those that overlap are one."""
+    out = [[np.zeros(0, np.int64)] for _ in range(4)]
+    for item, at, points in _meetings(items, words) if items.ids else ():
+        text = np.searchsorted(words.first, at, "right") - 1
+        total = np.append(0, np.cumsum(points))
+        base = item * len(words.hash)
+        end = np.searchsorted(base + at, base + np.minimum(at + items.span[item], words.first[text + 1]))
+        full = np.flatnonzero(total[end] - total[:-1] >= items.need[item])
+        if not len(full):
+            continue
+        item, text, end = item[full], text[full], end[full]
+        lo = np.maximum(at[full] - items.room[item], words.first[text])
+        hi = np.minimum(at[end - 1] + 3 + items.room[item], words.first[text + 1])
+        new = np.ones(len(full), bool)
+        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (lo[1:] >= hi[:-1])
+        head = np.flatnonzero(new)
+        for column, value in zip(out, (item[head], text[head], lo[head], hi[np.append(head[1:], len(full)) - 1]),
+                                 strict=True):
+            column.append(value)
+    return tuple(np.concatenate(x) for x in out)
+
+
+def leaks(items: Items, words: Words) -> list[tuple[int, int, float, int, int]]:
+    """(text, item, score, first word, end word) of the best alignment of each text and item that counts."""
+    item, text, lo, hi = passages(items, words)
     out: dict[tuple[int, int], tuple] = {}
-    # hits that lie within an eighth of the item's length make one passage, with as much room on either side
-    room = np.maximum(8, size // 4)
-    new = np.ones(len(begin), bool)
-    new[1:] = (text[1:] != text[:-1]) | (item[1:] != item[:-1]) | (begin[1:] - begin[:-1] > room[item[1:]] // 2)
-    head = np.flatnonzero(new)
-    last = np.append(head[1:], len(begin)) - 1
-    lo = np.maximum(begin[head] - room[item[head]], words.first[text[head]]) if len(head) else head
-    hi = np.minimum(begin[last] + (size + room)[item[head]], words.first[text[head] + 1]) if len(head) else head
-    item, text = item[head], text[head]
     padded = np.append(words.hash, np.uint64(0))
     for i in np.unique(item).tolist():
         of = np.flatnonzero(item == i)
         of = of[np.argsort(hi[of] - lo[of], kind="stable")]
-        goal = min(PART * MATCH * size[i], MATCH * ENOUGH_WORDS)
         while len(of):  # passages of like widths together, as many as the table has room for
             width = hi[of] - lo[of]
             fit = max(1, int(np.searchsorted(width * np.arange(1, len(of) + 1), CELLS)))
@@ -135,27 +189,13 @@ def leaks(items: Items, words: Words) -> list[tuple[int, int, float, int, int]]:
             place = lo[some][:, None] + np.arange(broad)
             table = padded[np.where(place < hi[some][:, None], place, len(padded) - 1)]
             score, end = align(items.words[i], table)
-            for k in np.flatnonzero(score >= goal).tolist():
+            for k in np.flatnonzero(score >= items.goal[i]).tolist():
                 back, length = align(items.words[i][::-1], table[k:k + 1, :end[k]][:, ::-1])
                 key = (int(text[some[k]]), i)
                 found = (int(score[k]), int(lo[some[k]] + end[k] - length[0]), int(lo[some[k]] + end[k]))
                 if key not in out or (found[0], -found[1]) > (out[key][0], -out[key][1]):
                     out[key] = found
-    return [(t, i, s / (MATCH * int(size[i])), a, b) for (t, i), (s, a, b) in sorted(out.items())]
-
-
-def _count(items):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = items.value
-        total = np.zeros(len(block.different), np.int64)
-        for batch in batches:
-            for part in chunks(batch):
-                words = plain_words(part.column("text"))
-                _, which = block.hits(gram_hashes(words.hash, SEED))
-                total += np.bincount(which, minlength=len(total))
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"gram": pa.array(there), "n": pa.array(total[there])})
-    return count
+    return [(t, i, s / (MATCH * int(items.size[i])), a, b) for (t, i), (s, a, b) in sorted(out.items())]
 
 
 def _find(items):
@@ -194,16 +234,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     out = docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id bigint, {_FOUND}")
-    for items in item_blocks(docs, benchmark, text):
+    for items in item_blocks(benchmark):
         out = out.unionByName(rows.mapInArrow(_find(items), f"doc_id {kind}, item_id bigint, {_FOUND}"))
     return out
 
 
-def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str):
-    """Yields the seeds of one block of items after the other, as broadcasts. A block fits a task, however many
-    blocks there are; each costs a pass over the corpus to count its n-grams."""
-    spark = docs.sparkSession
-    rows = docs.select(F.col(text).alias("text"))
+def item_blocks(benchmark: DataFrame):
+    """Yields one block of items after the other, as broadcasts. A block fits a task, however many blocks there are."""
     tests = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(
         "text is not null").distinct()
     words = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
@@ -211,15 +248,8 @@ def item_blocks(docs: DataFrame, benchmark: DataFrame, text: str):
     for block in range(blocks):
         some = tests.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
         items = Items([r["item_id"] for r in some], [r["text"] for r in some])
-        if not items.ids:
-            continue
-        every = spark.sparkContext.broadcast(items)
-        count = np.zeros(len(items.different), np.int64)
-        for r in rows.mapInArrow(_count(every), "gram bigint, n bigint").groupBy("gram").agg(
-                F.sum("n").alias("n")).collect():  # one row an n-gram of the block
-            count[r["gram"]] = r["n"]
-        items.keep_rarest(count)
-        yield spark.sparkContext.broadcast(items)
+        if items.ids:
+            yield benchmark.sparkSession.sparkContext.broadcast(items)
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -234,6 +264,6 @@ def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
         return kept
 
     out = docs
-    for items in item_blocks(docs, benchmark, text):
+    for items in item_blocks(benchmark):
         out = out.mapInArrow(keep(items), docs.schema)
     return out

@@ -9,6 +9,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -127,6 +128,49 @@ def test_edited_and_copied_items_are_found_and_clean_documents_left_alone(spark)
     assert (exact["score"], exact["passage"], exact["first_word"], exact["end_word"]) == (1.0, items[0][1], 150, 190)
 
 
+@pytest.mark.parametrize("long,meetings", [(64, 1 << 22), (2, 500)])
+def test_heavily_edited_copies_are_found_as_by_aligning_everything(long, meetings, monkeypatch):
+    monkeypatch.setattr(decontamination, "LONG", long)
+    monkeypatch.setattr(decontamination, "MEETINGS", meetings)
+    rng = random.Random(4)
+    common = [f"c{i}" for i in range(12)]
+    texts = [" ".join(rng.choice(common) if rng.random() < 0.4 else f"i{rng.randrange(400)}" for _ in range(n))
+             for n in [16, 20, 30, 40, 59, 150] * 4]
+    docs = []
+    for k, text in enumerate(texts):
+        for step in (2, 3, 4, 5, 6):
+            for way in ("replaced", "added", "gone"):
+                copy = [w if i % step else {"replaced": f"n{i}", "added": f"{w} n{i}", "gone": ""}[way]
+                        for i, w in enumerate(text.split())]
+                around = [" ".join(rng.choice(common + [f"d{rng.randrange(300)}"] * 9) for _ in range(80)) for _ in "ab"]
+                docs.append(f"{around[0]} {' '.join(copy)} {around[1]}")
+        docs += [text] * (k % 3)  # an exact copy elsewhere makes whole n-grams more frequent than broken ones
+    items = decontamination.Items(list(range(len(texts))), texts)
+    words = decontamination.plain_words(pa.array([*docs, None, "", "one"]))
+    got = decontamination.leaks(items, words)
+    want = set()
+    for t in range(len(docs)):
+        body = words.hash[words.first[t]:words.first[t + 1]][None]
+        for i, item in enumerate(items.words):
+            score = int(decontamination.align(item, body)[0][0])
+            if score >= min(decontamination.PART * 2 * len(item), 80):
+                want.add((t, i, score / (2 * len(item))))
+    assert {g[:3] for g in got} == want and len(want) > 250
+    assert long == 64 or items.room.any()
+
+
+def test_every_fourth_to_sixth_word_replaced_beside_exact_copies(spark):
+    items = [(i, prose(700 + i, 40, 3000)) for i in range(9)]
+    docs = [(i, text) for i, text in items]
+    for i, text in items:
+        step = 4 + i % 3
+        copy = " ".join(f"new{i}x{k}" if k % step == step - 1 else w for k, w in enumerate(text.split()))
+        docs.append((100 + i, f"{prose(800 + i, 100, 3000)} {copy} {prose(900 + i, 100, 3000)}"))
+    got = decontamination.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                                     spark.createDataFrame(items, "item_id bigint, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(d + i, i) for i in range(9) for d in (0, 100)}
+
+
 # --- 4 n-gram Jaccard join -----------------------------------------------------------------------------
 
 
