@@ -20,14 +20,13 @@ from pyspark.sql import functions as F
 from lakesales.llm.common import MARKS, Words, chunks, pair_hashes, words_of_column
 
 #: A passage leaks if its score is this part of the item's own score, or that of so many equal words in a row.
-PART, ENOUGH_WORDS = 0.4, 40
+#: No score under FLOOR is enough: for it a short item needs a larger part of its own score, up to all of it.
+PART, ENOUGH_WORDS, FLOOR = 0.4, 40, 13
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Words of test items that are worked on at once, and cells of alignments.
 BLOCK_WORDS, CELLS = 2_000_000, 1 << 21
 #: Items that hold a pair from which it is set aside where the goal allows, and meetings of pairs looked at at once.
 LONG, MEETINGS = 64, 1 << 22
-#: An item with fewer words is no passage: it leaks nowhere.
-LEAST_WORDS = 5
 _FOUND = "score double, first_word bigint, end_word bigint, passage string"
 
 
@@ -38,7 +37,8 @@ def plain_words(column: pa.Array) -> Words:
 
 def goals(size: np.ndarray) -> np.ndarray:
     """The smallest score, a whole number, with which items of so many words leak."""
-    return np.ceil(np.minimum(PART * MATCH * size, MATCH * ENOUGH_WORDS)).astype(np.int64)
+    least = np.maximum(PART * MATCH * size, np.minimum(MATCH * size, FLOOR))
+    return np.ceil(np.minimum(least, MATCH * ENOUGH_WORDS)).astype(np.int64)
 
 
 class Items:
@@ -46,13 +46,17 @@ class Items:
 
     def __init__(self, ids: list, texts: list):
         words = plain_words(pa.array(texts, pa.string()))
-        keep = np.flatnonzero(np.diff(words.first) >= LEAST_WORDS)
+        keep = np.flatnonzero(np.diff(words.first) > 0)
         self.ids = [ids[i] for i in keep.tolist()]
         self.words = [words.hash[words.first[i]:words.first[i + 1]] for i in keep.tolist()]
         self.size = np.array([len(w) for w in self.words], np.int64)
         self.goal = goals(self.size)
         #: Words of text that an alignment over the goal has at most.
         self.span = 3 * self.size - self.goal
+        lone = np.flatnonzero(self.size == 1)  # no pair
+        word = np.array([self.words[i][0] for i in lone.tolist()], np.uint64)
+        order = np.argsort(word, kind="stable")
+        self.lone, self.lone_word = lone[order], word[order]
         sides = [[pair_hashes(w, apart) for w in self.words] for apart in (1, 2)]
         gram = np.concatenate([np.zeros(0, np.uint64), *sides[0], *sides[1]])
         item = np.concatenate([np.repeat(np.arange(len(keep)), [len(g) for g in side]) for side in sides])
@@ -150,9 +154,21 @@ def _meetings(items: Items, words: Words):
         t = stop
 
 
+def _lone(items: Items, words: Words) -> tuple[np.ndarray, ...]:
+    """(item, text, first word, end word) of the first word of each text that is a whole item."""
+    lo, hi = (np.searchsorted(items.lone_word, words.hash, side) for side in ("left", "right"))
+    at = np.flatnonzero(hi > lo)
+    many = (hi - lo)[at]
+    item = items.lone[np.repeat(lo[at] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
+    at = np.repeat(at, many)
+    text = np.searchsorted(words.first, at, "right") - 1
+    _, first = np.unique(text * max(1, len(items.ids)) + item, return_index=True)
+    return item[first], text[first], at[first], at[first] + 1
+
+
 def passages(items: Items, words: Words) -> tuple[np.ndarray, ...]:
     """(item, text, first word, end word) of all windows with the points an item needs; those that overlap are one."""
-    out = [[np.zeros(0, np.int64)] for _ in range(4)]
+    out = [[x] for x in _lone(items, words)]
     for item, at, points in _meetings(items, words) if items.ids else ():
         text = np.searchsorted(words.first, at, "right") - 1
         total = np.append(0, np.cumsum(points))
@@ -189,7 +205,10 @@ def leaks(items: Items, words: Words) -> list[tuple[int, int, float, int, int]]:
             place = lo[some][:, None] + np.arange(broad)
             table = padded[np.where(place < hi[some][:, None], place, len(padded) - 1)]
             score, end = align(items.words[i], table)
-            for k in np.flatnonzero(score >= items.goal[i]).tolist():
+            good = np.flatnonzero(score >= items.goal[i])
+            good = good[np.lexsort((lo[some[good]], -score[good], text[some[good]]))]
+            _, best = np.unique(text[some[good]], return_index=True)  # the first of the best of each text
+            for k in good[best].tolist():
                 back, length = align(items.words[i][::-1], table[k:k + 1, :end[k]][:, ::-1])
                 key = (int(text[some[k]]), i)
                 found = (int(score[k]), int(lo[some[k]] + end[k] - length[0]), int(lo[some[k]] + end[k]))
@@ -224,11 +243,11 @@ def _find(items):
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, item_id, score, first_word, end_word, passage: the best alignment of every document and test item
-    whose score is at least PART of the item's own score, or that of ENOUGH_WORDS equal words.
+    whose score is at least PART of the item's own score, or that of ENOUGH_WORDS equal words, and FLOOR or the
+    item's whole own score: items up to 6 words are found only where all their words stand in a row.
 
-    Words are runs of what is neither ASCII white space nor an ASCII mark, in lower case. Null, empty and short
-    texts leak nothing, null or short items (under LEAST_WORDS words) are found nowhere; equal test rows count
-    once; repeated documents are reported as often as they stand there; extra columns are ignored; an empty table
+    Words are runs of what is neither ASCII white space nor an ASCII mark, in lower case. Null and
+    empty texts leak nothing, null items and those without words are found nowhere; equal test rows count once; repeated documents are reported as often as they stand there; extra columns are ignored; an empty table
     on either side gives no rows.
     """
     kind = dict(docs.dtypes)[key]

@@ -171,6 +171,24 @@ def test_every_fourth_to_sixth_word_replaced_beside_exact_copies(spark):
     assert {(r["doc_id"], r["item_id"]) for r in got} == {(d + i, i) for i in range(9) for d in (0, 100)}
 
 
+def test_short_items_need_more_than_one_shared_gram(spark):
+    items = [(0, "who wrote the old novel"), (1, "name one river in the far north"), (2, "two words"), (3, "why"),
+             (4, "which is the last of four"), (5, "why"), (6, "!"), (7, None), (8, prose(50, 10))]
+    edited_10 = " ".join("x" if k in (3, 7) else w for k, w in enumerate(prose(50, 10).split()))
+    docs = [(0, "she wrote the old house"), (1, "asked: Who wrote the old NOVEL?"), (2, "in the far south of it"),
+            (3, "here name one river, in the far north."), (4, "two other words"), (5, "just two words"),
+            (6, "say why and why"), (7, "which is the last of all"), (8, "which is the last of four why not"),
+            (9, f"a {edited_10} b"), (10, None), (11, "")]
+    table = spark.createDataFrame(docs, "doc_id bigint, text string")
+    tests = spark.createDataFrame(items, "item_id bigint, text string")
+    got = decontamination.find_leaks(table, tests).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == {(1, 0), (3, 1), (5, 2), (6, 3), (6, 5), (8, 4), (8, 3), (8, 5),
+                                                          (9, 8)}
+    assert [(r["score"], r["passage"], r["first_word"]) for r in got if (r["doc_id"], r["item_id"]) == (6, 3)] == [
+        (1.0, "why", 1)]
+    assert {r["doc_id"] for r in decontamination.drop_leaks(table, tests).collect()} == {0, 2, 4, 7, 10, 11}
+
+
 # --- 4 n-gram Jaccard join -----------------------------------------------------------------------------
 
 
