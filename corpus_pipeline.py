@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lakesales.llm import decontamination, exact_dedup, language_id, ngram_join, packing
-from lakesales.llm.common import cut
 from lakesales.llm.tokens import tokenizer_path
 from lakesales.session import scratch_path
 
@@ -30,10 +29,8 @@ def exact_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest id stays. Rows without an id stay: nothing
-    names them."""
-    gone = ngram_join.jaccard_components(docs).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(cut(gone, "near-copies"), "doc_id", "left_anti")
+    """Of each group of linked documents the one with the smallest id stays, whatever ids repeat or lack."""
+    return ngram_join.drop_near_copies(docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

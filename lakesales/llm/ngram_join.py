@@ -37,6 +37,7 @@ from lakesales.llm.common import (
     words_of_column,
 )
 from lakesales.llm.components import components
+from lakesales.llm.exact_dedup import with_place
 
 SHINGLE, PERCENT = 5, 75
 #: Prefix elements that linked sets share at least, and the length from which a list is set aside.
@@ -90,10 +91,11 @@ def node_names(grams: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
 # --- 1 sets and the sketch -----------------------------------------------------------------------------
 
 
-def _describe(bits: int, size: int):
+def _describe(bits: int, size: int, own: list[str]):
+    """`own`: columns that rows keep as they are."""
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch = np.zeros(1 << bits, np.uint32)
-        names = ["doc_id", "n", "node", "proof", "stripe", "counts"]
+        names = [*own, "n", "node", "proof", "stripe", "counts"]
         for batch in batches:
             for part in chunks(batch):
                 grams, offsets = shingle_sets(words_of_column(part.column("text"), lower=True), size)
@@ -102,14 +104,15 @@ def _describe(bits: int, size: int):
                 node, proof = node_names(grams, offsets)
                 n = part.num_rows
                 yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array(np.diff(offsets)), pa.array(signed(node)), pa.array(signed(proof)),
+                    *[part.column(c) for c in own], pa.array(np.diff(offsets)), pa.array(signed(node)), pa.array(signed(proof)),
                     pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
+                kinds = [part.schema.field(c).type for c in own]
         zip_ = zstandard.ZstdCompressor(level=1)
         for stripe in range(0, 1 << bits, _STRIPE):
             some = sketch[stripe:stripe + _STRIPE]
             if some.any():
                 yield pa.RecordBatch.from_arrays([
-                    pa.nulls(1, pa.int64()), *[pa.nulls(1, pa.int64())] * 3,
+                    *[pa.nulls(1, kind) for kind in kinds], *[pa.nulls(1, pa.int64())] * 3,
                     pa.array([stripe // _STRIPE], pa.int32()), pa.array([zip_.compress(some.tobytes())], pa.binary())],
                     names)
     return describe
@@ -378,14 +381,39 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     own id. Rows that repeat link with each other; rows without an id take part, and a component of such rows
     alone has a null id. Extra columns are ignored; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
+    out = _grouped(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")), percent, size)
+    return out.select("doc_id", F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+                      F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def drop_near_copies(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE, key: str = "doc_id",
+                     text: str = "text") -> DataFrame:
+    """The rows of docs that stay, with all their columns: of each component of linked rows one, that with the
+    smallest id, of equal ids the first by file and row; rows without an id come last. Decided row by row, so
+    repeated ids and rows without an id are groups like others."""
+    placed = with_place(docs)
+    rows = _grouped(placed.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), "_row_place"),
+                    percent, size)
+    # a row alone in its component has no link
+    linked = cut(rows.filter("n_links > 0").select("comp", "doc_id", "_row_place"), "linked-rows")
+    stays = linked.groupBy("comp").agg(F.min(F.struct(
+        F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row_place")).alias("keeper")).select("keeper._row_place")
+    gone = cut(linked.select("_row_place").join(stays, "_row_place", "left_anti"), "near-copies")
+    return placed.join(gone, "_row_place", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def _grouped(rows: DataFrame, percent: int, size: int) -> DataFrame:
+    """The rows (doc_id, other columns) without their text, with n, comp, component_id and n_links; where a text has
+    no shingles the last three are null."""
+    spark = rows.sparkSession
+    own = [c for c in rows.columns if c != "text"]
     words = text_bytes(rows) / 6
     bits = min(SKETCH_MOST, max(SKETCH_LEAST, math.ceil(math.log2(words * SKETCH_SHARE + 1))))
     described = cut(rows.mapInArrow(
-        _describe(bits, size),
-        "doc_id bigint, n bigint, node bigint, proof bigint, stripe int, counts binary"), "described")
-    members = described.filter("stripe is null").select("doc_id", "n", "node", "proof")
+        _describe(bits, size, own), ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in own)
+        + ", n bigint, node bigint, proof bigint, stripe int, counts binary"), "described")
+    members = described.filter("stripe is null").select(*own, "n", "node", "proof")
     ranks = np.zeros(1 << bits, np.uint8)  # a fixed size, whatever the data
     for r in described.filter("stripe is not null").select("stripe", "counts").groupBy("stripe").applyInArrow(
             _add_up, "stripe int, ranks binary").collect():
@@ -435,8 +463,5 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
         "comp", F.coalesce("comp", "node"))
     ids = nodes.groupBy("comp").agg(F.min("least").alias("component_id"))
     nodes = nodes.join(ids, "comp").select(
-        "node", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    out = members.join(nodes, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-                      F.coalesce("n_links", F.lit(0)).alias("n_links"))
+        "node", "comp", "component_id", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    return members.join(nodes, "node", "left").select(*own, "n", "comp", "component_id", "n_links")

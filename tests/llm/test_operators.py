@@ -264,6 +264,17 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**{i: 0 for i in range(51)}, **{i: 100 for i in range(100, 160)}, 299: 299, 300: 299}
 
 
+def test_one_row_of_each_group_of_near_copies_stays_where_ids_repeat_or_lack(spark, tmp_path):
+    a, b, c, d = (prose(60 + k, 60, 4000) for k in range(4))
+    rows = [(1, a), (2, a + " end"), (2, b), (3, c), (3, c + " end"), (3, c), (None, d), (None, d + " end"), (None, b + " x"),
+            (4, None), (4, ""), (None, None)]
+    path = str(tmp_path / "documents")
+    spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1).write.parquet(path)
+    for docs in (spark.read.parquet(path), spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)):
+        got = [tuple(r) for r in corpus_pipeline.near_dedup_stage(spark, docs, "").collect()]
+        assert sorted(got, key=str) == sorted([rows[k] for k in (0, 2, 3, 6, 9, 10, 11)], key=str)
+
+
 # --- 5 substring dedup -----------------------------------------------------------------------------------
 
 
