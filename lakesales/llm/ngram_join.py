@@ -265,16 +265,23 @@ def candidate_links(found: DataFrame, percent: int) -> DataFrame:
 
 def _sets(size: int):
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: set[int] = set()
         for batch in batches:
             for part in chunks(batch):
                 grams, offsets = shingle_sets(words_of_column(part.column("text"), lower=True), size)
                 node, _ = node_names(grams, offsets)
-                # repeated ids with other texts come along
-                own = np.flatnonzero(signed(node) == part.column("node").to_numpy())
-                some = part.take(pa.array(own))
+                # another text with one hash may come along; repeated rows come once a task
+                own = []
+                for i in np.flatnonzero(signed(node) == part.column("node").to_numpy()).tolist():
+                    if (name := int(node[i])) not in met:
+                        met.add(name)
+                        own.append(i)
+                if len(met) > 1_000_000:
+                    met.clear()
+                some = part.take(pa.array(own, pa.int64()))
                 yield pa.RecordBatch.from_arrays([
                     some.column("node"), some.column("copies"), some.column("comp"), some.column("cells"),
-                    pa.array([grams[offsets[i]:offsets[i + 1]].tobytes() for i in own.tolist()], pa.binary())],
+                    pa.array([grams[offsets[i]:offsets[i + 1]].tobytes() for i in own], pa.binary())],
                     ["node", "copies", "comp", "cells", "grams"])
     return sets
 
@@ -408,19 +415,21 @@ def _grouped(rows: DataFrame, percent: int, size: int) -> DataFrame:
     no shingles the last three are null."""
     spark = rows.sparkSession
     own = [c for c in rows.columns if c != "text"]
+    # names a text where its id does not: a text is fetched by both
+    rows = rows.withColumn("code", F.xxhash64("text"))
     words = text_bytes(rows) / 6
     bits = min(SKETCH_MOST, max(SKETCH_LEAST, math.ceil(math.log2(words * SKETCH_SHARE + 1))))
     described = cut(rows.mapInArrow(
-        _describe(bits, size, own), ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in own)
+        _describe(bits, size, [*own, "code"]), ", ".join(f"{c} {dict(rows.dtypes)[c]}" for c in [*own, "code"])
         + ", n bigint, node bigint, proof bigint, stripe int, counts binary"), "described")
-    members = described.filter("stripe is null").select(*own, "n", "node", "proof")
+    members = described.filter("stripe is null").select(*own, "code", "n", "node", "proof")
     ranks = np.zeros(1 << bits, np.uint8)  # a fixed size, whatever the data
     for r in described.filter("stripe is not null").select("stripe", "counts").groupBy("stripe").applyInArrow(
             _add_up, "stripe int, ranks binary").collect():
         ranks[r["stripe"] * _STRIPE:r["stripe"] * _STRIPE + len(r["ranks"])] = np.frombuffer(r["ranks"], np.uint8)
     shared = spark.sparkContext.broadcast(ranks)
     buckets = parts_for(words * (100 - percent) / 100, BUCKET_ENTRIES)
-    found = cut(rows.mapInArrow(_prefixes(shared, bits, buckets, size, percent), "bucket int, parcel binary")
+    found = cut(rows.select("text").mapInArrow(_prefixes(shared, bits, buckets, size, percent), "bucket int, parcel binary")
                 .repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
                     _lists(LONG, percent), "a bigint, b bigint, na bigint, nb bigint, hits bigint, run bigint"),
                 "lists")
@@ -428,7 +437,9 @@ def _grouped(rows: DataFrame, percent: int, size: int) -> DataFrame:
 
     same = F.min("proof") == F.max("proof")
     nodes = cut(members.filter("n > 0").groupBy("node").agg(
-        F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("copies"),
+        F.min("doc_id").alias("least"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "code"))["code"].alias("code"),
+        F.count(F.lit(1)).alias("copies"),
         F.when(same, F.first("n")).otherwise(F.raise_error(F.lit("two sets have one name"))).alias("n")), "nodes")
     cand = comps.join(nodes, "node")
     volume = cand.groupBy("comp").agg(F.sum("n").alias("volume")).withColumn(
@@ -442,10 +453,10 @@ def _grouped(rows: DataFrame, percent: int, size: int) -> DataFrame:
         F.col("comp").alias("cell"), F.least(k, block).alias("i"), F.greatest(k, block).alias("j"),
         block.alias("block")))
     cand = cut(cand.join(volume, "comp").select(
-        F.col("least").alias("doc_id"), "node", "copies", "comp", "blocks",
+        F.col("least").alias("doc_id"), "code", "node", "copies", "comp", "blocks",
         F.when(F.col("blocks") == 1, small).otherwise(large).alias("cells")), "cells")
     # both sides grow with the data: never a broadcast, however small they look
-    cells = (rows.join(cand.hint("merge"), rows["doc_id"].eqNullSafe(cand["doc_id"]))
+    cells = (rows.join(cand.hint("merge"), rows["doc_id"].eqNullSafe(cand["doc_id"]) & (rows["code"] == cand["code"]))
              .select(rows["text"], "node", "copies", "comp", "cells")
              .mapInArrow(_sets(size), "node bigint, copies bigint, comp bigint, "
                          "cells array<struct<cell:bigint,i:bigint,j:bigint,block:bigint>>, grams binary")

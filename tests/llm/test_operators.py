@@ -275,6 +275,30 @@ def test_one_row_of_each_group_of_near_copies_stays_where_ids_repeat_or_lack(spa
         assert sorted(got, key=str) == sorted([rows[k] for k in (0, 2, 3, 6, 9, 10, 11)], key=str)
 
 
+@pytest.mark.parametrize("ids", [[None], [None, 7, 7]])
+def test_rows_of_one_id_or_none_meet_their_own_candidates_only(spark, tmp_path, monkeypatch, ids):
+    before, at = ngram_join._sets, str(tmp_path)
+
+    def counting(size):
+        inner = before(size)
+
+        def sets(batches):
+            def seen():
+                for batch in batches:
+                    with open(f"{at}/{id(batch)}-{random.random()}", "w") as f:
+                        f.write(str(batch.num_rows))
+                    yield batch
+            yield from inner(seen())
+        return sets
+
+    monkeypatch.setattr(ngram_join, "_sets", counting)
+    rows = [(ids[k % len(ids)], prose(70 + k // 8, 80, 3000) + f" end{k}") for k in range(48)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = [tuple(r) for r in ngram_join.jaccard_components(docs).collect()]
+    assert sorted(got, key=key) == jaccard(rows)
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) == len(rows)
+
+
 # --- 5 substring dedup -----------------------------------------------------------------------------------
 
 
