@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesales.llm.common import cut
+from lakesales.llm.common import cut, parts_for
 
 _UPPER, _SMALL = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Parts host and path in a key; no URL text that is split by white space holds it.
 _JOINT = "\u0001"
+#: Points that a slice of a walk holds on average.
+SLICE_ROWS = 500_000
 
 
 def url_host(url: Column) -> Column:
@@ -70,7 +72,7 @@ def nested(intervals: DataFrame, key: str) -> DataFrame:
 
 
 def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str = "allow",
-               slices: int = 12) -> DataFrame:
+               slices: int | None = None) -> DataFrame:
     """Adds host, path, rule and verdict to rows with a URL.
 
     rules: host, path, verdict ('allow' or 'block'); extra columns are ignored, null host or path counts as
@@ -78,7 +80,7 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     the longest host and path together wins, then the longest host; of equal rules a block wins. Without a
     fitting rule: rule null, verdict `default`. Every row of `urls` returns once with its own columns;
     own columns named host, path, rule or verdict are replaced. Null URL: empty host and path.
-    Each different host and path is judged once.
+    Each different host and path is judged once, in `slices` slices, else as many as their number asks for.
     """
     rules = rules.select(
         F.translate(F.coalesce("host", F.lit("")), _UPPER, _SMALL).alias("host"),
@@ -89,12 +91,12 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     out = urls.drop("host", "path", "rule", "verdict").withColumn("host", url_host(F.col(url))) \
         .withColumn("path", url_path(F.col(url)))
 
-    different = out.select("host", "path").distinct().withColumn("host_key", host_key(F.col("host")))
-    hosts = stabbed(different, nested(rules, "host_key"), "host_key", slices)
-    below = hosts.select("host", "path", F.explode("active").alias("active_host")).withColumn(
-        "path_key", F.concat("active_host", F.lit(_JOINT), "path")).drop("active_host")
+    different = cut(out.select("host", "path").distinct(), "hosts").withColumn("host_key", host_key(F.col("host")))
+    hosts = stabbed(different, nested(rules, "host_key"), "host_key", slices or parts_for(different.count(), SLICE_ROWS))
+    below = cut(hosts.select("host", "path", F.explode("active").alias("active_host")).withColumn(
+        "path_key", F.concat("active_host", F.lit(_JOINT), "path")).drop("active_host"), "below")
     keyed = rules.withColumn("path_key", F.concat("host_key", F.lit(_JOINT), "path"))
-    paths = stabbed(below, nested(keyed, "path_key"), "path_key", slices)
+    paths = stabbed(below, nested(keyed, "path_key"), "path_key", slices or parts_for(below.count(), SLICE_ROWS))
     # prefixes of one key: the longest of them is the largest
     found = paths.select("host", "path", F.array_max("active").alias("path_key")).filter("path_key is not null").join(
         keyed.select("path_key", "host_size", "rule", "verdict"), "path_key")

@@ -76,6 +76,16 @@ def test_url_filters_by_brute_force(spark):
     assert [tuple(r) for r in none] == [(None, "allow")]
 
 
+def test_url_walks_have_more_slices_for_more_urls(spark, monkeypatch):
+    seen, before = [], url_filters.stabbed
+    monkeypatch.setattr(url_filters, "SLICE_ROWS", 5, raising=False)
+    monkeypatch.setattr(url_filters, "stabbed", lambda *a: seen.append(a[3]) or before(*a))
+    table = spark.createDataFrame([(f"http://h{i % 100}.net/{i % 100}",) for i in range(300)], "url string")
+    rules = spark.createDataFrame([("net", "/", "block"), ("", "", "allow")], "host string, path string, verdict string")
+    got = url_filters.judge_urls(table, rules).collect()
+    assert len(got) == 300 and {r["rule"] for r in got} == {"net/"} and seen == [20, 40]
+
+
 # --- 2 decontamination -------------------------------------------------------------------------------
 
 
