@@ -18,11 +18,3 @@ def spark():
         "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="lakesales-warehouse-")})
     yield session
     session.stop()
-
-
-def rows(df, *order):
-    """Rows as tuples in a fixed order."""
-    if order:
-        df = df.orderBy(*order)
-        return [tuple(r) for r in df.collect()]
-    return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from lakesales.functions import conform, dates, money, nested, text
 
 

@@ -5,7 +5,7 @@ import csv
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from lakesales.operators.aggregates import error_summary
 from lakesales.plans import loader as L
 from lakesales.schemas import MSSQL_LOADER

@@ -6,7 +6,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from table_rows import rows
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import unified_warehouse as W
 from lakesales.schemas import AGG_SALES, ERP
