@@ -6,12 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesales.llm import (
+    byte_bpe,
     decontamination,
     exact_dedup,
+    filter_audit,
     language_id,
     ngram_join,
     packing,
     sharding,
+    source_divergence,
     substring_dedup,
     token_counts,
     token_files,
@@ -192,3 +195,79 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_decontamination")
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+# --- 11 Source divergence audit --------------------------------------------------------------------
+
+
+@query("op11_source_divergence", r"""
+WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+t AS MATERIALIZED (SELECT lang, source, row, term, count(*) AS n FROM (SELECT lang, source, row, unnest(w) AS term FROM d)
+  GROUP BY ALL),
+k AS MATERIALIZED (SELECT lang, term, sum(n) AS n FROM t GROUP BY ALL HAVING count(*) >= 10),
+c AS MATERIALIZED (SELECT lang, source, term, sum(t.n) AS n FROM t SEMI JOIN k USING (lang, term) GROUP BY ALL),
+s AS (SELECT DISTINCT lang, source FROM d),
+lt AS (SELECT lang, sum(n) AS total, count(*) AS v FROM k GROUP BY lang),
+st AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS MATERIALIZED (SELECT s.lang, s.source, k.term, coalesce(c.n, 0) AS n,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 2) // (coalesce(st.total, 0) + 2 * lt.v) AS p,
+    1 + 1000000000::HUGEINT * (k.n + 2) // (lt.total + 2 * lt.v) AS q
+  FROM s JOIN k ON s.lang = k.lang JOIN lt ON lt.lang = s.lang LEFT JOIN st ON st.lang = s.lang AND st.source = s.source
+  LEFT JOIN c ON c.lang = s.lang AND c.source = s.source AND c.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+u AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank FROM r WHERE part = 'pair' OR rank <= 10""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+# --- 12 Byte-level BPE -----------------------------------------------------------------------------
+
+
+@query("op12_byte_bpe")
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path, pattern = byte_bpe.ranks_path(), byte_bpe.piece_pattern()
+    tokens = byte_bpe.encode(read_table(spark, sf_dir, "documents"), path, pattern)
+    return byte_bpe.decode(tokens, path, pattern).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+# --- 13 Filter interaction audit -------------------------------------------------------------------
+
+
+@query("op13_filter_audit", r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS x FROM documents),
+w AS (SELECT *, list_filter(regexp_split_to_array(x, '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w FROM d),
+e AS (SELECT x, min(doc_id) AS least FROM d GROUP BY x),
+l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+f AS MATERIALIZED (SELECT part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+    100 * length(regexp_replace(x, '[^A-Z]', '', 'g')) > 10 * length(x), regexp_matches(x, '[#$%&*|]'),
+    coalesce(w.doc_id > least, false)] AS fails, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    count(*) AS n
+  FROM w JOIN e USING (x) LEFT JOIN l ON w.doc_id = l.doc_id GROUP BY ALL),
+o AS (SELECT [a, b, c, d, e] AS o FROM range(1, 6) ta(a), range(1, 6) tb(b), range(1, 6) tc(c), range(1, 6) td(d),
+    range(1, 6) te(e) WHERE len(list_distinct([a, b, c, d, e])) = 5),
+s AS (SELECT part, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, step,
+    o[step] AS filter, fails[o[step]] AS hit, list_bool_or(list_transform(o[1:step - 1], lambda i: fails[i])) AS before,
+    len(list_filter(fails, lambda y: y)) AS failed, good, toxic, n FROM f, o, range(1, 6) ts(step)),
+r AS (SELECT part, filter_order, step, filter,
+    sum(CASE WHEN NOT hit AND NOT coalesce(before, false) THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN hit AND NOT coalesce(before, false) THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN hit AND coalesce(before, false) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN hit AND failed = 1 THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN hit AND good AND NOT coalesce(before, false) THEN n ELSE 0 END) AS good_lost,
+    sum(CASE WHEN hit AND toxic AND NOT coalesce(before, false) THEN n ELSE 0 END) AS toxic_lost
+  FROM s GROUP BY ALL)
+SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+  redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+  toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM r""")
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    masks = filter_audit.fail_masks(read_table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.with_labels(masks, read_table(spark, sf_dir, "labels")))

@@ -35,11 +35,11 @@ def test_query_matches_sql(spark, name):
     compare(spark, name, SF)
 
 
-def test_ten_operators_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     import __spark_entry__ as entry
 
     assert [n.split("_")[0] for n in sorted(llm.QUERIES, key=lambda n: int(n[2:].split("_")[0]))] == [
-        f"op{i}" for i in range(1, 11)]
+        f"op{i}" for i in range(1, 14)]
     assert {*llm.QUERIES, "pipeline"} <= set(entry.queries())
 
 
@@ -52,10 +52,16 @@ def test_empty_tables(spark, empty_dir, name):
 @pytest.mark.parametrize("name", [n for n in NAMES if n != "op1_url_filters"])
 def test_edge_tables_return_every_document(spark, edge_dir, name):
     n = len(run(spark, name, edge_dir).collect())
-    if name not in ("op2_decontamination", "op9_token_counts", "op10_best_fit_packing", "pipeline"):
+    if name not in ("op2_decontamination", "op9_token_counts", "op10_best_fit_packing", "op11_source_divergence",
+                    "op13_filter_audit", "pipeline"):
         assert n == spark.read.parquet(f"{edge_dir}/documents.parquet").count()
 
 
+@pytest.mark.parametrize("name", ["op11_source_divergence", "op13_filter_audit"])
+def test_audits_of_edge_tables_match_sql(spark, edge_dir, name):
+    compare(spark, name, edge_dir)
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op1_url_filters", "op6_sharding", "op8_exact_dedup"):
         plan = llm.QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
