@@ -196,6 +196,74 @@ def targets_table(spark, d):
     return broken.groupBy("field", "rule").agg(F.count("*").alias("filas"))
 
 
+# --- input that does not fit is refused ---------------------------------------------------------------
+class BadInput:
+    """Lines with discounts that are no numbers, too long or too large, and source products with two SKUs."""
+
+    def __init__(self, t: Tables):
+        n = F.col("l_linenumber")
+        discount = (F.when(n == 3, "abc").when(n == 4, "15%").when(n == 5, "12.34567").when(n == 6, "101").when(n == 7, " "))
+        named = S.landed_products(t)
+        second = named.where("FuenteOrigen = 'Supabase' and sku like '%0'").withColumn("sku", F.lit("SKU-1"))
+        self.landed = named.unionByName(second)
+        self.products = t.store(W.dim_producto(self.landed), "DimProducto")
+        self.resolved = t.store(W.resolve_products(self.landed, self.products), "Resueltos")
+        customers = t.store(W.dim_cliente(S.landed_customers(t)), "DimCliente")
+        channels = W.dim_canal(t.orders.select(S.raw_channel().alias("canal")))
+        cal = t.store(P.calendar_fx(S.order_bounds(t), S.rates(t)), "Calendario")
+        self.checked = W.check_sales(S.landed_lines(t, discount), customers,
+                                     W.product_lookup(self.resolved, self.products), channels, cal)
+
+
+def bad_input_rejects(spark, d):
+    errors = BadInput(Tables(spark, d)).checked.select("FuenteOrigen", F.explode("errors").alias("e"))
+    return errors.groupBy("FuenteOrigen", F.col("e.field").alias("field"), F.col("e.rule").alias("rule")).agg(
+        F.count("*").alias("lineas"))
+
+
+def bad_input_sales(spark, d):
+    """What is booked of such lines."""
+    fact = W.fact_ventas(BadInput(Tables(spark, d)).checked)
+    return fact.groupBy("FuenteOrigen").agg(F.sum("TotalVentaUSD").cast("double").alias("usd"),
+                                            F.count("*").alias("lineas"))
+
+
+def product_conflicts(spark, d):
+    return W.product_conflicts(BadInput(Tables(spark, d)).resolved).select("FuenteOrigen", "producto_id", "skus")
+
+
+def customer_conflicts(spark, d):
+    """Customers of one source delivered again, some with another country, some the same."""
+    t = Tables(spark, d)
+    landed = S.landed_customers(t)
+    again = landed.withColumn("pais", F.when(F.col("ClienteID_Natural").like("%7"), "CR").otherwise(F.col("pais")))
+    return W.customer_conflicts(landed.unionByName(again)).select("FuenteOrigen", "ClienteID_Natural", "filas")
+
+
+def long_decimals(spark, d):
+    """Orders with a price or discount of more decimals than amounts are kept in have no total, and are listed."""
+    t = Tables(spark, d)
+    price = F.col("l_extendedprice").cast("decimal(18,2)").cast("decimal(20,8)")
+    lines = t.lineitem.select(
+        "l_orderkey", F.when(F.col("l_linenumber") == 6, price + F.lit("0.0000009").cast("decimal(20,8)")).otherwise(price).alias("p"),
+        "l_quantity", F.when(F.col("l_linenumber") == 7, F.lit("12.34567")).otherwise(F.lit("0")).alias("pct"))
+    out = V.total_mismatch(t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0).alias("total")), lines,
+                           "l_orderkey", "total", "p", "l_quantity", "pct")
+    return out.select("l_orderkey", *S.double("total_lineas"))
+
+
+def corrupt_rates(spark, d):
+    """A rates file with days that do not exist and rates that are no numbers: what stays, and the text of the rest."""
+    t, path = Tables(spark, d), scratch_path(spark, "broken-rates")
+    day = F.col("Fecha")
+    text = S.rates(t).select(
+        F.when(F.dayofmonth(day) == 3, F.date_format(day, "yyyy-MM-'41'")).otherwise(day.cast("string")).alias("Fecha"),
+        F.when(F.dayofmonth(day) == 4, "n/a").otherwise(F.col("TipoCambio_USD_CRC").cast("string")).alias("TipoCambio_USD_CRC"))
+    text.write.csv(path, header=True)
+    good, bad = readers.split_corrupt(readers.read_rates(spark, path))
+    return good.select(F.col("Fecha").cast("string").alias("linea")).unionByName(bad.select(F.col("texto").alias("linea")))
+
+
 # --- nothing vanishes on reading -----------------------------------------------------------------
 def corrupt_documents(spark, d):
     """Stored orders, some of them cut off: accepted and refused rows together are the rows given."""
@@ -271,6 +339,8 @@ QUERIES = {
     "reload_fact": reload_fact, "orphan_counts": orphan_counts, "targets_table": targets_table,
     "document_types": document_types, "corrupt_documents": corrupt_documents, "corrupt_sources": corrupt_sources, "basket_sets": basket_sets,
     "basket_all_rules": basket_all_rules, "page_after_ties": page_after_ties,
+    "bad_input_rejects": bad_input_rejects, "bad_input_sales": bad_input_sales, "product_conflicts": product_conflicts,
+    "customer_conflicts": customer_conflicts, "long_decimals": long_decimals, "corrupt_rates": corrupt_rates,
 }
 
 _OK = "ProductoID IS NOT NULL AND (MonedaOrigen = 'USD' OR rate_u IS NOT NULL)"
@@ -287,7 +357,39 @@ _BASKETS = """b AS (SELECT DISTINCT l_orderkey AS o, p_brand AS i FROM lineitem
     GROUP BY 1, 2 HAVING count(*) >= (SELECT least FROM m)),
   s AS (SELECT * FROM s1 UNION ALL SELECT * FROM s2 UNION ALL SELECT * FROM s3 UNION ALL SELECT * FROM s4)"""
 
+_BAD = """bad AS (SELECT l_linenumber AS n, src.Fuente AS FuenteOrigen,
+          CASE WHEN src.Fuente = 'Supabase' AND l_partkey % 10 = 0 AND p_type NOT IN ('SMALL', 'PROMO') THEN NULL
+            ELSE pi.SKU_Oficial END AS sku,
+          CASE src.Fuente WHEN 'SQL Server' THEN 'USD' WHEN 'MongoDB' THEN 'CRC'
+             ELSE CASE l_linestatus WHEN 'O' THEN 'CRC' ELSE 'USD' END END AS cur, CAST(l_quantity AS INTEGER) AS q,
+          CASE WHEN l_linenumber = 7 OR src.Fuente NOT IN ('SQL Server', 'MongoDB') THEN 0
+            ELSE CAST(round(l_discount * 100) AS INTEGER) END AS pct,
+          CASE src.Fuente WHEN 'MongoDB' THEN CAST(floor(l_extendedprice) AS HUGEINT) * 100
+             ELSE CAST(round(l_extendedprice * 100) AS HUGEINT) END AS cents, CAST(fx.rate * 1000000 AS HUGEINT) AS rate_u
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN src ON o_custkey = c_custkey
+        JOIN product_ids pi ON pi.Fuente = src.Fuente AND pi.p_partkey = l_partkey JOIN part ON part.p_partkey = l_partkey
+        LEFT JOIN fx ON fx.d = CAST(o_orderdate AS DATE))"""
+
 SQL = {
+    "bad_input_rejects": cte(*S.FX, *S.UNIFIED) + f""", {_BAD}
+        SELECT FuenteOrigen, 'producto_id' AS field, 'reference' AS rule, count(*) AS lineas FROM bad WHERE sku IS NULL GROUP BY 1
+        UNION ALL SELECT FuenteOrigen, 'fecha', 'rate', count(*) FROM bad WHERE cur = 'CRC' AND rate_u IS NULL GROUP BY 1
+        UNION ALL SELECT FuenteOrigen, 'descuento_pct', 'format', count(*) FROM bad WHERE n IN (3, 4, 5) GROUP BY 1
+        UNION ALL SELECT FuenteOrigen, 'DescuentoPct', 'range', count(*) FROM bad WHERE n = 6 GROUP BY 1""",
+    "bad_input_sales": cte(*S.FX, *S.UNIFIED) + f""", {_BAD}
+        SELECT FuenteOrigen, CAST(sum(CASE cur WHEN 'USD' THEN (2 * cents * q * (100 - pct) + 100) // 200
+          ELSE (2 * cents * q * (100 - pct) * 1000000 + 100 * rate_u) // (200 * rate_u) END) AS DOUBLE) / 100 AS usd,
+          count(*) AS lineas FROM bad
+        WHERE sku IS NOT NULL AND n NOT IN (3, 4, 5, 6) AND (cur = 'USD' OR rate_u IS NOT NULL) GROUP BY 1""",
+    "product_conflicts": """SELECT 'Supabase' AS FuenteOrigen, 'U-' || p_partkey AS producto_id, 2 AS skus FROM part
+        WHERE p_partkey % 10 = 0 AND p_type NOT IN ('SMALL', 'PROMO')""",
+    "customer_conflicts": cte("src") + """SELECT Fuente AS FuenteOrigen, CAST(c_custkey AS VARCHAR) AS ClienteID_Natural,
+        2 AS filas FROM src WHERE c_custkey % 10 = 7""",
+    "long_decimals": """SELECT l_orderkey, CASE WHEN NOT bool_or(l_linenumber IN (6, 7)) THEN
+          CAST(sum(CAST(round(l_extendedprice * 100) AS HUGEINT) * CAST(l_quantity AS HUGEINT)) AS DOUBLE) / 100 END
+          AS total_lineas FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
+    "corrupt_rates": cte("rates") + """SELECT CASE day(f) WHEN 3 THEN strftime(f, '%Y-%m-41') || ',' || rate
+          WHEN 4 THEN CAST(f AS VARCHAR) || ',n/a' ELSE CAST(f AS VARCHAR) END AS linea FROM rates""",
     "scan_source_customers": cte("src", "dimcli") + "SELECT * FROM dimcli",
     "scan_source_products": cte("dimpro") + """SELECT ProductoID, SKU_Oficial, Nombre, Categoria,
         CASE WHEN p_size > 10 THEN 'SQL Server' WHEN p_type NOT IN ('LARGE', 'MEDIUM') THEN 'MongoDB'
@@ -333,9 +435,11 @@ SQL = {
         CAST(sum(l_quantity) FILTER (l_linenumber <> 6) AS BIGINT) AS unidades,
         count(*) FILTER (l_linenumber = 6) AS malas FROM lineitem""",
     "basket_sets": f"WITH {_BASKETS} SELECT items, freq FROM s",
-    "basket_all_rules": f"""WITH {_BASKETS}, r AS (SELECT s.items, s.l, s.freq, unnest(s.l) AS c FROM s WHERE len(s.l) > 1)
-        SELECT a.items AS si, r.c AS entonces, round(r.freq / a.freq, 6) AS confianza
-        FROM r JOIN s a ON a.l = list_filter(r.l, lambda x: x <> r.c) WHERE r.freq / a.freq >= 0.05""",
+    "basket_all_rules": f"""WITH {_BASKETS}, a AS MATERIALIZED (SELECT * FROM s),
+        r AS (SELECT l, freq, unnest(l) AS c FROM a WHERE len(l) > 1),
+        k AS (SELECT freq, c, array_to_string(list_filter(l, lambda x: x <> c), ',') AS rest FROM r)
+        SELECT a.items AS si, k.c AS entonces, round(k.freq / a.freq, 6) AS confianza
+        FROM k JOIN a ON a.items = k.rest WHERE k.freq / a.freq >= 0.05""",
     "page_after_ties": """WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS dia FROM orders),
         k AS (SELECT min(o_orderkey) AS k FROM o), l AS (SELECT dia AS d FROM o WHERE o_orderkey = (SELECT k FROM k))
         SELECT o_orderkey, CAST(dia AS VARCHAR) AS dia FROM o WHERE dia > (SELECT d FROM l)

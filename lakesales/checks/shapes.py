@@ -281,8 +281,8 @@ def raw_channel() -> Column:
     return pick("o_orderpriority", RAW_CHANNEL)
 
 
-def landed_lines(t: Tables) -> DataFrame:
-    """Every line as its customer's source would deliver it."""
+def landed_lines(t: Tables, discount: Column | None = None) -> DataFrame:
+    """Every line as its customer's source would deliver it; `discount` stands in where it is not NULL."""
     who = t.customer.select("c_custkey", source_of().alias("FuenteOrigen"))
     s = F.col("FuenteOrigen")
     stamp = F.col("o_orderdate").cast("string")
@@ -305,7 +305,8 @@ def landed_lines(t: Tables) -> DataFrame:
         F.col("o_custkey").cast("string").alias("ClienteID_Natural"), product.alias("producto_id"),
         "fecha", "canal", currency.alias("moneda"),
         F.col("l_quantity").cast("int").cast("string").alias("cantidad"), text.alias("precio_unit"),
-        F.when(s.isin("SQL Server", "MongoDB"), pct).alias("descuento_pct"))
+        F.coalesce(F.lit(None) if discount is None else discount,
+                   F.when(s.isin("SQL Server", "MongoDB"), pct)).alias("descuento_pct"))
 
 
 # --- the same shapes as SQL -------------------------------------------------------------------

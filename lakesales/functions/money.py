@@ -53,22 +53,40 @@ def format_money(c: C) -> Column:
     return F.format_number(as_col(c), 2)
 
 
+def exact(c: C, precision: int, scale: int) -> Column:
+    """The number as decimal(precision,scale) where that holds all of it, else NULL: nothing is rounded."""
+    wide = as_col(c).try_cast("decimal(38,18)")
+    narrow = wide.try_cast(f"decimal({precision},{scale})")
+    return F.when(wide == narrow, narrow)
+
+
+def exact_text(c: C, precision: int, scale: int) -> Column:
+    """``exact`` for text: NULL too where it has an exponent or digits that no wide decimal holds."""
+    text = as_col(c)
+    return F.when(~text.rlike(r"[eE]|\.\d{18}\d*[1-9]"), exact(text, precision, scale))
+
+
 def whole(c: C) -> Column:
     """The value where it is a whole number of at most ten digits, else NULL."""
-    exact = as_col(c).try_cast("decimal(20,6)")
-    return F.when(exact == F.floor(exact), exact).try_cast("decimal(10,0)")
+    return exact(c, 10, 0)
+
+
+def sum_of_all(c: Column) -> Column:
+    """Sum that is NULL when a row has no value, so that an unreadable amount is never left out of a total."""
+    return F.when(F.count(c) == F.count(F.lit(1)), F.sum(c))
 
 
 def net_cents(price: C, qty: C, discount_pct: C | None = None) -> Column:
     """price x qty x (100 - discount), exact; NULL or zero discount takes nothing off.
 
-    The value is one hundred times the amount so that no division is needed. Prices keep six decimals and
-    discounts four; a quantity that is no whole number is refused, the value is then NULL.
+    The value is one hundred times the amount so that no division is needed. Prices have six decimals at most and
+    discounts four; longer ones, a discount that is no number and a quantity that is no whole number are refused,
+    the value is then NULL.
     """
-    price = as_col(price).try_cast("decimal(17,6)")
-    pct = F.lit(0) if discount_pct is None else F.coalesce(as_col(discount_pct), F.lit(0))
-    factor = (F.lit(100) - pct.try_cast("decimal(7,4)")).try_cast("decimal(7,4)")
-    return (price * factor * whole(qty)).cast("decimal(36,10)")
+    pct = F.lit(0) if discount_pct is None else F.when(as_col(discount_pct).isNull(), F.lit(0)).otherwise(
+        exact(discount_pct, 7, 4))
+    factor = (F.lit(100) - pct.cast("decimal(7,4)")).try_cast("decimal(7,4)")
+    return (exact(price, 17, 6) * factor * whole(qty)).cast("decimal(36,10)")
 
 
 def from_cents(c: C, scale: int = 2) -> Column:

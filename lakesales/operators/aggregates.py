@@ -6,7 +6,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakesales.functions.money import from_cents, net_cents
+from lakesales.functions.money import from_cents, net_cents, sum_of_all
 from lakesales.session import scratch_path
 from lakesales.sources.sinks import write_table
 
@@ -53,9 +53,10 @@ def line_totals(lines: DataFrame, keys: list[str], price: Column, qty: Column,
                 discount_pct: Column | None = None) -> DataFrame:
     """Subtotal, discount, net and line count per key, added up from line rows and rounded once.
 
-    However many lines a key has, they are combined before the shuffle and none is gathered.
+    However many lines a key has, they are combined before the shuffle and none is gathered. A line without an
+    amount (see ``net_cents``) leaves its key without one.
     """
-    gross, net = F.sum(net_cents(price, qty)), F.sum(net_cents(price, qty, discount_pct))
+    gross, net = sum_of_all(net_cents(price, qty)), sum_of_all(net_cents(price, qty, discount_pct))
     return lines.groupBy(*keys).agg(
         from_cents(gross).alias("subtotal"), from_cents(gross - net).alias("descuento"),
         from_cents(net).alias("neto"), F.count("*").alias("lineas"))

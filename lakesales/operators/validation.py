@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakesales.functions.dates import parse_date_text
-from lakesales.functions.money import from_cents
+from lakesales.functions.money import from_cents, net_cents, sum_of_all
 from lakesales.functions.nested import order_total
 from lakesales.functions.text import is_email, is_object_id, norm_key
 
@@ -179,16 +179,17 @@ def code_conflicts(df: DataFrame, code: str, by: list[str] | None = None) -> Dat
 
 def total_mismatch(headers: DataFrame, lines: DataFrame, key: str, total: str, price: str,
                    qty: str, discount: str | None = None, tolerance: str = "0.00") -> DataFrame:
-    """Headers whose stored total differs from the total of their lines (0 without lines)."""
-    from lakesales.functions.money import net_cents
+    """Headers whose stored total differs from the total of their lines (0 without lines).
 
-    sums = lines.groupBy(key).agg(F.sum(net_cents(price, qty, discount)).alias("_c"))
+    A header with a line whose amount cannot be told is listed with no total of its lines.
+    """
+    sums = lines.groupBy(key).agg(sum_of_all(net_cents(price, qty, discount)).alias("_c"), F.lit(True).alias("_lines"))
     stored = F.col(total).cast("decimal(18,2)")
     both = headers.select(key, stored.alias("total_guardado")).join(sums, key, "left")
-    computed = F.coalesce(from_cents(F.col("_c")), F.lit(0).cast("decimal(18,2)"))
+    computed = F.when(F.col("_lines"), from_cents(F.col("_c"))).otherwise(F.lit(0).cast("decimal(18,2)"))
     out = both.select(key, "total_guardado", computed.alias("total_lineas"))
     gap = F.abs(F.col("total_guardado") - F.col("total_lineas"))
-    return out.where(gap > F.lit(tolerance).cast("decimal(18,2)"))
+    return out.where((gap > F.lit(tolerance).cast("decimal(18,2)")) | F.col("total_lineas").isNull())
 
 
 def document_total_mismatch(orders: DataFrame) -> DataFrame:

@@ -19,6 +19,7 @@ from lakesales.operators.keys import assign_keys
 from lakesales.operators.validation import duplicates
 from lakesales.schemas import (CARD_TYPES, CURRENCIES, FALLBACK_CARD_CODE, FALLBACK_CARD_NAME,
                                LOCAL_CURRENCY, USD)
+from lakesales.sources.readers import split_corrupt
 from lakesales.sources.sinks import write_table
 
 AMOUNT = "decimal(18,4)"
@@ -237,8 +238,10 @@ def run_sales_dw(spark: SparkSession, erp: Mapping[str, DataFrame], rates: DataF
     """Builds and writes the whole warehouse; running it again replaces it.
 
     Dimensions are written first and read back, so the fact branches share one copy. The fact is
-    partitioned by year and month.
+    partitioned by year and month. Lines of the rates file that cannot be read are written beside it.
     """
+    rates, broken = split_corrupt(rates)
+    unread = write_table(broken, f"{out}/staging/TasasIlegibles")
     cal = write_table(calendar_fx(bounds, rates), f"{out}/DimDate")
     customers = write_table(dim_customer(erp["OCRD"], erp["ZONAS"]), f"{out}/DimCustomer")
     products = write_table(dim_product(erp["OITM"], erp["OITW"]), f"{out}/DimProduct")
@@ -255,4 +258,4 @@ def run_sales_dw(spark: SparkSession, erp: Mapping[str, DataFrame], rates: DataF
         fact_monthly(agg, customers, products, currencies, cal))
     stored = write_fact(fact, f"{out}/Fact_Sales")
     return {"DimDate": cal, "DimCustomer": customers, "DimProduct": products,
-            "DimCurrency": currencies, "Fact_Sales": stored}
+            "DimCurrency": currencies, "Fact_Sales": stored, "tasas_ilegibles": unread}

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 from lakesales.functions.conform import canonical_channel, canonical_currency, unify_gender
 from lakesales.functions.dates import (date_key, month_name_es, parse_date_text, weekday_name_es)
-from lakesales.functions.money import cents_to_usd, net_cents, parse_money, to_usd, whole
+from lakesales.functions.money import cents_to_usd, exact_text, net_cents, parse_money, to_usd, whole
 from lakesales.functions.text import blank_to_null, norm_key
 from lakesales.operators.joins import match_by_name, resolve_sku
 from lakesales.operators.keys import assign_keys
-from lakesales.operators.validation import (Rule, explode_errors, in_range, max_length, one_of, required,
-                                            with_errors)
+from lakesales.operators.validation import (Rule, explode_errors, in_range, max_length, one_of, parsed,
+                                            required, with_errors)
 from lakesales.plans.erp_warehouse import date_spine
 from lakesales.schemas import MONEDAS, SOURCES
 from lakesales.sources.sinks import write_table
@@ -36,25 +36,38 @@ def _stamped(df: DataFrame, run_ts: Column | None) -> DataFrame:
     return df.withColumns({"FechaCreacion": _now(run_ts), "FechaActualizacion": _now(run_ts)})
 
 
-def clean_customers(landed: DataFrame, default_country: str = "No Especificado",
-                    default_date: str = "1900-01-01") -> tuple[DataFrame, DataFrame]:
-    """One cleaned row per source key, and the reject lines.
+CUSTOMER = ["Nombre", "Email", "Genero", "Pais", "FechaRegistro"]
 
-    The graph source has neither country nor registration date: the defaults stand in there. A
-    date that is given but unreadable rejects the row.
-    """
+
+def _typed_customers(landed: DataFrame, default_country: str, default_date: str) -> DataFrame:
     day = F.to_date(parse_date_text("fecha_registro"))
     given = blank_to_null("fecha_registro").isNotNull()
-    rows = landed.select(
+    return landed.select(
         "FuenteOrigen", blank_to_null("ClienteID_Natural").alias("ClienteID_Natural"),
         blank_to_null("nombre").alias("Nombre"), F.lower(blank_to_null("email")).alias("Email"),
         unify_gender("genero").alias("Genero"),
         F.coalesce(blank_to_null("pais"), F.lit(default_country)).alias("Pais"),
         F.when(given, day).otherwise(F.lit(default_date).cast("date")).alias("FechaRegistro"))
-    attributes = ["Nombre", "Email", "Genero", "Pais", "FechaRegistro"]
-    # a key delivered twice counts once; the greater row wins, so reruns agree
+
+
+def customer_conflicts(landed: DataFrame, default_country: str = "No Especificado",
+                       default_date: str = "1900-01-01") -> DataFrame:
+    """Source keys whose rows differ after cleaning, with the number of different rows."""
+    rows = _typed_customers(landed, default_country, default_date).where("ClienteID_Natural is not null").distinct()
+    return rows.groupBy("FuenteOrigen", "ClienteID_Natural").agg(F.count("*").alias("filas")).where("filas > 1")
+
+
+def clean_customers(landed: DataFrame, default_country: str = "No Especificado",
+                    default_date: str = "1900-01-01") -> tuple[DataFrame, DataFrame]:
+    """One cleaned row per source key, and the reject lines.
+
+    The graph source has neither country nor registration date: the defaults stand in there. A
+    date that is given but unreadable rejects the row.
+    """
+    rows = _typed_customers(landed, default_country, default_date)
+    # a key delivered twice counts once; the greater row wins, so reruns agree, and customer_conflicts lists it
     keyed = rows.where("ClienteID_Natural is not null").groupBy(
-        "FuenteOrigen", "ClienteID_Natural").agg(F.max(F.struct(*attributes)).alias("_r"))
+        "FuenteOrigen", "ClienteID_Natural").agg(F.max(F.struct(*CUSTOMER)).alias("_r"))
     keyed = keyed.select("FuenteOrigen", "ClienteID_Natural", "_r.*")
     # rows without a key are no copies of each other: every one is reported
     rows = keyed.unionByName(rows.where("ClienteID_Natural is null"))
@@ -157,7 +170,7 @@ def clean_lines(landed: DataFrame) -> DataFrame:
         canonical_currency("moneda").alias("MonedaOrigen"),
         whole(blank_to_null("cantidad")).try_cast("int").alias("Cantidad"),
         parse_money("precio_unit", scale=6).alias("Precio"),
-        blank_to_null("descuento_pct").try_cast("decimal(7,4)").alias("DescuentoPct"))
+        "descuento_pct", exact_text(blank_to_null("descuento_pct"), 7, 4).alias("DescuentoPct"))
     return typed.withColumn("TiempoID", date_key("Fecha"))
 
 
@@ -167,7 +180,8 @@ def _sales_rules() -> list[Rule]:
         required("NombreCanal"), required("MonedaOrigen"), one_of("MonedaOrigen", MONEDAS),
         required("Cantidad"), in_range("Cantidad", above=0),
         Rule("precio_unit", "format", "precio_unit is no amount", F.col("Precio").isNotNull()),
-        in_range("Precio", low=0), in_range("DescuentoPct", low=0, high=100),
+        in_range("Precio", low=0), parsed("DescuentoPct", "descuento_pct", "percentage"),
+        in_range("DescuentoPct", low=0, high=100),
         Rule("fecha", "rate", "no exchange rate on that day",
              (F.col("MonedaOrigen") != "CRC") | F.col("TipoCambio_USD_CRC").isNotNull()),
         Rule("ClienteID_Natural", "reference", "customer not found", F.col("ClienteID").isNotNull()),
@@ -178,10 +192,21 @@ def _sales_rules() -> list[Rule]:
 
 
 def product_lookup(resolved: DataFrame, products: DataFrame) -> DataFrame:
-    """(FuenteOrigen, producto_id) to ProductoID, one row per source product that has an SKU."""
+    """(FuenteOrigen, producto_id) to ProductoID, one row per source product that has one SKU.
+
+    A product that was delivered with different SKUs leads nowhere until someone decides, see ``product_conflicts``.
+    """
     return (resolved.select("FuenteOrigen", "producto_id", "SKU_Oficial")
             .join(products.select("SKU_Oficial", "ProductoID"), "SKU_Oficial")
-            .groupBy("FuenteOrigen", "producto_id").agg(F.min("ProductoID").alias("ProductoID")))
+            .groupBy("FuenteOrigen", "producto_id")
+            .agg(F.min("ProductoID").alias("ProductoID"), F.max("ProductoID").alias("_other"))
+            .where("ProductoID = _other").drop("_other"))
+
+
+def product_conflicts(resolved: DataFrame) -> DataFrame:
+    """Source products that lead to different SKUs."""
+    return (resolved.where("SKU_Oficial is not null").groupBy("FuenteOrigen", "producto_id")
+            .agg(F.count_distinct("SKU_Oficial").alias("skus")).where("skus > 1"))
 
 
 def check_sales(landed: DataFrame, customers: DataFrame, lookup: DataFrame, channels: DataFrame,
@@ -232,6 +257,8 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
     resolved = write_table(resolve_products(products, what), f"{out}/staging/ProductosResueltos")
     bridge = write_table(map_producto(product_bridge(resolved), run_ts), f"{out}/MapProducto")
     conflicts = write_table(sku_conflicts(stated_pairs(products)), f"{out}/staging/CodigosContradictorios")
+    twofold = write_table(product_conflicts(resolved), f"{out}/staging/ProductosContradictorios")
+    disputed = write_table(customer_conflicts(customers), f"{out}/staging/ClientesContradictorios")
     lookup = write_table(product_lookup(resolved, what), f"{out}/staging/ProductoLookup")
     checked = write_table(check_sales(lines, who, lookup, channels, cal), f"{out}/staging/LineasRevisadas")
     now = F.current_timestamp() if run_ts is None else run_ts
@@ -245,7 +272,8 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
     rejects = checked.where(F.size("errors") > 0).select(
         "FuenteOrigen", "OrdenID_Natural", "ClienteID_Natural", "producto_id", "errors")
     return {"DimTiempo": times, "DimCliente": who, "DimProducto": what, "DimCanal": channels,
-            "MapProducto": bridge, "rechazos_dimensiones": refused, "conflictos": conflicts, "rechazos": write_table(rejects, f"{out}/staging/Rechazos"),
+            "MapProducto": bridge, "rechazos_dimensiones": refused, "conflictos": conflicts,
+            "conflictos_productos": twofold, "conflictos_clientes": disputed, "rechazos": write_table(rejects, f"{out}/staging/Rechazos"),
             "FactVentas": fact.sparkSession.read.parquet(f"{out}/FactVentas")}
 
 
@@ -255,7 +283,7 @@ def load_targets(raw: DataFrame, customers: DataFrame, products: DataFrame) -> t
                        F.col("ProductoID").try_cast("bigint").alias("ProductoID"),
                        F.col("Anio").try_cast("int").alias("Anio"),
                        F.col("Mes").try_cast("int").alias("Mes"),
-                       F.col("MetaUSD").try_cast("decimal(18,2)").alias("MetaUSD"))
+                       exact_text(blank_to_null("MetaUSD"), 18, 2).alias("MetaUSD"))
     customer = customers.select("ClienteID", F.lit(True).alias("_customer")).distinct()
     product = products.select("ProductoID", F.lit(True).alias("_product")).distinct()
     names = ["ClienteID", "ProductoID", "Anio", "Mes", "MetaUSD"]

@@ -13,9 +13,16 @@ from lakesales.sources.sinks import write_table
 
 
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
-    """Daily rates file (byte-order mark and CRLF allowed) as (Fecha date, rate)."""
-    rows = spark.read.csv(path, schema=RATES, header=True, encoding="UTF-8")
-    return rows.select(F.to_date("Fecha").alias("Fecha"), "TipoCambio_USD_CRC")
+    """Daily rates file (byte-order mark and CRLF allowed) as (Fecha date, rate).
+
+    A line with an unreadable day or rate has neither and keeps its text, see ``split_corrupt``.
+    """
+    rows = spark.read.csv(path, schema=f"{RATES}, {CORRUPT} string", header=True, encoding="UTF-8",
+                          mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    # all fields of a broken line go: a rate without its day would count for none, a day without its rate as a gap
+    whole = F.col(CORRUPT).isNull()
+    return rows.select(F.when(whole, F.to_date("Fecha")).alias("Fecha"),
+                       F.when(whole, F.col("TipoCambio_USD_CRC")).alias("TipoCambio_USD_CRC"), CORRUPT)
 
 
 CORRUPT = "_corrupt_record"
