@@ -11,6 +11,7 @@ from lakesales.functions.nested import agg_sales_rows, explode_items
 from lakesales.operators import aggregates as A
 from lakesales.operators import joins as J
 from lakesales.operators import validation as V
+from lakesales.operators.locale import detect_locales, read_amounts
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import loader as L
 from lakesales.plans.constraints import check_table
@@ -191,6 +192,46 @@ def loader_mysql(spark, d):
     return L.dry_run(marked).groupBy("field", "rule").agg(F.count("*").alias("errores"))
 
 
+def _amount_files(t: Tables) -> DataFrame:
+    """Line amounts as upload files: English ones, Spanish ones, a folder of both, and one where nothing tells.
+
+    Every fifth line of an order is a round thousand, which both write alike and read differently.
+    """
+    n, path = F.col("l_linenumber"), scratch_path(t.spark, "amounts")
+    folder = (F.when(F.col("l_returnflag") == "A", "en").when(F.col("l_returnflag") == "R", "es")
+              .when(F.col("l_linestatus") == "O", "mixed").otherwise("none"))
+    round_sum = F.ceil(F.col("l_extendedprice") / 1000) * 1000
+    english = F.when(n == 5, F.format_number(round_sum.cast("decimal(18,2)"), 0)).otherwise(
+        F.format_number(F.col("l_extendedprice").cast("decimal(18,2)"), 2))
+    spanish = F.translate(english, ",.", ".,")
+    text = (F.when(folder == "en", english).when(folder == "es", spanish)
+            .when(folder == "mixed", F.when(n % 2 == 1, english).otherwise(F.concat(F.lit("₡ "), spanish)))
+            .otherwise(F.translate(F.format_number(round_sum.cast("decimal(18,2)"), 0), ",", ".")))
+    t.lines.select("l_orderkey", "l_partkey", "l_linenumber", text.alias("monto"), folder.alias("carpeta")).write.partitionBy(
+        "carpeta").csv(path, header=True, quote='"', escape='"')
+    rows = readers.read_loader_csv(t.spark, path)
+    return rows.withColumn("lote", F.regexp_extract("_file", "carpeta=([a-z]+)", 1))
+
+
+def amount_locales(spark, d):
+    return detect_locales(_amount_files(Tables(spark, d)), ["monto"], ["lote"])
+
+
+def amounts_by_locale(spark, d):
+    read = read_amounts(_amount_files(Tables(spark, d)), {"monto": "valor"}, ["lote"])
+    return read.select(*[F.col(c).cast("bigint").alias(c) for c in ("l_orderkey", "l_partkey", "l_linenumber")], "lote",
+                       F.col("valor_locale").alias("locale"), F.col("valor").cast("double").alias("valor"))
+
+
+def loader_detects(spark, d):
+    """Upload files with Spanish amounts, read without being told so."""
+    t, path = Tables(spark, d), scratch_path(spark, "upload-es")
+    rows = upload_rows(t).withColumn("precio", F.translate("precio", ",.", ".,"))
+    sinks.write_rejects(rows, path)
+    checked = L.check_rows(readers.read_loader_csv(spark, path), "mssql", *loader_lookups(t), mapping=MAPPING, locale=L.DETECT)
+    return L.dry_run(checked).groupBy("field", "rule").agg(F.count("*").alias("errores"))
+
+
 def row_numbers(spark, d):
     """Row numbers of a CSV file set: 1..n in every file, checked by count, least and greatest."""
     raw = _uploaded(spark, Tables(spark, d))
@@ -385,6 +426,7 @@ QUERIES = {
     "total_mismatch": total_mismatch, "validate_documents": validate_documents,
     "table_constraints": table_constraints, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
     "ingest_bad_files": ingest_bad_files, "import_strict": import_strict, "loader_mongo_code": loader_mongo_code,
+    "amount_locales": amount_locales, "amounts_by_locale": amounts_by_locale, "loader_detects": loader_detects,
     "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
     "scan_json_agg": scan_json_agg, "scan_erp": scan_erp, "scan_rates": scan_rates,
     "scan_documents": scan_documents, "scan_graph": scan_graph, "scan_sources": scan_sources,
@@ -407,6 +449,9 @@ _UP = """up AS (SELECT *, l_linestatus = 'O' AND p_type <> 'PROMO' OR p_type NOT
   l_linenumber = 4 AND round(l_tax, 2) = 0.01 AS bad_json
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey)"""
+_AMOUNTS = """a AS (SELECT l_orderkey, l_partkey, l_linenumber AS n, l_extendedprice AS p,
+  CASE WHEN l_returnflag = 'A' THEN 'en' WHEN l_returnflag = 'R' THEN 'es' WHEN l_linestatus = 'O' THEN 'mixed'
+    ELSE 'none' END AS lote FROM lineitem)"""
 _BAD = """(NOT known_part OR NOT known_customer OR bad_date OR bad_channel OR bad_currency OR bad_qty
   OR bad_price OR bad_discount OR bad_json)"""
 
@@ -471,6 +516,15 @@ SQL = {
         strftime(l_shipdate, '%Y-%m-%d') AS Fecha, 'WEB' AS Canal, 'USD' AS Moneda,
         CAST(l_quantity AS BIGINT) AS Cantidad, l_extendedprice AS PrecioUnit,
         CAST(round(l_discount * 100) AS DOUBLE) AS DescuentoPct FROM up WHERE NOT {_BAD}""",
+    "amount_locales": f"""WITH {_AMOUNTS} SELECT lote, 'monto' AS columna,
+        count(*) FILTER (lote = 'en' AND n <> 5 OR lote = 'mixed' AND n IN (1, 3, 7)) AS en,
+        count(*) FILTER (lote = 'es' AND n <> 5 OR lote = 'mixed' AND n IN (2, 4, 6)) AS es, 0 AS iguales,
+        count(*) FILTER (lote = 'none' OR n = 5) AS ambiguos, 0 AS ilegibles,
+        CASE lote WHEN 'none' THEN 'unknown' ELSE lote END AS locale FROM a GROUP BY lote""",
+    "amounts_by_locale": f"""WITH {_AMOUNTS} SELECT l_orderkey, l_partkey, n AS l_linenumber, lote,
+        CASE lote WHEN 'none' THEN 'unknown' ELSE lote END AS locale,
+        CASE WHEN lote = 'none' OR (n = 5 AND lote = 'mixed') THEN NULL WHEN n = 5 THEN ceil(p / 1000) * 1000 ELSE p END AS valor
+        FROM a""",
     "loader_mysql": """WITH up AS (SELECT *, p_type NOT IN ('PROMO', 'SMALL') AS known_part, c_acctbal >= 0 AS known_customer
         FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
         JOIN part ON l_partkey = p_partkey)
@@ -521,3 +575,4 @@ SQL = {
     "sales_dw": S.cte(*S.ERP_ALL) + """SELECT DateKey // 10000 AS anio, count(*) AS filas, count(*) AS claves,
         CAST(sum(usd) AS DOUBLE) AS usd FROM fact GROUP BY 1""",
 }
+SQL["loader_detects"] = SQL["loader_dry_run"]

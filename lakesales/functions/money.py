@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakesales._cols import C, as_col
 from lakesales.schemas import CRC, USD
 
+LOCALES = ["en", "es"]
 _SYMBOLS = "₡$€ \t\r\n\u00a0"
 # decimals beyond the wanted ones may only be zeros
 _PLAIN = r"^-?\d+(\.\d{1,%d}0*)?$"
@@ -23,6 +24,33 @@ _MONEY_STEPS = [
 ]
 
 
+def _bare(text: Column) -> Column:
+    """Without currency signs, currency codes and blanks."""
+    text = F.upper(F.translate(text, _SYMBOLS, ""))
+    for code in (USD, CRC):
+        text = F.replace(text, F.lit(code), F.lit(""))
+    return text
+
+
+def parse_strict(c: C, locale: str, scale: int = 2) -> Column:
+    """Text to decimal as one locale writes it, NULL else: thousands marks set off groups of three or are left out,
+    and only the locale's own decimal mark is one."""
+    if locale not in LOCALES:
+        raise ValueError(f"unknown locale: {locale}")
+    text = _bare(as_col(c))
+    text = F.translate(text, ",.", ".,") if locale == "es" else text
+    fits = text.rlike(_PLAIN % scale) | text.rlike(_GROUPED % scale)
+    return F.when(fits, F.translate(text, ",", "").try_cast(f"decimal({16 + scale},{scale})"))
+
+
+def amount_side(c: C, scale: int = 2) -> Column:
+    """What a text says about its locale: ``en`` or ``es`` when it is an amount in that one only, ``same`` when both
+    read the same amount, ``either`` when they read different ones, NULL when neither reads any."""
+    en, es = (parse_strict(c, locale, scale) for locale in LOCALES)
+    return (F.when(en == es, "same").when(en.isNotNull() & es.isNotNull(), "either")
+            .when(en.isNotNull(), "en").when(es.isNotNull(), "es"))
+
+
 def parse_money(c: C, locale: str | None = None, scale: int = 2) -> Column:
     """Text to decimal(16+scale,scale), NULL when it is no amount or has more decimals: nothing is rounded.
 
@@ -35,9 +63,7 @@ def parse_money(c: C, locale: str | None = None, scale: int = 2) -> Column:
         raw = F.translate(raw, ",.", ".,")
     elif locale not in (None, "en"):
         raise ValueError(f"unknown locale: {locale}")
-    text = F.upper(F.translate(raw, _SYMBOLS, ""))
-    for code in (USD, CRC):
-        text = F.replace(text, F.lit(code), F.lit(""))
+    text = _bare(raw)
     for pattern, replacement in _MONEY_STEPS:
         text = F.regexp_replace(text, pattern, replacement)
     kind, plain = f"decimal({16 + scale},{scale})", _PLAIN % scale
