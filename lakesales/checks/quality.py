@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from lakesales.checks import shapes as S
 from lakesales.checks.shapes import Tables
@@ -241,6 +242,19 @@ def row_numbers(spark, d):
                                                                | (F.col("k") != F.col("n"))).alias("archivos_malos"))
 
 
+def multiline_rows(spark, d):
+    """Upload rows whose names hold quotes, commas and line breaks, read in splits: what came back, by row number."""
+    path = scratch_path(spark, "upload-lines")
+    name = F.concat(F.lit('Ana "'), "l_orderkey", F.lit('",\n\n  '), "l_linenumber", F.when(F.col("l_linenumber") > 3, '"').otherwise("\nfin"))
+    t = Tables(spark, d)
+    rows = t.lines.select("l_partkey", name.alias("nombre"), F.when(F.col("l_linenumber") == 2, 'say 5" pipe').alias("nota"))
+    sinks.write_rejects(rows, path)
+    back = t.store(readers.read_loader_csv(spark, path, multiline=True), "multiline")
+    files = back.groupBy("_file").agg(F.max("_row").alias("hi"), F.count_distinct("_row").alias("k"))
+    bad = files.agg(F.count_if(F.col("hi") != F.col("k")).alias("n")).scalar()
+    return back.select(F.col("l_partkey").cast("bigint").alias("l_partkey"), "nombre", "nota", bad.alias("archivos_malos"))
+
+
 def ingest(spark, d):
     """All lines as upload files taken in by the stream: what was loaded, refused and logged."""
     t = Tables(spark, d)
@@ -312,6 +326,24 @@ def scan_json_agg(spark, d):
         *S.double("cantidad", "precio", "TotalUSD"))
 
 
+def _array_files(t: Tables, path: str) -> None:
+    """The monthly records of each year as one JSON array in a file of its own, a record a line."""
+    year = W.partitionBy("y").orderBy("mes", "texto")
+    rows = S.agg_sales(t).select(F.col("anio").alias("y"), "mes", F.to_json(F.struct("anio", "mes", "ventas")).alias("texto"))
+    first, last = F.lag("texto").over(year).isNull(), F.lead("texto").over(year).isNull()
+    rows.select("y", F.concat(F.when(first, "[").otherwise(","), "texto", F.when(last, "]").otherwise(""))
+                .alias("value")).write.partitionBy("y").text(path)
+
+
+def scan_json_array(spark, d):
+    """Monthly records as JSON arrays, read in splits."""
+    path = scratch_path(spark, "agg-array")
+    _array_files(Tables(spark, d), path)
+    return agg_sales_rows(readers.read_agg_sales(spark, path, json_lines=False)).select(
+        F.col("anio").cast("bigint").alias("anio"), F.col("mes").cast("bigint").alias("mes"), "item",
+        *S.double("cantidad", "precio", "TotalUSD"))
+
+
 def scan_erp(spark, d):
     t, base = Tables(spark, d), scratch_path(spark, "erp")
     S.erp_headers(t).write.parquet(f"{base}/OINV")
@@ -427,8 +459,8 @@ QUERIES = {
     "table_constraints": table_constraints, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
     "ingest_bad_files": ingest_bad_files, "import_strict": import_strict, "loader_mongo_code": loader_mongo_code,
     "amount_locales": amount_locales, "amounts_by_locale": amounts_by_locale, "loader_detects": loader_detects,
-    "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
-    "scan_json_agg": scan_json_agg, "scan_erp": scan_erp, "scan_rates": scan_rates,
+    "multiline_rows": multiline_rows, "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
+    "scan_json_agg": scan_json_agg, "scan_json_array": scan_json_array, "scan_erp": scan_erp, "scan_rates": scan_rates,
     "scan_documents": scan_documents, "scan_graph": scan_graph, "scan_sources": scan_sources,
     "read_any": read_any, "write_roundtrip": write_roundtrip, "sales_dw": sales_dw,
 }
@@ -534,6 +566,9 @@ SQL = {
         UNION ALL SELECT 'total', 'format' FROM up WHERE l_linenumber = 7
         UNION ALL SELECT 'cantidad', 'format' FROM up WHERE l_linenumber = 6
         UNION ALL SELECT '', 'accepted' FROM up WHERE known_part AND known_customer AND l_linenumber < 6) GROUP BY 1, 2""",
+    "multiline_rows": """SELECT l_partkey, 'Ana "' || l_orderkey || '",' || chr(10) || chr(10) || '  ' || l_linenumber
+        || CASE WHEN l_linenumber > 3 THEN '"' ELSE chr(10) || 'fin' END AS nombre,
+        CASE l_linenumber WHEN 2 THEN 'say 5" pipe' END AS nota, 0 AS archivos_malos FROM lineitem""",
     "row_numbers": "SELECT count(*) AS filas, 0 AS archivos_malos FROM lineitem",
     "ingest_bad_files": f"""WITH {_UP} SELECT count(*) FILTER (NOT {_BAD}) AS insertadas,
         count(*) FILTER ({_BAD}) AS rechazadas, 1 AS archivos FROM up""",
@@ -576,3 +611,4 @@ SQL = {
         CAST(sum(usd) AS DOUBLE) AS usd FROM fact GROUP BY 1""",
 }
 SQL["loader_detects"] = SQL["loader_dry_run"]
+SQL["scan_json_array"] = SQL["scan_json_agg"]

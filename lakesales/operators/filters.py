@@ -125,6 +125,11 @@ def _header_key(name: str) -> str:
     return re.sub(r"[^0-9a-z]", "", re.sub(r"\(.*?\)", "", name.lower()))
 
 
+def header_key(c: C) -> Column:
+    """``_header_key`` of a text column: names that differ in case, marks and bracketed remarks are one."""
+    return F.regexp_replace(F.regexp_replace(F.lower(as_col(c)), r"\(.*?\)", ""), "[^0-9a-z]", "")
+
+
 def map_headers(df: DataFrame, fields: Sequence[str],
                 mapping: Mapping[str, str] | None = None) -> DataFrame:
     """File columns to target fields by the given mapping, else by name without case and marks.

@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from lakesales.functions.text import file_extension
 from lakesales.schemas import (AGG_SALES, DOCUMENTS, ERP, GRAPH_ORDER, RATES, SOURCE_TABLES)
 from lakesales.session import scratch_path
+from lakesales.sources.csv_records import csv_records, headers, split_fields
+from lakesales.sources.json_array import read_array
 from lakesales.sources.sinks import write_table
 
 
@@ -47,12 +49,22 @@ def _read_json(spark: SparkSession, path: str, schema: str, corrupt: bool, **opt
 
 
 def read_agg_sales(spark: SparkSession, path: str, json_lines: bool = True, corrupt: bool = False) -> DataFrame:
-    """Monthly sales, one record per line, or a file holding one JSON array (``json_lines=False``).
+    """Monthly sales, one record per line, or files that hold one JSON array each (``json_lines=False``).
 
-    An array file does not split and is read by a single task; large exports have to come as lines. ``corrupt``
-    keeps the text of unreadable records, see ``split_corrupt``.
+    Both are read in splits, see ``json_array``. ``corrupt`` keeps the text of unreadable records, see
+    ``split_corrupt``.
     """
-    return _read_json(spark, path, AGG_SALES, corrupt, multiLine=not json_lines)
+    if json_lines:
+        return _read_json(spark, path, AGG_SALES, corrupt)
+    return parse_records(read_array(spark, path), "texto", AGG_SALES, corrupt)
+
+
+def parse_records(df: DataFrame, text: str, schema: str, corrupt: bool = False) -> DataFrame:
+    """JSON texts as rows of the schema; ``corrupt`` as in the readers."""
+    options = {"mode": "PERMISSIVE"}
+    if corrupt:
+        schema, options = f"{schema}, {CORRUPT} string", {**options, "columnNameOfCorruptRecord": CORRUPT}
+    return df.select(F.from_json(text, schema, options).alias("_r")).select("_r.*")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, schema: str, key: str | None = None,
@@ -148,11 +160,18 @@ def read_loader_csv(spark: SparkSession, path: str, multiline: bool = False) ->
     """Upload file with a header row: every column a string, empty lines skipped.
 
     Adds ``_row``, the number of the data row in its file. Files read together must have the same
-    header; others raise an error. ``multiline`` allows line breaks inside quoted fields, at the
-    price of unsplittable files.
+    header; others raise an error (``csv_records.read_mapped`` takes them). ``multiline`` allows line breaks inside
+    quoted fields; such files are read in splits too, see ``csv_records``.
     """
-    raw = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False,
-                         multiLine=multiline, quote='"', escape='"')
+    if multiline:
+        records = write_table(csv_records(spark, path), scratch_path(spark, "csv"))
+        heads, width = headers(records)
+        names = [r["nombres"] for r in heads.select("nombres").distinct().limit(2).collect()]
+        if len(names) > 1 or any(len(set(n)) < len(n) or None in n for n in names):
+            raise ValueError("headers differ, or a column name is empty or repeated")
+        rows = records.where("_n > 1").select((F.col("_n") - 1).alias("_row"), "_file", split_fields(F.col("texto"), width).alias("_v"))
+        return rows.select("_row", "_file", *[F.col("_v")[i].alias(c) for i, c in enumerate(names[0] if names else [])])
+    raw = spark.read.csv(path, header=True, inferSchema=False, enforceSchema=False, quote='"', escape='"')
     tagged = raw.select(F.col("_metadata.file_path").alias("_file"),
                         F.col("_metadata.file_block_start").alias("_block"),
                         F.monotonically_increasing_id().alias("_id"),
