@@ -15,7 +15,7 @@ from lakesales.operators import validation as V
 from lakesales.operators.locale import detect_locales, read_amounts
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import loader as L
-from lakesales.plans.constraints import check_table
+from lakesales.plans.constraints import check_table, check_tables
 from lakesales.schemas import SOURCE_TABLES
 from lakesales.sources import landing, readers, sinks
 from lakesales.session import scratch_path
@@ -85,9 +85,7 @@ def validate_documents(spark, d):
     return rejects.select("row", "field", "rule")
 
 
-def table_constraints(spark, d):
-    """Customers, orders and lines as one relational source, checked against its declared constraints."""
-    t = Tables(spark, d)
+def _relational(t: Tables) -> dict[str, DataFrame]:
     clients = t.customer.where("c_nationkey < 20").select(
         F.col("c_custkey").alias("ClienteId"), F.col("c_name").alias("Nombre"),
         F.concat("c_mktsegment", F.round("c_acctbal").cast("int").cast("string")).alias("Email"),
@@ -98,13 +96,32 @@ def table_constraints(spark, d):
     lines = t.lineitem.select(F.col("l_linenumber").alias("OrdenDetalleId"), F.col("l_orderkey").alias("OrdenId"),
                               F.col("l_partkey").alias("ProductoId"), (F.col("l_quantity") - 1).alias("Cantidad"),
                               F.col("l_extendedprice").alias("PrecioUnit"))
-    refs = {"cliente": clients, "orden": orders.where("Canal <> 'PARTNER'")}
+    return {"cliente": clients, "orden": orders, "detalle": lines}
+
+
+def table_constraints(spark, d):
+    """Customers, orders and lines as one relational source, checked table by table."""
+    frames = _relational(Tables(spark, d))
+    refs = {"cliente": frames["cliente"], "orden": frames["orden"].where("Canal <> 'PARTNER'")}
     parts = [check_table(df, "SQL Server", name, refs).select(F.lit(name).alias("tabla"), "field", "rule")
-             for name, df in (("cliente", clients), ("orden", orders), ("detalle", lines))]
+             for name, df in frames.items()]
     rejects = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return rejects.groupBy("tabla", "field", "rule").agg(F.count("*").alias("casos"))
 
 
+def system_constraints(spark, d):
+    """The same tables checked together, each read once: foreign keys meet the very tables."""
+    return check_tables(_relational(Tables(spark, d)), "SQL Server").groupBy("tabla", "field", "rule").agg(
+        F.count("*").alias("casos"))
+
+
+def lost_keys(spark, d):
+    """Orders whose customer is missing, one line each."""
+    frames = _relational(Tables(spark, d))
+    broken = check_tables({n: frames[n] for n in ("cliente", "orden")}, "SQL Server")
+    return broken.where("rule = 'reference'").select("tabla", "row", "field")
+
+
 # --- loader -----------------------------------------------------------------------------------
 def upload_rows(t: Tables) -> DataFrame:
     """Every line as an upload row, with each kind of mistake somewhere in the data."""
@@ -456,7 +473,7 @@ QUERIES = {
     "validate_rejects": validate_orders, "validate_accepted": validate_accepted, "validate_lines": validate_lines,
     "error_summary": error_summary, "email_check": email_check, "duplicates": duplicates, "orphans": orphans,
     "total_mismatch": total_mismatch, "validate_documents": validate_documents,
-    "table_constraints": table_constraints, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
+    "table_constraints": table_constraints, "system_constraints": system_constraints, "lost_keys": lost_keys, "loader_dry_run": loader_dry_run, "import_summary": import_summary, "loader_accepted": loader_accepted,
     "ingest_bad_files": ingest_bad_files, "import_strict": import_strict, "loader_mongo_code": loader_mongo_code,
     "amount_locales": amount_locales, "amounts_by_locale": amounts_by_locale, "loader_detects": loader_detects,
     "multiline_rows": multiline_rows, "loader_mysql": loader_mysql, "row_numbers": row_numbers, "ingest_files": ingest,
@@ -612,3 +629,6 @@ SQL = {
 }
 SQL["loader_detects"] = SQL["loader_dry_run"]
 SQL["scan_json_array"] = SQL["scan_json_agg"]
+SQL["system_constraints"] = SQL["table_constraints"].replace(" WHERE o_orderpriority <> '4-NOT SPECIFIED')) WHERE", ")) WHERE")
+SQL["lost_keys"] = """SELECT 'orden' AS tabla, CAST(o_orderkey AS VARCHAR) AS row, 'ClienteId' AS field FROM orders
+    WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_nationkey < 20)"""

@@ -6,12 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesales.operators import validation as V
-from lakesales.operators.joins import orphans
 from lakesales.schemas import CHANNELS, GENDERS, MONEDAS, SOURCES
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import write_table
 
 
 @dataclass(frozen=True)
@@ -146,23 +148,94 @@ def row_rules(table: Table) -> list[V.Rule]:
 
 def check_table(df: DataFrame, system: str, name: str,
                 refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
-    """Everything in a table that breaks its constraints: (row, field, rule, message).
-
-    Row rules need no shuffle and run in one pass. A repeated unique key is reported once, with
-    the key as ``row``. Foreign keys are checked against the tables given in ``refs``.
+    """Everything in one table that breaks its constraints, see ``check_tables``; foreign keys are checked against the
+    tables given in ``refs``."""
+    return check_tables({name: df}, system, refs).drop("tabla")
+
+
+def _key_text(df: DataFrame, columns: Sequence[str]) -> Column:
+    """The key as text, NULL where a part is: equal for equal values of different number types."""
+    def part(c: str) -> Column:
+        if isinstance(df.schema[c].dataType, (T.DecimalType, T.DoubleType, T.FloatType)):
+            return F.regexp_replace(F.col(c).cast("decimal(38,10)").cast("string"), r"\.?0+$", "")
+        return F.col(c).cast("string")
+
+    parts = [part(c) for c in columns]
+    if len(parts) == 1:
+        return parts[0]
+    given = F.lit(True)
+    for c in parts:
+        given = given & c.isNotNull()
+    return F.when(given, F.to_json(F.array(*parts)))
+
+
+def _entry(kind: str, con: str, key: Column, row: Column, field: str = "", message: str | Column = "",
+           rule: str | Column = "") -> Column:
+    texts = {"row": row, "field": field, "rule": rule, "message": message}
+    return F.struct(F.lit(kind).alias("kind"), F.lit(con).alias("con"), key.alias("key"), *[
+        (v if isinstance(v, Column) else F.lit(v)).alias(k) for k, v in texts.items()])
+
+
+def _entries(name: str, df: DataFrame, table: Table, refs: Mapping[str, str], wanted: Mapping[str, str]) -> DataFrame:
+    """What one pass over a table has to say: broken row rules (e), its keys (k) and the keys it refers to (f)."""
+    none = F.lit(None).cast("string")
+    row = F.col(table.key).cast("string")
+    keys = {",".join(columns): columns for columns in table.unique} | {c: [c] for c in wanted}
+    entries = [F.when(key.isNotNull(), _entry("k", f"{name}.{con}", key, none)) for con, key in (
+        (con, _key_text(df, columns)) for con, columns in keys.items())]
+    for column, con in refs.items():
+        key = _key_text(df, [column])
+        target = table.foreign[column][0]
+        entries.append(F.when(key.isNotNull(), _entry("f", con, key, row, column, f"not in {target}", "reference")))
+    broken = F.transform("_errors", lambda e: F.struct(
+        F.lit("e").alias("kind"), none.alias("con"), none.alias("key"), row.alias("row"), e["field"].alias("field"),
+        e["rule"].alias("rule"), e["message"].alias("message")))
+    flagged = V.with_errors(df, row_rules(table), "_errors")
+    said = F.concat(F.filter(F.array(*entries), lambda e: e.isNotNull()), broken) if entries else broken
+    return flagged.select(F.lit(name).alias("tabla"), F.explode(said).alias("_e")).select("tabla", "_e.*")
+
+
+def check_tables(frames: Mapping[str, DataFrame], system: str,
+                 refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """Everything in the tables of one system that breaks their constraints: (tabla, row, field, rule, message).
+
+    Every table is read once: each row gives its broken row rules, its unique keys and the keys it refers to, and these
+    are written to the shared folder. One grouping by (constraint, key), combined before the shuffle, then tells which
+    keys occur more than once and which are referred to but not there. A repeated unique key is reported once, with
+    the key as ``row``; a key with a NULL part is exempt. A foreign key is checked against the table of that name in
+    ``refs``, else in ``frames``, and not at all where neither has it. A table in ``refs`` gives its keys only.
     """
-    table = TABLES[system, name]
-    _, broken = V.validate(df.withColumn("_key", F.col(table.key).cast("string")), row_rules(table), "_key")
-    parts = [broken]
-    for keys in table.unique:
-        twice = V.duplicates(df, list(keys))
-        text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
-        parts.append(twice.select(text.alias("row"), F.lit(",".join(keys)).alias("field"),
-                                  F.lit("unique").alias("rule"),
-                                  F.concat(F.lit("occurs "), F.col("veces").cast("string"), F.lit(" times")).alias("message")))
-    for column, (target, target_key) in table.foreign.items():
-        if refs and target in refs:
-            lost = orphans(df, refs[target], column, target_key)
-            parts.append(lost.select(F.col(table.key).cast("string").alias("row"), F.lit(column).alias("field"),
-                                     F.lit("reference").alias("rule"), F.lit(f"not in {target}").alias("message")))
-    return reduce(DataFrame.unionByName, parts)
+    refs = {name: df for name, df in (refs or {}).items() if df is not frames.get(name)}
+    parts, given = [], set()
+    wanted: dict[str, dict[str, str]] = {name: {} for name in frames}
+    used: dict[str, dict[str, str]] = {name: {} for name in frames}
+    for name in frames:
+        for column, (target, key) in TABLES[system, name].foreign.items():
+            if target in refs:
+                used[name][column] = f"{target}:{key}"
+                if (target, key) not in given:
+                    given.add((target, key))
+                    text = _key_text(refs[target], [key])
+                    known = _entry("k", f"{target}:{key}", text, F.lit(None).cast("string"))
+                    parts.append(refs[target].where(F.col(key).isNotNull()).select(
+                        F.lit(target).alias("tabla"), known.alias("_e")).select("tabla", "_e.*"))
+            elif target in frames:
+                used[name][column] = f"{target}.{key}"
+                wanted[target][key] = key
+    parts += [_entries(name, df, TABLES[system, name], used[name], wanted[name]) for name, df in frames.items()]
+    spark = parts[0].sparkSession
+    said = write_table(reduce(DataFrame.unionByName, parts), scratch_path(spark, "constraints"))
+    kind = F.col("kind")
+    keys = said.where(kind != "e").groupBy("con", "key").agg(
+        F.count_if(kind == "k").alias("_there"), F.count_if(kind == "f").alias("_used"))
+    keys = write_table(keys.where((F.col("_there") > 1) | (F.col("_there") == 0)), scratch_path(spark, "keys"))
+    unique = spark.createDataFrame([(f"{name}.{','.join(columns)}", name, ",".join(columns), len(columns) > 1)
+                                    for name in frames for columns in TABLES[system, name].unique],
+                                   "con string, tabla string, field string, _many boolean")
+    text = F.when(F.col("_many"), F.array_join(F.from_json("key", "array<string>"), "|")).otherwise(F.col("key"))
+    twice = keys.where("_there > 1").join(F.broadcast(unique), "con").select(
+        "tabla", text.alias("row"), "field", F.lit("unique").alias("rule"),
+        F.concat(F.lit("occurs "), F.col("_there").cast("string"), F.lit(" times")).alias("message"))
+    columns = ["tabla", "row", "field", "rule", "message"]
+    lost = said.where(kind == "f").join(keys.where("_there = 0"), ["con", "key"], "left_semi").select(*columns)
+    return said.where(kind == "e").select(*columns).unionByName(twice).unionByName(lost)
