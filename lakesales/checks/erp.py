@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakesales.checks import shapes as S
@@ -17,6 +17,7 @@ from lakesales.operators.joins import asof_backward, star_lookup
 from lakesales.operators.keys import assign_keys
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans.unified_warehouse import time_dimension
+from lakesales.session import scratch_path
 
 MEASURES = ["Qty", "UnitPrice", "DocTotal_CRC", "DocTotal_USD"]
 KEYS = ["DateKey", "CustomerKey", "ProductKey", "CurrencyKey"]
@@ -44,18 +45,25 @@ class Erp:
     def calendar(self) -> DataFrame:
         return self.t.store(P.calendar_fx(S.order_bounds(self.t), S.rates(self.t)), "DimDate")
 
-    def branch(self, returned: bool, products: bool = True) -> DataFrame:
+    def branch(self, returned: bool) -> DataFrame:
         build = P.fact_credit_notes if returned else P.fact_invoices
-        return build(S.erp_headers(self.t), S.erp_lines(self.t, returned), self.customers,
-                     self.products if products else None, self.currencies)
+        return build(S.erp_headers(self.t), S.erp_lines(self.t, returned), self.customers, self.products, self.currencies)
 
-    def monthly(self, products: bool = True) -> DataFrame:
-        return P.fact_monthly(S.agg_sales(self.t), self.customers, self.products if products else None,
-                              self.currencies, self.calendar)
+    def monthly(self) -> DataFrame:
+        return P.fact_monthly(S.agg_sales(self.t), self.customers, self.products, self.currencies, self.calendar)
 
-    def fact(self, products: bool = True) -> DataFrame:
-        """`products` False: for reports that name none, so the dimension is neither built nor joined."""
-        return P.build_fact_sales(self.branch(False, products), self.branch(True, products), self.monthly(products))
+
+_LOADED: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
+def loaded(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """The warehouse over the given tables as reports find it: loaded by the first one of a session, and stored."""
+    at = (spark.sparkContext.applicationId, d)
+    if at not in _LOADED:
+        t = Tables(spark, d)
+        _LOADED[at] = P.run_sales_dw(spark, S.erp_tables(t), S.rates(t), S.agg_sales(t), S.order_bounds(t),
+                                     scratch_path(spark, "sales_dw"))
+    return _LOADED[at]
 
 
 def _fact_out(df: DataFrame) -> DataFrame:
@@ -75,30 +83,30 @@ def monthly(spark, d):
 
 
 def totals(spark, d):
-    out = A.qa_totals(Erp(Tables(spark, d)).fact(products=False))
+    out = A.qa_totals(loaded(spark, d)["Fact_Sales"])
     return out.select(*S.double("Total_CRC", "Total_USD"), "Filas")
 
 
 def by_customer(spark, d):
-    erp = Erp(Tables(spark, d))
-    return A.sales_by_customer(erp.fact(products=False), erp.customers).select("CardName", *S.double("Ventas_CRC"))
+    dw = loaded(spark, d)
+    return A.sales_by_customer(dw["Fact_Sales"], dw["DimCustomer"]).select("CardName", *S.double("Ventas_CRC"))
 
 
 def by_product(spark, d):
-    erp = Erp(Tables(spark, d))
-    return A.sales_by_product(erp.fact(), erp.products).select(
+    dw = loaded(spark, d)
+    return A.sales_by_product(dw["Fact_Sales"], dw["DimProduct"]).select(
         "ItemCode", "ItemName", *S.double("Ventas_CRC"))
 
 
 def fallback(spark, d):
-    erp = Erp(Tables(spark, d))
-    return A.fallback_audit(erp.fact(products=False), erp.customers).select(
+    dw = loaded(spark, d)
+    return A.fallback_audit(dw["Fact_Sales"], dw["DimCustomer"]).select(
         "CardCode", "CardName", "Filas", *S.double("Ventas_CRC"))
 
 
 def null_keys(spark, d):
-    erp = Erp(Tables(spark, d))
-    return P.qa_pack(erp.fact(), erp.customers, erp.products)["null_keys"]
+    dw = loaded(spark, d)
+    return P.qa_pack(dw["Fact_Sales"], dw["DimCustomer"], dw["DimProduct"])["null_keys"]
 
 
 def customers(spark, d):

@@ -459,9 +459,7 @@ def write_roundtrip(spark, d):
 def sales_dw(spark, d):
     """The whole warehouse written and read back, checked through its stored fact."""
     t, out = Tables(spark, d), scratch_path(spark, "dw")
-    erp = {"OINV": S.erp_headers(t), "ORIN": S.erp_headers(t), "INV1": S.erp_lines(t, False),
-           "RIN1": S.erp_lines(t, True), "OCRD": S.ocrd(t), "ZONAS": S.zonas(t), "OITM": S.oitm(t), "OITW": S.oitw(t)}
-    tables = P.run_sales_dw(spark, erp, S.rates(t), S.agg_sales(t), S.order_bounds(t), out)
+    tables = P.run_sales_dw(spark, S.erp_tables(t), S.rates(t), S.agg_sales(t), S.order_bounds(t), out)
     fact = tables["Fact_Sales"]
     return fact.groupBy("Year").agg(
         F.count("*").alias("filas"), F.count_distinct("SalesKey").alias("claves"),

@@ -112,6 +112,11 @@ def oitw(t: Tables) -> DataFrame:
         F.col("p_retailprice").cast(AMOUNT).alias("AvgPrice"))
 
 
+def erp_tables(t: Tables) -> dict[str, DataFrame]:
+    return {"OINV": erp_headers(t), "ORIN": erp_headers(t), "INV1": erp_lines(t, False), "RIN1": erp_lines(t, True),
+            "OCRD": ocrd(t), "ZONAS": zonas(t), "OITM": oitm(t), "OITW": oitw(t)}
+
+
 def order_bounds(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
     return t.orders.agg(F.min(day).alias("start"), F.max(day).alias("end"))
