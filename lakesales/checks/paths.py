@@ -15,12 +15,15 @@ from lakesales.operators import changes as U
 from lakesales.operators import filters as Q
 from lakesales.operators import validation as V
 from lakesales.operators.joins import star_lookup
+from lakesales.operators.keys import assign_keys
+from lakesales.operators.ranked import page_at, store_ranked
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import unified_warehouse as W
 from lakesales.plans.constraints import check_table
 from lakesales.schemas import SOURCE_TABLES
 from lakesales.session import scratch_path
 from lakesales.sources import landing, readers
+from lakesales.sources.sinks import write_table
 
 RELATIONAL = ("SQL Server", "MySQL", "Supabase")
 
@@ -156,6 +159,49 @@ def last_patch(spark, d):
     return U.apply_patches(stored, patches, "id", F.current_timestamp(), order="orden")
 
 
+def _by_month(t: Tables) -> tuple[str, DataFrame]:
+    path = scratch_path(t.spark, "ordenes")
+    stored = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("estado"), F.col("o_totalprice").alias("total"),
+                             F.year("o_orderdate").alias("anio"), F.month("o_orderdate").alias("mes"))
+    return path, write_table(stored, path, partition_by=["anio", "mes"])
+
+
+def patch_partitions(spark, d):
+    """Orders of one customer in a hundred and of one year get a state; only their months are written anew."""
+    t = Tables(spark, d)
+    path, _ = _by_month(t)
+    patches = t.orders.where("o_custkey % 100 = 7 and year(o_orderdate) = 1996").select(
+        F.col("o_orderkey").alias("id"), F.lit("X").alias("estado"))
+    U.patch_table(spark, path, ["anio", "mes"], patches, "id", F.current_timestamp())
+    stored = spark.read.parquet(path)
+    return stored.select("id", "estado", "total", F.col("anio").cast("bigint").alias("anio"), F.col("mes").cast("bigint").alias("mes"))
+
+
+def patched_months(spark, d):
+    t = Tables(spark, d)
+    path, _ = _by_month(t)
+    patches = t.orders.where("o_custkey % 100 = 7 and year(o_orderdate) = 1996").select(
+        F.col("o_orderkey").alias("id"), F.lit("X").alias("estado"))
+    done = U.patch_table(spark, path, ["anio", "mes"], patches, "id", F.current_timestamp())
+    return done.select(F.col("anio").cast("bigint").alias("anio"), F.col("mes").cast("bigint").alias("mes"))
+
+
+def upsert_buckets(spark, d):
+    """A stored customer dimension takes in changed and new members; the buckets of all others stay as they are."""
+    t, path, ts = Tables(spark, d), scratch_path(spark, "dim"), F.lit("2024-01-01").cast("timestamp")
+    name = F.col("c_custkey").alias("codigo")
+    known = t.customer.where("c_custkey % 10 <> 3").select(name, F.col("c_mktsegment").alias("segmento"))
+    dim = assign_keys(known, ["codigo"], "clave").withColumns({"FechaCreacion": ts, "FechaActualizacion": ts})
+    write_table(U.dim_buckets(dim, ["codigo"], 64), path, partition_by=["cubeta"])
+    incoming = t.customer.where("c_custkey % 20 in (3, 4)").select(name, F.lit("NUEVO").alias("segmento"))
+    later = F.lit("2024-06-01").cast("timestamp")
+    U.upsert_table(spark, path, incoming, ["codigo"], "clave", later, 64)
+    stored = spark.read.parquet(path)
+    return stored.select("codigo", "segmento", (F.col("FechaCreacion") == later).alias("nuevo"),
+                         (F.col("FechaActualizacion") == later).alias("cambiado"),
+                         (F.col("clave") > dim.agg(F.max("clave").alias("m")).scalar()).alias("clave_nueva"))
+
+
 def reload_fact(spark, d):
     """A second load with fewer months leaves nothing of the first."""
     t, path = Tables(spark, d), scratch_path(spark, "reload")
@@ -332,6 +378,14 @@ def page_after_ties(spark, d):
     return page.select("o_orderkey", F.col("dia").cast("string").alias("dia"))
 
 
+def page_deep(spark, d):
+    """A page far down the orders by total, from a stored listing."""
+    path = scratch_path(spark, "listing")
+    orders = Tables(spark, d).orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    store_ranked(orders, path, [F.desc("o_totalprice"), F.asc("o_orderkey")], 700)
+    return page_at(spark, path, 61, 20)
+
+
 QUERIES = {
     "scan_source_customers": source_customers, "scan_source_products": source_products, "unified_dw": unified_dw,
     "product_rejects": product_rejects, "code_conflicts": code_conflicts, "lookup_of_twins": lookup_of_twins,
@@ -339,6 +393,7 @@ QUERIES = {
     "reload_fact": reload_fact, "orphan_counts": orphan_counts, "targets_table": targets_table,
     "document_types": document_types, "corrupt_documents": corrupt_documents, "corrupt_sources": corrupt_sources, "basket_sets": basket_sets,
     "basket_all_rules": basket_all_rules, "page_after_ties": page_after_ties,
+    "page_deep": page_deep, "patch_partitions": patch_partitions, "patched_months": patched_months, "upsert_buckets": upsert_buckets,
     "bad_input_rejects": bad_input_rejects, "bad_input_sales": bad_input_sales, "product_conflicts": product_conflicts,
     "customer_conflicts": customer_conflicts, "long_decimals": long_decimals, "corrupt_rates": corrupt_rates,
 }
@@ -416,6 +471,16 @@ SQL = {
         FROM orders GROUP BY 1 HAVING count(DISTINCT o_custkey % 3) > 1""",
     "last_patch": """SELECT c_custkey AS id, coalesce('o' || max(o_orderkey), c_mktsegment) AS segmento
         FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey, c_mktsegment""",
+    "page_deep": """SELECT *, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS puesto, (SELECT count(*) FROM orders) AS total,
+        61 AS page, 20 AS "limit", (SELECT (count(*) + 19) // 20 FROM orders) AS pages
+        FROM (SELECT o_orderkey, o_custkey, o_totalprice FROM orders) ORDER BY o_totalprice DESC, o_orderkey LIMIT 20 OFFSET 1200""",
+    "patch_partitions": """SELECT o_orderkey AS id, CASE WHEN o_custkey % 100 = 7 AND year(o_orderdate) = 1996 THEN 'X'
+        ELSE o_orderstatus END AS estado, o_totalprice AS total, year(o_orderdate) AS anio, month(o_orderdate) AS mes FROM orders""",
+    "patched_months": """SELECT DISTINCT year(o_orderdate) AS anio, month(o_orderdate) AS mes FROM orders
+        WHERE o_custkey % 100 = 7 AND year(o_orderdate) = 1996""",
+    "upsert_buckets": """SELECT c_custkey AS codigo, CASE WHEN c_custkey % 20 IN (3, 4) THEN 'NUEVO' ELSE c_mktsegment END AS segmento,
+        c_custkey % 10 = 3 AS nuevo, c_custkey % 20 IN (3, 4) AS cambiado, c_custkey % 10 = 3 AS clave_nueva FROM customer
+        WHERE c_custkey % 10 <> 3 OR c_custkey % 20 = 3""",
     "reload_fact": """SELECT year(o_orderdate) AS "Year", month(o_orderdate) AS "Month", count(*) AS filas FROM orders
         WHERE o_orderdate < DATE '1996-07-01' GROUP BY 1, 2""",
     "orphan_counts": """SELECT 'clientes' AS tabla, count(*) AS n FROM lineitem JOIN orders ON l_orderkey = o_orderkey

@@ -4,14 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakesales.functions.dates import add_years
 from lakesales.functions.nested import order_total
 from lakesales.operators.keys import assign_keys
+from lakesales.session import scratch_path
+from lakesales.sources.sinks import rewrite_partitions, write_table
 
 PROTECTED = ("creado",)
+#: Buckets of keys that snapshots are compared by: the list of those that differ is sent to every task.
+BUCKETS = 1 << 16
 
 
 def apply_inserts(df: DataFrame, new: DataFrame, run_ts: Column) -> DataFrame:
@@ -83,6 +88,25 @@ def apply_patches(df: DataFrame, patches: DataFrame, key: str, run_ts: Column,
     return out.select(*df.columns)
 
 
+def patch_table(spark: SparkSession, path: str, partition_by: Sequence[str], patches: DataFrame, key: str,
+                run_ts: Column, supplied: str = "supplied", order: str | None = None) -> DataFrame:
+    """``apply_patches`` on a stored table: returns the partitions that were rewritten.
+
+    The patched keys are located first, by key and partition columns alone. Only partitions that hold one are read
+    whole and written anew; the files of all others stay. A patch may not set a partition column, since the row would
+    have to move.
+    """
+    moved = [c for c in partition_by if c in patches.columns and c != key]
+    if moved:
+        raise ValueError(f"a patch cannot move rows to another partition: {', '.join(moved)}")
+
+    def located(stored: DataFrame) -> DataFrame:
+        return stored.select(key, *partition_by).join(patches.select(key).distinct(), key, "left_semi")
+
+    return rewrite_partitions(spark, path, partition_by, located,
+                              lambda held: apply_patches(held, patches, key, run_ts, supplied, order))
+
+
 def apply_deletes(df: DataFrame, ids: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """Remaining rows, and every requested id with whether it was found."""
     wanted = ids.select(key).distinct()
@@ -101,14 +125,55 @@ def change_report(df: DataFrame, patches: DataFrame, key: str,
     return patches.select(key).distinct().join(hit, key, "left").select(key, state.alias("estado"))
 
 
-def compare_snapshots(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
-    """Every key of two snapshots with inserted, modified, deleted or unchanged."""
+def _digests(df: DataFrame, key: str, cols: Sequence[str], buckets: int) -> DataFrame:
+    """One row a bucket of keys: how many rows, and two sums of row hashes, whatever the order of the rows."""
+    simple, flags = [], []
+    for c in [key, *cols]:
+        nested = isinstance(df.schema[c].dataType, (T.ArrayType, T.MapType, T.StructType))
+        # a hash skips what is NULL: where a value is missing is hashed beside the values, inside nested ones as text
+        simple.append(F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if nested else F.col(c))
+        flags.append(F.col(c).isNull())
+    wide = "decimal(38,0)"
+    return df.where(F.col(key).isNotNull()).groupBy(_bucket(key, buckets).alias("_bucket")).agg(
+        F.count("*").alias("_n"), F.sum(F.xxhash64(*flags, *simple).cast(wide)).alias("_s"),
+        F.sum(F.xxhash64(F.lit("second"), *simple, *flags).cast(wide)).alias("_t"))
+
+
+def _bucket(key: str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def changed_buckets(before: DataFrame, after: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """The buckets of keys whose rows are not the same in both snapshots: ``buckets`` rows at most."""
     cols = [c for c in before.columns if c in after.columns and c != key]
-    a = before.select(F.col(key), F.struct(*cols).alias("_a"), F.lit(1).alias("_in_a"))
-    b = after.select(F.col(key), F.struct(*cols).alias("_b"), F.lit(1).alias("_in_b"))
+    a = _digests(before, key, cols, buckets)
+    b = _digests(after, key, cols, buckets).select("_bucket", *[F.col(c).alias(f"{c}2") for c in ("_n", "_s", "_t")])
+    same = F.col("_n").eqNullSafe(F.col("_n2")) & F.col("_s").eqNullSafe(F.col("_s2")) & F.col("_t").eqNullSafe(F.col("_t2"))
+    return a.join(b, "_bucket", "full").where(~same).select("_bucket")
+
+
+def compare_snapshots(before: DataFrame, after: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Every key of two snapshots with inserted, modified, deleted or unchanged.
+
+    Both sides are first reduced to a digest for each bucket of keys. Only rows in buckets that differ are compared one
+    by one, so what is shuffled follows the changes and not the tables; keys of the others come back unchanged from
+    where they are. Rows without a key match nothing.
+    """
+    cols = [c for c in before.columns if c in after.columns and c != key]
+    differ = write_table(changed_buckets(before, after, key, buckets), scratch_path(before.sparkSession, "buckets"))
+    differ = differ.withColumn("_differs", F.lit(True))
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("_bucket", _bucket(key, buckets)).join(F.broadcast(differ), "_bucket", "left")
+
+    to_compare = F.col("_differs") | F.col(key).isNull()
+    unchanged = marked(before.select(key)).where(~F.coalesce(to_compare, F.lit(False))).select(
+        key, F.lit("unchanged").alias("estado"))
+    a = marked(before).where(to_compare).select(F.col(key), F.struct(*cols).alias("_a"), F.lit(1).alias("_in_a"))
+    b = marked(after).where(to_compare).select(F.col(key), F.struct(*cols).alias("_b"), F.lit(1).alias("_in_b"))
     state = (F.when(F.col("_in_a").isNull(), "inserted").when(F.col("_in_b").isNull(), "deleted")
              .when(F.col("_a").eqNullSafe(F.col("_b")), "unchanged").otherwise("modified"))
-    return a.join(b, key, "full").select(key, state.alias("estado"))
+    return a.join(b, key, "full").select(key, state.alias("estado")).unionByName(unchanged)
 
 
 def shift_years(df: DataFrame, cols: Sequence[str], years: int) -> DataFrame:
@@ -116,10 +181,11 @@ def shift_years(df: DataFrame, cols: Sequence[str], years: int) -> DataFrame:
 
 
 def upsert_dim(existing: DataFrame, incoming: DataFrame, natural: list[str], surrogate: str,
-               run_ts: Column, order: str | None = None) -> DataFrame:
+               run_ts: Column, order: str | None = None, top: Column | None = None) -> DataFrame:
     """Type-1 upsert: known members keep their key and creation time, new ones get the next keys.
 
-    Of several incoming rows of a member the last by ``order`` counts; without it they are an error.
+    Of several incoming rows of a member the last by ``order`` counts; without it they are an error. ``top`` is the
+    greatest key in use, where ``existing`` is not the whole dimension.
     """
     incoming = one_per_key(incoming, natural, order)
     attributes = [c for c in existing.columns
@@ -136,8 +202,31 @@ def upsert_dim(existing: DataFrame, incoming: DataFrame, natural: list[str], sur
         *[F.when(touched, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) for c in attributes],
         "FechaCreacion",
         F.when(touched, run_ts).otherwise(F.col("FechaActualizacion")).alias("FechaActualizacion"))
-    top = existing.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top")).scalar()
+    if top is None:
+        top = existing.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top")).scalar()
     added = assign_keys(incoming.join(existing.select(*natural), natural, "left_anti")
                         .select(*natural, *attributes), natural, surrogate, start=top + 1)
     added = added.withColumn("FechaCreacion", run_ts).withColumn("FechaActualizacion", run_ts)
     return kept.unionByName(added.select(*kept.columns))
+
+
+def dim_buckets(df: DataFrame, natural: Sequence[str], buckets: int) -> DataFrame:
+    """Adds ``cubeta``, the partition of a member in a stored dimension."""
+    return df.withColumn("cubeta", F.pmod(F.xxhash64(*[F.col(c).cast("string") for c in natural]), F.lit(buckets)).cast("int"))
+
+
+def upsert_table(spark: SparkSession, path: str, incoming: DataFrame, natural: list[str], surrogate: str, run_ts: Column,
+                 buckets: int, order: str | None = None) -> DataFrame:
+    """``upsert_dim`` on a dimension stored by ``dim_buckets``: returns the buckets that were rewritten.
+
+    A member's bucket follows from its natural key, so only buckets of incoming members are read and written; of the
+    others nothing but the greatest key is asked.
+    """
+    incoming = write_table(dim_buckets(incoming, natural, buckets), scratch_path(spark, "incoming"))
+
+    def upserted(held: DataFrame) -> DataFrame:
+        top = spark.read.parquet(path).agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("top")).scalar()
+        out = upsert_dim(held.drop("cubeta"), incoming.drop("cubeta"), natural, surrogate, run_ts, order, top)
+        return dim_buckets(out, natural, buckets)
+
+    return rewrite_partitions(spark, path, ["cubeta"], lambda _: incoming.select("cubeta"), upserted)

@@ -46,14 +46,14 @@ def lookup_ids(df: DataFrame, ids: DataFrame, key: str, valid=is_object_id) -> D
     return df.join(wanted, F.col(key) == F.col("_id_wanted"), "left_semi")
 
 
-def _check_page(page: int, limit: int) -> None:
+def check_page(page: int, limit: int) -> None:
     if page < 1 or not 1 <= limit <= MAX_PAGE:
         raise ValueError(f"page must be at least 1 and limit 1..{MAX_PAGE}")
 
 
 def page_summary(df: DataFrame, page: int, limit: int) -> DataFrame:
     """One row: total, page, limit, pages."""
-    _check_page(page, limit)
+    check_page(page, limit)
     total = df.agg(F.count("*").alias("total"))
     pages = F.floor((F.col("total") + (limit - 1)) / limit).cast("bigint")
     return total.select("total", F.lit(page).alias("page"), F.lit(limit).alias("limit"),
@@ -61,11 +61,12 @@ def page_summary(df: DataFrame, page: int, limit: int) -> DataFrame:
 
 
 def paginate(df: DataFrame, page: int, limit: int, order_by) -> DataFrame:
-    """Rows of one page in a stated order, with total, page, limit and pages beside them.
+    """Rows of one page in a stated order, with total, page, limit and pages beside them. Sorts all rows in front of
+    the page; ``ranked.page_at`` does not.
 
     The order should end in a unique key, or page contents may change between runs.
     """
-    _check_page(page, limit)
+    check_page(page, limit)
     summary = page_summary(df, page, limit)
     rows = df.orderBy(*as_list(order_by)).offset((page - 1) * limit).limit(limit)
     return rows.select("*", summary.select("total").scalar().alias("total"),
@@ -80,7 +81,7 @@ def page_after(df: DataFrame, order_by: str, last, limit: int, tie: str | None =
     The first page has neither ``last`` nor ``last_tie``; a page that ended among rows without a value is
     continued with ``last=None`` and its ``last_tie``.
     """
-    _check_page(1, limit)
+    check_page(1, limit)
     value, key = F.col(order_by), F.col(tie or order_by)
     if last is not None:
         behind = value.isNull() | (value > F.lit(last))
