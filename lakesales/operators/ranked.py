@@ -34,7 +34,7 @@ def store_ranked(df: DataFrame, path: str, order: list[Column], range_rows: int
 
 def _rows(spark: SparkSession, path: str) -> DataFrame:
     columns = spark.read.parquet(f"{path}/columns").schema
-    return spark.read.schema(columns.add("_place", "bigint").add("_range", "int")).parquet(f"{path}/rows")
+    return spark.read.schema(columns.add("_place", "long").add("_range", "integer")).parquet(f"{path}/rows")
 
 
 def page_at(spark: SparkSession, path: str, page: int, limit: int) -> DataFrame:
