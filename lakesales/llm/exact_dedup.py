@@ -9,6 +9,7 @@ under one digest form groups of their own.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -67,8 +68,13 @@ class DedupState:
         """docs: digest, doc_id, file, row."""
         docs.write.mode("error").parquet(f"{self.path}/landed/{batch}")
 
-    def landed(self) -> DataFrame:
-        return self.spark.read.schema(_LANDED).option("recursiveFileLookup", "true").parquet(f"{self.path}/landed")
+    def landed(self, batch: str = "") -> DataFrame:
+        """All that landed, or what landed as one batch."""
+        return self.spark.read.schema(_LANDED).option("recursiveFileLookup", "true").parquet(f"{self.path}/landed/{batch}")
+
+    def has_landed(self) -> bool:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/landed")
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(at)
 
     def advance(self) -> None:
         """Runs the stream until all that landed is in the state."""
@@ -101,23 +107,48 @@ class DedupState:
             "digest", "g.keeper", "g.size")
 
 
+def _located(spark: SparkSession, places: DataFrame, key: str, text: str) -> DataFrame:
+    """The documents at (file, row): their files are opened, and read for these rows."""
+    files = [r["file"] for r in places.select("file").distinct().collect()]
+    if not files:
+        return with_place(cut(spark.createDataFrame([], "doc_id bigint, text string"), "none"))
+    docs = with_place(spark.read.parquet(*files).select(
+        F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text"), "_metadata"))
+    wanted = places.select(F.struct("file", "row").alias("_row_place"))
+    return docs.drop("_metadata").join(wanted, "_row_place", "left_semi").select("doc_id", "text", "_row_place")
+
+
 def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_of, key: str = "doc_id",
-                 text: str = "text", at: str | None = None) -> DataFrame:
+                 text: str = "text", at: str | None = None, batch: str | None = None) -> DataFrame:
     """Every row's group of equal normalised texts: doc_id, place, keep_id, group_size, kept, text_sha256.
 
     Of a group the row with the smallest id stays; of rows with that id the first by file and row, so exactly
     one row of a group is kept even where rows are repeated. Rows without an id come last (keep_id is null
     where no row of the group has one). Null text counts as empty, and empty texts are one group. An empty table
-    gives no rows; extra columns are ignored. `at`: a folder to keep the state in, else a new one.
+    gives no rows; extra columns are ignored.
+
+    `at`: a folder that keeps the state, so that further calls bring further deliveries; `batch` names one, and a name
+    that landed before is refused. Such a call returns the rows of all groups that the delivery has a part in, earlier
+    rows too. Their texts are opened where they lay, so documents have to come from Parquet files that stay.
     """
     spark = docs.sparkSession
     state = DedupState(spark, at or scratch_path(spark, "dedup"))
+    landed_before = at is not None and state.has_landed()
     placed = with_place(docs.select(F.col(key).cast("bigint").alias("doc_id"), F.col(text).alias("text")))
     read = placed.withColumn("norm", one_blank(F.col("text"))).withColumn("digest", digest(F.col("norm")))
-    state.land("batch", read.select("digest", "doc_id", "_row_place.file", "_row_place.row"))
+    name = batch or f"batch-{uuid.uuid4().hex}"
+    state.land(name, read.select("digest", "doc_id", "_row_place.file", "_row_place.row"))
     state.advance()
 
     groups = cut(state.groups(), "groups")
+    members = state.landed()
+    if landed_before:
+        new = state.landed(name)
+        touched = new.select("digest").distinct()
+        groups, members = (df.join(touched, "digest", "left_semi") for df in (groups, members))
+        earlier = _located(spark, members.join(new, ["file", "row"], "left_anti"), key, text)
+        read = read.unionByName(earlier.withColumn("norm", one_blank(F.col("text"))).withColumn(
+            "digest", digest(F.col("norm"))).select(*read.columns))
     hits = cut(read.join(groups.filter("size > 1"), "digest").select(
         "digest", "norm", F.struct("doc_id", F.col("_row_place.file").alias("file"), F.col("_row_place.row").alias("row"))
         .alias("member"), "keeper"), "hits")
@@ -133,7 +164,6 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_of
     less = other.groupBy("digest").agg(F.count(F.lit(1)).alias("gone"))
     shas = read.select("digest", F.struct(F.col("_row_place.file").alias("file"), F.col("_row_place.row").alias("row"))
                        .alias("at"), F.sha2(F.col("norm").cast("binary"), 256).alias("sha"))
-    members = state.landed()
     if digest is sha256_of:
         members = members.withColumn("sha", F.lower(F.hex("digest")))
     else:

@@ -69,12 +69,6 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 SHARDS = 8
 
 
-def _sql_shard(n: int) -> str:
-    scores = ", ".join(f"-1.0 / ln((('0x' || substr(md5('{i}:' || coalesce(doc_id::varchar, '')), 1, 13))::bigint"
-                       f" + 0.5) / 4503599627370496.0)" for i in range(n))
-    return f"list_position([{scores}], list_max([{scores}])) - 1"
-
-
 @query("op6_sharding")
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")

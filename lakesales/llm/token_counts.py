@@ -1,12 +1,14 @@
 """Token counts as rollups that deltas keep up to date.
 
 Totals by source, language and tokenizer version are sums of signed rows, so an insert adds, a delete takes away
-and a revision does both. Every batch of changes is added up first and written to a folder of its own name: a batch
-that is delivered again replaces itself and counts once.
+and a revision does both. Every batch of changes is added up and committed under its name: a batch that is delivered
+again counts once. From time to time the batches are folded into the totals.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -60,18 +62,63 @@ def revisions(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 class Rollup:
-    """Totals below a folder; see the module's text."""
+    """Totals below a folder: what was folded so far, and one delta for each batch since.
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path
+    A small file a commit, the one with the highest number, names the folders that count. A batch is written to a folder
+    of its own first and counts from the moment that file is there: a commit that is ended on the way leaves all
+    totals as they were, and totals never read half a batch. One writer at a time; any number may read.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, fold_after: int = 100):
+        self.spark, self.path, self.fold_after = spark, path.rstrip("/"), fold_after
+
+    def _files(self, name: str):
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+        return at.getFileSystem(self.spark._jsc.hadoopConfiguration()), at
+
+    def _state(self) -> tuple[int, dict]:
+        """The number of the last commit, and what it says."""
+        files, at = self._files("commits")
+        done = [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+        numbers = [int(name) for name in done if name.isdigit()]
+        if not numbers:
+            return 0, {"totals": None, "deltas": {}, "folded": []}
+        text = self.spark.read.text(f"{self.path}/commits/{max(numbers):012d}", wholetext=True).first()[0]
+        return max(numbers), json.loads(text)
+
+    def _publish(self, number: int, state: dict) -> None:
+        files, at = self._files(f"commits/{number:012d}")
+        _, beside = self._files(f"commits/.{uuid.uuid4().hex}")
+        out = files.create(beside)
+        out.writeBytes(json.dumps(state))  # ASCII
+        out.close()
+        if files.exists(at) or not files.rename(beside, at):
+            raise RuntimeError(f"{at} is there: another commit came first")
 
     def commit(self, batch: str, changes: DataFrame) -> None:
-        """Adds a batch; under a name that was committed before, it takes that batch's place."""
-        sums = changes.groupBy(*KEYS).agg(*[F.sum(m).cast("bigint").alias(m) for m in MEASURES])
-        sums.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch={batch}")
+        """Adds a batch. Under a name that was committed before it takes that batch's place, or changes nothing where
+        that one is folded into the totals already."""
+        number, state = self._state()
+        if batch in state["folded"]:
+            return
+        folder = f"deltas/{uuid.uuid4().hex}"
+        changes.groupBy(*KEYS).agg(*[F.sum(m).cast("bigint").alias(m) for m in MEASURES]).write.parquet(f"{self.path}/{folder}")
+        state["deltas"][batch] = folder
+        self._publish(number + 1, state)
+        if len(state["deltas"]) >= self.fold_after:
+            self.fold()
+
+    def fold(self) -> None:
+        """Writes new totals of all batches so far; reading them costs the same however many batches there were."""
+        number, state = self._state()
+        folder = f"totals/{uuid.uuid4().hex}"
+        self.totals().write.parquet(f"{self.path}/{folder}")
+        self._publish(number + 1, {"totals": folder, "deltas": {}, "folded": sorted({*state["folded"], *state["deltas"]})})
 
     def totals(self) -> DataFrame:
         """The totals of all batches; groups whose documents are all gone leave no row."""
-        deltas = self.spark.read.schema(f"{_TOTALS}, batch string").parquet(self.path)
-        return deltas.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES]).filter(
+        _, state = self._state()
+        folders = [f"{self.path}/{f}" for f in [state["totals"], *state["deltas"].values()] if f]
+        counted = self.spark.read.schema(_TOTALS).parquet(*folders) if folders else self.spark.createDataFrame([], _TOTALS)
+        return counted.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in MEASURES]).filter(
             " or ".join(f"{m} <> 0" for m in MEASURES))

@@ -483,6 +483,28 @@ def test_kept_rows_keep_all_their_columns(spark, edge_docs):
     assert {r["_place"] for r in rows} == {"x"}
 
 
+@pytest.mark.parametrize("weak", [False, True])
+def test_deliveries_meet_earlier_ones(spark, tmp_path, weak):
+    """Each delivery returns all rows of the groups it has a part in; a weak digest makes earlier texts count."""
+    short = (lambda c: F.substring(exact_dedup.sha256_of(c), 1, 1)) if weak else exact_dedup.sha256_of
+    rng, rows, at = random.Random(8), [], str(tmp_path / "state")
+    for n in range(3):
+        new = [(rng.choice([None, *range(200)]), rng.choice([None, "", " ", *[f"text {k}" for k in range(60)], "text  1", "text\t2"]))
+               for _ in range(80)]
+        path = str(tmp_path / f"d{n}.parquet")
+        spark.createDataFrame([(*r, "x") for r in new], "doc_id bigint, text string, keeper string").repartition(3).write.parquet(path)
+        rows += new
+        got = exact_dedup.exact_groups(spark.read.parquet(path), digest=short, at=at, batch=f"b{n}").collect()
+        sha = {hashlib.sha256(BLANKS.sub(b" ", (t or "").encode())).hexdigest() for _, t in new}
+        touched = {s[:2] for s in sha} if weak else sha
+        want = [g for g in equal_groups(rows) if (g[3][:2] if weak else g[3]) in touched]
+        assert sorted(((r["doc_id"], r["keep_id"], r["group_size"], r["text_sha256"]) for r in got), key=key) == want
+        kept = [r["text_sha256"] for r in got if r["kept"]]
+        assert sorted(kept) == sorted({r["text_sha256"] for r in got})
+    with pytest.raises(Exception, match="already exists"):
+        exact_dedup.exact_groups(spark.read.parquet(path), at=at, batch="b2")
+
+
 def test_state_goes_on_where_it_stopped(spark, tmp_path):
     state = exact_dedup.DedupState(spark, str(tmp_path / "state"))
     landed = "digest binary, doc_id bigint, file string, row bigint"

@@ -162,6 +162,42 @@ def test_rollup_batches_count_once_and_groups_vanish(spark, edge_docs, tmp_path)
     assert rollup.totals().collect() == []
 
 
+def test_a_commit_that_is_ended_counts_nothing(spark, edge_docs, tmp_path, monkeypatch):
+    facts = token_counts.count_tokens(edge_docs, tokenizer_path(), "v1").cache()
+    rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"))
+    assert rollup.totals().collect() == []
+    rollup.commit("1", token_counts.inserts(facts))
+    once = sorted(map(str, rollup.totals().collect()))
+
+    def ended(self, number, state):
+        raise InterruptedError
+
+    for batch in ("1", "2"):  # the delta is written, the commit is not
+        with monkeypatch.context() as m:
+            m.setattr(token_counts.Rollup, "_publish", ended)
+            with pytest.raises(InterruptedError):
+                rollup.commit(batch, token_counts.deletes(facts))
+        assert sorted(map(str, rollup.totals().collect())) == once
+    rollup.commit("2", token_counts.deletes(facts))
+    assert rollup.totals().collect() == []
+
+
+def test_folded_batches_count_once(spark, edge_docs, tmp_path):
+    facts = token_counts.count_tokens(edge_docs, tokenizer_path(), "v1").cache()
+    rollup = token_counts.Rollup(spark, str(tmp_path / "rollup"), fold_after=2)
+    rollup.commit("a", token_counts.inserts(facts))
+    once = sorted(map(str, rollup.totals().collect()))
+    rollup.commit("b", token_counts.revisions(facts, facts))  # folds
+    assert rollup._state()[1]["deltas"] == {} and rollup._state()[1]["folded"] == ["a", "b"]
+    assert sorted(map(str, rollup.totals().collect())) == once
+    for _ in range(3):
+        rollup.commit("a", token_counts.inserts(facts))
+    assert sorted(map(str, rollup.totals().collect())) == once
+    rollup.commit("c", token_counts.deletes(facts))
+    rollup.commit("d", token_counts.inserts(facts.limit(0)))
+    assert rollup.totals().collect() == [] and rollup._state()[1]["folded"] == ["a", "b", "c", "d"]
+
+
 def test_chunks_hold_every_row_once():
     rng = random.Random(3)
     batch = pa.RecordBatch.from_pydict({"text": ["x" * rng.randrange(100) if rng.random() < 0.9 else None for _ in range(200)]})
