@@ -3,6 +3,10 @@
 Super-k-mers: the smallest hash of the GRAM-word grams of a window is its minimiser. Neighbouring windows with the
 same minimiser travel as one packed string to the minimiser's bucket. Equal windows have equal minimisers, so all
 windows with one sequence of words meet in one bucket, where sorting counts them.
+
+A minimiser of very many windows (a line that a third of all texts hold, amid words of their own) would make one bucket
+of any size. Such minimisers are counted beforehand, and their windows travel one by one, as two hashes and a place, to
+buckets of the window's own hash.
 """
 
 from __future__ import annotations
@@ -23,6 +27,7 @@ from lakesales.llm.common import (
     gram_hashes,
     parts_for,
     release,
+    signed,
     text_bytes,
     window_hashes,
     window_minimum,
@@ -37,8 +42,12 @@ RUN = 32
 BUCKET_BYTES, BLOW_UP = 8 << 20, 3.2
 #: Bytes that a task gathers before it sends them, and strings of which it remembers how often it met them.
 SENT_BYTES, REMEMBERED = 16 << 20, 250_000
+#: A minimiser of more windows than this is split, or of more than a part of all text bytes: then a million such
+#: minimisers exist at most, and their list is sent to every task. A task reports those it met LEAST_MET times.
+HOT_WINDOWS, HOT_PART, LEAST_MET = 50_000, 2_000_000, 4
 _KEY = 16
-_HEAD = struct.Struct("<qqq")
+_WINDOW = np.dtype([("one", "<u8"), ("two", "<u8"), ("key", f"S{_KEY}"), ("at", "<i8")])
+_HEAD = struct.Struct("<qqqq")
 
 
 def text_key(text: Column) -> Column:
@@ -47,23 +56,24 @@ def text_key(text: Column) -> Column:
 
 
 class Parcel:
-    """What goes to one bucket: packed strings with their places, and places already known to repeat."""
+    """What goes to one bucket: packed strings with their places, places already known to repeat, and single
+    windows."""
 
     def __init__(self):
-        self.keys, self.starts, self.strings, self.known = [], [], [], []
-        self.size = 0
+        self.keys, self.starts, self.strings, self.known, self.windows = [], [], [], [], []
 
     def pack(self) -> bytes:
         strings = b"\n".join(self.strings)
         known = b"".join(k + struct.pack("<qq", lo, hi) for k, lo, hi in self.known)
+        windows = b"".join(w.tobytes() for w in self.windows)
         return zstandard.ZstdCompressor(level=1).compress(b"".join([
-            _HEAD.pack(len(self.keys), len(strings), len(self.known)), b"".join(self.keys),
-            np.array(self.starts, "<i8").tobytes(), strings, known]))
+            _HEAD.pack(len(self.keys), len(strings), len(self.known), len(windows) // _WINDOW.itemsize), b"".join(self.keys),
+            np.array(self.starts, "<i8").tobytes(), strings, known, windows]))
 
 
-def unpack(parcel: bytes) -> tuple[list[bytes], np.ndarray, bytes, list[tuple[bytes, int, int]]]:
+def unpack(parcel: bytes) -> tuple[list[bytes], np.ndarray, bytes, list[tuple[bytes, int, int]], np.ndarray]:
     data = zstandard.ZstdDecompressor().decompress(parcel)
-    n, size, known = _HEAD.unpack_from(data)
+    n, size, known, windows = _HEAD.unpack_from(data)
     at = _HEAD.size
     keys = [data[at + i * _KEY:at + (i + 1) * _KEY] for i in range(n)]
     at += n * _KEY
@@ -73,7 +83,7 @@ def unpack(parcel: bytes) -> tuple[list[bytes], np.ndarray, bytes, list[tuple[by
     step = _KEY + 16
     return keys, starts, data[at:rest], [
         (data[rest + i * step:rest + i * step + _KEY], *struct.unpack_from("<qq", data, rest + i * step + _KEY))
-        for i in range(known)]
+        for i in range(known)], np.frombuffer(data, _WINDOW, windows, rest + known * step)
 
 
 def _runs(words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,10 +103,82 @@ def _runs(words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return whole[head], whole[last], low[whole[head]]
 
 
-def _send(buckets: int, n: int):
+def _meet(n: int):
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, int] = {}
+
+        def flush() -> pa.RecordBatch:
+            often = {low: many for low, many in held.items() if many >= LEAST_MET}
+            held.clear()
+            return pa.RecordBatch.from_pydict({"low": pa.array(list(often), pa.int64()), "many": pa.array(list(often.values()), pa.int64())})
+
+        for batch in batches:
+            for part in chunks(batch):
+                first, last, low = _runs(words_of_column(part.column("text")), n)
+                lows, run = np.unique(low, return_inverse=True)
+                many = np.zeros(len(lows), np.int64)
+                np.add.at(many, run, last - first + 1)
+                for one, windows in zip(signed(lows).tolist(), many.tolist(), strict=True):
+                    held[one] = held.get(one, 0) + windows
+                if len(held) > 4 * REMEMBERED:
+                    yield flush()
+        yield flush()
+    return meet
+
+
+def hot_minimisers(rows: DataFrame, n: int, size: int) -> np.ndarray:
+    """Minimisers of more windows than a bucket should hold, in order. Who is on the list decides only how windows
+    travel, so that tasks leave out what they met hardly ever changes no result."""
+    bound = max(HOT_WINDOWS, size // HOT_PART)
+    counts = rows.select("text").mapInArrow(_meet(n), "low bigint, many bigint").groupBy("low").agg(F.sum("many").alias("many"))
+    found = counts.filter(F.col("many") > bound).select("low").collect()
+    return np.sort(np.array([r["low"] for r in found], np.int64).view(np.uint64))
+
+
+def _send_windows(words, keys: np.ndarray, first: np.ndarray, last: np.ndarray, n: int, buckets: int, met: dict[int, int],
+                  parcels: dict[int, Parcel]) -> int:
+    """Puts the windows first..last of each run into parcels one by one; returns the bytes. Of a window that is met
+    three times, here or in the task before, two are sent and the others are known to repeat."""
+    size = last - first + 1
+    window = np.repeat(first, size) + np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    text = np.searchsorted(words.first, window, "right") - 1
+    sent = np.zeros(len(window), _WINDOW)
+    sent["one"], sent["two"] = (window_hashes(words.hash, n, which)[window] for which in (0, 1))
+    sent["key"], sent["at"] = keys[text], window - words.first[text]
+    order = np.lexsort((sent["two"], sent["one"]))
+    new = np.ones(len(order), bool)
+    new[1:] = (sent["one"][order][1:] != sent["one"][order][:-1]) | (sent["two"][order][1:] != sent["two"][order][:-1])
+    head = np.flatnonzero(new)
+    many = np.diff(np.append(head, len(order)))
+    rank = np.arange(len(order)) - np.repeat(head, many)
+    allowed = np.full(len(head), 2)
+    for i in np.flatnonzero(many > 1).tolist():
+        name = int(sent["one"][order[head[i]]]) << 64 | int(sent["two"][order[head[i]]])
+        allowed[i] = max(0, 2 - met.get(name, 0))
+        if len(met) >= REMEMBERED:
+            met.clear()
+        met[name] = 2
+    stays = rank < np.repeat(allowed, many)
+    go = sent[order[stays]]
+    bucket = (go["one"] % np.uint64(buckets)).astype(np.int64)
+    by = np.argsort(bucket, kind="stable")
+    for some in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
+        parcels.setdefault(int(bucket[some[0]]), Parcel()).windows.append(go[some])
+    rest = sent[np.sort(order[~stays])]
+    if len(rest):  # neighbouring windows of a text are one place
+        cut_at = np.flatnonzero((rest["at"][1:] != rest["at"][:-1] + 1) | (rest["key"][1:] != rest["key"][:-1])) + 1
+        for some in np.split(rest, cut_at):
+            key = some["key"][0].ljust(_KEY, b"\0")
+            parcels.setdefault(int(some["at"][0]) % buckets, Parcel()).known.append(
+                (key, int(some["at"][0]), int(some["at"][-1]) + n))
+    return len(go) * _WINDOW.itemsize + len(rest) * 8
+
+
+def _send(buckets: int, n: int, hot: np.ndarray):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parcels: dict[int, Parcel] = {}
         met: dict[bytes, int] = {}
+        met_windows: dict[int, int] = {}
         held = 0
 
         def flush() -> pa.RecordBatch:
@@ -111,6 +193,10 @@ def _send(buckets: int, n: int):
                 words = words_of_column(part.column("text"))
                 keys = part.column("key").to_pylist()
                 first, last, low = _runs(words, n)
+                if len(hot) and len(low):
+                    split = hot[np.minimum(np.searchsorted(hot, low), len(hot) - 1)] == low
+                    held += _send_windows(words, np.array(keys, f"S{_KEY}"), first[split], last[split], n, buckets, met_windows, parcels)
+                    first, last, low = first[~split], last[~split], low[~split]
                 # the chunk's words with one blank between them
                 size = words.end - words.start
                 new = np.cumsum(size + 1) - size - 1
@@ -155,15 +241,22 @@ def _ranges(keys: list[bytes], lo, hi) -> pa.Table:
 
 def _count(n: int):
     def count(table: pa.Table) -> pa.Table:
-        keys, starts, strings, known = [], [], [], []
+        keys, starts, strings, known, single = [], [], [], [], []
         for parcel in table.column("parcel").to_pylist():
-            k, s, text, more = unpack(parcel)
+            k, s, text, more, windows = unpack(parcel)
             keys += k
             starts.append(s)
             strings += text.split(b"\n") if k else []
             known += more
+            single.append(windows)
         known = list(set(known))
         out = [_ranges([k for k, _, _ in known], [a for _, a, _ in known], [b for _, _, b in known])]
+        single = np.concatenate(single) if single else np.zeros(0, _WINDOW)
+        if len(single):
+            single = single[np.lexsort((single["two"], single["one"]))]
+            same = (single["one"][1:] == single["one"][:-1]) & (single["two"][1:] == single["two"][:-1])
+            twice = single[np.append(same, False) | np.insert(same, 0, False)]
+            out.append(_ranges([k.ljust(_KEY, b"\0") for k in twice["key"].tolist()], twice["at"], twice["at"] + n))
         if keys:
             offsets = np.zeros(len(strings) + 1, np.int64)
             np.cumsum([len(s) for s in strings], out=offsets[1:])
@@ -202,8 +295,9 @@ def repeated_ranges(docs: DataFrame, window: int = WINDOW, text: str = "text") -
 
 def _found_ranges(docs: DataFrame, window: int, text: str) -> DataFrame:
     rows = docs.select(text_key(F.col(text)).alias("key"), F.coalesce(text, F.lit("")).alias("text"))
-    buckets = parts_for(text_bytes(rows) * BLOW_UP, BUCKET_BYTES)
-    sent = rows.mapInArrow(_send(buckets, window), "bucket int, parcel binary")
+    size = text_bytes(rows)
+    buckets = parts_for(size * BLOW_UP, BUCKET_BYTES)
+    sent = rows.mapInArrow(_send(buckets, window, hot_minimisers(rows, window, size)), "bucket int, parcel binary")
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(
         _count(window), "key binary, lo bigint, hi bigint")
 

@@ -326,9 +326,12 @@ def without_repeats(rows, n=35):
     return sorted(out, key=key)
 
 
-@pytest.mark.parametrize("remembered,run", [(400_000, 32), (3, 2)])
-def test_repeated_passages_go(spark, monkeypatch, remembered, run):
+@pytest.mark.parametrize("remembered,hot", [(400_000, 50_000), (3, 50_000), (400_000, 20), (3, 0)])
+def test_repeated_passages_go(spark, monkeypatch, remembered, hot):
+    """Minimisers of more than `hot` windows send these one by one."""
     monkeypatch.setattr(substring_dedup, "REMEMBERED", remembered)
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", hot)
+    monkeypatch.setattr(substring_dedup, "LEAST_MET", 1)
     monkeypatch.setattr(substring_dedup, "SENT_BYTES", 5000)
     rng = random.Random(remembered)
     passages = [prose(i, rng.choice([34, 35, 36, 80]), 50) for i in range(6)]
@@ -344,6 +347,25 @@ def test_repeated_passages_go(spark, monkeypatch, remembered, run):
     assert sorted((tuple(r) for r in got), key=key) == without_repeats(rows)
 
 
+def test_a_line_in_every_document_fills_no_bucket(spark, monkeypatch):
+    """A line amid different words: the more documents, the more buckets its windows are in."""
+    line = prose(1, 12, 50)
+    rows = [(i, f"{prose(10_000 + i, 40, 10**9)} {line} {prose(50_000 + i, 40, 10**9)}") for i in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    keyed = docs.select(substring_dedup.text_key(F.col("text")).alias("key"), "text")
+    largest = {}
+    for bound in (1000, 10**9):
+        monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", bound)
+        hot = substring_dedup.hot_minimisers(keyed, 35, 1)
+        sent = keyed.mapInArrow(substring_dedup._send(200, 35, hot), "bucket int, parcel binary")
+        sizes = sent.groupBy("bucket").agg(F.sum(F.octet_length("parcel")).alias("n"))
+        largest[bound] = sizes.agg(F.max("n") / F.expr("percentile(n, 0.5)")).first()[0]
+    assert largest[1000] < 2 and largest[10**9] > 10
+    monkeypatch.setattr(substring_dedup, "HOT_WINDOWS", 1000)
+    got = substring_dedup.remove_repeats(docs.unionByName(docs.filter("doc_id < 3"))).groupBy("n_removed").count().collect()
+    assert sorted(map(tuple, got)) == [(0, 3997), (92, 6)]
+
+
 def test_repeated_passages_of_edge_documents(spark, edge_docs):
     got = substring_dedup.remove_repeats(edge_docs).select("doc_id", "n_words", "n_removed", "kept_sha256").collect()
     assert sorted((tuple(r) for r in got), key=key) == without_repeats([r[:2] for r in edge_rows()])
