@@ -105,23 +105,20 @@ def _runs(words, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _meet(n: int):
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, int] = {}
+        lows, many = np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
         def flush() -> pa.RecordBatch:
-            often = {low: many for low, many in held.items() if many >= LEAST_MET}
-            held.clear()
-            return pa.RecordBatch.from_pydict({"low": pa.array(list(often), pa.int64()), "many": pa.array(list(often.values()), pa.int64())})
+            often = many >= LEAST_MET
+            return pa.RecordBatch.from_pydict({"low": signed(lows[often]), "many": many[often]})
 
         for batch in batches:
             for part in chunks(batch):
                 first, last, low = _runs(words_of_column(part.column("text")), n)
-                lows, run = np.unique(low, return_inverse=True)
-                many = np.zeros(len(lows), np.int64)
-                np.add.at(many, run, last - first + 1)
-                for one, windows in zip(signed(lows).tolist(), many.tolist(), strict=True):
-                    held[one] = held.get(one, 0) + windows
-                if len(held) > 4 * REMEMBERED:
+                lows, run = np.unique(np.concatenate([lows, low]), return_inverse=True)
+                many = np.bincount(run, np.concatenate([many, last - first + 1]), len(lows)).astype(np.int64)
+                if len(lows) > REMEMBERED:
                     yield flush()
+                    lows, many = lows[:0], many[:0]
         yield flush()
     return meet
 
@@ -164,14 +161,15 @@ def _send_windows(words, keys: np.ndarray, first: np.ndarray, last: np.ndarray,
     by = np.argsort(bucket, kind="stable")
     for some in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1) if len(by) else []:
         parcels.setdefault(int(bucket[some[0]]), Parcel()).windows.append(go[some])
-    rest = sent[np.sort(order[~stays])]
+    rest, places = sent[np.sort(order[~stays])], []
     if len(rest):  # neighbouring windows of a text are one place
         cut_at = np.flatnonzero((rest["at"][1:] != rest["at"][:-1] + 1) | (rest["key"][1:] != rest["key"][:-1])) + 1
-        for some in np.split(rest, cut_at):
+        places = np.split(rest, cut_at)
+        for some in places:
             key = some["key"][0].ljust(_KEY, b"\0")
             parcels.setdefault(int(some["at"][0]) % buckets, Parcel()).known.append(
                 (key, int(some["at"][0]), int(some["at"][-1]) + n))
-    return len(go) * _WINDOW.itemsize + len(rest) * 8
+    return len(go) * _WINDOW.itemsize + len(places) * 200  # a place is kept as Python objects
 
 
 def _send(buckets: int, n: int, hot: np.ndarray):
