@@ -247,8 +247,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     item's whole own score: items up to 6 words are found only where all their words stand in a row.
 
     Words are runs of what is neither ASCII white space nor an ASCII mark, in lower case. Null and
-    empty texts leak nothing, null items and those without words are found nowhere; equal test rows count once; repeated documents are reported as often as they stand there; extra columns are ignored; an empty table
-    on either side gives no rows.
+    empty texts leak nothing, null items and those without words are found nowhere; equal test rows count once;
+    repeated documents are reported as often as they stand there; extra columns of either table are ignored, whatever
+    their names; an empty table on either side gives no rows. Texts and items count whole: a long text is aligned in
+    windows of three times the item, so a long item takes that much of it at once.
     """
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))

@@ -30,7 +30,8 @@ def rendezvous_shard(key: Column, weights: Sequence[float]) -> Column:
 
 
 def assign_shards(df: DataFrame, key: str, weights: Sequence[float], name: str = "shard") -> DataFrame:
-    """Adds the shard of each row; no shuffle. Rows of one key go together."""
+    """Adds the shard of each row, replacing a column of that name; no shuffle. Rows of one key go together, those
+    without a key like those with an empty one. Other columns stay; an empty table gives no rows."""
     return df.withColumn(name, rendezvous_shard(F.col(key), weights))
 
 
@@ -38,6 +39,8 @@ def number_slots(df: DataFrame, shard: str, key: str, columns: Sequence[str]) ->
     """Rows (shard, *columns, slot): slot counts from 0 without gaps in each shard, in the order of md5(key),
     key, columns, whatever the layout of the data.
 
+    Rows come back as often as they stand there, with the named columns only; nulls are values like any other. An
+    empty table gives no rows. Texts take no part: the caller gives their size and checksum as columns.
     Equal records are counted before they are shuffled and written out again in portions, so a record that
     fills a third of the table passes through no single task. Buckets are ranges of md5(key), sized by the
     number of rows; their offsets are one row a bucket.

@@ -79,7 +79,8 @@ def judge_urls(urls: DataFrame, rules: DataFrame, url: str = "url", default: str
     empty. A rule fits its host, all subdomains and every path that starts with its own (an empty host fits all);
     the longest host and path together wins, then the longest host; of equal rules a block wins. Without a
     fitting rule: rule null, verdict `default`. Every row of `urls` returns once with its own columns;
-    own columns named host, path, rule or verdict are replaced. Null URL: empty host and path.
+    own columns named host, path, rule or verdict are replaced. Null URL: empty host and path. A URL counts whole,
+    however long it is; every prefix of a rule is looked at, so rules should have some thousand characters at most. No rules: every URL has the default; an empty table of URLs gives no rows.
     Each different host and path is judged once, in `slices` slices, else as many as their number asks for.
     """
     rules = rules.select(

@@ -76,6 +76,37 @@ def test_url_filters_by_brute_force(spark):
     assert [tuple(r) for r in none] == [(None, "allow")]
 
 
+def test_very_long_urls_and_empty_tables(spark):
+    long_host, long_path = "a." * 2000 + "net", "/x" * 50_000
+    urls = spark.createDataFrame([(f"http://{long_host}{long_path}?q",), (f"http://net{long_path}y",)], "url string")
+    rules = spark.createDataFrame([("net", "/x/x", "block"), ("a.a.net", "/x", "allow")], "host string, path string, verdict string")
+    got = {r["host"]: (r["path"], r["rule"], r["verdict"]) for r in url_filters.judge_urls(urls, rules).collect()}
+    assert got == {long_host: (long_path, "a.a.net/x", "allow"), "net": (f"{long_path}y", "net/x/x", "block")}
+    assert url_filters.judge_urls(urls.limit(0), rules).collect() == []
+
+
+def test_slots_of_empty_tables_and_clashing_columns(spark):
+    empty = spark.createDataFrame([], "k string, shard int, _n int, _order string, slot int")
+    placed = sharding.assign_shards(empty, "k", [1.0, 1.0])
+    assert sharding.number_slots(placed, "shard", "k", []).collect() == []
+    some = spark.createDataFrame([(None, 9, 7, "x", 5), ("", 9, 7, "x", 5), ("a", 9, 7, "x", 5), ("a", 9, 7, "x", 5)], empty.schema)
+    got = sharding.number_slots(sharding.assign_shards(some, "k", [1.0]), "shard", "k", []).collect()
+    assert sorted((r["k"] or "-", r["shard"], r["slot"]) for r in got)[:2] == [("-", 0, min(
+        r["slot"] for r in got if not r["k"])), ("-", 0, max(r["slot"] for r in got if not r["k"]))]
+    assert sorted(r["slot"] for r in got) == [0, 1, 2, 3]
+
+
+def test_a_benchmark_with_clashing_columns(spark):
+    item = prose(1, 30)
+    docs = spark.createDataFrame([(1, f"{prose(2, 30)} {item}", "x", "y"), (2, prose(3, 50), "x", "y")],
+                                 "doc_id bigint, text string, item_id string, score string")
+    tests = spark.createDataFrame([(5, item, "a", "b", 1), (5, item, "c", "d", 2)], "item_id bigint, text string, doc_id string, passage string, first_word int")
+    got = decontamination.find_leaks(docs, tests).select("doc_id", "item_id", "passage").collect()
+    assert [tuple(r) for r in got] == [(1, 5, item)]
+    kept = decontamination.drop_leaks(docs, tests).collect()
+    assert [tuple(r) for r in kept] == [(2, prose(3, 50), "x", "y")]
+
+
 def test_url_walks_have_more_slices_for_more_urls(spark, monkeypatch):
     seen, before = [], url_filters.stabbed
     monkeypatch.setattr(url_filters, "SLICE_ROWS", 5, raising=False)
