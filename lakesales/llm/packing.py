@@ -4,7 +4,9 @@ Documents are cut into pieces of at most `capacity` tokens. Full pieces are sequ
 into blocks of about BLOCK pieces. Islands breed packings of one block apart from each other: a crossover injects
 whole well-filled bins of one packing into another, drops the bins that now hold a piece twice, and best-fits the
 pieces that lost their place. Between rounds the best packing of each island migrates to the next one. The least
-filled bins of every block are then opened and dealt into new blocks, until one block is left.
+filled bins of every block are then opened and dealt into new blocks, until one block is left. So a block is bred
+for few bins and then for little room lost in those that stay closed: what its opened bins have in room, a later
+level fills.
 """
 
 from __future__ import annotations
@@ -84,9 +86,17 @@ def best_fit(sizes: list[int], order: list[int], capacity: int, bins: list[list[
     return bins
 
 
-def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, float]:
-    """Fewer bins first, then more uneven ones: a nearly empty bin is nearly gone."""
-    return -len(bins), sum((sum(sizes[i] for i in b) / capacity) ** 2 for b in bins)
+def lost_room(sizes: list[int], bins: list[list[int]], capacity: int) -> int:
+    """Tokens of room in the bins that are not opened again: no later level can use them."""
+    gaps = sorted(capacity - sum([sizes[i] for i in b]) for b in bins)
+    return sum(gaps[:-OPENED])
+
+
+def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, int, float]:
+    """Fewer bins first, then less room lost for the levels to come, then more uneven bins: a nearly empty one is
+    nearly gone."""
+    return (-len(bins), -lost_room(sizes, bins, capacity),
+            sum((sum([sizes[i] for i in b]) / capacity) ** 2 for b in bins))
 
 
 def cross(sizes: list[int], into: list[list[int]], giver: list[list[int]], capacity: int,
@@ -101,18 +111,19 @@ def cross(sizes: list[int], into: list[list[int]], giver: list[list[int]], capac
 
 
 def mutate(sizes: list[int], bins: list[list[int]], capacity: int, rng: random.Random) -> list[list[int]]:
-    """Empties the least filled bins and a few others."""
-    ranked = sorted(bins, key=lambda b: sum(sizes[i] for i in b))
-    drop = max(1, len(ranked) // 50)
-    gone = ranked[:drop] + rng.sample(ranked[drop:], min(drop, len(ranked) - drop))
-    marked = {id(b) for b in gone}
-    lost = sorted((i for b in gone for i in b), key=lambda i: -sizes[i] * rng.uniform(0.9, 1.1))
-    return best_fit(sizes, lost, capacity, [list(b) for b in bins if id(b) not in marked])
+    """Empties the least filled bins and a few others that have room; full ones stay."""
+    loads = [sum([sizes[i] for i in b]) for b in bins]
+    ranked = sorted((n for n in range(len(bins)) if loads[n] < capacity), key=loads.__getitem__)
+    drop = max(1, len(bins) // 50)
+    gone = set(ranked[:drop] + rng.sample(ranked[drop:], min(drop, len(ranked[drop:]))))
+    lost = sorted((i for n in gone for i in bins[n]), key=lambda i: -sizes[i] * rng.uniform(0.9, 1.1))
+    return best_fit(sizes, lost, capacity, [list(b) for n, b in enumerate(bins) if n not in gone])
 
 
 def evolve(sizes: list[int], population: list[list[list[int]]], capacity: int, seed: int,
            generations: int = GENERATIONS) -> list[list[list[int]]]:
-    """The island's packings after some generations, the best one first. Stops at the least possible number."""
+    """The island's packings after some generations, the best one first. Stops early only at the least possible
+    number of bins with no room lost in those that stay closed: more than that no packing of the block can do."""
     rng = random.Random(seed)
     if not sizes:
         return [[]]
@@ -120,7 +131,7 @@ def evolve(sizes: list[int], population: list[list[list[int]]], capacity: int, s
     if not population:
         down = sorted(range(len(sizes)), key=lambda i: -sizes[i])
         population = [best_fit(sizes, down, capacity, [])]
-    if len(population[0]) <= least:
+    if len(population[0]) <= least and not lost_room(sizes, population[0], capacity):
         return population[:1]
     while len(population) < PACKINGS:
         shaken = sorted(range(len(sizes)), key=lambda i: -sizes[i] * rng.uniform(0.8, 1.2))
@@ -134,7 +145,7 @@ def evolve(sizes: list[int], population: list[list[list[int]]], capacity: int, s
             worst = min(range(len(value)), key=value.__getitem__)
             if worth > value[worst]:
                 population[worst], value[worst] = child, worth
-        if -max(value)[0] <= least:
+        if max(value)[:2] >= (-least, 0):
             break
     ranked = sorted(range(len(value)), key=lambda i: value[i], reverse=True)
     return [population[i] for i in ranked[:PACKINGS]]
@@ -157,7 +168,7 @@ def as_numbers(bins: list[list[int]], n: int) -> list[int]:
 
 # --- all blocks --------------------------------------------------------------------------------------
 
-_ISLAND = "block bigint, island int, sizes array<int>, population array<array<int>>, bins int"
+_ISLAND = "block bigint, island int, sizes array<int>, population array<array<int>>, bins int, lost int"
 
 
 def _breed(capacity: int, turn: int):
@@ -167,7 +178,7 @@ def _breed(capacity: int, turn: int):
                 before = [as_bins(p) for p in row["population"]]
                 if row["migrant"]:
                     before = [as_bins(row["migrant"]), *before[:PACKINGS - 1]]
-                    before.sort(key=len)
+                    before.sort(key=lambda b: fitness(row["sizes"], b, capacity), reverse=True)
                 seed = zlib.crc32(f"{row['block']}:{row['island']}:{turn}".encode())
                 after = evolve(row["sizes"], before, capacity, seed)
                 n = len(row["sizes"])
@@ -175,7 +186,8 @@ def _breed(capacity: int, turn: int):
                     "block": pa.array([row["block"]], pa.int64()), "island": pa.array([row["island"]], pa.int32()),
                     "sizes": pa.array([row["sizes"]], pa.list_(pa.int32())),
                     "population": pa.array([[as_numbers(b, n) for b in after]], pa.list_(pa.list_(pa.int32()))),
-                    "bins": pa.array([len(after[0])], pa.int32())})
+                    "bins": pa.array([len(after[0])], pa.int32()),
+                    "lost": pa.array([lost_room(row["sizes"], after[0], capacity)], pa.int32())})
     return breed
 
 
@@ -218,7 +230,7 @@ def pack_blocks(pieces: DataFrame, capacity: int, last: bool) -> DataFrame:
         elite = F.col("population")[0]
         islands = bred.withColumn("migrant", F.coalesce(
             F.lag(elite).over(ring), F.max_by(elite, "island").over(whole)))
-    best = islands.groupBy("block").agg(F.min_by(F.col("population")[0], F.struct("bins", "island")).alias("best"))
+    best = islands.groupBy("block").agg(F.min_by(F.col("population")[0], F.struct("bins", "lost", "island")).alias("best"))
     return blocks.join(best, "block").mapInArrow(_place(capacity, last), _PLACED)
 
 

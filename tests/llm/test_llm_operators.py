@@ -622,6 +622,39 @@ def test_evolution_beats_best_fit_and_keeps_every_piece():
     assert won
 
 
+def test_islands_leave_less_room_than_best_fit_on_given_documents(spark):
+    """Best fit meets the least number of bins here; what the generations win is room that a later level can fill."""
+    docs = spark.read.parquet(f"{SF.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    pieces = packing.cut(packing.cut_pieces(docs, tokenizer_path(), 1, 4096), "test-pieces").filter("block >= 0")
+    sizes, lost, bins = {}, collections.Counter(), collections.Counter()
+    for r in pieces.collect():
+        sizes.setdefault(r["block"], []).append(r["length"])
+    for r in packing.pack_blocks(pieces, 4096, False).groupBy("block", "bin").agg(
+            F.sum("length").alias("load"), F.first("opened").alias("opened")).collect():
+        bins[r["block"]] += 1
+        lost[r["block"]] += 0 if r["opened"] else 4096 - r["load"]
+    won = 0
+    for block, some in sizes.items():
+        first = packing.best_fit(some, sorted(range(len(some)), key=lambda i: -some[i]), 4096, [])
+        assert bins[block] <= len(first)
+        if bins[block] == len(first):
+            assert lost[block] <= packing.lost_room(some, first, 4096)
+            won += lost[block] < packing.lost_room(some, first, 4096)
+        else:
+            won += 1
+    assert won
+
+
+def test_crossover_injects_whole_bins_and_loses_no_piece():
+    rng = random.Random(3)
+    sizes = [rng.randrange(1, 900) for _ in range(200)]
+    one, other = (packing.best_fit(sizes, rng.sample(range(200), 200), 1000, []) for _ in range(2))
+    child = packing.cross(sizes, one, other, 1000, rng)
+    assert sorted(i for b in child for i in b) == list(range(200))
+    assert all(sum(sizes[i] for i in b) <= 1000 for b in child)
+    assert sum(sorted(b) in [sorted(c) for c in other] for b in child) >= len(other) // 10
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------------
 
 
