@@ -73,7 +73,7 @@ def cut_pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int) -> D
 
 def best_fit(sizes: list[int], order: list[int], capacity: int, bins: list[list[int]]) -> list[list[int]]:
     """Puts the pieces of `order` one by one into the fullest bin with room, or a new one; changes `bins`."""
-    gaps = sorted((capacity - sum(sizes[i] for i in b), n) for n, b in enumerate(bins))
+    gaps = sorted([(capacity - sum([sizes[i] for i in b]), n) for n, b in enumerate(bins)])
     for i in order:
         at = bisect_left(gaps, (sizes[i], -1))
         if at < len(gaps):
@@ -95,18 +95,20 @@ def lost_room(sizes: list[int], bins: list[list[int]], capacity: int) -> int:
 def fitness(sizes: list[int], bins: list[list[int]], capacity: int) -> tuple[int, int, float]:
     """Fewer bins first, then less room lost for the levels to come, then more uneven bins: a nearly empty one is
     nearly gone."""
-    return (-len(bins), -lost_room(sizes, bins, capacity),
-            sum((sum([sizes[i] for i in b]) / capacity) ** 2 for b in bins))
+    loads = sorted([sum([sizes[i] for i in b]) for b in bins], reverse=True)
+    closed = loads[:-OPENED]
+    return -len(bins), sum(closed) - capacity * len(closed), sum([load * load for load in loads]) / capacity ** 2
 
 
 def cross(sizes: list[int], into: list[list[int]], giver: list[list[int]], capacity: int,
           rng: random.Random) -> list[list[int]]:
-    filled = sorted(giver, key=lambda b: -sum(sizes[i] for i in b))
+    filled = sorted(giver, key=lambda b: -sum([sizes[i] for i in b]))
     take = filled[:max(1, int(len(filled) * rng.uniform(0.2, 0.6)))]
     take = [list(b) for b in take if rng.random() < 0.8] or [list(filled[0])]
     injected = {i for b in take for i in b}
-    stay = [list(b) for b in into if not any(i in injected for i in b)]
-    lost = [i for b in into if any(j in injected for j in b) for i in b if i not in injected]
+    apart = [injected.isdisjoint(b) for b in into]
+    stay = [list(b) for b, own in zip(into, apart, strict=True) if own]
+    lost = [i for b, own in zip(into, apart, strict=True) if not own for i in b if i not in injected]
     return best_fit(sizes, sorted(lost, key=lambda i: -sizes[i]), capacity, take + stay)
 
 
