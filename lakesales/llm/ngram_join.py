@@ -10,13 +10,15 @@ size), linked sets share EXTRA elements of their prefixes. Steps:
    aside: a pair that could have met in long lists needs fewer hits in short ones, and where it could have met
    in long lists alone, all nodes of that kind on a long list stay together.
 3. Connected candidates form cells. In a cell the whole sets are indexed and every set searches it: short lists
-   are merged, long ones only probed for what can still reach the overlap (DivideSkip). A cell that is too large
+   are merged by a heap, long ones only probed for what can still reach the overlap (DivideSkip). A cell that is too large
    for a task is split into blocks, and each pair of blocks is a cell.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,8 +48,10 @@ EXTRA, LONG = 4, 16
 SKETCH_SHARE, SKETCH_LEAST, SKETCH_MOST = 1 / 64, 16, 24
 #: Prefix elements a bucket holds on average, elements of a cell, and bytes of prefixes sent at once.
 BUCKET_ENTRIES, CELL_ELEMENTS, SENT_ENTRIES = 400_000, 1 << 18, 1 << 19
-#: Length from which a list in a cell may be set aside and probed.
-PROBED = 2048
+#: Entries of short lists that a heap merges; more are counted, and then only lists longer than PROBED are probed.
+HEAPED, PROBED = 4096, 2048
+#: What a binary probe costs beside an entry of a merge (DivideSkip's mu), and probes made at once.
+PROBE_COST, PROBES = 0.02, 1 << 16
 _STRIPE = 1 << 14
 
 
@@ -286,57 +290,122 @@ def _sets(size: int):
     return sets
 
 
-def search(lists: list[np.ndarray], n: int, sizes: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """T-occurrence search: the sets on at least T of the query's inverted lists, T = percent of the query's n
-    elements, and on how many each is. As many long lists are set aside as pays; what the merged short ones leave
-    too low to reach T is gone, the rest is looked up in the long lists by binary search."""
-    need = int(least_overlap(n, percent))
-    if len(lists) < need:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    lists = sorted(lists, key=len)
-    # a probe costs as much as merging some thousand entries, so shorter lists are merged
-    far = sum(len(one) > PROBED for one in lists)
-    aside = min(need - 1, far, int(need / (0.02 * math.log2(len(lists[-1]) + 1) + 1)))
-    short, far = lists[:len(lists) - aside], lists[len(lists) - aside:]
-    count = np.bincount(np.concatenate(short), minlength=len(sizes))
-    found = np.flatnonzero(count >= need - aside)
-    found = found[(100 * sizes[found] >= percent * n) & (percent * sizes[found] <= 100 * n)]
-    times = count[found]
-    for left, one in zip(range(len(far) - 1, -1, -1), far, strict=True):
-        at = np.minimum(np.searchsorted(one, found), len(one) - 1)
-        times = times + (one[at] == found)
-        stay = times + left >= need
-        found, times = found[stay], times[stay]
+def merge_heap(lists: list[list[int]], need: int) -> tuple[list[int], list[int]]:
+    """The numbers on at least `need` of some sorted lists, and on how many. The fronts of the lists lie in a heap;
+    where the smallest front is on too few, `need` - 1 lists jump to the next front that may be on enough."""
+    heap = [(one[0], k) for k, one in enumerate(lists) if one]
+    heapq.heapify(heap)
+    at = [0] * len(lists)
+    found, times = [], []
+    while len(heap) >= need:
+        least, popped = heap[0][0], []
+        while heap and heap[0][0] == least:
+            popped.append(heapq.heappop(heap)[1])
+        front = least + 1
+        if len(popped) >= need:
+            found.append(least)
+            times.append(len(popped))
+        else:
+            while heap and len(popped) < need - 1:
+                popped.append(heapq.heappop(heap)[1])
+            if not heap:
+                break
+            front = heap[0][0]
+        for k in popped:
+            one = lists[k]
+            at[k] = to = bisect_left(one, front, at[k])
+            if to < len(one):
+                heapq.heappush(heap, (one[to], k))
     return found, times
 
 
+class Index:
+    """Inverted lists of the sets of a cell: sorted numbers of sets, list behind list in one array."""
+
+    def __init__(self, sets: list[np.ndarray], members: np.ndarray, least: int):
+        """`least`: lists that are not longer lead to nothing."""
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        gram = np.concatenate([sets[k] for k in members.tolist()]) if len(members) else np.zeros(0, np.uint64)
+        owner = np.repeat(members, self.sizes[members])
+        order = np.argsort(gram, kind="stable")  # members ascend, so lists do
+        gram, owner = gram[order], owner[order]
+        head = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.zeros(0, np.int64)
+        length = np.diff(np.append(head, len(gram)))
+        several = length > least
+        keep = np.repeat(several, length)
+        self.gram, self.length = gram[head[several]], length[several]
+        self.owner = owner[keep]
+        self.plain = self.owner.tolist()
+        self.head = np.cumsum(self.length) - self.length
+        #: All lists as one sorted array, so that any list is probed for any set by one binary search.
+        self.code = np.repeat(np.arange(len(self.gram)), self.length) * len(sets) + self.owner
+
+    def lists_of(self, grams: np.ndarray) -> np.ndarray:
+        """The lists of some elements, shortest first."""
+        if not len(self.gram):
+            return np.zeros(0, np.int64)
+        at = np.minimum(np.searchsorted(self.gram, grams), len(self.gram) - 1)
+        at = at[self.gram[at] == grams]
+        return at[np.argsort(self.length[at], kind="stable")]
+
+    def merge(self, lists: np.ndarray, need: int) -> tuple[np.ndarray, np.ndarray]:
+        """The sets on at least `need` of the lists, and on how many. Lists of many entries together take a counter
+        for each set, which is the same merge without the order."""
+        lo = self.head[lists]
+        hi = lo + self.length[lists]
+        if int(self.length[lists].sum()) <= HEAPED:
+            found, times = merge_heap([self.plain[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)], need)
+            return np.array(found, np.int64), np.array(times, np.int64)
+        count = np.bincount(np.concatenate([self.owner[a:b] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]),
+                            minlength=len(self.sizes))
+        found = np.flatnonzero(count >= need)
+        return found, count[found]
+
+    def probe(self, lists: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """On how many of the lists each set of `found` is."""
+        code = (lists[:, None] * len(self.sizes) + found).ravel()
+        at = np.minimum(np.searchsorted(self.code, code), len(self.code) - 1)
+        return (self.code[at] == code).reshape(len(lists), len(found)).sum(axis=0)
+
+    def search(self, query: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+        """T-occurrence search: the sets on at least T of the query's inverted lists, T = percent of the query's
+        elements, and on how many each is. The longest lists are set aside (DivideSkip); what the merged short ones
+        leave too low to reach T is gone, the rest is looked up in the long lists by binary search, a stretch of
+        lists at a time."""
+        n = len(query)
+        need = int(least_overlap(n, percent))
+        lists = self.lists_of(query)
+        if len(lists) < need:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        aside = min(need - 1, int(need / (PROBE_COST * math.log2(int(self.length[lists[-1]]) + 1) + 1)))
+        if int(self.length[lists[:len(lists) - aside]].sum()) > HEAPED:
+            # counters take an entry in a fraction of a probe's time: only lists of very many entries are probed
+            aside = min(aside, int((self.length[lists] > PROBED).sum()))
+        found, times = self.merge(lists[:len(lists) - aside], need - aside)
+        near = (100 * self.sizes[found] >= percent * n) & (percent * self.sizes[found] <= 100 * n)
+        found, times = found[near], times[near]
+        far = lists[len(lists) - aside:]
+        step = max(1, PROBES // max(1, len(found)))
+        for lo in range(0, len(far), step):
+            if not len(found):
+                break
+            times = times + self.probe(far[lo:lo + step], found)
+            stay = times + max(0, len(far) - lo - step) >= need
+            found, times = found[stay], times[stay]
+        return found, times
+
+
 def link_sets(sets: list[np.ndarray], percent: int = PERCENT, queries: np.ndarray | None = None,
               index: np.ndarray | None = None):
     """Yields (query, partners): sets with a Jaccard similarity of `percent` or more, itself left out. Searches all
     sets with all, or only `queries` in an index of `index`."""
-    sizes = np.array([len(s) for s in sets], np.int64)
     least = 1 if index is None else 0  # a list of one holds the query alone
-    index = np.arange(len(sets)) if index is None else index
-    gram = np.concatenate([sets[k] for k in index.tolist()]) if len(index) else np.zeros(0, np.uint64)
-    owner = np.repeat(index, sizes[index])
-    order = np.argsort(gram, kind="stable")
-    gram, owner = gram[order], owner[order]
-    head = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
-    tail = np.append(head[1:], len(gram))
-    several = tail - head > least
-    head, tail, gram = head[several], tail[several], gram[head[several]]
+    lists = Index(sets, np.arange(len(sets)) if index is None else index, least)
     for q in range(len(sets)) if queries is None else queries.tolist():
-        if not len(gram):
-            break
-        at = np.minimum(np.searchsorted(gram, sets[q]), len(gram) - 1)
-        at = at[gram[at] == sets[q]]
-        if len(at) < least_overlap(sizes[q], percent):
-            continue
-        found, times = search([owner[a:b] for a, b in zip(head[at].tolist(), tail[at].tolist(), strict=True)],
-                              int(sizes[q]), sizes, percent)
+        found, times = lists.search(sets[q], percent)
         other = found != q
         found, times = found[other], times[other]
-        yield q, found[100 * times >= percent * (sizes[found] + sizes[q] - times)]
+        yield q, found[100 * times >= percent * (lists.sizes[found] + lists.sizes[q] - times)]
 
 
 def _search_cells(percent: int):

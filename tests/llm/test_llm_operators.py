@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -283,19 +284,48 @@ def test_jaccard_components_of_edge_documents(spark, edge_docs):
     assert sorted((tuple(r) for r in got), key=key) == jaccard([r[:2] for r in edge_rows()])
 
 
-@pytest.mark.parametrize("probed", [2048, 20])
-def test_search_with_lists_set_aside(monkeypatch, probed):
+def test_heap_merge_counts_what_is_on_enough_lists():
+    rng = random.Random(6)
+    for turn in range(300):
+        lists = [sorted(rng.sample(range(rng.choice([5, 40, 400])), rng.randrange(0, 5))) for _ in range(rng.randrange(0, 30))]
+        for need in (1, 2, 3, 7):
+            times = collections.Counter(x for one in lists for x in one)
+            want = sorted((x, n) for x, n in times.items() if n >= need)
+            assert list(zip(*ngram_join.merge_heap(lists, need), strict=True)) == want, (turn, need)
+
+
+def test_heap_and_probes_run_on_given_documents(monkeypatch):
+    """Near copies as the given tables hold them are found by the heap over short lists and probes of the others."""
+    ran = collections.Counter()
+    for name in ("merge_heap", "probe"):
+        where = ngram_join if name == "merge_heap" else ngram_join.Index
+        before = getattr(where, name)
+        monkeypatch.setattr(where, name, lambda *a, before=before, name=name: (ran.update([name]), before(*a))[1])
+    texts = pq.read_table(f"{SF}/documents.parquet").column("text").combine_chunks()
+    grams, offsets = ngram_join.shingle_sets(ngram_join.words_of_column(texts, lower=True))
+    sets = [grams[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+    found = {(q, p) for q, partners in ngram_join.link_sets(sets) for p in partners.tolist()}
+    plain = [set(s.tolist()) for s in sets]
+    assert found == {(i, j) for i, a in enumerate(plain) for j, b in enumerate(plain) if i != j and a and b
+                     and 100 * len(a & b) >= 75 * len(a | b)}
+    assert found and ran["merge_heap"] and ran["probe"]
+
+
+@pytest.mark.parametrize("heaped,probed", [(4096, 2048), (0, 2048), (0, 20), (1 << 30, 2048)])
+def test_search_with_lists_set_aside(monkeypatch, heaped, probed):
+    monkeypatch.setattr(ngram_join, "HEAPED", heaped)
     monkeypatch.setattr(ngram_join, "PROBED", probed)
     rng = np.random.default_rng(4)
     base = rng.integers(0, 1 << 60, 300).astype(np.uint64)
     sets = []
-    for _ in range(500):
+    n = 500 if heaped < 1 << 20 else 60
+    for _ in range(n):
         s = base.copy()
         s[rng.integers(0, 300, rng.integers(0, 60))] = rng.integers(0, 1 << 60, 1)
         sets.append(np.unique(s))
     found = {(q, p) for q, partners in ngram_join.link_sets(sets) for p in partners.tolist()}
     plain = [set(s.tolist()) for s in sets]
-    assert found == {(i, j) for i in range(500) for j in range(500) if i != j
+    assert found == {(i, j) for i in range(n) for j in range(n) if i != j
                      and 100 * len(plain[i] & plain[j]) >= 75 * len(plain[i] | plain[j])}
 
 
