@@ -1,10 +1,15 @@
-"""Benchmark decontamination: pairs of words find passages, Smith-Waterman alignment scores them.
-
-Between two words of an alignment that follow each other in it lie no edits (worth 2 points), one (1 point) or more
-(none). So a score of G takes G - 2 points of pairs that stand at a distance of one or two words in the item and
-in the text, inside as many words as such an alignment can be long. Every window with that many points is aligned
-with the item word by word; no passage over the goal is without them, whatever was replaced, left out or added.
-Items are worked off in blocks, so memory depends on the block and not on the benchmark.
+"""Benchmark decontamination: rare n-grams seed passages, Smith-Waterman alignment scores them.
+
+The n-grams are pairs of words that stand one or two places apart. Between two words of an alignment that follow each
+other in it lie no edits (worth 2 points), one (1 point) or more (none). So a score of G takes G - 2 points of such
+pairs, each place of the item giving 2 at most, inside as many words as such an alignment can be long. An item's places
+are ranked by how often the whole corpus holds their pairs; the most frequent ones are set aside, for up to half of
+those points, and the rare rest are its seeds: no passage over the goal is without the points that are left, whatever
+was replaced, left out or added.
+
+Every step is a table: pairs of items, their counts over all documents, seeds, places of seeds in documents joined to
+items by a shuffle, windows with enough points, their alignments. Documents are read the same few times whatever the
+number of test items, and the driver sees no item and no document, only a bitmap of at most 16 MB.
 """
 
 from __future__ import annotations
@@ -14,20 +19,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakesales.llm.common import MARKS, Words, chunks, pair_hashes, words_of_column
+from lakesales.llm.common import MARKS, Words, chunks, cut, gram_hashes, pair_hashes, signed, words_of_column
 
 #: A passage leaks if its score is this part of the item's own score, or that of so many equal words in a row.
 #: No score under FLOOR is enough: for it a short item needs a larger part of its own score, up to all of it.
 PART, ENOUGH_WORDS, FLOOR = 0.4, 40, 13
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Words of test items that are worked on at once, and cells of alignments.
-BLOCK_WORDS, CELLS = 2_000_000, 1 << 21
-#: Items that hold a pair from which it is set aside where the goal allows, and meetings of pairs looked at at once.
-LONG, MEETINGS = 64, 1 << 22
-_FOUND = "score double, first_word bigint, end_word bigint, passage string"
+#: Part of the points of a passage that may lie in an item's most frequent pairs, which seed nothing.
+ASIDE = 0.5
+#: Cells of alignments that are worked on at once.
+CELLS = 1 << 21
+#: Bits of the bitmap that tells which pairs of documents are sent on: 2**23 to 2**27, a larger one drops more.
+SIEVE_BITS = (23, 27)
+_NAME = ["_name1", "_name2"]
+_ITEM = ["item_id", "item"]
 
 
 def plain_words(column: pa.Array) -> Words:
@@ -41,76 +49,30 @@ def goals(size: np.ndarray) -> np.ndarray:
     return np.ceil(np.minimum(least, MATCH * ENOUGH_WORDS)).astype(np.int64)
 
 
-class Items:
-    """The test items of one block, and which of them hold a pair of words."""
-
-    def __init__(self, ids: list, texts: list):
-        words = plain_words(pa.array(texts, pa.string()))
-        keep = np.flatnonzero(np.diff(words.first) > 0)
-        self.ids = [ids[i] for i in keep.tolist()]
-        self.words = [words.hash[words.first[i]:words.first[i + 1]] for i in keep.tolist()]
-        self.size = np.array([len(w) for w in self.words], np.int64)
-        self.goal = goals(self.size)
-        #: Words of text that an alignment over the goal has at most.
-        self.span = 3 * self.size - self.goal
-        lone = np.flatnonzero(self.size == 1)  # no pair
-        word = np.array([self.words[i][0] for i in lone.tolist()], np.uint64)
-        order = np.argsort(word, kind="stable")
-        self.lone, self.lone_word = lone[order], word[order]
-        sides = [[pair_hashes(w, apart) for w in self.words] for apart in (1, 2)]
-        gram = np.concatenate([np.zeros(0, np.uint64), *sides[0], *sides[1]])
-        item = np.concatenate([np.repeat(np.arange(len(keep)), [len(g) for g in side]) for side in sides])
-        place = np.concatenate([np.zeros(0, np.int64), *[np.arange(len(g)) for side in sides for g in side]])
-        near = np.arange(len(gram)) < sum(len(g) for g in sides[0])
-        stays = self.set_aside(gram, item, place)
-        gram, item, near = gram[stays], item[stays], near[stays]
-        order = np.lexsort((~near, item, gram))
-        gram, item, near = gram[order], item[order], near[order]
-        new = np.ones(len(gram), bool)
-        new[1:] = (gram[1:] != gram[:-1]) | (item[1:] != item[:-1])
-        self.item, self.near = item[new], near[new]
-        self.different, self.first = np.unique(gram[new], return_index=True)
-        self.first = np.append(self.first, len(self.item))
-        self.sieve = np.zeros(1 << 20, bool)
-        self.sieve[(self.different >> np.uint64(44)).astype(np.int64)] = True
-
-    def set_aside(self, gram: np.ndarray, item: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Which pairs are looked up. Those that many items hold are set aside, the most frequent first, up to a
-        quarter of the points an item needs: `need` is what all passages over the goal have without them."""
-        _, which, held = np.unique(gram, return_inverse=True, return_counts=True)
-        at = np.concatenate([[0], np.cumsum(self.size)])[item] + place
-        often = np.zeros(int(self.size.sum()), np.int64)
-        np.maximum.at(often, at, held[which])
-        owner = np.repeat(np.arange(len(self.size)), self.size)
-        order = np.lexsort((-often, owner))
-        rank = np.arange(len(order)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
-        aside = np.zeros(len(order), bool)
-        aside[order] = (often[order] >= LONG) & (rank < ((self.goal - MATCH) // (4 * MATCH))[owner])
-        away = np.bincount(owner[aside], minlength=len(self.size))
-        self.need = self.goal - MATCH - MATCH * away
-        self.room = np.where(away > 0, self.span, 0)  # an alignment may begin and end with pairs set aside
-        return ~aside[at]
-
-    def hits(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where in `grams` one of the pairs is, and which."""
-        if not len(self.different):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        at = np.flatnonzero(self.sieve[(grams >> np.uint64(44)).astype(np.int64)])
-        which = np.minimum(np.searchsorted(self.different, grams[at]), len(self.different) - 1)
-        same = self.different[which] == grams[at]
-        return at[same], which[same]
-
-
-def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smith-Waterman of one item with many passages of one width: best scores and the words where they end.
-    A row of the table is done for all passages at once; gaps along the row are a running maximum."""
+def pairs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word, hash and nearness of all pairs of words one or two places apart within a text."""
+    at, gram, near = [], [], []
+    for apart in (1, 2):
+        hashes = pair_hashes(words.hash, apart)
+        whole = np.ones(len(hashes), bool)
+        for back in range(1, apart + 1):  # the last words of each text
+            last = words.first[1:] - back
+            whole[last[(last >= 0) & (last < len(hashes))]] = False
+        at.append(np.flatnonzero(whole)), gram.append(hashes[whole]), near.append(np.full(len(at[-1]), apart == 1))
+    return tuple(np.concatenate(x) for x in (at, gram, near))
+
+
+def align(items: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Smith-Waterman of one item with many passages of one width, or of as many items of one length, one a passage:
+    best scores and the words where they end. A row of the table is done for all passages at once; gaps along the row
+    are a running maximum."""
     n, width = passages.shape
     above = np.zeros((n, width + 1), np.int32)
     best, where = np.zeros(n, np.int32), np.zeros(n, np.int64)
     slope = np.arange(width + 1, dtype=np.int32) * -GAP
-    for word in item:
+    for word in np.atleast_2d(items).T:
         row = np.zeros((n, width + 1), np.int32)
-        step = np.where(passages == word, MATCH, MISMATCH)
+        step = np.where(passages == word[:, None], MATCH, MISMATCH)
         np.maximum(above[:, :-1] + step, above[:, 1:] + GAP, out=row[:, 1:])
         np.maximum(row, 0, out=row)
         row = np.maximum.accumulate(row + slope, axis=1) - slope
@@ -122,123 +84,235 @@ def align(item: np.ndarray, passages: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, where
 
 
-def _meetings(items: Items, words: Words):
-    """Yields (item, word, points) of the pairs of some whole texts, at most one a word and item, in that order."""
-    at, which, near = [], [], []
-    for apart in (1, 2):
-        place, gram = items.hits(pair_hashes(words.hash, apart))
-        whole = place + apart < words.first[np.searchsorted(words.first, place, "right")]
-        at.append(place[whole]), which.append(gram[whole]), near.append(np.full(int(whole.sum()), apart == 1))
-    at, which, near = (np.concatenate(x) for x in (at, which, near))
-    order = np.argsort(at, kind="stable")
-    at, which, near = at[order], which[order], near[order]
-    text = np.searchsorted(words.first, at, "right") - 1
-    many = items.first[which + 1] - items.first[which]
-    texts, n = len(words.first) - 1, len(items.ids)
-    ends = np.searchsorted(text, np.arange(texts + 1))
-    total = np.append(0, np.cumsum(many))[ends]
-    t = 0
-    while t < texts:
-        stop = max(t + 1, min(int(np.searchsorted(total, total[t] + MEETINGS, "right")) - 1, t + MEETINGS // n))
-        own = slice(ends[t], ends[stop])
-        more = many[own]
-        entry = np.repeat(items.first[which[own]] - np.cumsum(more) + more, more) + np.arange(int(more.sum()))
-        item, points = items.item[entry], 1 + (np.repeat(near[own], more) & items.near[entry])
-        # texts that have too few points for an item in all their words
-        cell = (np.repeat(text[own], more) - t) * n + item
-        enough = np.flatnonzero((np.bincount(cell, points, (stop - t) * n) >= np.tile(items.need, stop - t))[cell])
-        code = (item[enough] * len(words.hash) + np.repeat(at[own], more)[enough]) * 2 + points[enough] - 1
-        code.sort()
-        code = code[np.append(code[1:] >> 1 != code[:-1] >> 1, True)] if len(code) else code
-        yield (code >> 1) // max(1, len(words.hash)), (code >> 1) % max(1, len(words.hash)), (code & 1) + 1
-        t = stop
-
-
-def _lone(items: Items, words: Words) -> tuple[np.ndarray, ...]:
-    """(item, text, first word, end word) of the first word of each text that is a whole item."""
-    lo, hi = (np.searchsorted(items.lone_word, words.hash, side) for side in ("left", "right"))
-    at = np.flatnonzero(hi > lo)
-    many = (hi - lo)[at]
-    item = items.lone[np.repeat(lo[at] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))]
-    at = np.repeat(at, many)
-    text = np.searchsorted(words.first, at, "right") - 1
-    _, first = np.unique(text * max(1, len(items.ids)) + item, return_index=True)
-    return item[first], text[first], at[first], at[first] + 1
-
-
-def passages(items: Items, words: Words) -> tuple[np.ndarray, ...]:
-    """(item, text, first word, end word) of all windows with the points an item needs; those that overlap are one."""
-    out = [[x] for x in _lone(items, words)]
-    for item, at, points in _meetings(items, words) if items.ids else ():
+# --- test items and their seeds ------------------------------------------------------------------------
+
+
+def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of every item; an item of one word has that word."""
+    for batch in batches:
+        for part in chunks(batch):
+            words = plain_words(part.column("text"))
+            size = np.diff(words.first)
+            at, gram, near = pairs(words)
+            lone = words.first[:-1][size == 1]
+            at, near = np.append(at, lone), np.append(near, np.ones(len(lone), bool))
+            gram = np.append(gram, gram_hashes(words.hash, 1)[lone])
+            row = np.searchsorted(words.first, at, "right") - 1
+            yield pa.RecordBatch.from_arrays(
+                [part.column("item_id").take(pa.array(row)), part.column("item").take(pa.array(row)),
+                 pa.array(size[row]), pa.array(goals(size[row])), pa.array(at - words.first[row]),
+                 pa.array(signed(gram)), pa.array(near)],
+                ["item_id", "item", "size", "goal", "place", "gram", "near"])
+
+
+class Sieve:
+    """A bitmap over hashes of pairs, of bounded size: what it lets through is looked up by a join."""
+
+    def __init__(self, grams: DataFrame, number: int, lone: bool):
+        self.bits = min(max((16 * number).bit_length(), SIEVE_BITS[0]), SIEVE_BITS[1])
+        self.lone = lone
+        slot = F.shiftrightunsigned("gram", 64 - self.bits) + 1
+        rows = grams.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+            F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")).collect()
+        self.map = np.zeros((1 << self.bits - 15, 4096), np.uint8)
+        for r in rows:
+            self.map[r["bucket"] - 1] = np.frombuffer(r["bitmap"], np.uint8)
+        self.map = self.map.ravel()
+
+    def passes(self, grams: np.ndarray) -> np.ndarray:
+        slot = (grams >> np.uint64(64 - self.bits)).astype(np.int64)
+        return np.flatnonzero(self.map[slot >> 3] >> (slot & 7).astype(np.uint8) & 1)
+
+    def hits(self, words: Words) -> tuple[np.ndarray, ...]:
+        """Text, word in it, hash and nearness of the pairs of some texts that pass; single words, where there are
+        items of one word, once a text."""
+        at, gram, near = pairs(words)
+        some = self.passes(gram)
+        at, gram, near = at[some], gram[some], near[some]
         text = np.searchsorted(words.first, at, "right") - 1
-        total = np.append(0, np.cumsum(points))
-        base = item * len(words.hash)
-        end = np.searchsorted(base + at, base + np.minimum(at + items.span[item], words.first[text + 1]))
-        full = np.flatnonzero(total[end] - total[:-1] >= items.need[item])
-        if not len(full):
-            continue
-        item, text, end = item[full], text[full], end[full]
-        lo = np.maximum(at[full] - items.room[item], words.first[text])
-        hi = np.minimum(at[end - 1] + 3 + items.room[item], words.first[text + 1])
-        new = np.ones(len(full), bool)
-        new[1:] = (item[1:] != item[:-1]) | (text[1:] != text[:-1]) | (lo[1:] >= hi[:-1])
-        head = np.flatnonzero(new)
-        for column, value in zip(out, (item[head], text[head], lo[head], hi[np.append(head[1:], len(full)) - 1]),
-                                 strict=True):
-            column.append(value)
-    return tuple(np.concatenate(x) for x in out)
-
-
-def leaks(items: Items, words: Words) -> list[tuple[int, int, float, int, int]]:
-    """(text, item, score, first word, end word) of the best alignment of each text and item that counts."""
-    item, text, lo, hi = passages(items, words)
-    out: dict[tuple[int, int], tuple] = {}
-    padded = np.append(words.hash, np.uint64(0))
-    for i in np.unique(item).tolist():
-        of = np.flatnonzero(item == i)
-        of = of[np.argsort(hi[of] - lo[of], kind="stable")]
-        while len(of):  # passages of like widths together, as many as the table has room for
-            width = hi[of] - lo[of]
-            fit = max(1, int(np.searchsorted(width * np.arange(1, len(of) + 1), CELLS)))
-            some, of = of[:fit], of[fit:]
-            broad = int(width[:fit].max())
-            place = lo[some][:, None] + np.arange(broad)
-            table = padded[np.where(place < hi[some][:, None], place, len(padded) - 1)]
-            score, end = align(items.words[i], table)
-            good = np.flatnonzero(score >= items.goal[i])
-            good = good[np.lexsort((lo[some[good]], -score[good], text[some[good]]))]
-            _, best = np.unique(text[some[good]], return_index=True)  # the first of the best of each text
-            for k in good[best].tolist():
-                back, length = align(items.words[i][::-1], table[k:k + 1, :end[k]][:, ::-1])
-                key = (int(text[some[k]]), i)
-                found = (int(score[k]), int(lo[some[k]] + end[k] - length[0]), int(lo[some[k]] + end[k]))
-                if key not in out or (found[0], -found[1]) > (out[key][0], -out[key][1]):
-                    out[key] = found
-    return [(t, i, s / (MATCH * int(items.size[i])), a, b) for (t, i), (s, a, b) in sorted(out.items())]
-
-
-def _find(items):
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = items.value
+        if self.lone:
+            single = gram_hashes(words.hash, 1)
+            some = self.passes(single)
+            owner = np.searchsorted(words.first, some, "right") - 1
+            order = np.lexsort((some, single[some], owner))
+            some, owner = some[order], owner[order]
+            new = np.ones(len(some), bool)
+            new[1:] = (owner[1:] != owner[:-1]) | (single[some][1:] != single[some][:-1])
+            some, owner = some[new], owner[new]
+            at, text, gram = np.append(at, some), np.append(text, owner), np.append(gram, single[some])
+            near = np.append(near, np.ones(len(some), bool))
+        return text, at - words.first[text], gram, near
+
+
+def _count(sieve):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch):
-                words = plain_words(part.column("text"))
-                found = leaks(block, words)
-                if not found:
-                    continue
-                out = [[], [], [], [], [], []]
-                for t, i, score, a, b in found:
-                    a, b = a - int(words.first[t]), b - int(words.first[t])
-                    own = words_of_column(part.column("text").slice(t, 1), breaks=MARKS)
-                    row = (part.column("doc_id")[t].as_py(), block.ids[i], score, a, b,
-                           own.data[own.start[a]:own.end[b - 1]].tobytes().decode())
-                    for column, value in zip(out, row, strict=True):
+                gram, many = np.unique(sieve.value.hits(plain_words(part.column("text")))[2], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(signed(gram)), pa.array(many)], ["gram", "n"])
+    return count
+
+
+def rare_seeds(grams: DataFrame, counts: DataFrame) -> DataFrame:
+    """item_id, item, gram, near, need, span, room: the pairs that are looked up for each item, and the points that a
+    passage has of them. Of the places of an item the most frequent in the corpus are set aside, as many as ASIDE
+    of the points allow; pairs that no document holds seed nothing."""
+    known = grams.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    often = Window.partitionBy(*_ITEM, "place")
+    rank = Window.partitionBy(*_ITEM).orderBy(F.desc("often"), "place")
+    allowed = F.floor((F.col("goal") - MATCH) * ASIDE / MATCH)
+    known = (known.withColumn("often", F.sum("n").over(often)).withColumn("rank", F.dense_rank().over(rank))
+             .withColumn("aside", (F.col("rank") <= allowed) & (F.col("often") > 0)))
+    away = F.coalesce(F.max(F.when(F.col("aside"), F.col("rank"))).over(Window.partitionBy(*_ITEM)), F.lit(0))
+    span = 3 * F.col("size") - F.col("goal")
+    return (known.withColumn("away", away).filter(~F.col("aside") & (F.col("n") > 0))
+            .groupBy(*_ITEM, "gram").agg(
+                F.max("near").alias("near"),
+                F.max(F.greatest(F.lit(1), F.col("goal") - MATCH - MATCH * F.col("away"))).alias("need"),
+                F.max(span).alias("span"), F.max(F.when(F.col("away") > 0, span).otherwise(0)).alias("room")))
+
+
+# --- passages --------------------------------------------------------------------------------------------
+
+
+def _hits(sieve):
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in chunks(batch):
+                text, at, gram, near = sieve.value.hits(plain_words(part.column("text")))
+                name = [part.column(n).take(pa.array(text)) for n in _NAME]
+                yield pa.RecordBatch.from_arrays([*name, pa.array(at), pa.array(signed(gram)), pa.array(near)],
+                                                 [*_NAME, "at", "gram", "near"])
+    return hits
+
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All stretches of a text with the points an item needs; those that overlap are one."""
+    for batch in batches:
+        points = batch.column("points")
+        need, span, room = (batch.column(c).to_numpy() for c in ("need", "span", "room"))
+        row = np.repeat(np.arange(batch.num_rows), pc.list_value_length(points).to_numpy(zero_copy_only=False))
+        code = points.flatten().to_numpy()
+        order = np.lexsort((code, row))
+        row, code = row[order], code[order]
+        most = np.ones(len(code), bool)  # the most points of a word
+        most[:-1] = (row[1:] != row[:-1]) | (code[1:] >> 1 != code[:-1] >> 1)
+        row, at, worth = row[most], code[most] >> 1, (code[most] & 1) + 1
+        total = np.append(0, np.cumsum(worth))
+        base = row << 40
+        end = np.searchsorted(base + at, base + at + span[row])
+        full = np.flatnonzero(total[end] - total[:-1] >= need[row])
+        row, end = row[full], end[full]
+        lo, hi = np.maximum(at[full] - room[row], 0), at[end - 1] + 3 + room[row]
+        new = np.ones(len(full), bool)
+        new[1:] = (row[1:] != row[:-1]) | (lo[1:] >= hi[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(full))[:len(head)] - 1
+        keys = [batch.column(c).take(pa.array(row[head])) for c in (*_NAME, *_ITEM)]
+        yield pa.RecordBatch.from_arrays([*keys, pa.array(lo[head]), pa.array(hi[tail])], [*_NAME, *_ITEM, "lo", "hi"])
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cuts the windows out of their texts."""
+    for batch in batches:
+        for part in chunks(batch):
+            words = words_of_column(part.column("text"), breaks=MARKS)
+            spans = part.column("spans")
+            row = np.repeat(np.arange(part.num_rows), pc.list_value_length(spans).to_numpy(zero_copy_only=False))
+            spans = spans.flatten()
+            lo = spans.field("lo").to_numpy()
+            first = words.first[row] + lo
+            last = np.minimum(words.first[row] + spans.field("hi").to_numpy(), words.first[row + 1]) - 1
+            cuts = [words.data[a:b].tobytes().decode() for a, b in zip(words.start[first], words.end[last], strict=True)]
+            name = [part.column(n).take(pa.array(row)) for n in _NAME]
+            yield pa.RecordBatch.from_arrays(
+                [*name, *(spans.field(c) for c in _ITEM), pa.array(lo), pa.array(cuts, pa.string())],
+                [*_NAME, *_ITEM, "lo", "passage"])
+
+
+def _table(words: Words, row: np.ndarray, size: np.ndarray, pad: int, back: bool = False) -> np.ndarray:
+    """The first `size` words of some texts, forwards or backwards, filled up to one width."""
+    place = np.arange(int(size.max()))
+    at = words.first[row][:, None] + (size[:, None] - 1 - place if back else place)
+    inside = place < size[:, None]
+    return np.where(inside, words.hash[np.where(inside, at, 0)], np.uint64(pad))
+
+
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Aligns items with passages, those of like sizes together, as many as the table has room for."""
+    for batch in batches:
+        for part in chunks(batch, "passage"):
+            items, body = plain_words(part.column("item_text")), plain_words(part.column("passage"))
+            long, width = np.diff(items.first), np.diff(body.first)
+            goal, lo = goals(long), part.column("lo").to_numpy()
+            own = words_of_column(part.column("passage"), breaks=MARKS)
+            rest = np.lexsort((width, long))
+            rest = rest[(width[rest] > 0) & (long[rest] > 0)]
+            found = [[], [], [], [], []]
+            while len(rest):
+                fit = max(1, int(np.searchsorted(np.maximum.accumulate(width[rest]) * np.arange(1, len(rest) + 1), CELLS)))
+                some, rest = rest[:fit], rest[fit:]
+                score, end = align(_table(items, some, long[some], 1), _table(body, some, width[some], 0))
+                good = score >= goal[some]
+                some, score, end = some[good], score[good], end[good]
+                if len(some):
+                    _, size = align(_table(items, some, long[some], 1, True), _table(body, some, end, 0, True))
+                    for column, value in zip(found, (some, score / (MATCH * long[some]), end - size, end, lo[some]),
+                                             strict=True):
                         column.append(value)
-                kinds = [part.schema.field("doc_id").type, pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string()]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                    ["doc_id", "item_id", "score", "first_word", "end_word", "passage"])
-    return find
+            if not found[0]:
+                continue
+            row, score, first, end, lo = (np.concatenate(x) for x in found)
+            cuts = [own.data[own.start[a]:own.end[b - 1]].tobytes().decode()
+                    for a, b in zip(own.first[row] + first, own.first[row] + end, strict=True)]
+            keys = [part.column(c).take(pa.array(row)) for c in (*_NAME, *_ITEM)]
+            yield pa.RecordBatch.from_arrays(
+                [*keys, pa.array(score), pa.array(lo + first), pa.array(lo + end), pa.array(cuts, pa.string())],
+                [*_NAME, *_ITEM, "score", "first_word", "end_word", "passage"])
+
+
+def _named(text) -> list:
+    """Two independent 64-bit hashes that name a text: equal texts are worked on once."""
+    return [F.xxhash64(text), F.xxhash64(F.lit("text"), text)]
+
+
+def text_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """_name1, _name2, item_id, item, score, first_word, end_word, passage: the best alignment of every different text
+    and test item that counts; a stored table."""
+    spark = docs.sparkSession
+    names = ", ".join(f"{n} bigint" for n in _NAME)
+    tests = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), F.xxhash64("text").alias("item"), "text")
+    tests = cut(tests.filter("text is not null").distinct(), "test-items")
+    grams = cut(tests.mapInArrow(_item_grams, "item_id bigint, item bigint, size bigint, goal bigint, place bigint, "
+                                              "gram bigint, near boolean"), "item-grams")
+    number, lone = grams.agg(F.count("*"), F.coalesce(F.max(F.col("size") == 1), F.lit(False))).first()
+    texts = docs.select(*(c.alias(n) for c, n in zip(_named(F.col(text)), _NAME, strict=True)), F.col(text).alias("text"))
+    # counts of items' pairs over all documents, then what is rare
+    sieve = spark.sparkContext.broadcast(Sieve(grams, number, lone))
+    counts = texts.select("text").mapInArrow(_count(sieve), "gram bigint, n bigint").groupBy("gram").agg(
+        F.sum("n").alias("n"))
+    seeds = cut(rare_seeds(grams, counts), "seeds")
+    sieve = spark.sparkContext.broadcast(Sieve(seeds, seeds.count(), lone))
+    # places of seeds in documents, joined to items
+    hits = texts.mapInArrow(_hits(sieve), f"{names}, at bigint, gram bigint, near boolean")
+    seed = seeds.withColumnRenamed("near", "item_near")
+    points = F.col("at") * 2 + (F.col("near") & F.col("item_near")).cast("bigint")
+    met = (hits.join(seed, "gram").groupBy(*_NAME, *_ITEM)
+           .agg(F.collect_set(points).alias("points"), *(F.max(c).alias(c) for c in ("need", "span", "room")))
+           .filter(F.size("points") * 2 >= F.col("need")))
+    windows = cut(met.mapInArrow(_windows, f"{names}, item_id bigint, item bigint, lo bigint, hi bigint"), "windows")
+    # their texts, and alignments
+    spans = windows.groupBy(*_NAME).agg(F.collect_list(F.struct(*_ITEM, "lo", "hi")).alias("spans"))
+    passages = texts.join(spans, _NAME).mapInArrow(
+        _passages, f"{names}, item_id bigint, item bigint, lo bigint, passage string")
+    scored = (passages.dropDuplicates([*_NAME, *_ITEM, "lo"])
+              .join(tests.withColumnRenamed("text", "item_text"), _ITEM).mapInArrow(
+                  _score, f"{names}, item_id bigint, item bigint, score double, first_word bigint, end_word bigint, "
+                          "passage string"))
+    best = scored.groupBy(*_NAME, *_ITEM).agg(
+        F.max(F.struct("score", (-F.col("first_word")).alias("before"), "end_word", "passage")).alias("best"))
+    return cut(best.select(*_NAME, *_ITEM, "best.score", (-F.col("best.before")).alias("first_word"), "best.end_word",
+                           "best.passage"), "leaks")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -250,41 +324,17 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
     empty texts leak nothing, null items and those without words are found nowhere; equal test rows count once;
     repeated documents are reported as often as they stand there; extra columns of either table are ignored, whatever
     their names; an empty table on either side gives no rows. Texts and items count whole: a long text is aligned in
-    windows of three times the item, so a long item takes that much of it at once.
+    windows of a few times the item, so a long item takes that much of it at once. Seeds, windows and leaks are written
+    to the shared folder when this is called.
     """
-    kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
-    out = docs.sparkSession.createDataFrame([], f"doc_id {kind}, item_id bigint, {_FOUND}")
-    for items in item_blocks(benchmark):
-        out = out.unionByName(rows.mapInArrow(_find(items), f"doc_id {kind}, item_id bigint, {_FOUND}"))
-    return out
-
-
-def item_blocks(benchmark: DataFrame):
-    """Yields one block of items after the other, as broadcasts. A block fits a task, however many blocks there are."""
-    tests = benchmark.select(F.col("item_id").cast("bigint").alias("item_id"), "text").filter(
-        "text is not null").distinct()
-    words = tests.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
-    blocks = -(-words // BLOCK_WORDS)
-    for block in range(blocks):
-        some = tests.filter(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block).orderBy("item_id", "text").collect()
-        items = Items([r["item_id"] for r in some], [r["text"] for r in some])
-        if items.ids:
-            yield benchmark.sparkSession.sparkContext.broadcast(items)
+    leaks = text_leaks(docs, benchmark, text)
+    named = docs.select(F.col(key).alias("doc_id"), *(c.alias(n) for c, n in zip(_named(F.col(text)), _NAME, strict=True)))
+    return named.join(leaks, _NAME).select("doc_id", "item_id", "score", "first_word", "end_word", "passage")
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
-    """The rows whose text holds no test item, as they are; decided row by row, without a shuffle."""
-    def keep(items):
-        def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for part in chunks(batch, text):
-                    clean = np.ones(part.num_rows, bool)
-                    clean[[found[0] for found in leaks(items.value, plain_words(part.column(text)))]] = False
-                    yield part.filter(pa.array(clean))
-        return kept
-
-    out = docs
-    for items in item_blocks(benchmark):
-        out = out.mapInArrow(keep(items), docs.schema)
-    return out
+    """The rows whose text holds no test item, as they are. Null and empty texts stay, and all rows where the benchmark
+    is empty; leaks are found as by find_leaks, extra columns may have any names."""
+    leaks = text_leaks(docs, benchmark, text).select(*_NAME).distinct()
+    one, two = _named(docs[text])
+    return docs.join(leaks, (one == leaks[_NAME[0]]) & (two == leaks[_NAME[1]]), "left_anti")
