@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakesales.llm.common import MARKS, Words, chunks, cut, gram_hashes, pair_hashes, signed, words_of_column
@@ -105,17 +105,37 @@ def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["item_id", "item", "size", "goal", "place", "gram", "near"])
 
 
+def bits_for(number: int) -> int:
+    """The bits of a bitmap for so many hashes, as a power of two."""
+    return min(max((16 * number).bit_length(), SIEVE_BITS[0]), SIEVE_BITS[1])
+
+
+def bitmap(hashes: DataFrame, column: str, bits: int) -> DataFrame:
+    """bucket, bitmap: which slots of 2**bits the hashes fall into; at most 2**(bits - 15) rows of 4 KB."""
+    slot = hashes.select((F.shiftrightunsigned(column, 64 - bits) + 1).alias("slot"))
+    return slot.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
+
+
+def likely(docs: DataFrame, hashes: Column, among: DataFrame, column: str, how: str) -> DataFrame:
+    """left_semi: rows whose hash may be among others; left_anti: those whose hash is certainly not. Only a bitmap of
+    bounded size is broadcast and no row is moved."""
+    bits = bits_for(among.count())
+    found = cut(bitmap(among, column, bits), "bitmap")
+    slot = F.shiftrightunsigned(hashes, 64 - bits) + 1
+    place = F.bitmap_bit_position(slot)
+    byte = F.conv(F.hex(F.substring(found["bitmap"], F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10)
+    inside = F.getbit(byte.cast("bigint"), (place % 8).cast("int")) == 1
+    return docs.join(F.broadcast(found), (F.bitmap_bucket_number(slot) == found["bucket"]) & inside, how)
+
+
 class Sieve:
     """A bitmap over hashes of pairs, of bounded size: what it lets through is looked up by a join."""
 
     def __init__(self, grams: DataFrame, number: int, lone: bool):
-        self.bits = min(max((16 * number).bit_length(), SIEVE_BITS[0]), SIEVE_BITS[1])
-        self.lone = lone
-        slot = F.shiftrightunsigned("gram", 64 - self.bits) + 1
-        rows = grams.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
-            F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap")).collect()
+        self.bits, self.lone = bits_for(number), lone
         self.map = np.zeros((1 << self.bits - 15, 4096), np.uint8)
-        for r in rows:
+        for r in bitmap(grams, "gram", self.bits).collect():
             self.map[r["bucket"] - 1] = np.frombuffer(r["bitmap"], np.uint8)
         self.map = self.map.ravel()
 
@@ -303,7 +323,8 @@ def text_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> Dat
     windows = cut(met.mapInArrow(_windows, f"{names}, item_id bigint, item bigint, lo bigint, hi bigint"), "windows")
     # their texts, and alignments
     spans = windows.groupBy(*_NAME).agg(F.collect_list(F.struct(*_ITEM, "lo", "hi")).alias("spans"))
-    passages = texts.join(spans, _NAME).mapInArrow(
+    some = likely(texts, texts[_NAME[0]], windows, _NAME[0], "left_semi")
+    passages = some.join(spans, _NAME).mapInArrow(
         _passages, f"{names}, item_id bigint, item bigint, lo bigint, passage string")
     scored = (passages.dropDuplicates([*_NAME, *_ITEM, "lo"])
               .join(tests.withColumnRenamed("text", "item_text"), _ITEM).mapInArrow(
@@ -334,7 +355,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text:
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The rows whose text holds no test item, as they are. Null and empty texts stay, and all rows where the benchmark
-    is empty; leaks are found as by find_leaks, extra columns may have any names."""
+    is empty; leaks are found as by find_leaks, extra columns may have any names. Rows whose text is no leak by a bitmap
+    of leaking texts are not moved."""
     leaks = text_leaks(docs, benchmark, text).select(*_NAME).distinct()
     one, two = _named(docs[text])
-    return docs.join(leaks, (one == leaks[_NAME[0]]) & (two == leaks[_NAME[1]]), "left_anti")
+    clean = likely(docs, one, leaks, _NAME[0], "left_anti")
+    unsure = likely(docs, one, leaks, _NAME[0], "left_semi")
+    return clean.union(
+        unsure.join(leaks, (one == leaks[_NAME[0]]) & (two == leaks[_NAME[1]]), "left_anti"))
