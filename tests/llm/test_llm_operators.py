@@ -213,6 +213,20 @@ def test_passages_are_where_leaks_say_and_are_reported_for_each_copy(spark):
         assert smith_waterman(r["passage"].split(), items[r["item_id"]][1].split()) == r["score"] * 60
 
 
+def test_decontamination_of_empty_tables_and_clashing_names(spark):
+    item = prose(1, 30)
+    docs = spark.createDataFrame([(1, item, 1, 2, 3, "x"), (None, item, 1, 2, 3, "y"), (2, None, 1, 2, 3, "z")],
+                                 "doc_id bigint, text string, _name1 bigint, _name2 int, bucket int, bitmap string")
+    tests = spark.createDataFrame([(7, item), (8, None), (9, " .,")], "item_id bigint, text string")
+    assert sorted((r["doc_id"] or 0, r["item_id"]) for r in decontamination.find_leaks(docs, tests).collect()) == [
+        (0, 7), (1, 7)]
+    assert [r["bitmap"] for r in decontamination.drop_leaks(docs, tests).collect()] == ["z"]
+    for some, none in ((docs, tests.limit(0)), (docs, tests.filter("item_id > 7")), (docs.limit(0), tests)):
+        assert decontamination.find_leaks(some, none).collect() == []
+        kept = decontamination.drop_leaks(some, none)
+        assert kept.columns == docs.columns and kept.count() == some.count()
+
+
 def test_frequent_pairs_seed_nothing(spark):
     items = [(0, "a b c d e f g h i j k l m n o p q r s t")]
     grams = spark.createDataFrame(
