@@ -174,3 +174,23 @@ def test_batches_are_bounded_by_bytes(spark, tmp_path, split_bytes):
     batches = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
     assert len(batches) > 2 and sum(batches) == 21
     assert spark.read.parquet(f"{tmp_path}/out/accepted").count() == 5020
+
+
+def test_lines_and_pieces_of_large_files_are_not_shuffled(spark, tmp_path, monkeypatch):
+    from lakesales.sources import csv_records, json_array, splits
+
+    plans, write = [], csv_records.write_table
+
+    def spy(df, *args, **kwargs):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, *args, **kwargs)
+
+    for module in (csv_records, json_array, splits):
+        monkeypatch.setattr(module, "write_table", spy, raising=False)
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n2,z\n')
+    (tmp_path / "a.json").write_text('[{"a": "}"}, {"a": 2}]')
+    assert rows(csv_records.csv_records(spark, str(tmp_path / "a.csv")).select("_n", "texto")) == [
+        (1, "a,b"), (2, '1,"x\ny"'), (3, "2,z")]
+    assert rows(read_array(spark, str(tmp_path / "a.json")).select("texto")) == [('{"a": "}"}',), ('{"a": 2}',)]
+    reads = [p for p in plans if "FileScan text" in p]
+    assert len(reads) >= 4 and not any("hashpartitioning" in p for p in reads)
