@@ -424,3 +424,22 @@ def test_form_to_store(spark):
     df = spark.createDataFrame([("n", "c", "x", 1)], "nombre string, categoria string, codigo string, otro int")
     assert Q.form_to_store(df, "SQL Server", "producto").columns == ["Nombre", "Categoria", "SKU"]
     assert Q.form_to_store(df, "MySQL", "producto").columns == ["nombre", "categoria", "codigo_alt"]
+
+
+def test_broken_rules_are_compiled_and_lines_not_sorted_for_their_codes(spark):
+    from pyspark.sql import functions as F
+
+    from lakesales.operators.joins import resolve_sku
+    from lakesales.operators.validation import in_range, required, with_errors
+
+    df = spark.createDataFrame([(1, "a"), (2, None), (None, None)], "n int, sku string").repartition(2)
+    flagged = with_errors(df, [in_range("n", high=1), required("sku")])
+    assert "lambdafunction" not in flagged._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted((r["n"] or 0, [e["rule"] for e in r["errors"]]) for r in flagged.collect()) == [
+        (0, ["required"]), (1, []), (2, ["range", "required"])]
+    codes = df.select("sku", F.lit(None).cast("string").alias("codigo_alt"), F.lit(None).cast("string").alias("codigo_mongo"))
+    dim = spark.createDataFrame([("A",)], "SKU_Oficial string")
+    bridge = spark.createDataFrame([], "FuenteOrigen string, CodigoFuente string, SKU_Oficial string")
+    found = resolve_sku(codes, bridge, dim)
+    assert "rightHint=(strategy=shuffle_hash)" in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["SKU_Oficial"] for r in found.where("sku is not null").collect()] == ["A"]
