@@ -123,7 +123,7 @@ def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
     """Lines with their header's keys and totals. Reports that name no product pass none: ProductKey is NULL then.
 
     Customer and currency are looked up on headers, of which there are fewer than lines, before
-    the two meet.
+    the two meet, and products on lines while these have no more than their own columns.
     """
     code = F.coalesce("DocCur", F.lit(LOCAL_CURRENCY))
     head = star_lookup(headers, customers, F.col("CardCode"), "CardCode", ["CustomerKey"])
@@ -132,7 +132,7 @@ def _document_branch(headers: DataFrame, lines: DataFrame, customers: DataFrame,
     head = head.select("DocEntry", date_key("DocDate").alias("DateKey"),
                        F.coalesce("CustomerKey", other).alias("CustomerKey"), "CurrencyKey",
                        "DocTotal", "DocTotalFC", norm_key(code).alias("_cur"))
-    rows = _with_product(join_lines(lines, head), products, "ItemCode")
+    rows = join_lines(_with_product(lines, products, "ItemCode"), head)
     crc, usd = F.col("DocTotal"), F.col("DocTotalFC")
     if grain == "line":
         share = (F.col("Quantity") * F.col("Price")).cast(AMOUNT)
