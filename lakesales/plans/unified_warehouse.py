@@ -215,15 +215,16 @@ def check_sales(landed: DataFrame, customers: DataFrame, lookup: DataFrame, chan
 
     Customers and products are joined on (source, natural key). ``lookup`` is ``product_lookup``:
     codes and names were resolved there once per product, so lines meet one table only. The
-    calendar has one row per day.
+    calendar has one row per day. The two small tables come last, so lines do not carry their columns when they are
+    dealt out by customer and by product.
     """
-    rows = clean_lines(landed)
-    rate = cal.select(F.col("DateValue").alias("Fecha"), "TipoCambio_USD_CRC")
-    rows = rows.join(rate, "Fecha", "left")
-    rows = rows.join(channels.select("NombreCanal", "CanalID"), "NombreCanal", "left")
+    rows = clean_lines(landed).drop("TiempoID")
     who = customers.select("FuenteOrigen", "ClienteID_Natural", "ClienteID")
     rows = rows.join(who, ["FuenteOrigen", "ClienteID_Natural"], "left")
     rows = rows.join(lookup, ["FuenteOrigen", "producto_id"], "left")
+    rate = cal.select(F.col("DateValue").alias("Fecha"), "TipoCambio_USD_CRC")
+    rows = rows.join(rate, "Fecha", "left").withColumn("TiempoID", date_key("Fecha"))
+    rows = rows.join(channels.select("NombreCanal", "CanalID"), "NombreCanal", "left")
     return with_errors(rows, _sales_rules())
 
 
@@ -242,9 +243,11 @@ def run_unified_dw(customers: DataFrame, products: DataFrame, lines: DataFrame,
                    out: str, run_ts: Column | None = None) -> dict[str, DataFrame]:
     """Landed customers, products and lines to the written warehouse; running it again replaces it.
 
-    Dimensions, bridge and lookup are written before the lines are read, and the checked lines
+    Calendar, dimensions, bridge and lookup are written before the lines are read, and the checked lines
     once before the fact and the rejects are taken from them.
     """
+    # stored, its size is known: a calendar that is still a plan would have all lines dealt out by day
+    cal = write_table(cal, f"{out}/staging/Calendario")
     bounds = cal.agg(F.min("DateValue").alias("start"), F.max("DateValue").alias("end"))
     times = write_table(time_dimension(bounds, run_ts), f"{out}/DimTiempo")
     products, bad_products = check_products(products)

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from lakesales.checks import shapes as S
 from lakesales.plans import erp_warehouse as P
-from lakesales.schemas import ERP
+from lakesales.plans import unified_warehouse as W
+from lakesales.schemas import ERP, LANDED_CUSTOMERS, LANDED_LINES, LANDED_PRODUCTS
 from lakesales.sources import sinks
 from table_rows import rows
 
@@ -43,3 +44,17 @@ def test_products_are_looked_up_before_lines_meet_headers(spark):
     joins = [line for line in plan(fact, "optimizedPlan").splitlines() if "Join " in line]
     assert "Join Inner" in joins[0]
     assert rows(fact.select("CustomerKey", "ProductKey", "Qty"), "Qty") == [(2, None, D(1)), (2, 5, D(2))]
+
+
+def test_lines_are_not_dealt_out_by_day(spark, tmp_path):
+    make, day = spark.createDataFrame, dt.date(2024, 1, 2)
+    landed = make([(s, "o1", "c1", "p1", "2024-01-02", " web", "CRC", "2", "10.00", None) for s in ("MySQL", "Neo4j")],
+                  ", ".join(f"{c} string" for c in LANDED_LINES))
+    who = make([("MySQL", "c1", "Ana", "a@b.co", "F", "CR", "2024-01-01")], ", ".join(f"{c} string" for c in LANDED_CUSTOMERS))
+    what = make([("MySQL", "p1", "A1", "S1", "A1", None, "Uno", "x")], ", ".join(f"{c} string" for c in LANDED_PRODUCTS))
+    cal = make([(day, D(500)), (day, D(500))], "DateValue date, TipoCambio_USD_CRC decimal(18,6)").distinct()
+    out = W.run_unified_dw(who, what, landed, cal, str(tmp_path))
+    assert rows(spark.read.parquet(f"{tmp_path}/staging/Calendario")) == [(day, D(500))]
+    assert rows(out["FactVentas"].select("TiempoID", "ClienteID", "ProductoID", "CanalID", "TotalVentaUSD")) == [
+        (20240102, 1, 1, 1, D("0.04"))]
+    assert [r.FuenteOrigen for r in out["rechazos"].collect()] == ["Neo4j"]
