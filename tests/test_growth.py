@@ -8,6 +8,7 @@ from decimal import Decimal as D
 from pyspark.sql import functions as F
 
 from lakesales.checks import shapes as S
+from lakesales.operators import locale
 from lakesales.plans import erp_warehouse as P
 from lakesales.plans import unified_warehouse as W
 from lakesales.schemas import ERP, LANDED_CUSTOMERS, LANDED_LINES, LANDED_PRODUCTS
@@ -46,6 +47,14 @@ def test_products_are_looked_up_before_lines_meet_headers(spark):
     assert rows(fact.select("CustomerKey", "ProductKey", "Qty"), "Qty") == [(2, None, D(1)), (2, 5, D(2))]
 
 
+def test_amount_texts_are_parsed_once(spark):
+    df = spark.createDataFrame([("en", "1,234.50", 1), ("es", "7,5", 2), (None, " ", 3)], "_file string, t string, n int")
+    got = locale.read_amounts(df, {"t": "v"})
+    assert "RLIKE" not in plan(got, "optimizedPlan")
+    assert got.columns == ["_file", "t", "n", "v_locale", "v"]
+    assert rows(got.select("n", "v_locale", "v"), "n") == [(1, "en", D("1234.50")), (2, "es", D("7.5")), (3, "unknown", None)]
+
+
 def test_lines_are_not_dealt_out_by_day(spark, tmp_path):
     make, day = spark.createDataFrame, dt.date(2024, 1, 2)
     landed = make([(s, "o1", "c1", "p1", "2024-01-02", " web", "CRC", "2", "10.00", None) for s in ("MySQL", "Neo4j")],
