@@ -3,6 +3,7 @@
 import contextlib
 import io
 import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ from lakesales import session
 from lakesales.operators import validation as V
 from lakesales.plans import loader as L
 from lakesales.schemas import MSSQL_LOADER, MYSQL_LOADER
-from lakesales.sources import readers
+from lakesales.sources import csv_records, readers, splits
+from lakesales.streaming import ingest
 from table_rows import rows
 
 GOOD = dict(zip(MSSQL_LOADER, ["ana@x.co", "Ana", "SKU-1", "", "2025-04-10", "WEB", "USD", "2", "1,200.50", "10", '{"a": "x, y"}']))
@@ -87,3 +89,30 @@ def test_checked_rows_are_stored_once(spark, lookups, tmp_path, monkeypatch):
     done = L.run_import(L.check_rows(raw, "mssql", *lookups), "mssql", "skip_bad", str(tmp_path / "out"))
     assert names == ["checked"] and done["checked"].count() == done["accepted"].count() == 1
     assert L.accepted_rows(done["checked"].select(*L.TARGET, "errors"), "all_or_nothing").first().ClienteID == 7
+
+
+def test_records_are_stored_once(spark, tmp_path, monkeypatch):
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\n2"\n')
+    names = []
+    for module in (csv_records, splits):
+        monkeypatch.setattr(module, "scratch_path", lambda s, name: names.append(name) or session.scratch_path(s, name))
+    got, _ = csv_records.read_mapped(spark, [str(tmp_path / "a.csv")], ["b", "a"], ["a"])
+    assert rows(got.select("_row", "a", "b")) == [(1, "1", "x\n2")]
+    assert sorted(names) == ["begins", "effects", "ends", "headers", "places", "records", "rows"]
+
+
+def test_a_batch_leaves_no_tables_behind(spark, lookups, tmp_path, monkeypatch):
+    made = []
+    monkeypatch.setattr(ingest, "scratch_path", lambda s, name: made.append(session.scratch_path(s, name)) or made[-1])
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("ClienteEmail,Qty\nana@x.co,0\n")
+    ingest.ingest_files(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "cp"), MSSQL_LOADER,
+                        lambda raw: L.check_rows(raw, "mssql", *lookups)).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out" / "rejected")).count() == 1
+    assert [p.rsplit("/", 1)[1] for p in made] == ["files", "checked"]
+    assert not [p for p in made if Path(p.removeprefix("file://")).exists()]
+    kept = session.scratch_path(spark, "kept")  # outside of a batch nothing goes
+    spark.range(1).write.parquet(kept)
+    with session.passing_scratch(spark):
+        spark.range(1).write.parquet(session.scratch_path(spark, "gone"))
+    assert spark.read.parquet(kept).count() == 1
